@@ -106,3 +106,7 @@ def _split_explode(spark, sf_dir):
           f"SELECT PGM, REGISTRY_ID, PGM_ID FROM ({A.crosswalk_sql()}) WHERE PGM = 'NPDES_IDS'")
 def _slice(spark, sf_dir):
     return X.program_slice(X.build_crosswalk(A.wide_facility(spark, sf_dir)), "NPDES_IDS")
+
+
+# The other operator families register themselves on import.
+from . import access_queries, ingest_queries, landing_queries, schema_queries  # noqa: E402,F401
