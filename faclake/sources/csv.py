@@ -18,7 +18,7 @@ CORRUPT = "_corrupt_record"
 def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
              rfc_quotes: bool = False, multiline: bool = False,
              keep_corrupt: bool = False, sep: str = ",",
-             encoding: str | None = None) -> DataFrame:
+             encoding: str | None = None, recursive: bool = False) -> DataFrame:
     """Read CSV files with a header under a declared schema.
 
     ``rfc_quotes`` makes a doubled quote inside a quoted field one quote
@@ -35,6 +35,8 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
         reader = reader.option("multiLine", True)
     if encoding:
         reader = reader.option("encoding", encoding)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     if keep_corrupt:
         schema = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)

@@ -203,3 +203,35 @@ def _refresh(spark, sf_dir):
     lake = _fact_lake(spark, sf_dir, _ALL_TABLES)
     rep = R.refresh_views(spark, lake, VIEWS, rebuild=False)
     return rep.select("name", "status", "source_rows")
+
+
+_ORDERS_CSV_SQL = ("SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, o_orderstatus AS O_ORDERSTATUS, "
+                   "o_totalprice AS O_TOTALPRICE, strftime(o_orderdate, '%Y-%m-%d') AS O_ORDERDATE, "
+                   "o_orderpriority AS O_ORDERPRIORITY FROM orders")
+
+
+@register("expand_archives", _ORDERS_CSV_SQL)
+def _expand(spark, sf_dir):
+    from ..sources.archives import expand_archives, pack_archives
+    root = scratch_path(spark, "archives")
+    _orders_csv(spark, sf_dir).repartition(6).write.option("header", True).csv(f"{root}/stage")
+    parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+             .load(f"{root}/stage").select("path"))
+    pack_archives(spark, parts, f"{root}/archives").collect()   # one row per archive
+    report = expand_archives(spark, f"{root}/archives", f"{root}/landing").collect()
+    assert report and all(r.status == "extracted" for r in report), report
+    return scan_csv(spark, f"{root}/landing", S.struct_from_columns(ORDERS_COLUMNS), recursive=True)
+
+
+@register("landing_stream_ingest", PART_SQL)
+def _stream(spark, sf_dir):
+    # Two landings of half the rows each; each run appends only the new file.
+    from ..streaming.landing import ingest_new_files
+    root = scratch_path(spark, "stream")
+    lake = Lake(spark, root)
+    schema = S.struct_from_columns(PART_COLUMNS)
+    part = A.read(spark, sf_dir, "part")
+    for i, cond in enumerate([F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 2 == 1]):
+        part.where(cond).write.option("header", True).csv(f"{root}/landing/batch{i}")
+        ingest_new_files(spark, f"{root}/landing/*", schema, lake, "part", f"{root}/_checkpoint")
+    return lake.read("part")
