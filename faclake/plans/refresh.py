@@ -40,12 +40,49 @@ def write_dimension(lake: Lake, specs=VIEWS) -> DataFrame:
     return lake.read(DIMENSION)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """On-disk size of a stored table or partition, from a file listing."""
+    from pyspark.sql import functions as F
+    try:
+        r = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first())
+    except Exception:  # noqa: BLE001 -- absent partition
+        return 0
+    return int(r[0] or 0)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """In-memory bytes a broadcast side may take: the session's broadcast
+    threshold when set, else 32 MB."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "32MB")
+    try:
+        n = int(raw)
+    except ValueError:
+        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        n = int(float(raw[:-2]) * units[raw[-2].lower()]) if raw.lower().endswith("b") else 32 << 20
+    return n if n > 0 else 32 << 20
+
+
+# parquet on disk -> rows in memory: a conservative expansion factor
+PARQUET_EXPANSION = 5
+
+
 def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                      skew: str = "aqe") -> Q.RunRecord:
-    """One view: build, replace the stored table, check it is not empty."""
+    """One view: build, replace the stored table, check it is not empty.
+
+    With the shared dimension, the view's program partition is measured: only
+    when its size (times the parquet expansion factor) is under the broadcast
+    limit is it broadcast; otherwise the join stays a shuffle join whose
+    skewed partitions AQE splits.
+    """
     try:
         tables = {t: lake.read(t) for t in spec.tables if not (t == CROSSWALK and shared_dim is not None)}
-        df = build_view(spec, tables, skew=skew, shared_dim=shared_dim)
+        small = False
+        if shared_dim is not None and spec.shape == "crosswalk":
+            size = stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
+            small = size * PARQUET_EXPANSION <= broadcast_limit(lake.spark)
+        df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
         written = Q.observed_write(df, lambda d: lake.write(d, spec.name))
         status = "ok" if written > 0 else "empty"
         return Q.RunRecord(spec.name, lake.path(spec.name), status, written, written, None,

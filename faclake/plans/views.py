@@ -161,9 +161,15 @@ def view_dimension(spec: ViewSpec, tables: Mapping[str, DataFrame],
 
 
 def build_view(spec: ViewSpec, tables: Mapping[str, DataFrame], skew: str = "aqe",
-               shared_dim: DataFrame | None = None, **salt_opts) -> DataFrame:
+               shared_dim: DataFrame | None = None, broadcast_dim: bool = False,
+               **salt_opts) -> DataFrame:
     """One DataFrame plan for a view: fact (filtered, pruned) joined once to
-    its dimension, columns in the published order."""
+    its dimension, columns in the published order.
+
+    ``broadcast_dim`` is set by callers that measured the dimension (a stored
+    partition) and found it under the broadcast limit; otherwise Spark picks
+    the join from its statistics and AQE re-plans it from runtime sizes.
+    """
     f_cols = spec.side_columns("f")
     fact = tables[spec.fact]
     if spec.fact_filter:
@@ -172,6 +178,8 @@ def build_view(spec: ViewSpec, tables: Mapping[str, DataFrame], skew: str = "aqe
     needed = list(dict.fromkeys([spec.fact_key, *f_cols]))
     fact = fact.select(*needed)
     dim = view_dimension(spec, tables, shared_dim)
+    if broadcast_dim:
+        dim = F.broadcast(dim)
     joined = J.join_to_dimension(fact, spec.fact_key, dim, skew=skew, **salt_opts)
     out = [F.col(n) if s == "f" else F.col(J.side_name(s, n)).alias(n)
            for s, n in spec.output()]
