@@ -36,7 +36,7 @@ def rebuild_crosswalk(lake: Lake) -> int:
 def write_dimension(lake: Lake, specs=VIEWS) -> DataFrame:
     cols = facility_columns_used([s for s in specs if s.shape == "crosswalk"])
     dim = J.program_dimension(lake.read(CROSSWALK), lake.read(FACILITY), None, cols)
-    lake.write(dim.repartition("PGM", J.KEY), DIMENSION, partition_by=["PGM"])
+    lake.write(dim, DIMENSION, partition_by=["PGM"])
     return lake.read(DIMENSION)
 
 
@@ -115,6 +115,24 @@ def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[st
         return Q.RunRecord(name, lake.path(name), "failed", message=f"{type(e).__name__}: {e}"[:500])
 
 
+def load_view_definitions(path: str) -> dict:
+    """View definitions as SQL text: ``{name: {statements: [...], tables: [...]}}``.
+    A small configuration file, read on the driver."""
+    import json
+    with open(path) as f:
+        return json.load(f)
+
+
+def refresh_sql_views(spark: SparkSession, lake: Lake, definitions: dict,
+                      parallel: int = 4) -> DataFrame:
+    """M1 for SQL-text definitions: each view in its own session, concurrently."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        records = list(pool.map(
+            lambda kv: run_sql_view(spark, lake, kv[0], kv[1]["statements"], kv[1]["tables"]),
+            definitions.items()))
+    return Q.report(spark, records)
+
+
 def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int = 4,
                   skew: str = "aqe", share_dimension: bool = True,
                   rebuild: bool = True) -> DataFrame:

@@ -184,3 +184,25 @@ def build_view(spec: ViewSpec, tables: Mapping[str, DataFrame], skew: str = "aqe
     out = [F.col(n) if s == "f" else F.col(J.side_name(s, n)).alias(n)
            for s, n in spec.output()]
     return joined.select(*out)
+
+
+def sql_text(spec: ViewSpec) -> str:
+    """The spec as one Spark SQL statement in the comma-join form, over tables
+    registered under SQL-safe names (``-`` -> ``_``)."""
+    alias = {"f": "re", "e": "ee", "c": "cf"}
+    fact = spec.fact.replace("-", "_")
+    where = []
+    if spec.shape == "crosswalk":
+        froms = f"{fact} re, ECHO_EXPORTER ee, EXP_PGM ep"
+        where += [f"ep.PGM = '{spec.program}'", "ep.REGISTRY_ID = ee.REGISTRY_ID",
+                  f"ep.PGM_ID = re.{spec.fact_key}"]
+    elif spec.shape == "bridge":
+        froms = f"{fact} re, ECHO_EXPORTER ee, {spec.bridge} cf"
+        where += ["cf.REGISTRY_ID = ee.REGISTRY_ID", f"re.{spec.fact_key} = cf.{spec.bridge_key}"]
+    else:
+        froms = f"{fact} re, ECHO_EXPORTER ee"
+        where.append("re.REGISTRY_ID = ee.REGISTRY_ID")
+    if spec.fact_filter:
+        where.append(f"re.{spec.fact_filter[0]} = '{spec.fact_filter[1]}'")
+    cols = ", ".join(f"{alias[s]}.{n}" for s, n in spec.output())
+    return f"SELECT {cols} FROM {froms} WHERE {' AND '.join(where)}"

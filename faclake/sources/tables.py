@@ -36,7 +36,12 @@ class Lake:
         return self.schema_layout.format(root=self.root.rstrip("/"), name=name)
 
     def exists(self, name: str) -> bool:
-        """Does the stored table exist (and have a readable schema)?"""
+        """Does the stored table exist?  A metadata lookup on the driver
+        (no data is read); Spark is asked only when the file system is not
+        reachable from the driver process."""
+        found = path_exists(self.path(name))
+        if found is not None:
+            return found
         try:
             self.spark.read.format(self.fmt).load(self.path(name)).schema
             return True
@@ -77,6 +82,22 @@ class Lake:
         w.save(self.path(name))
 
 
-def test_data_lake(spark: SparkSession, sf_dir: str) -> Lake:
+def path_exists(uri: str) -> bool | None:
+    """True/False when the path's file system answers, None when it cannot be
+    reached from here (then the caller asks Spark)."""
+    try:
+        from pyarrow import fs as pafs
+        if uri.startswith("file:/") and not uri.startswith("file:///"):
+            uri = "file:///" + uri[len("file:/"):].lstrip("/")
+        if "://" not in uri:
+            import os
+            uri = "file://" + os.path.abspath(uri)
+        fs, path = pafs.FileSystem.from_uri(uri)
+        return fs.get_file_info(path).type != pafs.FileType.NotFound
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def folder_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The driver's test folder seen as a lake (``<dir>/<name>.parquet``)."""
     return Lake(spark, sf_dir, layout="{root}/{name}.parquet")

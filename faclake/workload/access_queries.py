@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import query as Q
 from ..session import scratch_path
-from ..sources.tables import test_data_lake
+from ..sources.tables import folder_lake
 from .catalog import register
 
 # Fixed example queries, run through the guarded access path.
@@ -25,7 +25,7 @@ HOT = "SELECT c_nationkey, count(*) AS n, min(c_custkey) AS first_key FROM custo
 
 def _run(sql, table="orders", **kw):
     def fn(spark, sf_dir):
-        return Q.run_query(spark, test_data_lake(spark, sf_dir), table, sql, **kw)
+        return Q.run_query(spark, folder_lake(spark, sf_dir), table, sql, **kw)
     return fn
 
 
@@ -39,13 +39,13 @@ register("select_guard", GUARDED_ORACLE)(_run(GUARDED))
 @register("limit_before_sql", "SELECT CAST(1000 AS BIGINT) AS n")
 def _limit(spark, sf_dir):
     # the limit applies to the base table, before the query counts it
-    return Q.run_query(spark, test_data_lake(spark, sf_dir), "orders",
+    return Q.run_query(spark, folder_lake(spark, sf_dir), "orders",
                        "SELECT count(*) AS n FROM orders", limit=1000)
 
 
 @register("hot_table_cache", HOT)
 def _hot(spark, sf_dir):
-    lake = test_data_lake(spark, sf_dir)
+    lake = folder_lake(spark, sf_dir)
     Q.run_query(spark, lake, "customer", HOT, hot_tables=("customer",)).collect()
     return Q.run_query(spark, lake, "customer", HOT, hot_tables=("customer",))
 
@@ -53,7 +53,7 @@ def _hot(spark, sf_dir):
 @register("result_cache", GROUP_BY)
 def _result_cache(spark, sf_dir):
     root = scratch_path(spark, "results")
-    lake = test_data_lake(spark, sf_dir)
+    lake = folder_lake(spark, sf_dir)
     store = Q.ResultStore(spark, f"{root}/store")
     first, hit1 = Q.cached_query(spark, lake, store, f"{root}/log", "orders", GROUP_BY)
     second, hit2 = Q.cached_query(spark, lake, store, f"{root}/log", "orders", GROUP_BY)
@@ -66,7 +66,7 @@ def _result_cache(spark, sf_dir):
           f"count(*) AS result_rows FROM ({PROJECTION_FILTER})")
 def _query_log(spark, sf_dir):
     root = scratch_path(spark, "results")
-    lake = test_data_lake(spark, sf_dir)
+    lake = folder_lake(spark, sf_dir)
     store = Q.ResultStore(spark, f"{root}/store")
     Q.cached_query(spark, lake, store, f"{root}/log", "orders", PROJECTION_FILTER, ip="10.0.0.1")
     log = spark.read.parquet(f"{root}/log")

@@ -235,3 +235,23 @@ def _stream(spark, sf_dir):
         part.where(cond).write.option("header", True).csv(f"{root}/landing/batch{i}")
         ingest_new_files(spark, f"{root}/landing/*", schema, lake, "part", f"{root}/_checkpoint")
     return lake.read("part")
+
+
+_SQL_SPECS = [s for s in VIEWS if s.name in ("AIR_COMPLIANCE_MVIEW", "RCRA_VIOLATIONS_MVIEW",
+                                             "AIR_ENFORCEMENTS_MVIEW", "TOXIC_RELEASES_MVIEW")]
+
+
+@register("sql_view_refresh", " UNION ALL ".join(_count_sql(s) for s in _SQL_SPECS))
+def _sql_views(spark, sf_dir):
+    # Views given as SQL text ({statements, tables}), run over the lake tables;
+    # RCRA's definition first creates a filtered temp view of the crosswalk.
+    from ..plans.views import sql_text
+    lake = _fact_lake(spark, sf_dir, sorted({t for s in _SQL_SPECS for t in s.tables}))
+    defs = {}
+    for spec in _SQL_SPECS:
+        stmts = [sql_text(spec)]
+        if spec.program == "RCRA_IDS":
+            stmts = ["CREATE OR REPLACE TEMP VIEW EXP_PGM_RCRA AS SELECT * FROM EXP_PGM WHERE PGM = 'RCRA_IDS'",
+                     sql_text(spec).replace("EXP_PGM ep", "EXP_PGM_RCRA ep")]
+        defs[spec.name] = {"statements": stmts, "tables": spec.tables}
+    return R.refresh_sql_views(spark, lake, defs).select("name", "status", "source_rows")
