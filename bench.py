@@ -3,11 +3,13 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Every query is executed in full with the ``noop`` sink (all rows computed,
-nothing collected to the driver).  Timed:
+nothing collected to the driver).
 
-* crosswalk_build   -- one-scan crosswalk from the wide facility table, written
-* view_air_compliance -- one three-way view (fact -> crosswalk -> facility)
-* views_all_23      -- refresh of all 23 views from a lake (shared
+A lake is first prepared from the test tables (untimed).  Then:
+
+* crosswalk_build   -- one-scan crosswalk from the stored wide facility table, written
+* view_air_compliance(_salted) -- one three-way view (fact -> crosswalk -> facility)
+* views_all_23      -- refresh of all 23 views from the lake (shared
                        facility-by-program dimension written once)
 * csv_ingest        -- typed CSV scan of lineitem written to parquet (also MB/s)
 * plus a few single operators (SQL access, HTML, change detection, registry).
@@ -46,7 +48,7 @@ def main():
     from faclake.operators import crosswalk as X
     from faclake.operators import schema as S
     from faclake.plans import refresh as R
-    from faclake.plans.views import VIEWS
+    from faclake.plans.views import VIEWS, build_view
     from faclake.sources.csv import scan_csv
     from faclake.sources.tables import Lake
     from faclake.workload import adapters as A
@@ -64,17 +66,23 @@ def main():
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
 
-    # crosswalk: build + idempotent partitioned write
-    xw_path = scratch_path(spark, "bench-xw")
+    # a lake prepared from the test tables (untimed): wide facility with the
+    # program id lists, facility, crosswalk and every fact table
+    tables = sorted({t for s in VIEWS for t in s.tables})
+    lake = _fact_lake(spark, sf_dir, tables)
+    lake.write(A.wide_facility(spark, sf_dir), "ECHO_EXPORTER_WIDE")
+
+    # crosswalk: one scan of the stored facility table + partitioned overwrite
     timed("crosswalk_build", lambda: X.write_crosswalk(
-        X.build_crosswalk(A.wide_facility(spark, sf_dir)), xw_path))
+        X.build_crosswalk(lake.read("ECHO_EXPORTER_WIDE")), scratch_path(spark, "bench-xw")))
 
-    timed("view_air_compliance", lambda: _noop(Q["mview_air_compliance"](spark, sf_dir)))
-    timed("view_sdwa_violations_salted", lambda: _noop(Q["join_fact_crosswalk_facility_salted"](spark, sf_dir)))
+    # one three-way view straight from the stored tables (no shared dimension)
+    air = [v for v in VIEWS if v.name == "AIR_COMPLIANCE_MVIEW"][0]
+    timed("view_air_compliance", lambda: _noop(build_view(air, {t: lake.read(t) for t in air.tables})))
+    timed("view_air_compliance_salted", lambda: _noop(
+        build_view(air, {t: lake.read(t) for t in air.tables}, skew="salt")))
 
-    # all 23 views from a lake (the lake itself is prepared untimed)
-    tables = sorted({t for s in VIEWS for t in s.tables})
-    lake = _fact_lake(spark, sf_dir, tables)
+    # all 23 views: shared dimension written once, views materialised
     timed("views_all_23", lambda: R.refresh_views(spark, lake, VIEWS, rebuild=False).collect())
 
     # typed CSV ingest: lineitem landed as CSV (untimed), then scan + write
