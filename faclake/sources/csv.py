@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -18,14 +18,17 @@ CORRUPT = "_corrupt_record"
 def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
              rfc_quotes: bool = False, multiline: bool = False,
              keep_corrupt: bool = False, sep: str = ",",
-             encoding: str | None = None, recursive: bool = False) -> DataFrame:
+             encoding: str | None = None, recursive: bool = False,
+             boolean_tokens: tuple[tuple[str, ...], tuple[str, ...]] | None = None) -> DataFrame:
     """Read CSV files with a header under a declared schema.
 
     ``rfc_quotes`` makes a doubled quote inside a quoted field one quote
     (RFC 4180) instead of keeping it raw; ``multiline`` lets quoted fields
     hold line breaks (the file is then read by one task);
     ``keep_corrupt`` adds ``_corrupt_record`` with the raw line of any row
-    that did not fit the schema.
+    that did not fit the schema.  By default a boolean column accepts only
+    ``true``/``false``; ``boolean_tokens=((true tokens), (false tokens))``
+    maps other spellings (case-insensitive, trimmed), anything else is NULL.
     """
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("sep", sep))
@@ -40,7 +43,16 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
     if keep_corrupt:
         schema = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    if not boolean_tokens:
+        return reader.schema(schema).csv(path)
+    bools = [f.name for f in schema.fields if isinstance(f.dataType, BooleanType)]
+    read_schema = StructType([StructField(f.name, StringType(), True) if f.name in bools else f
+                              for f in schema.fields])
+    yes, no = ([t.lower() for t in group] for group in boolean_tokens)
+    df = reader.schema(read_schema).csv(path)
+    return df.withColumns({
+        b: F.when(F.lower(F.trim(b)).isin(*yes), F.lit(True))
+            .when(F.lower(F.trim(b)).isin(*no), F.lit(False)) for b in bools})
 
 
 def header_drift(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

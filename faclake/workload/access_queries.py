@@ -16,8 +16,8 @@ PROJECTION_FILTER = ("SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
 GROUP_BY = ("SELECT o_orderstatus, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, "
             "max(o_totalprice) AS top FROM orders GROUP BY o_orderstatus, o_orderpriority")
 ORDER_LIMIT = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"
-WINDOW = ("SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey "
-          "ORDER BY o_orderdate, o_orderkey) AS rn FROM orders")
+WINDOW = ("SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey "
+          "ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS rn FROM orders")
 GUARDED = "select o_orderstatus, count(*) as n from orders group by o_orderstatus; -- by status"
 GUARDED_ORACLE = "select o_orderstatus, count(*) as n from orders group by o_orderstatus"
 HOT = "SELECT c_nationkey, count(*) AS n, min(c_custkey) AS first_key FROM customer GROUP BY c_nationkey"

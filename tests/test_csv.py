@@ -43,3 +43,11 @@ def test_booleans_accept_true_false_only(spark, tmp):
     schema = StructType([StructField("F", BooleanType())])
     p = _write(tmp, "b.csv", "F\ntrue\nfalse\nt\n1\n")
     assert [x.F for x in scan_csv(spark, p, schema).collect()] == [True, False, None, None]
+
+
+def test_boolean_token_map(spark, tmp):
+    schema = StructType([StructField("F", BooleanType()), StructField("A", StringType())])
+    p = _write(tmp, "bt.csv", "F,A\nY,a\nn,b\n1,c\n true ,d\nmaybe,e\n")
+    got = [(x.F, x.A) for x in scan_csv(spark, p, schema,
+                                         boolean_tokens=(("y", "1", "true", "t"), ("n", "0", "false", "f"))).collect()]
+    assert got == [(True, "a"), (False, "b"), (True, "c"), (True, "d"), (None, "e")]
