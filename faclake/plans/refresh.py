@@ -19,7 +19,7 @@ from ..operators import crosswalk as X
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..sources.tables import Lake
-from .views import VIEWS, ViewSpec, build_view, facility_columns_used
+from .views import VIEWS, ViewSpec, build_view, derivable_from, facility_columns_used
 
 FACILITY = "ECHO_EXPORTER"
 CROSSWALK = "EXP_PGM"
@@ -68,7 +68,8 @@ PARQUET_EXPANSION = 5
 
 
 def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
-                     skew: str = "aqe") -> Q.RunRecord:
+                     skew: str = "aqe", broadcast_max_bytes: int | None = None,
+                     base: ViewSpec | None = None) -> Q.RunRecord:
     """One view: build, replace the stored table, check it is not empty.
 
     With the shared dimension, the view's program partition is measured: only
@@ -77,12 +78,20 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
     skewed partitions AQE splits.
     """
     try:
-        tables = {t: lake.read(t) for t in spec.tables if not (t == CROSSWALK and shared_dim is not None)}
-        small = False
-        if shared_dim is not None and spec.shape == "crosswalk":
-            size = stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
-            small = size * PARQUET_EXPANSION <= broadcast_limit(lake.spark)
-        df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
+        if base is not None:
+            # a filter of an already stored view (pushed down to its scan)
+            from pyspark.sql import functions as F
+            col, val = spec.fact_filter
+            df = lake.read(base.name).where(F.col(col) == F.lit(val))
+        else:
+            tables = {t: lake.read(t) for t in spec.tables
+                      if not (t == CROSSWALK and shared_dim is not None)}
+            small = False
+            if shared_dim is not None and spec.shape == "crosswalk":
+                size = stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
+                limit = broadcast_max_bytes or broadcast_limit(lake.spark)
+                small = size * PARQUET_EXPANSION <= limit
+            df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
         written = Q.observed_write(df, lambda d: lake.write(d, spec.name))
         status = "ok" if written > 0 else "empty"
         return Q.RunRecord(spec.name, lake.path(spec.name), status, written, written, None,
@@ -135,14 +144,42 @@ def refresh_sql_views(spark: SparkSession, lake: Lake, definitions: dict,
 
 def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int = 4,
                   skew: str = "aqe", share_dimension: bool = True,
-                  rebuild: bool = True) -> DataFrame:
+                  rebuild: bool = True, broadcast_max_bytes: int | None = None,
+                  reuse_views: bool = True) -> DataFrame:
     """M1: crosswalk (optional), shared dimension, then all views; the views
-    are independent and are submitted concurrently.  Returns the report."""
+    are independent and are submitted concurrently.  Returns the report.
+
+    ``broadcast_max_bytes`` raises (or lowers) the in-memory size up to which
+    a measured dimension is broadcast for this refresh only: star joins with a
+    dimension of a few hundred MB are cheaper broadcast than shuffling a
+    multi-terabyte fact, if the executors can hold it.  With ``reuse_views``,
+    a view that is a filter of another (same join, same columns) is read from
+    the stored base view instead of being joined again.
+    """
     records: list[Q.RunRecord] = []
     if rebuild:
         n = rebuild_crosswalk(lake)
         records.append(Q.RunRecord(CROSSWALK, lake.path(CROSSWALK), "ok" if n else "empty", n, n))
-    shared = write_dimension(lake, specs) if share_dimension else None
+    specs = list(specs)
+    shared = None
+    if share_dimension and any(s.shape == "crosswalk" for s in specs):
+        shared = write_dimension(lake, specs)
+    derived = {}
+    if reuse_views:
+        for s in specs:
+            base = next((b for b in specs if derivable_from(s, b)), None)
+            if base is not None:
+                derived[s.name] = base
+    first = [s for s in specs if s.name not in derived]
+    then = [s for s in specs if s.name in derived]
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        records += list(pool.map(lambda s: materialise_view(lake, s, shared, skew), specs))
+        done = {r.name: r for r in pool.map(
+            lambda s: materialise_view(lake, s, shared, skew, broadcast_max_bytes), first)}
+
+        def second(s):
+            if done[derived[s.name].name].status != "ok":   # base failed or empty: join directly
+                return materialise_view(lake, s, shared, skew, broadcast_max_bytes)
+            return materialise_view(lake, s, shared, skew, broadcast_max_bytes, base=derived[s.name])
+        done.update({r.name: r for r in pool.map(second, then)})
+    records += [done[s.name] for s in specs]
     return Q.report(spark, records)

@@ -134,6 +134,17 @@ VIEWS_BY_NAME = {v.name: v for v in VIEWS}
 VIEWS_BY_KEY = {v.key: v for v in VIEWS}
 
 
+def derivable_from(spec: ViewSpec, base: ViewSpec) -> bool:
+    """True when ``spec`` is ``base`` plus one equality filter on a column
+    ``base`` outputs: same fact, same join path, same columns, base unfiltered.
+    Such a view is a filter of the stored base view -- no second join."""
+    if spec is base or base.fact_filter is not None or spec.fact_filter is None:
+        return False
+    same_path = (spec.fact, spec.fact_key, spec.program, spec.bridge, spec.bridge_key) == \
+                (base.fact, base.fact_key, base.program, base.bridge, base.bridge_key)
+    return same_path and spec.output() == base.output() and ("f", spec.fact_filter[0]) in base.output()
+
+
 def facility_columns_used(specs=VIEWS) -> list[str]:
     """Union of facility columns over the specs (for the shared dimension)."""
     seen: list[str] = []
