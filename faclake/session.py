@@ -27,6 +27,10 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # Parquet on disk is several times smaller than the rows in memory; scale
+    # file sizes into size estimates so a "small" compressed fact table is not
+    # collected and broadcast (the measured dimension is broadcast explicitly).
+    "spark.sql.sources.fileCompressionFactor": "5",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
