@@ -127,10 +127,17 @@ SPREAD = ("lineitem", "orders")
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in SPREAD:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+        df = df.repartition(_cores(spark))
     return df
 
 
+def _cores(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 -- no SparkContext (remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def facility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").selectExpr(*facility_exprs())
 
