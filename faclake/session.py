@@ -32,6 +32,9 @@ SCALE_CONF = {
     # collected and broadcast (the measured dimension is broadcast explicitly).
     "spark.sql.sources.fileCompressionFactor": "5",
     "spark.sql.parquet.filterPushdown": "true",
+    # zstd: a third smaller than snappy on these text-heavy tables, so less
+    # storage and scan I/O at scale; it also wrote faster here.
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
