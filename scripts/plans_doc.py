@@ -60,7 +60,7 @@ NOTES = {
  "Typed CSV scan": "Declared schema, projection and filter pushed into the CSV scan; the scan is split across tasks by file ranges.",
  "Directory-listing extraction": "All per-row regex and array expressions run inside the Generate/Project of one stage; no shuffle, no Python.",
 }
-with open("" + os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md") + "", "w") as f:
+with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md"), "w") as f:
     f.write("# Physical plans\n\nGenerated with `df.explain(\"formatted\")` on the sf0.01 test data "
             "(paths shortened).  Notes on what each plan does at scale are in the README; this file is the evidence.\n\n")
     for title, p in sections:
