@@ -33,11 +33,34 @@ def rebuild_crosswalk(lake: Lake) -> int:
     return Q.observed_write(xw, lambda d: X.write_crosswalk(d, lake.path(CROSSWALK)))
 
 
-def write_dimension(lake: Lake, specs=VIEWS) -> DataFrame:
+def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> DataFrame:
+    """The crosswalk joined to the facility projection, stored once,
+    partitioned by program.
+
+    With ``buckets``, it is also bucketed and sorted by the join key as a
+    catalog table at the same location: a view whose dimension is too large
+    to broadcast then shuffles only its fact (to the same bucket count), the
+    dimension side of every such join needs neither exchange nor sort.  Use
+    at least ``spark.sql.shuffle.partitions`` buckets.
+    """
     cols = facility_columns_used([s for s in specs if s.shape == "crosswalk"])
     dim = J.program_dimension(lake.read(CROSSWALK), lake.read(FACILITY), None, cols)
-    lake.write(dim, DIMENSION, partition_by=["PGM"])
-    return lake.read(DIMENSION)
+    if not buckets:
+        lake.write(dim, DIMENSION, partition_by=["PGM"])
+        return lake.read(DIMENSION)
+    spark = lake.spark
+    table = dimension_table(lake)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    (dim.write.mode("overwrite").format(lake.fmt).partitionBy("PGM")
+     .bucketBy(buckets, J.KEY).sortBy(J.KEY)
+     .option("path", lake.path(DIMENSION)).saveAsTable(table))
+    return spark.table(table)
+
+
+def dimension_table(lake: Lake) -> str:
+    """Catalog name of a lake's bucketed dimension (one per lake root)."""
+    import hashlib
+    return f"faclake_{hashlib.sha1(lake.root.encode()).hexdigest()[:10]}.facility_by_program"
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -145,7 +168,7 @@ def refresh_sql_views(spark: SparkSession, lake: Lake, definitions: dict,
 def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int = 4,
                   skew: str = "aqe", share_dimension: bool = True,
                   rebuild: bool = True, broadcast_max_bytes: int | None = None,
-                  reuse_views: bool = True) -> DataFrame:
+                  reuse_views: bool = True, dimension_buckets: int | None = None) -> DataFrame:
     """M1: crosswalk (optional), shared dimension, then all views; the views
     are independent and are submitted concurrently.  Returns the report.
 
@@ -154,7 +177,9 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
     dimension of a few hundred MB are cheaper broadcast than shuffling a
     multi-terabyte fact, if the executors can hold it.  With ``reuse_views``,
     a view that is a filter of another (same join, same columns) is read from
-    the stored base view instead of being joined again.
+    the stored base view instead of being joined again.  ``dimension_buckets``
+    stores the shared dimension bucketed by the join key (see
+    ``write_dimension``).
     """
     records: list[Q.RunRecord] = []
     if rebuild:
@@ -163,7 +188,7 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
     specs = list(specs)
     shared = None
     if share_dimension and any(s.shape == "crosswalk" for s in specs):
-        shared = write_dimension(lake, specs)
+        shared = write_dimension(lake, specs, dimension_buckets)
     derived = {}
     if reuse_views:
         for s in specs:

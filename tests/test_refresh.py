@@ -127,3 +127,21 @@ def test_filtered_views_reuse_the_stored_base(spark, lake):
         assert sorted(map(tuple, lake.read(n).collect()), key=repr) == direct[n]
         assert rep[n].source_rows == len(direct[n])
     assert direct["GREENHOUSE_GASES_MVIEW"] and direct["TOXIC_RELEASES_MVIEW"]
+
+
+def test_bucketed_dimension_shuffles_only_the_fact(spark, lake, capsys):
+    spec = VIEWS_BY_NAME["SDWA_VIOLATIONS_MVIEW"]
+    R.refresh_views(spark, lake, [spec]).collect()
+    plain = sorted(map(tuple, lake.read(spec.name).collect()), key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        rep = R.refresh_views(spark, lake, [spec], rebuild=False, dimension_buckets=8).collect()
+        assert rep[0].status == "ok"
+        assert sorted(map(tuple, lake.read(spec.name).collect()), key=repr) == plain
+        dim = spark.table(R.dimension_table(lake))
+        plan = _plan(build_view(spec, {t: lake.read(t) for t in spec.tables}, shared_dim=dim), capsys)
+        assert "SortMergeJoin" in plan and plan.count("Arguments: hashpartitioning(") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
