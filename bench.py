@@ -43,7 +43,6 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
-    from pyspark.sql import functions as F
 
     from faclake.operators import crosswalk as X
     from faclake.operators import schema as S

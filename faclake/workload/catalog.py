@@ -11,7 +11,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import crosswalk as X
 from ..plans.views import VIEWS, ViewSpec, build_view
