@@ -120,17 +120,30 @@ def facility_exprs() -> list[str]:
 # The driver's test files hold each table in a single parquet row group, so a
 # scan of one is a single task.  A lake written by ingest has many files; to
 # run the operators with the parallelism they would have there, the two large
-# fact sources are spread round-robin over the cores right after the scan.
+# fact sources are spread round-robin over the cores right after the scan --
+# but only when the scan has fewer partitions than there are cores, so a
+# multi-file table (any real lake) is never shuffled for it.
 SPREAD = ("lineitem", "orders")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in SPREAD:
-        df = df.repartition(_cores(spark))
+        cores = _cores(spark)
+        parts = _scan_partitions(df)
+        if parts is not None and parts < cores:
+            df = df.repartition(cores)
     return df
 
 
+def _scan_partitions(df: DataFrame) -> int | None:
+    """Number of scan partitions (file splits); planning only, no job."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- remote session
+        return None
+
+
 def _cores(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
