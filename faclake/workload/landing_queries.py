@@ -1,6 +1,8 @@
 """Registered queries for the landing side.
 
-``pages`` is used as it is for links and URL base names.  Directory listings
+``pages`` is used as it is for links and URL base names.  Manifest snapshots and
+the tracker list are cut from ``orders`` by order status, so every order is
+processed.  Directory listings
 and data-dictionary pages are composed in Spark from ``orders`` and ``part``
 rows (256 orders per listing page, 40 parts per dictionary page: page sizes do
 not grow with the data); the oracles compute the expected rows straight from
@@ -224,11 +226,11 @@ def _snapshots(spark, sf_dir):
               .when(F.col("o_orderkey") % 2 == 0, old_ts)
               .otherwise(F.concat(F.substring(old_ts, 1, 10), F.lit(" 12:30"))))
     url = F.expr(_URL)
-    manifest = o.where(F.col("o_orderkey") % 3 != 0).select(
+    manifest = o.where(F.col("o_orderstatus") != "P").select(
         url.alias("url"), url.alias("link"), old_ts.alias("last_modified"),
         F.format_string("%d.00", F.col("o_orderkey") % 50).alias("size_mb"),
         F.concat(F.lit("data/f/"), F.col("o_orderkey").cast("string"), F.lit(".zip")).alias("file_location"))
-    listing = o.where(F.col("o_orderkey") % 3 != 1).select(
+    listing = o.where(F.col("o_orderstatus") != "O").select(
         url.alias("url"), url.alias("link"), new_ts.alias("last_modified"),
         F.format_string("%d.00", F.col("o_orderkey") % 60).alias("size_mb"))
     return manifest, listing
@@ -236,9 +238,9 @@ def _snapshots(spark, sf_dir):
 
 _MANIFEST_SQL = (f"SELECT {_URL} AS url, {_URL} AS link, {_OLD_TS} AS last_modified, "
                  "CAST(o_orderkey % 50 AS VARCHAR) || '.00' AS size_mb, "
-                 "'data/f/' || CAST(o_orderkey AS VARCHAR) || '.zip' AS file_location FROM orders WHERE o_orderkey % 3 <> 0")
+                 "'data/f/' || CAST(o_orderkey AS VARCHAR) || '.zip' AS file_location FROM orders WHERE o_orderstatus <> 'P'")
 _LISTING_SQL = (f"SELECT {_URL} AS url, {_URL} AS link, {_NEW_TS} AS last_modified, "
-                "CAST(o_orderkey % 60 AS VARCHAR) || '.00' AS size_mb FROM orders WHERE o_orderkey % 3 <> 1")
+                "CAST(o_orderkey % 60 AS VARCHAR) || '.00' AS size_mb FROM orders WHERE o_orderstatus <> 'O'")
 
 
 @register("manifest_diff",
@@ -267,13 +269,12 @@ def _upsert(spark, sf_dir):
 @register("tracker_status",
           "SELECT 'https://data.example.org/dl/ord_' || CAST(o_orderkey AS VARCHAR) || '.zip?v=1' AS download_link, "
           "'ord_' || CAST(o_orderkey AS VARCHAR) || '.zip' AS remote_name, "
-          "CASE WHEN o_orderkey % 10 = 0 THEN 'present' ELSE 'missing' END AS status "
-          "FROM orders WHERE o_orderkey % 5 = 0")
+          "CASE WHEN o_orderstatus = 'F' THEN 'present' ELSE 'missing' END AS status FROM orders")
 def _tracker(spark, sf_dir):
     o = A.read(spark, sf_dir, "orders")
-    tracker = o.where(F.col("o_orderkey") % 5 == 0).select(F.concat(
+    tracker = o.select(F.concat(
         F.lit("https://data.example.org/dl/ord_"), F.col("o_orderkey").cast("string"),
         F.lit(".zip?v=1")).alias("download_link"))
-    archive = o.where(F.col("o_orderkey") % 10 == 0).select(
+    archive = o.where(F.col("o_orderstatus") == "F").select(
         F.concat(F.lit("ord_"), F.col("o_orderkey").cast("string"), F.lit(".zip")).alias("file_name"))
     return C.tracker_status(tracker, archive).select("download_link", "remote_name", "status")
