@@ -20,6 +20,8 @@ WINDOW = ("SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_
           "ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS rn FROM orders")
 GUARDED = "select o_orderstatus, count(*) as n from orders group by o_orderstatus; -- by status"
 GUARDED_ORACLE = "select o_orderstatus, count(*) as n from orders group by o_orderstatus"
+EVENTS_DAILY = ("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users, "
+                "max(value) AS top_value FROM events GROUP BY event_type, CAST(ts AS DATE)")
 HOT = "SELECT c_nationkey, count(*) AS n, min(c_custkey) AS first_key FROM customer GROUP BY c_nationkey"
 
 
@@ -34,6 +36,7 @@ register("sql_group_by", GROUP_BY)(_run(GROUP_BY))
 register("sql_order_limit", ORDER_LIMIT)(_run(ORDER_LIMIT))
 register("sql_window", WINDOW)(_run(WINDOW))
 register("select_guard", GUARDED_ORACLE)(_run(GUARDED))
+register("sql_events_daily", EVENTS_DAILY)(_run(EVENTS_DAILY, table="events"))
 
 
 @register("limit_before_sql", "SELECT CAST(1000 AS BIGINT) AS n")
