@@ -141,24 +141,78 @@ def list_archives(spark: SparkSession, src: str, pattern: str | None = None) ->
     return r.load(src).select("path", "length")
 
 
+UNITS_DDL = "archive string, member string"
+
+
+def _units(archive_uri: str) -> list[tuple]:
+    """Work units of one archive: one per zip member (read from the central
+    directory only); a whole tar.gz / gz stream, or an unreadable zip, is one
+    unit (member NULL)."""
+    import zipfile
+    if archive_kind(archive_uri) != "zip":
+        return [(archive_uri, None)]
+    fs, path = _fs_and_path(archive_uri)
+    try:
+        with fs.open_input_file(path) as f, zipfile.ZipFile(f) as z:
+            members = [i.filename for i in z.infolist() if not i.is_dir()]
+    except (zipfile.BadZipFile, OSError, ValueError, EOFError):
+        return [(archive_uri, None)]
+    return [(archive_uri, m) for m in members] or [(archive_uri, None)]
+
+
+def _expand_member(archive_uri: str, member: str, dest_uri: str, skip_existing: bool) -> tuple:
+    import zipfile
+    kind = "zip"
+    if not _safe(member):
+        return (archive_uri, kind, member, None, None, "refused", "unsafe path")
+    src_fs, src_path = _fs_and_path(archive_uri)
+    dst_fs, dst_root = _fs_and_path(dest_uri)
+    t = posixpath.join(dst_root, member)
+    if skip_existing and _exists(dst_fs, t):
+        return (archive_uri, kind, member, _join(dest_uri, member), None, "exists", None)
+    try:
+        with src_fs.open_input_file(src_path) as f, zipfile.ZipFile(f) as z, z.open(member) as m:
+            n = _copy(m, dst_fs, t)
+    except (zipfile.BadZipFile, EOFError, OSError, ValueError) as e:
+        return (archive_uri, kind, member, None, None, "corrupt", f"{type(e).__name__}: {e}"[:300])
+    return (archive_uri, kind, member, _join(dest_uri, member), n, "extracted", None)
+
+
 def expand_archives(spark: SparkSession, src: str, dest: str, skip_existing: bool = False,
                     pattern: str | None = None) -> DataFrame:
     """Expand every archive under ``src`` into ``dest``; returns the report
-    (one row per member, or one row per unsupported/corrupt archive).  The
-    report is materialised by the caller's action."""
+    (one row per member, or one row per unsupported/corrupt archive).
+
+    Two stages: the archives are spread one per task and each lists its work
+    units (zip members from the central directory; a tar.gz / gz stream is one
+    unit because it can only be read front to back); the units are then
+    spread one per task and extracted.  A zip holding several large files is
+    therefore expanded by several tasks at once.
+    """
     listing = list_archives(spark, src, pattern)
     n = max(1, listing.count())
+    cols = [c.split(" ")[0] for c in REPORT_DDL.split(", ")]
 
-    def run(batches):
+    def list_units(batches):
         for pdf in batches:
-            out = []
-            for uri in pdf["path"]:
-                out.extend(_expand_one(uri, dest, skip_existing))
-            yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in REPORT_DDL.split(", ")])
+            rows = [u for uri in pdf["path"] for u in _units(uri)]
+            yield pd.DataFrame(rows, columns=["archive", "member"])
+
+    units = (listing.repartitionByRange(n, "path").select("path")
+             .mapInPandas(list_units, UNITS_DDL)).cache()
+    m = max(1, units.count())
 
-    # one archive per task: archives are not splittable, and big ones must
-    # not queue behind each other in one task
-    return listing.repartitionByRange(n, "path").select("path").mapInPandas(run, REPORT_DDL)
+    def extract(batches):
+        for pdf in batches:
+            out = []
+            for uri, member in zip(pdf["archive"], pdf["member"]):
+                if member is None or (isinstance(member, float) and pd.isna(member)):
+                    out.extend(_expand_one(uri, dest, skip_existing))
+                else:
+                    out.append(_expand_member(uri, member, dest, skip_existing))
+            yield pd.DataFrame(out, columns=cols)
+
+    return units.repartitionByRange(m, "archive", "member").mapInPandas(extract, REPORT_DDL)
 
 
 def pack_archives(spark: SparkSession, files: DataFrame, dest: str) -> DataFrame:

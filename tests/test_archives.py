@@ -34,3 +34,14 @@ def test_expand_archives(spark, tmp):
     assert not os.path.exists(f"{tmp}/evil.csv")
     again = {r.status for r in expand_archives(spark, src, dest, skip_existing=True, pattern="*.gz").collect()}
     assert again == {"exists"}
+
+
+def test_zip_members_are_separate_units(tmp):
+    from faclake.sources.archives import _units
+    with zipfile.ZipFile(f"{tmp}/m.zip", "w") as z:
+        for i in range(3):
+            z.writestr(f"part{i}.csv", "x\n1\n")
+    with gzip.open(f"{tmp}/one.csv.gz", "wb") as g:
+        g.write(b"x\n")
+    assert sorted(m for _, m in _units(f"file://{tmp}/m.zip")) == ["part0.csv", "part1.csv", "part2.csv"]
+    assert _units(f"file://{tmp}/one.csv.gz") == [(f"file://{tmp}/one.csv.gz", None)]
