@@ -1,11 +1,12 @@
 """Archive expansion (S7): .zip, .tar.gz/.tgz and .gz files -> plain files.
 
 The archives are listed with the ``binaryFile`` source *without* reading their
-content; the listing is spread so that each archive is handled by its own task
-(``mapInPandas``), which streams every member through ``pyarrow.fs`` into the
-destination folder in fixed-size chunks.  No archive is ever held in memory
-or passed through the driver, and the expanded CSV files are then read by the
-normal (splittable) CSV scan.
+content.  Each archive's work units are listed by its own task (zip members
+come from the central directory; a tar.gz / gz stream is one unit), then each
+unit is extracted by its own task (``mapInPandas``), streaming through
+``pyarrow.fs`` into the destination folder in fixed-size chunks.  No archive
+is ever held in memory or passed through the driver, and the expanded CSV
+files are then read by the normal (splittable) CSV scan.
 
 Kinds by name, in this order: ``.zip``; ``.tar.gz`` / ``.tgz``; ``.gz``
 (one stream, output named without ``.gz``).  A corrupt archive is reported as
