@@ -52,7 +52,7 @@ def test_url_basename_matches_urlparse(spark):
 
 
 def test_resolve_link_matches_urljoin(spark):
-    page = "https://data.example.org/files/echo/index.html?x=1#top"
+    page = "https://data.example.org/files/dl/index.html?x=1#top"
     hrefs = ["a.zip", "sub/", "/root/b.zip", "https://other.example/c.zip", "//cdn.example/d.zip",
              "./e.zip", "?C=N;O=D", "#frag"]
     df = spark.createDataFrame([(h, page) for h in hrefs], "h string, p string")

@@ -23,13 +23,13 @@ DICTIONARY = """<html><body><h1> Case Data Dictionary </h1>
 
 
 def test_listing(spark):
-    pages = spark.createDataFrame([(1, "https://echo.example.gov/files/index.html", LISTING)],
+    pages = spark.createDataFrame([(1, "https://downloads.example.gov/files/index.html", LISTING)],
                                   "page_id long, url string, html string")
     rows = extract_listing(pages).orderBy("row_pos").collect()
     assert [r.href for r in rows] == ["case_downloads.zip", "sub/", "a&b.csv.gz"]
     r0 = rows[0]
     assert (r0.link, r0.last_modified, r0.size, r0.size_mb, r0.is_dir) == (
-        "https://echo.example.gov/files/case_downloads.zip", "2024-03-05 14:22", "128K", "0.12", False)
+        "https://downloads.example.gov/files/case_downloads.zip", "2024-03-05 14:22", "128K", "0.12", False)
     assert rows[1].is_dir and rows[1].size_mb == "-"
     assert rows[2].size_mb == "1536.00"
 
