@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import file_stem_py
 from ..operators import quality as Q
 from ..operators import schema as S
-from ..sources.csv import scan_csv
+from ..sources.csv import CORRUPT, header_drift, scan_csv
 from ..sources.tables import Lake
 
 
@@ -32,7 +32,15 @@ def resolve(csv_name: str, mapping: Mapping[str, str]) -> str | None:
 
 
 def ingest_file(spark: SparkSession, lake: Lake, csv_path: str, mapping: Mapping[str, str],
-                registry: DataFrame, **scan_opts) -> Q.RunRecord:
+                registry: DataFrame, check_header: bool = True, count_malformed: bool = True,
+                **scan_opts) -> Q.RunRecord:
+    """Ingest one CSV file (or folder of parts) into the lake.
+
+    Besides parity, the report carries ``header_drift`` (header names that
+    differ from the declared schema -- binding is by position, so a moved
+    column is misbound, not rejected) and ``malformed_rows`` (rows PERMISSIVE
+    parsing turned into NULLs), both without a second pass over the data.
+    """
     name = os.path.basename(csv_path.rstrip("/"))
     table = file_stem_py(name)
     doc = resolve(name, mapping)
@@ -41,18 +49,26 @@ def ingest_file(spark: SparkSession, lake: Lake, csv_path: str, mapping: Mapping
         return Q.RunRecord(name, table, "unmapped", message="no schema mapping")
     try:
         schema = S.struct_for(registry, doc)
-        df = scan_csv(spark, csv_path, schema, **scan_opts)
+        drift = None
+        if check_header:
+            drift = header_drift(spark, csv_path, schema).where("NOT same").count()
         changed = None
         if lake.exists(table):
             changed = S.schemas_differ(lake.read(table).schema, schema)
-        written = Q.observed_write(df, lambda d: lake.write(d, table))
+        malformed = None
+        if count_malformed:
+            df = scan_csv(spark, csv_path, schema, keep_corrupt=True, **scan_opts)
+            written, malformed = Q.observed_write_with_malformed(df, CORRUPT, lambda d: lake.write(d, table))
+        else:
+            df = scan_csv(spark, csv_path, schema, **scan_opts)
+            written = Q.observed_write(df, lambda d: lake.write(d, table))
         # the table's schema document, stored next to it
         (registry.where(F.col("schema_file") == F.lit(doc)).coalesce(1)
          .write.mode("overwrite").parquet(lake.schema_path(table)))
         stored = lake.read(table).count()
         status = "ingested" if Q.row_parity(written, stored) else "failed"
         msg = None if status == "ingested" else "row count mismatch"
-        return Q.RunRecord(name, table, status, written, stored, changed, msg)
+        return Q.RunRecord(name, table, status, written, stored, changed, msg, malformed, drift)
     except Exception as e:  # noqa: BLE001 -- a bad file must not stop the run
         return Q.RunRecord(name, table, "failed", message=f"{type(e).__name__}: {e}"[:500])
 

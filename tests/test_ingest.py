@@ -46,3 +46,19 @@ def test_ingest_landing_end_to_end(spark, tmp):
     rep2 = {r.name: r for r in ingest_landing(spark, lake, land, {"FAC.csv": "FAC_schema.json"}, reg2).collect()}
     assert rep2["FAC.csv"].schema_changed is True
     assert [f.name for f in lake.read("FAC").schema.fields] == ["REGISTRY_ID", "N"]
+
+
+def test_ingest_reports_header_drift_and_malformed_rows(spark, tmp):
+    land, docs = f"{tmp}/landing", f"{tmp}/schemas"
+    os.makedirs(land)
+    os.makedirs(docs)
+    _doc(f"{docs}/T_schema.json", [("a", "StringType()"), ("b", "IntegerType()"), ("c", "DoubleType()")])
+    with open(f"{land}/T.csv", "w") as f:
+        f.write("B,A,C\nx,1,1.5\ny,notanumber,2.5\nz,3\nw,4,4.5\n")
+    reg = S.scan_schema_docs(spark, f"{docs}/*.json")
+    lake = Lake(spark, f"{tmp}/lake")
+    r = ingest_landing(spark, lake, land, {"T.csv": "T_schema.json"}, reg).collect()[0]
+    assert r.status == "ingested" and r.source_rows == 4 and r.stored_rows == 4
+    assert r.header_drift == 2                 # A and B swapped in the header
+    assert r.malformed_rows == 2               # a bad number and a short row
+    assert lake.read("T").columns == ["A", "B", "C"]
