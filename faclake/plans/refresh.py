@@ -186,9 +186,6 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
         n = rebuild_crosswalk(lake)
         records.append(Q.RunRecord(CROSSWALK, lake.path(CROSSWALK), "ok" if n else "empty", n, n))
     specs = list(specs)
-    shared = None
-    if share_dimension and any(s.shape == "crosswalk" for s in specs):
-        shared = write_dimension(lake, specs, dimension_buckets)
     derived = {}
     if reuse_views:
         for s in specs:
@@ -196,15 +193,25 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
             if base is not None:
                 derived[s.name] = base
     first = [s for s in specs if s.name not in derived]
-    then = [s for s in specs if s.name in derived]
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        done = {r.name: r for r in pool.map(
-            lambda s: materialise_view(lake, s, shared, skew, broadcast_max_bytes), first)}
+        # views that do not read the shared dimension start right away, while
+        # the dimension is being written
+        futures = {s.name: pool.submit(materialise_view, lake, s, None, skew, broadcast_max_bytes)
+                   for s in first if s.shape != "crosswalk"}
+        shared = None
+        if share_dimension and any(s.shape == "crosswalk" for s in first):
+            try:
+                shared = write_dimension(lake, specs, dimension_buckets)
+            except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
+                shared = None
+        futures.update({s.name: pool.submit(materialise_view, lake, s, shared, skew, broadcast_max_bytes)
+                        for s in first if s.shape == "crosswalk"})
+        done = {name: f.result() for name, f in futures.items()}
 
         def second(s):
             if done[derived[s.name].name].status != "ok":   # base failed or empty: join directly
                 return materialise_view(lake, s, shared, skew, broadcast_max_bytes)
             return materialise_view(lake, s, shared, skew, broadcast_max_bytes, base=derived[s.name])
-        done.update({r.name: r for r in pool.map(second, then)})
+        done.update({r.name: r for r in pool.map(second, [s for s in specs if s.name in derived])})
     records += [done[s.name] for s in specs]
     return Q.report(spark, records)

@@ -145,3 +145,9 @@ def test_bucketed_dimension_shuffles_only_the_fact(spark, lake, capsys):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
+
+
+def test_missing_crosswalk_is_reported_per_view(spark, tmp):
+    empty = Lake(spark, f"{tmp}/empty-lake")
+    rep = R.refresh_views(spark, empty, [VIEWS_BY_NAME["AIR_COMPLIANCE_MVIEW"]], rebuild=False).collect()
+    assert rep[0].status == "failed"
