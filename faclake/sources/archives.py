@@ -41,6 +41,9 @@ def _fs_and_path(uri: str):
     from pyarrow import fs as pafs
     if uri.startswith("file:/") and not uri.startswith("file:///"):
         uri = "file:///" + uri[len("file:/"):].lstrip("/")
+    for hadoop_scheme in ("s3a://", "s3n://"):      # Hadoop connector names
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     return pafs.FileSystem.from_uri(uri)
 
 

@@ -92,6 +92,9 @@ def path_exists(uri: str) -> bool | None:
         if "://" not in uri:
             import os
             uri = "file://" + os.path.abspath(uri)
+        for hadoop_scheme in ("s3a://", "s3n://"):
+            if uri.startswith(hadoop_scheme):
+                uri = "s3://" + uri[len(hadoop_scheme):]
         fs, path = pafs.FileSystem.from_uri(uri)
         return fs.get_file_info(path).type != pafs.FileType.NotFound
     except Exception:  # noqa: BLE001
