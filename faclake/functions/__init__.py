@@ -149,6 +149,32 @@ def url_origin(c: ColumnOrName) -> Column:
     return F.regexp_extract(_c(c), r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
 
 
+def page_url_parts(page_url: ColumnOrName) -> Column:
+    """The pieces of a page URL that link resolution needs, as one struct:
+    compute it once per page, before exploding the page's links."""
+    p = _c(page_url)
+    no_frag = F.regexp_replace(p, "#.*$", "")
+    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
+    return F.struct(p.alias("url"),
+                    F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1).alias("scheme"),
+                    url_origin(p).alias("origin"),
+                    no_frag.alias("no_frag"), no_query.alias("no_query"),
+                    F.regexp_extract(no_query, r"^(.*/)", 1).alias("directory"))
+
+
+def resolve_with_parts(href: ColumnOrName, parts: ColumnOrName) -> Column:
+    """``resolve_link`` given precomputed ``page_url_parts``."""
+    h, q = _c(href), _c(parts)
+    rel = F.regexp_replace(h, r"^(\./)+", "")
+    return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
+            .when(h.startswith("//"), F.concat(q["scheme"], F.lit(":"), h))
+            .when(h.startswith("/"), F.concat(q["origin"], h))
+            .when(h.startswith("?"), F.concat(q["no_query"], h))
+            .when(h.startswith("#"), F.concat(q["no_frag"], h))
+            .when(h == "", q["url"])
+            .otherwise(F.concat(q["directory"], rel)))
+
+
 def resolve_link(href: ColumnOrName, page_url: ColumnOrName) -> Column:
     """Absolute URL of a link found on ``page_url``.
 
@@ -156,19 +182,7 @@ def resolve_link(href: ColumnOrName, page_url: ColumnOrName) -> Column:
     the page's origin; ``?q`` and ``#f`` replace query / fragment; anything
     else is relative to the page's directory (leading ``./`` removed).
     """
-    h, p = _c(href), _c(page_url)
-    scheme = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    no_frag = F.regexp_replace(p, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    directory = F.regexp_extract(no_query, r"^(.*/)", 1)
-    rel = F.regexp_replace(h, r"^(\./)+", "")
-    return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(url_origin(p), h))
-            .when(h.startswith("?"), F.concat(no_query, h))
-            .when(h.startswith("#"), F.concat(no_frag, h))
-            .when(h == "", p)
-            .otherwise(F.concat(directory, rel)))
+    return resolve_with_parts(href, page_url_parts(page_url))
 
 
 # ------------------------------------------------------------- HTML text

@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (decode_entities, extract_csv_name, normalize_cell, resolve_link,
-                         size_to_mb, strip_text, tag_text)
+from ..functions import (decode_entities, extract_csv_name, normalize_cell, page_url_parts,
+                         resolve_with_parts, size_to_mb, strip_text, tag_text)
 
 HREF = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
 ANCHOR_TEXT = r'(?is)<a\b[^>]*?\bhref\s*=\s*"[^"]*"[^>]*>(.*?)</a>'
@@ -57,29 +57,32 @@ def _text(c: Column) -> Column:
 def extract_links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """S8 (links): (page columns..., link_pos, href, link)."""
     keep = [c for c in pages.columns if c != html]
-    hrefs = _all(F.col(html), HREF)
-    return (pages.select(*keep, F.posexplode(hrefs).alias("link_pos", "_raw"))
-            .withColumn("href", decode_entities("_raw")).drop("_raw")
-            .withColumn("link", resolve_link("href", url)))
+    # the page URL's pieces are computed once per page, below the explode
+    per_page = pages.select(*keep, page_url_parts(url).alias("_u"),
+                            _all(F.col(html), HREF).alias("_hrefs"))
+    return (per_page.select(*keep, "_u", F.posexplode("_hrefs").alias("link_pos", "_raw"))
+            .withColumn("href", decode_entities("_raw"))
+            .withColumn("link", resolve_with_parts("href", "_u")).drop("_raw", "_u"))
 
 
 def extract_listing(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """S8 (listing rows): page columns, row_pos, href, link, name,
     last_modified, size, size_mb, is_dir."""
     keep = [c for c in pages.columns if c != html]
-    rows = _all(_one(F.col(html), FIRST_TABLE), ROWS)
-    r = pages.select(*keep, F.posexplode(rows).alias("row_pos", "_row"))
+    per_page = pages.select(*keep, page_url_parts(url).alias("_u"),
+                            _all(_one(F.col(html), FIRST_TABLE), ROWS).alias("_rows"))
+    r = per_page.select(*keep, "_u", F.posexplode("_rows").alias("row_pos", "_row"))
     row = F.col("_row")
     right = _all(row, RIGHT_CELLS)
     out = r.select(
-        *keep, "row_pos",
+        *keep, "_u", "row_pos",
         decode_entities(_one(row, HREF)).alias("href"),
         _text(_one(row, ANCHOR_TEXT)).alias("name"),
         _text(F.get(right, 0)).alias("last_modified"),
         _text(F.get(right, 1)).alias("size"),
         F.regexp_like(row, F.lit(HREF)).alias("_has_link"))
     out = out.where(F.col("_has_link") & ~F.col("name").isin(*SKIP_LINK_TEXTS)).drop("_has_link")
-    return (out.withColumn("link", resolve_link("href", url))
+    return (out.withColumn("link", resolve_with_parts("href", "_u")).drop("_u")
             .withColumn("size_mb", size_to_mb("size"))
             .withColumn("is_dir", F.col("href").endswith("/")))
 
