@@ -151,3 +151,22 @@ def test_missing_crosswalk_is_reported_per_view(spark, tmp):
     empty = Lake(spark, f"{tmp}/empty-lake")
     rep = R.refresh_views(spark, empty, [VIEWS_BY_NAME["AIR_COMPLIANCE_MVIEW"]], rebuild=False).collect()
     assert rep[0].status == "failed"
+
+
+def test_runtime_bloom_filter_prefilters_the_fact(spark, lake, capsys):
+    spec = VIEWS_BY_NAME["SDWA_VIOLATIONS_MVIEW"]
+    R.refresh_views(spark, lake, [spec]).collect()
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        dim = lake.read(R.DIMENSION)
+        df = build_view(spec, {t: lake.read(t) for t in spec.tables}, shared_dim=dim)
+        plan = _plan(df, capsys)
+        assert "might_contain" in plan and "bloom_filter_agg" in plan
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, lake.read(spec.name).collect()), key=repr)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
