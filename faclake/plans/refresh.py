@@ -74,6 +74,20 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(r[0] or 0)
 
 
+def dimension_sizes(lake: Lake) -> dict[str, int]:
+    """On-disk bytes of each program partition of the stored dimension, from
+    one file listing (one row per program reaches the driver)."""
+    from pyspark.sql import functions as F
+    try:
+        rows = (lake.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet").load(lake.path(DIMENSION))
+                .select(F.regexp_extract("path", r"/PGM=([^/]+)/", 1).alias("pgm"), "length")
+                .groupBy("pgm").agg(F.sum("length").alias("bytes")).collect())
+    except Exception:  # noqa: BLE001 -- no dimension stored
+        return {}
+    return {r.pgm: int(r.bytes) for r in rows}
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """In-memory bytes a broadcast side may take: the session's broadcast
     threshold when set, else 32 MB."""
@@ -92,7 +106,7 @@ PARQUET_EXPANSION = 5
 
 def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                      skew: str = "aqe", broadcast_max_bytes: int | None = None,
-                     base: ViewSpec | None = None) -> Q.RunRecord:
+                     base: ViewSpec | None = None, dim_bytes: int | None = None) -> Q.RunRecord:
     """One view: build, replace the stored table, check it is not empty.
 
     With the shared dimension, the view's program partition is measured: only
@@ -111,7 +125,8 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                       if not (t == CROSSWALK and shared_dim is not None)}
             small = False
             if shared_dim is not None and spec.shape == "crosswalk":
-                size = stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
+                size = dim_bytes if dim_bytes is not None else \
+                    stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
                 limit = broadcast_max_bytes or broadcast_limit(lake.spark)
                 small = size * PARQUET_EXPANSION <= limit
             df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
@@ -204,7 +219,9 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
                 shared = write_dimension(lake, specs, dimension_buckets)
             except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
                 shared = None
-        futures.update({s.name: pool.submit(materialise_view, lake, s, shared, skew, broadcast_max_bytes)
+        sizes = dimension_sizes(lake) if shared is not None else {}
+        futures.update({s.name: pool.submit(materialise_view, lake, s, shared, skew, broadcast_max_bytes,
+                                            None, sizes.get(s.program, 0) if sizes else None)
                         for s in first if s.shape == "crosswalk"})
         done = {name: f.result() for name, f in futures.items()}
 
