@@ -1,7 +1,7 @@
 """Command line for spark-submit / python -m faclake.
 
     python -m faclake ingest   --lake L --landing DIR --schemas 'DIR/*.json' --mapping map.json
-    python -m faclake refresh  --lake L [--views-json views.json] [--no-crosswalk]
+    python -m faclake refresh  --lake L [--views-json views.json] [--no-crosswalk] [--only-changed]
     python -m faclake query    --lake L --table T --sql "SELECT ..." [--limit N] --out DIR
     python -m faclake describe --schemas 'DIR/*.json' --table T
 
@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--no-crosswalk", action="store_true")
     r.add_argument("--parallel", type=int, default=4)
     r.add_argument("--broadcast-max-bytes", type=int)
+    r.add_argument("--only-changed", action="store_true",
+                   help="rebuild only what reads a table that changed since the last refresh")
     q = sub.add_parser("query", help="guarded SQL over one table, exported as JSON lines")
     q.add_argument("--lake", required=True)
     q.add_argument("--table", required=True)
@@ -79,7 +81,8 @@ def main(argv: list[str] | None = None) -> int:
             _print(R.refresh_sql_views(spark, lake, R.load_view_definitions(args.views_json), args.parallel))
         else:
             _print(R.refresh_views(spark, lake, parallel=args.parallel, rebuild=not args.no_crosswalk,
-                                   broadcast_max_bytes=args.broadcast_max_bytes))
+                                   broadcast_max_bytes=args.broadcast_max_bytes,
+                                   only_changed=args.only_changed))
     elif args.cmd == "query":
         from .operators import query as Qy
         df = Qy.run_query(spark, Lake(spark, args.lake), args.table, args.sql, args.limit)

@@ -33,6 +33,10 @@ def rebuild_crosswalk(lake: Lake) -> int:
     return Q.observed_write(xw, lambda d: X.write_crosswalk(d, lake.path(CROSSWALK)))
 
 
+def dimension_columns(specs=VIEWS) -> list[str]:
+    return facility_columns_used([s for s in specs if s.shape == "crosswalk"])
+
+
 def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> DataFrame:
     """The crosswalk joined to the facility projection, stored once,
     partitioned by program.
@@ -43,7 +47,7 @@ def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> Data
     dimension side of every such join needs neither exchange nor sort.  Use
     at least ``spark.sql.shuffle.partitions`` buckets.
     """
-    cols = facility_columns_used([s for s in specs if s.shape == "crosswalk"])
+    cols = dimension_columns(specs)
     dim = J.program_dimension(lake.read(CROSSWALK), lake.read(FACILITY), None, cols)
     if not buckets:
         lake.write(dim, DIMENSION, partition_by=["PGM"])
@@ -162,6 +166,46 @@ def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[st
         return Q.RunRecord(name, lake.path(name), "failed", message=f"{type(e).__name__}: {e}"[:500])
 
 
+STATE = "_REFRESH_STATE"
+
+
+def table_versions(lake: Lake) -> dict[str, str]:
+    """Version stamp (file count, bytes, newest modification time) of every
+    stored table, from one file listing of the lake; one row per table
+    reaches the driver."""
+    import posixpath
+    import re
+    from pyspark.sql import functions as F
+    root = lake.path("__x__").rsplit("__x__", 1)[0].rstrip("/")
+    parent = re.escape(posixpath.basename(root))   # the folder holding the tables
+    try:
+        rows = (lake.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet").load(root)
+                .select(F.regexp_extract("path", rf"/{parent}/([^/]+)/", 1).alias("t"),
+                        "length", "modificationTime")
+                .groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
+                                  F.max("modificationTime").alias("m"))
+                .collect())
+    except Exception:  # noqa: BLE001 -- empty lake
+        return {}
+    return {r.t: f"{r.n}:{r.b}:{r.m}" for r in rows if r.t}
+
+
+def _signature(tables, versions) -> str:
+    return "|".join(f"{t}={versions.get(t, 'absent')}" for t in sorted(set(tables)))
+
+
+def _read_state(lake: Lake) -> dict[str, str]:
+    if not lake.exists(STATE):
+        return {}
+    return {r.name: r.signature for r in lake.read(STATE).collect()}   # one row per view
+
+
+def _write_state(lake: Lake, state: dict[str, str]) -> None:
+    rows = sorted(state.items())
+    lake.write(lake.spark.createDataFrame(rows, "name string, signature string").coalesce(1), STATE)
+
+
 def load_view_definitions(path: str) -> dict:
     """View definitions as SQL text: ``{name: {statements: [...], tables: [...]}}``.
     A small configuration file, read on the driver."""
@@ -183,7 +227,8 @@ def refresh_sql_views(spark: SparkSession, lake: Lake, definitions: dict,
 def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int = 4,
                   skew: str = "aqe", share_dimension: bool = True,
                   rebuild: bool = True, broadcast_max_bytes: int | None = None,
-                  reuse_views: bool = True, dimension_buckets: int | None = None) -> DataFrame:
+                  reuse_views: bool = True, dimension_buckets: int | None = None,
+                  only_changed: bool = False) -> DataFrame:
     """M1: crosswalk (optional), shared dimension, then all views; the views
     are independent and are submitted concurrently.  Returns the report.
 
@@ -195,12 +240,34 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
     the stored base view instead of being joined again.  ``dimension_buckets``
     stores the shared dimension bucketed by the join key (see
     ``write_dimension``).
+
+    With ``only_changed``, the crosswalk, the dimension and each view are
+    rebuilt only when one of their input tables changed since the last
+    refresh (versions from one file listing of the lake, kept in a small
+    state table); the others are reported ``unchanged``.
     """
     records: list[Q.RunRecord] = []
+    state = _read_state(lake) if only_changed else {}
+    versions = table_versions(lake) if only_changed else {}
     if rebuild:
-        n = rebuild_crosswalk(lake)
-        records.append(Q.RunRecord(CROSSWALK, lake.path(CROSSWALK), "ok" if n else "empty", n, n))
+        sig = _signature([FACILITY], versions)
+        if only_changed and state.get(CROSSWALK) == sig and lake.exists(CROSSWALK):
+            records.append(Q.RunRecord(CROSSWALK, lake.path(CROSSWALK), "unchanged"))
+        else:
+            n = rebuild_crosswalk(lake)
+            records.append(Q.RunRecord(CROSSWALK, lake.path(CROSSWALK), "ok" if n else "empty", n, n))
+            state[CROSSWALK] = sig
+            if only_changed:
+                versions = table_versions(lake)
     specs = list(specs)
+    all_specs = list(specs)
+    unchanged = []
+    if only_changed:
+        for s in specs:
+            if state.get(s.name) == _signature(s.tables, versions) and lake.exists(s.name):
+                unchanged.append(s)
+        records += [Q.RunRecord(s.name, lake.path(s.name), "unchanged") for s in unchanged]
+        specs = [s for s in specs if s not in unchanged]
     derived = {}
     if reuse_views:
         for s in specs:
@@ -215,8 +282,15 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
                    for s in first if s.shape != "crosswalk"}
         shared = None
         if share_dimension and any(s.shape == "crosswalk" for s in first):
+            dim_sig = (_signature([CROSSWALK, FACILITY], versions)
+                       + "|cols=" + ",".join(dimension_columns(all_specs)))
             try:
-                shared = write_dimension(lake, specs, dimension_buckets)
+                if only_changed and state.get(DIMENSION) == dim_sig and lake.exists(DIMENSION) \
+                        and not dimension_buckets:
+                    shared = lake.read(DIMENSION)
+                else:
+                    shared = write_dimension(lake, all_specs, dimension_buckets)
+                    state[DIMENSION] = dim_sig
             except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
                 shared = None
         sizes = dimension_sizes(lake) if shared is not None else {}
@@ -231,4 +305,11 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
             return materialise_view(lake, s, shared, skew, broadcast_max_bytes, base=derived[s.name])
         done.update({r.name: r for r in pool.map(second, [s for s in specs if s.name in derived])})
     records += [done[s.name] for s in specs]
+    if only_changed:
+        for s in specs:
+            if done[s.name].status in ("ok", "empty"):
+                state[s.name] = _signature(s.tables, versions)
+            else:
+                state.pop(s.name, None)
+        _write_state(lake, state)
     return Q.report(spark, records)

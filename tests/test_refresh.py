@@ -170,3 +170,26 @@ def test_runtime_bloom_filter_prefilters_the_fact(spark, lake, capsys):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_only_changed_views_are_refreshed(spark, tmp):
+    from pyspark.sql import functions as F
+    lk = Lake(spark, f"{tmp}/inc-lake")
+    raw = _fixture()
+    for name, (cols, rows) in raw.items():
+        lk.write(spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols)), name)
+    specs = [VIEWS_BY_NAME[n] for n in ("AIR_COMPLIANCE_MVIEW", "RCRA_VIOLATIONS_MVIEW",
+                                         "COMBINED_AIR_EMISSIONS_MVIEW", "TOXIC_RELEASES_MVIEW")]
+    first = {r.name: r.status for r in R.refresh_views(spark, lk, specs, rebuild=False, only_changed=True).collect()}
+    assert all(v in ("ok", "empty") for v in first.values()), first
+    again = {r.name: r.status for r in R.refresh_views(spark, lk, specs, rebuild=False, only_changed=True).collect()}
+    assert set(again.values()) == {"unchanged"}, again
+    # a new version of one fact table: only its view is rebuilt
+    lk.write(lk.read("RCRA_VIOLATIONS").withColumn("ACTIVITY_LOCATION", F.lit("X")), "RCRA_VIOLATIONS_NEW")
+    lk.write(lk.read("RCRA_VIOLATIONS_NEW"), "RCRA_VIOLATIONS")
+    third = {r.name: r.status for r in R.refresh_views(spark, lk, specs, rebuild=False, only_changed=True).collect()}
+    assert third["RCRA_VIOLATIONS_MVIEW"] == "ok"
+    assert {k: v for k, v in third.items() if k != "RCRA_VIOLATIONS_MVIEW"} == {
+        "AIR_COMPLIANCE_MVIEW": "unchanged", "COMBINED_AIR_EMISSIONS_MVIEW": "unchanged",
+        "TOXIC_RELEASES_MVIEW": "unchanged"}
+    assert {r.ACTIVITY_LOCATION for r in lk.read("RCRA_VIOLATIONS_MVIEW").collect()} == {"X"}
