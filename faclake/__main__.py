@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--no-crosswalk", action="store_true")
     r.add_argument("--parallel", type=int, default=4)
     r.add_argument("--broadcast-max-bytes", type=int)
+    r.add_argument("--dimension-buckets", type=int,
+                   help="bucket the shared dimension by join key (co-located joins)")
     r.add_argument("--only-changed", action="store_true",
                    help="rebuild only what reads a table that changed since the last refresh")
     q = sub.add_parser("query", help="guarded SQL over one table, exported as JSON lines")
@@ -82,7 +84,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             _print(R.refresh_views(spark, lake, parallel=args.parallel, rebuild=not args.no_crosswalk,
                                    broadcast_max_bytes=args.broadcast_max_bytes,
-                                   only_changed=args.only_changed))
+                                   only_changed=args.only_changed,
+                                   dimension_buckets=args.dimension_buckets))
     elif args.cmd == "query":
         from .operators import query as Qy
         df = Qy.run_query(spark, Lake(spark, args.lake), args.table, args.sql, args.limit)
