@@ -4,6 +4,8 @@
     python -m faclake refresh  --lake L [--views-json views.json] [--no-crosswalk] [--only-changed]
     python -m faclake query    --lake L --table T --sql "SELECT ..." [--limit N] --out DIR
     python -m faclake describe --schemas 'DIR/*.json' --table T
+    python -m faclake run      --lake L --landing DIR --schemas 'DIR/*.json' --mapping map.json
+                               [--views-json views.json] [--only-changed]   (ingest, then refresh)
 
 Every command prints its report as JSON lines on stdout (reports are small:
 one row per file, view or document).  The session is the one spark-submit
@@ -58,6 +60,13 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--sql", required=True)
     q.add_argument("--limit", type=int)
     q.add_argument("--out", required=True)
+    u = sub.add_parser("run", help="ingest the landing folder, then rebuild crosswalk and views")
+    for arg in ("--lake", "--landing", "--schemas", "--mapping"):
+        u.add_argument(arg, required=True)
+    u.add_argument("--views-json")
+    u.add_argument("--parallel", type=int, default=4)
+    u.add_argument("--only-changed", action="store_true")
+    u.add_argument("--rfc-quotes", action="store_true")
     d = sub.add_parser("describe", help="schema document of one table")
     d.add_argument("--schemas", required=True)
     d.add_argument("--table", required=True)
@@ -91,6 +100,22 @@ def main(argv: list[str] | None = None) -> int:
         df = Qy.run_query(spark, Lake(spark, args.lake), args.table, args.sql, args.limit)
         Qy.export_json(df, args.out)
         print(json.dumps({"table": args.table, "out": args.out}))
+    elif args.cmd == "run":
+        from .operators import schema as S
+        from .plans import refresh as R
+        from .plans.ingest import ingest_landing
+        lake = Lake(spark, args.lake)
+        with open(args.mapping) as f:
+            mapping = json.load(f)
+        registry = S.scan_schema_docs(spark, args.schemas)
+        _print(ingest_landing(spark, lake, args.landing, mapping, registry,
+                              parallel=args.parallel, rfc_quotes=args.rfc_quotes))
+        if args.views_json:
+            n = R.rebuild_crosswalk(lake)
+            print(json.dumps({"name": R.CROSSWALK, "status": "ok" if n else "empty", "source_rows": n}))
+            _print(R.refresh_sql_views(spark, lake, R.load_view_definitions(args.views_json), args.parallel))
+        else:
+            _print(R.refresh_views(spark, lake, parallel=args.parallel, only_changed=args.only_changed))
     elif args.cmd == "describe":
         from pyspark.sql import functions as F
         from .operators import schema as S
