@@ -45,3 +45,26 @@ def test_cli_ingest_refresh_query_describe(spark, tmp, capsys):
     main(["describe", "--schemas", f"{docs}/*.json", "--table", "ECHO_EXPORTER"])
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert out[0]["n_columns"] == 4 and "air_ids" in out[0]["document"]
+
+
+def test_cli_run_ingests_then_refreshes(spark, tmp, capsys):
+    import random
+    from .test_end_to_end import _doc, _write_table
+    land, docs = f"{tmp}/landing", f"{tmp}/schemas"
+    os.makedirs(land)
+    os.makedirs(docs)
+    rnd = random.Random(1)
+    _write_table(land, "ECHO_EXPORTER", {
+        "REGISTRY_ID": lambda i: f"R{i}", "RCRA_FLAG": lambda i: "Y", "RCRA_IDS": lambda i: f"K{i}",
+        "AIR_FLAG": lambda i: "N", "NPDES_FLAG": lambda i: "N", "SDWIS_FLAG": lambda i: "N"}, 3, rnd)
+    _write_table(land, "RCRA_VIOLATIONS", {"ID_NUMBER": lambda i: f"K{i % 2}"}, 4, rnd)
+    mapping = {"ECHO_EXPORTER.csv": _doc(docs, "ECHO_EXPORTER"), "RCRA_VIOLATIONS.csv": _doc(docs, "RCRA_VIOLATIONS")}
+    with open(f"{tmp}/map.json", "w") as f:
+        json.dump(mapping, f)
+    main(["run", "--lake", f"{tmp}/lake", "--landing", land, "--schemas", f"{docs}/*.json",
+          "--mapping", f"{tmp}/map.json"])
+    out = {o["name"]: o for o in (json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{"))}
+    assert out["ECHO_EXPORTER.csv"]["status"] == "ingested" and out["RCRA_VIOLATIONS.csv"]["status"] == "ingested"
+    assert out["EXP_PGM"]["source_rows"] == 3
+    assert out["RCRA_VIOLATIONS_MVIEW"]["status"] == "ok" and out["RCRA_VIOLATIONS_MVIEW"]["source_rows"] == 4
+    assert out["AIR_COMPLIANCE_MVIEW"]["status"] == "failed"      # its fact was never landed
