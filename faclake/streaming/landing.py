@@ -6,6 +6,11 @@ declared schema, written to the lake table by the file sink, whose commit log
 makes every file land exactly once even when a run is interrupted and
 restarted.  ``Trigger.AvailableNow`` processes what is there and stops, so the
 weekly refresh stays a batch job on the cluster's schedule.
+
+Use it for datasets delivered as increments (new rows in new files).  A
+dataset delivered as a full snapshot per file must go through the batch
+ingest, which replaces the table: appending a new snapshot would duplicate
+every row that did not change.
 """
 
 from __future__ import annotations
