@@ -255,3 +255,20 @@ def _sql_views(spark, sf_dir):
                      sql_text(spec).replace("EXP_PGM ep", "EXP_PGM_RCRA ep")]
         defs[spec.name] = {"statements": stmts, "tables": spec.tables}
     return R.refresh_sql_views(spark, lake, defs).select("name", "status", "source_rows")
+
+
+# Declared with P_SIZE and P_NAME swapped: binding is by position, so every row
+# puts a part name into an integer column (malformed) and two header names differ.
+PART_SWAPPED = [("p_partkey", "LongType()"), ("p_size", "IntegerType()"), ("p_brand", "StringType()"),
+                ("p_type", "StringType()"), ("p_name", "StringType()"), ("p_retailprice", "DoubleType()")]
+
+
+@register("ingest_quality_report",
+          "SELECT 'part.csv' AS name, 'ingested' AS status, count(*) AS source_rows, "
+          "count(*) AS malformed_rows, CAST(2 AS INTEGER) AS header_drift FROM part")
+def _quality(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    rec = _ingest(spark, sf_dir, f"{root}/landing", Lake(spark, root), "part.csv",
+                  A.read(spark, sf_dir, "part"), "part_schema.json", PART_SWAPPED)
+    from ..operators import quality as Q
+    return Q.report(spark, [rec]).select("name", "status", "source_rows", "malformed_rows", "header_drift")
