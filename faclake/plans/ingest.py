@@ -73,10 +73,12 @@ def ingest_file(spark: SparkSession, lake: Lake, csv_path: str, mapping: Mapping
         return Q.RunRecord(name, table, "failed", message=f"{type(e).__name__}: {e}"[:500])
 
 
-def list_landing(spark: SparkSession, landing_dir: str, pattern: str = "*.csv") -> list[str]:
-    """File paths in the landing folder.  Uses the binaryFile source for
-    the listing only -- the ``content`` column is never selected, so no file
-    is read; the list of names (not data) comes to the driver."""
+def list_landing(spark: SparkSession, landing_dir: str, pattern: str = "*.{csv,csv.gz}") -> list[str]:
+    """File paths in the landing folder (plain or gzip CSV; a ``.gz`` file
+    is read by one task, so large ones are better expanded first).  Uses the
+    binaryFile source for the listing only -- the ``content`` column is never
+    selected, so no file is read; the list of names (not data) comes to the
+    driver."""
     rows = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .load(landing_dir).select("path").collect())
     return sorted(r.path for r in rows)

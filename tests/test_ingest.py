@@ -62,3 +62,18 @@ def test_ingest_reports_header_drift_and_malformed_rows(spark, tmp):
     assert r.header_drift == 2                 # A and B swapped in the header
     assert r.malformed_rows == 2               # a bad number and a short row
     assert lake.read("T").columns == ["A", "B", "C"]
+
+
+def test_ingest_reads_gzip_csv(spark, tmp):
+    import gzip
+    land, docs = f"{tmp}/landing", f"{tmp}/schemas"
+    os.makedirs(land)
+    os.makedirs(docs)
+    _doc(f"{docs}/G_schema.json", [("k", "LongType()"), ("v", "StringType()")])
+    with gzip.open(f"{land}/G.csv.gz", "wt") as f:
+        f.write("K,V\n1,a\n2,b\n3,c\n")
+    reg = S.scan_schema_docs(spark, f"{docs}/*.json")
+    lake = Lake(spark, f"{tmp}/lake")
+    r = ingest_landing(spark, lake, land, {"G.csv": "G_schema.json"}, reg).collect()[0]
+    assert (r.name, r.status, r.source_rows) == ("G.csv.gz", "ingested", 3)
+    assert sorted(tuple(x) for x in lake.read("G").collect()) == [(1, "a"), (2, "b"), (3, "c")]
