@@ -119,11 +119,11 @@ def facility_exprs() -> list[str]:
 
 # The driver's test files hold each table in a single parquet row group, so a
 # scan of one is a single task.  A lake written by ingest has many files; to
-# run the operators with the parallelism they would have there, the two large
-# fact sources are spread round-robin over the cores right after the scan --
-# but only when the scan has fewer partitions than there are cores, so a
-# multi-file table (any real lake) is never shuffled for it.
-SPREAD = ("lineitem", "orders")
+# run the operators with the parallelism they would have there, the large
+# sources (facts and saved pages) are spread round-robin over the cores right
+# after the scan -- but only when the scan has fewer partitions than there are
+# cores, so a multi-file table (any real lake) is never shuffled for it.
+SPREAD = ("lineitem", "orders", "pages")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
