@@ -100,6 +100,12 @@ def test_broadcast_is_measured(spark, lake):
     size = R.stored_bytes(spark, f"{lake.path(R.DIMENSION)}/PGM=AIR_IDS")
     assert 0 < size < R.broadcast_limit(spark)
     assert R.stored_bytes(spark, f"{lake.path(R.DIMENSION)}/PGM=NONE") == 0
+    # one listing sizes every program partition the same way
+    sizes = R.dimension_sizes(lake)
+    assert sizes["AIR_IDS"] == size and set(sizes) == {"AIR_IDS", "NPDES_IDS", "RCRA_IDS", "SDWA_IDS"}
+    # table versions come from one listing of the lake, partitioned tables included
+    versions = R.table_versions(lake)
+    assert {"EXP_PGM", "ECHO_EXPORTER", R.DIMENSION, "AIR_COMPLIANCE_MVIEW"} <= set(versions)
 
 
 def test_salting_spreads_a_hot_key(spark):
