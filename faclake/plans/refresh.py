@@ -172,7 +172,9 @@ STATE = "_REFRESH_STATE"
 def table_versions(lake: Lake) -> dict[str, str]:
     """Version stamp (file count, bytes, newest modification time) of every
     stored table, from one file listing of the lake; one row per table
-    reaches the driver."""
+    reaches the driver.  Internal tables (names starting with ``_``, like the
+    shared dimension) are hidden from Spark's listings and not included; the
+    dimension's own signature is built from its inputs instead."""
     import posixpath
     import re
     from pyspark.sql import functions as F
