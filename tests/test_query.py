@@ -55,3 +55,11 @@ def test_result_cache_keys_on_version(spark, lake, tmp):
 def test_json_lines_omit_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "a long, b string")
     assert sorted(r.value for r in Q.to_json_lines(df).collect()) == ['{"a":1}', '{"a":2,"b":"b"}']
+
+
+def test_hot_table_is_cached_and_limited_tables_are_not(spark, lake):
+    hot = Q.open_table(spark, lake, "ICIS-AIR_X", hot_tables=("ICIS-AIR_X",))
+    assert hot.storageLevel.useMemory
+    limited = Q.open_table(spark, lake, "ICIS-AIR_X", limit=5, hot_tables=("ICIS-AIR_X",))
+    assert not limited.storageLevel.useMemory and limited.count() == 5
+    hot.unpersist()
