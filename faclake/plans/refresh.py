@@ -118,6 +118,7 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
     limit is it broadcast; otherwise the join stays a shuffle join whose
     skewed partitions AQE splits.
     """
+    _use_pool(lake.spark, f"view-{spec.name}")
     try:
         if base is not None:
             # a filter of an already stored view (pushed down to its scan)
@@ -143,6 +144,16 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                            message=f"{type(e).__name__}: {e}"[:500])
 
 
+def _use_pool(spark: SparkSession, pool: str) -> None:
+    """Run this thread's jobs in their own scheduler pool: with the FAIR
+    scheduler, concurrent views then share the executors evenly (under FIFO
+    the property is ignored)."""
+    try:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+    except Exception:  # noqa: BLE001 -- no SparkContext (remote session)
+        pass
+
+
 def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[str],
                  tables: list[str]) -> Q.RunRecord:
     """M1 for views given as SQL text (``{statements, tables}``): tables are
@@ -150,6 +161,7 @@ def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[st
     create temp views run as they are, any other statement's result replaces
     the stored view table."""
     session = spark.newSession()
+    _use_pool(spark, f"view-{name}")
     try:
         for t in tables:
             session.read.format(lake.fmt).load(lake.path(t)).createOrReplaceTempView(
