@@ -139,10 +139,18 @@ def url_path(c: ColumnOrName) -> Column:
     return F.regexp_extract(_c(c), _URL_PATH, 1)
 
 
+# URL schemes whose last path segment may carry ";params"
+# (the empty scheme included), as urllib.parse treats them.
+PARAM_SCHEMES = ("", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
+                 "rtspu", "sip", "sips", "mms", "sftp", "tel")
+
+
 def url_basename(c: ColumnOrName) -> Column:
-    """Base name of a URL path: last segment, without ``;params`` (F8)."""
+    """Base name of a URL path: last segment, without ``;params`` for the
+    schemes that have them (F8)."""
     last = path_basename(url_path(c))
-    return F.regexp_extract(last, r"^([^;]*)", 1)
+    scheme = F.lower(F.regexp_extract(_c(c), r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+    return F.when(scheme.isin(*PARAM_SCHEMES), F.regexp_extract(last, r"^([^;]*)", 1)).otherwise(last)
 
 
 def url_origin(c: ColumnOrName) -> Column:

@@ -40,8 +40,13 @@ def _links(spark, sf_dir):
 _PATH = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
 
 
+_SCHEMES = ", ".join(f"'{x}'" for x in X.PARAM_SCHEMES)
+
+
 @register("url_basename",
-          f"SELECT page_id, url, regexp_extract(string_split({_PATH}, '/')[-1], '^([^;]*)', 1) AS base_name FROM pages")
+          f"SELECT page_id, url, CASE WHEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)) IN ({_SCHEMES}) "
+          f"THEN regexp_extract(string_split({_PATH}, '/')[-1], '^([^;]*)', 1) "
+          f"ELSE string_split({_PATH}, '/')[-1] END AS base_name FROM pages")
 def _basename(spark, sf_dir):
     return A.read(spark, sf_dir, "pages").select("page_id", "url", X.url_basename("url").alias("base_name"))
 

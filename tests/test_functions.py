@@ -43,6 +43,7 @@ def test_size_to_mb_bad_unit_is_null(spark):
 
 
 URLS = ["http://a.example/x/y/file.zip", "https://h/p/q.csv;v=2?x=1#f", "//cdn.example/a/b.gz",
+        "file:///a/b;c", "file:///;", "HTTP://H/a;b",
         "rel/path/name.txt", "http://host", "http://host/", "file.zip", "ftp://h/a%20b.zip",
         "https://h/dir/?page=2", "https://h/a/b/c.tar.gz#frag"]
 
@@ -86,3 +87,20 @@ def test_split_notes(spark):
 def test_names(spark):
     assert _col(spark, ["ICIS-AIR_FCES_PCES"], X.clean_identifier) == ["ICIS_AIR_FCES_PCES"]
     assert _col(spark, ["NPDES_DMRS_FY2020.csv", "a.b.c"], X.file_stem) == ["NPDES_DMRS_FY2020", "a"]
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.tuples(
+    st.sampled_from(["", "http://", "https://", "ftp://", "//", "file:///"]),
+    st.sampled_from(["", "h.example", "user@h:8080"]),
+    st.lists(st.text(alphabet="abcXYZ09._-;=", min_size=0, max_size=6), min_size=0, max_size=4),
+    st.sampled_from(["", "?q=1", "?a=b/c", "#f", "?x#y/z"])), min_size=50, max_size=120))
+def test_url_basename_property(spark, parts):
+    urls = []
+    for scheme, host, segs, tail in parts:
+        path = "/".join(segs)
+        if scheme and host:
+            path = "/" + path if path else path
+        urls.append(f"{scheme}{host}{path}{tail}")
+    got = _col(spark, urls, X.url_basename)
+    assert got == [urlparse(u).path.split("/")[-1] for u in urls]
