@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate as decon
-from . import sharding
+from . import packing, sharding, token_counts
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +53,13 @@ FROM dw LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)
 @register
 def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.even_tree(40))
+
+
+@register
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
