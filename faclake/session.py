@@ -89,3 +89,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/faclake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the Python workers (once per context).
+
+    ``spark-submit --py-files`` does the same for a deployed job; sessions that
+    were started without it get the package through ``addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_faclake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="faclake-zip-"), "faclake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("faclake", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._faclake_shipped = True
