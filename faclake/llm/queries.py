@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
 from . import decontaminate as decon
-from . import packing, sharding, token_counts
+from . import packing, sharding, token_counts, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +20,7 @@ def register(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)          # operators of this folder run Python on the executors
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -63,3 +65,9 @@ def op7_packing(spark, sf_dir):
 @register
 def op8_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
