@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import packing, sharding, token_counts, toxicity
+from . import packing, sharding, token_counts, toxicity, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,18 @@ def op8_token_counts(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op4_warc(spark, sf_dir):
+    return warc.page_records(spark, table(spark, sf_dir, "pages"))
+
+
+ORACLE["op4_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT t, max(page_id) AS original, count(*) AS copies FROM p WHERE strlen(t) >= 1000 GROUP BY t)
+SELECT page_id, CAST(strlen(p.t) AS BIGINT) AS payload_bytes, sha1(p.t) AS payload_digest,
+  CASE WHEN copies > 1 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN copies > 1 AND page_id <> original THEN original END AS refers_to
+FROM p LEFT JOIN g ON p.t = g.t
+"""
