@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import packing, sharding, token_counts, toxicity, warc
+from . import packing, sharding, token_counts, topk, toxicity, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +86,18 @@ SELECT page_id, CAST(strlen(p.t) AS BIGINT) AS payload_bytes, sha1(p.t) AS paylo
   CASE WHEN copies > 1 AND page_id <> original THEN original END AS refers_to
 FROM p LEFT JOIN g ON p.t = g.t
 """
+
+
+@register
+def op3_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op3_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
