@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import packing, sharding, token_counts, topk, toxicity, warc
+from . import jaccard, packing, sharding, token_counts, topk, toxicity, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,24 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) A
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+@register
+def op5_jaccard(spark, sf_dir):
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_jaccard"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM p),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM both_ JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id
+  WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, low) AS (SELECT a, a FROM edge UNION SELECT e.b, r.low FROM reach r JOIN edge e ON e.a = r.doc_id WHERE r.low < e.b)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.low, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(low) AS low FROM reach GROUP BY doc_id) m ON m.doc_id = w.doc_id
+"""
