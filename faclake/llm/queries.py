@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import jaccard, packing, sharding, token_counts, topk, toxicity, warc
+from . import jaccard, packing, sharding, suffix_dedup, token_counts, topk, toxicity, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -122,3 +122,8 @@ reach(doc_id, low) AS (SELECT a, a FROM edge UNION SELECT e.b, r.low FROM reach
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.low, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(low) AS low FROM reach GROUP BY doc_id) m ON m.doc_id = w.doc_id
 """
+
+
+@register
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
