@@ -5,8 +5,9 @@ Reading plans one partition per archive file.  Filters on the record type, the
 header columns and the record id are pushed down: a task parses the header
 block of each record first and steps over the payload of a record that no
 filter keeps (or of all, with option ``payload=false``) without reading it.
-``.warc.gz`` files of one gzip member per record are read too; there the
-payload is inflated but not decoded.
+Payloads are gzip-encoded bodies, which only wanted records inflate; digests and
+lengths are of the full payload.  ``.warc.gz`` files of one gzip member per
+record are read too.
 
 Writing makes files of about ``fileBytes`` per task under unique temporary
 names; they appear under the final names only when the whole job commits, so
@@ -45,7 +46,7 @@ HEADERS = {
     "content_length": "content-length",
 }
 _INTS = ("payload_bytes", "content_length")
-HTTP_OK = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+HTTP_OK = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Encoding: gzip\r\n\r\n"
 _DATE = "1970-01-01T00:00:00Z"      # the page table has no crawl time
 
 
@@ -85,6 +86,14 @@ def columns_of(headers: dict[str, str]) -> dict:
     return row
 
 
+def http_payload(body: bytes) -> bytes:
+    """The payload of an HTTP response block, decoded; other blocks as they are."""
+    if not body.startswith(b"HTTP/"):
+        return body
+    head, _, payload = body.partition(b"\r\n\r\n")
+    return gzip.decompress(payload) if parse_headers(head).get("content-encoding") == "gzip" and payload else payload
+
+
 def read_records(stream, keep=lambda row: True, payload: bool = True, seek: bool = True) -> Iterator[dict]:
     """Records of an open archive.  ``keep`` sees the header columns; payloads of
     other records are stepped over."""
@@ -105,7 +114,7 @@ def read_records(stream, keep=lambda row: True, payload: bool = True, seek: bool
             body = stream.read(size)
             if len(body) < size:
                 raise ValueError("archive ends inside a record")
-            row["payload"] = body.partition(b"\r\n\r\n")[2] if body.startswith(b"HTTP/") else body
+            row["payload"] = http_payload(body)
             yield row
             continue
         if keep(row):
@@ -118,7 +127,7 @@ def read_records(stream, keep=lambda row: True, payload: bool = True, seek: bool
 
 
 def record(kind: str, record_id: str, uri: str | None, payload: bytes, digest: str, length: int, refers_to: str | None = None) -> bytes:
-    body = HTTP_OK + payload
+    body = HTTP_OK + (gzip.compress(payload, 1, mtime=0) if payload else b"")
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {_DATE}"]
     if uri:
         lines.append("WARC-Target-URI: " + "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in uri))
