@@ -6,6 +6,7 @@ buffer, so words and n-grams are hashed with numpy over the batch, not per row.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from typing import Iterator
 
@@ -27,10 +28,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back (cuts lineage)."""
+    """Write ``df`` to the shared scratch folder and read it back.  This cuts the
+    lineage, and the shuffle files of the written step can go: Spark removes them
+    once the driver has collected their handles."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

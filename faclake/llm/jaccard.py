@@ -239,7 +239,8 @@ def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     # lists with more than one set, and in each the set that shares most
     entries = nodes.select("node", "n", F.explode("sigs").alias("h"))
     lists = entries.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo <> hi")
-    members = keep(entries.join(lists.select("h", "c"), "h"), "jaccard-members")
+    lists = keep(lists.select("h", "c"), "jaccard-lists")
+    members = keep(entries.join(lists, "h"), "jaccard-members")
     degree = members.groupBy("node").agg(F.sum("c").alias("degree"))
     ranked = keep(members.join(degree, "node").select("h", "node", "n", "degree"), "jaccard-ranked")
     centre = ranked.groupBy("h").agg(F.max(F.struct("degree", (-F.col("node")).alias("neg"), "n")).alias("top"))

@@ -29,7 +29,6 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import tempfile
@@ -201,14 +200,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     and the text that is left."""
     if not 0 < gram <= length <= 250:
         raise ValueError("lengths up to 250 bytes")
-    spark = docs.sparkSession
-
-    def done(df: DataFrame, name: str) -> DataFrame:
-        out = keep(df, f"suffix-{name}")
-        gc.collect()                                        # shuffle files of the written step can go
-        spark.sparkContext._jvm.System.gc()
-        return out
-
+    done = lambda df, name: keep(df, f"suffix-{name}")
     # rows that repeat a doc_id are told apart by 24 bits of a hash of the text
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .select("doc", F.xxhash64("text").bitwiseAND(0xFFFFFF).cast("int").alias("variant"), "text")
