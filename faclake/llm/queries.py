@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import jaccard, packing, sharding, suffix_dedup, token_counts, topk, toxicity, warc
+from . import jaccard, packing, pii, sharding, suffix_dedup, token_counts, topk, toxicity, warc
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -127,3 +127,9 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(low) AS
 @register
 def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.fit(docs))
