@@ -1,10 +1,18 @@
-"""The corpus pipeline: five stages from raw documents to packed sequences."""
+"""The corpus pipeline: five stages from raw documents to packed sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and judges all documents that the
+stage before kept; its result is written as Parquet and read again.  All but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faclake.llm import decontaminate as decon
+from faclake.llm import jaccard, packing, pii
+from faclake.llm import toxicity as tox
 from faclake.llm.common import keep
 from faclake.llm.queries import table
 
@@ -12,15 +20,56 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 _CARRY = "text string, lang string, source string, n_chars long"
 
 
+def _documents(df: DataFrame) -> DataFrame:
+    """Exactly the columns of ``documents``, whatever else the table holds."""
+    types = dict(zip(COLUMNS, ("long", "string", "string", "string", "long")))
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in COLUMNS])
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts toxic go."""
+    docs = _documents(docs)
+    scored = tox.score(docs, tox.fit(docs, table(spark, sf_dir, "labels")), carry=_CARRY)
+    return scored.where("predicted = 0").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays: that with the
+    smallest doc_id.  Of rows that repeat a doc_id, the one with the smallest text
+    stays.  Documents without words or without doc_id stay as they are."""
+    docs = _documents(docs)
+    first = (jaccard.link(docs).where("component_id = doc_id AND n_shingles > 0").select("doc_id").distinct())
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    alone = F.col("doc_id").isNull() | wordless
+    one = docs.where(~alone).join(first, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("text", "lang", "source", "n_chars")).alias("d")).select("doc_id", "d.*")
+    return one.unionByName(docs.where(alone)).select(*COLUMNS)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule marks go."""
-    judged = decon.decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=_CARRY)
+    judged = decon.decontaminate(_documents(docs), table(spark, sf_dir, "benchmark"), carry=_CARRY)
     return judged.where("NOT contaminated").select(*COLUMNS)
 
 
-STAGES = [("decontamination", decontamination)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data become their kind in brackets; n_chars follows."""
+    docs = _documents(docs)
+    found = pii.detect(docs, pii.fit(docs), carry="lang string, source string, n_chars long", redacted=True)
+    text = F.col("redacted")
+    return found.select("doc_id", text.alias("text"), "lang", "source",
+                        F.when(F.col("spans") != "", F.char_length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, in sequences."""
+    return packing.pack(_documents(docs))
+
+
+STAGES = [("toxicity", toxicity), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontamination),
+          ("pii", personal_data), ("packing", pack)]
 
-# SQL cannot express the trained stages: tests check each against brute force.
+# SQL cannot express the trained stages; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
