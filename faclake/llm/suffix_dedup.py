@@ -9,8 +9,8 @@ each LENGTH-byte window is the window's key; a run of windows with one key is a
 segment (a string of at most ``most_windows + LENGTH - 1`` bytes), and equal
 windows always have equal keys.  Keys of one segment only hold no repeat.  Equal
 segments are one string, kept with its earliest place; every later copy goes
-whole.  The distinct strings of the other keys are dealt to collections of
-bounded size, and each collection's Burrows-Wheeler transform and longest common
+whole.  The strings of keys with several of them, or with a repeat inside one, are
+dealt to collections of bounded size, and each collection's Burrows-Wheeler transform and longest common
 prefixes are built column by column: a round inserts one symbol of every string,
 counted from its end, reading the transform and the prefixes of the round before
 from files and writing the next ones.  Neighbours with a common prefix of LENGTH
@@ -30,7 +30,6 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 from typing import Iterator
 
@@ -95,52 +94,64 @@ class ColumnBwt:
 
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, cap: int):
         self.size, self.cap, self.m = size, cap, len(start)
-        with tempfile.TemporaryDirectory() as folder:      # of this task; gone when it ends
-            self.files = [os.path.join(folder, x) for x in ("symbols", "prefixes")]
+        with tempfile.TemporaryFile() as symbols, tempfile.TemporaryFile() as prefixes:   # of this task only
+            self.files = symbols, prefixes
             self._write(np.full(self.m, _NONE, np.uint8), np.zeros(self.m, np.uint8))
-            place = np.arange(self.m)
+            place, self.owner = np.arange(self.m), np.empty(int(size.sum()) + self.m, np.int32)
             for depth in range(1, int(size.max(initial=0)) + 1):
                 self._round(place, np.flatnonzero(size >= depth), data, start + size - depth)
             self.symbols, self.prefixes = self._read()
+        del self.files, self.owner
 
     def _write(self, *columns: np.ndarray) -> None:
-        for path, column in zip(self.files, columns):
-            column.tofile(path)
+        for file, column in zip(self.files, columns):
+            file.seek(0)
+            file.write(column)
+            file.flush()
 
     def _read(self) -> list[np.ndarray]:
-        return [np.fromfile(path, np.uint8) for path in self.files]
+        out = []
+        for file in self.files:
+            column = np.empty(file.tell(), np.uint8)
+            file.seek(0)
+            file.readinto(column)
+            out.append(column)
+        return out
 
     def _round(self, place, active, data, at) -> None:
         symbols, prefixes = self._read()
         rows = place[active]
         symbols[rows] = data[at[active]]
-        owner = np.full(len(symbols), -1, np.int32)
-        owner[rows] = active
+        self.owner[rows] = active
+        mark = np.zeros(len(symbols), bool)
+        mark[rows] = True
         order = self._sorted_rows(symbols)                  # rows by (symbol, row): where their images lie
-        string = owner[order]
-        fresh = np.flatnonzero(string >= 0)
+        new = mark[order]
+        fresh = np.flatnonzero(new)
         # common prefixes of the new suffixes and of those right after them
-        near = np.unique(np.concatenate([fresh, fresh + 1]))
-        near = near[near < len(order)]
-        sorted_symbols = symbols[order[near]]
-        same = near > 0
-        same[same] = symbols[order[near[same] - 1]] == sorted_symbols[same]
+        touched = new.copy()
+        touched[1:] |= new[:-1]
+        near = np.flatnonzero(touched)
+        row = order[near]
+        before = order[near - 1]                            # of the first: overruled below
+        same = symbols[before] == symbols[row]
+        same[:1] &= near[:1] > 0
         value = np.zeros(len(near), np.uint8)
         if same.any():
-            low, high = order[near[same] - 1] + 1, order[near[same]] + 1
-            back = np.argsort(-low, kind="stable")          # descending, so only the ranges are read
+            low, high = before[same] + 1, row[same] + 1
+            back = np.argsort(-low)                         # descending, so only the ranges are read
             pairs = np.stack([low[back], high[back]], 1).ravel()
             least = np.minimum.reduceat(np.append(prefixes, np.uint8(0)), pairs)[::2]
-            found = np.empty(len(low), np.int64)
-            found[back] = np.minimum(least.astype(np.int64) + 1, self.cap)
+            found = np.empty(len(low), np.uint8)
+            found[back] = np.minimum(least, self.cap - 1) + 1
             value[same] = found
         # merge the new rows into the columns
         old = np.ones(self.m + len(order), bool)
-        old[self.m + fresh] = False
+        np.logical_not(new, out=old[self.m:])
         new_symbols, new_prefixes = np.full(len(old), _NONE, np.uint8), np.zeros(len(old), np.uint8)
         new_symbols[old], new_prefixes[old] = symbols, prefixes
         new_prefixes[self.m + near] = value
-        place[string[fresh]] = self.m + fresh
+        place[self.owner[order[fresh]]] = self.m + fresh
         self._write(new_symbols, new_prefixes)
 
     @staticmethod
@@ -195,7 +206,7 @@ _SEGMENT = "doc long, variant int, at long, windows int, key long, content long,
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_windows: int = 128, most_strings: int = 30_000,
-                   collection_bytes: int = 1 << 20, spans: bool = False) -> DataFrame:
+                   collection_bytes: int = 1 << 18, spans: bool = False) -> DataFrame:
     """One row per document (SCHEMA); with ``spans`` also the removed byte spans
     and the text that is left."""
     if not 0 < gram <= length <= 250:
@@ -217,13 +228,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
 
     every = texts.mapInArrow(cut, _SEGMENT)
     shared = done(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner").select("key"), "keys")
-    found = done(every.drop("inner").join(shared, "key"), "found")
+    found = done(every.join(shared, "key"), "found")
     place = F.struct("doc", "at", "variant")
-    strings = done(found.groupBy("key", "content", "windows").agg(F.min(place).alias("first"))
-                   .select("key", "content", "windows", "first.doc", "first.at", "first.variant"), "strings")
-    large = strings.groupBy("key").count().where(F.col("count") > most_strings).select("key", F.lit(True).alias("large"))
-    listed = (strings.join(large, "key", "left").groupBy("doc", "variant")
-              .agg(F.collect_list(F.struct("key", "content", "windows", "at", F.coalesce("large", F.lit(False)).alias("large"))).alias("own")))
+    strings = done(found.groupBy("key", "content", "windows").agg(F.min(place).alias("first"), F.max("inner").alias("inner"))
+                   .select("key", "content", "windows", "first.doc", "first.at", "first.variant", "inner"), "strings")
+    # a single string without inner repeats has nothing to be compared with
+    sorted_ = (strings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("any_inner")).where("n > 1 OR any_inner")
+               .select("key", (F.col("n") > most_strings).alias("large")))
+    listed = (strings.join(sorted_, "key").groupBy("doc", "variant")
+              .agg(F.collect_list(F.struct("key", "content", "windows", "at", "large")).alias("own")))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The strings' bytes; of those of large keys, each window by itself."""
