@@ -96,6 +96,10 @@ def extract_csv_name(c: ColumnOrName) -> Column:
 
 # ------------------------------------------------------------ listing
 
+# Megabytes in one of each unit.
+SIZE_UNITS_MB = {"K": 1 / 1024, "M": 1.0, "G": 1024.0}
+
+
 def size_to_mb(c: ColumnOrName) -> Column:
     """Human file size -> megabytes as text with two decimals.
 
@@ -107,15 +111,23 @@ def size_to_mb(c: ColumnOrName) -> Column:
     s = _c(c)
     unit = F.upper(F.substring(s, -1, 1))
     body = F.substring(s, F.lit(1), F.length(s) - 1)
-    value = body.try_cast("double")
-    mb = (F.when(unit == "K", value * 1024 / (1024 * 1024))
-          .when(unit == "M", value * (1024 * 1024) / (1024 * 1024))
-          .when(unit == "G", value * (1024 * 1024 * 1024) / (1024 * 1024)))
+    per_mb = F.create_map(*[F.lit(x) for pair in SIZE_UNITS_MB.items() for x in pair])
+    mb = body.try_cast("double") * F.try_element_at(per_mb, unit)      # powers of two: exact
     return (F.when(s == "-", s)
             .when(unit.rlike("^[0-9]$"), s)
             .otherwise(F.call_function("format_number", mb, F.lit("0.00"))))
 
 
+def size_quality(c: ColumnOrName) -> Column:
+    """How ``size_to_mb`` came by its value: ``converted``; ``bytes`` (no unit,
+    returned as it is); ``none`` (``-``, empty or missing); ``unknown`` (NULL
+    because of the unit or the number)."""
+    s = _c(c)
+    return (F.when(F.coalesce(s, F.lit("")).isin("", "-"), "none")
+            .when(F.substring(s, -1, 1).rlike("^[0-9]$"), "bytes")
+            .when(size_to_mb(s).isNotNull(), "converted").otherwise("unknown"))
+
+
 LISTING_TS_FORMAT = "yyyy-MM-dd HH:mm"
 
 
@@ -153,58 +165,112 @@ def url_basename(c: ColumnOrName) -> Column:
     return F.when(scheme.isin(*PARAM_SCHEMES), F.regexp_extract(last, r"^([^;]*)", 1)).otherwise(last)
 
 
-def url_origin(c: ColumnOrName) -> Column:
-    return F.regexp_extract(_c(c), r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+# URL schemes whose links resolve against a page URL.
+RELATIVE_SCHEMES = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms",
+                    "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
+
+
+def _clean_url(c: Column) -> Column:
+    """Leading control characters and blanks, and all tabs and line breaks, go."""
+    return F.regexp_replace(F.regexp_replace(c, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+
+def url_parts(c: ColumnOrName) -> Column:
+    """A URL as struct (scheme, has_authority, authority, path, query, fragment);
+    the scheme is lower-case, absent parts are empty."""
+    u = _clean_url(_c(c))
+    scheme = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
+    rest = F.when(scheme == "", u).otherwise(F.substring(u, F.length(scheme) + 2, F.length(u)))
+    body = F.regexp_extract(rest, r"(?s)^([^#]*)", 1)
+    before = F.regexp_extract(body, r"(?s)^([^?]*)", 1)
+    return F.struct(
+        F.lower(scheme).alias("scheme"),
+        before.startswith("//").alias("has_authority"),
+        F.regexp_extract(before, r"(?s)^//([^/]*)", 1).alias("authority"),
+        F.regexp_replace(before, r"(?s)^//[^/]*", "").alias("path"),
+        F.regexp_extract(body, r"(?s)^[^?]*\?(.*)", 1).alias("query"),
+        F.regexp_extract(rest, r"(?s)^[^#]*#(.*)", 1).alias("fragment"))
 
 
 def page_url_parts(page_url: ColumnOrName) -> Column:
     """The pieces of a page URL that link resolution needs, as one struct:
     compute it once per page, before exploding the page's links."""
-    p = _c(page_url)
-    no_frag = F.regexp_replace(p, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    return F.struct(p.alias("url"),
-                    F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1).alias("scheme"),
-                    url_origin(p).alias("origin"),
-                    no_frag.alias("no_frag"), no_query.alias("no_query"),
-                    F.regexp_extract(no_query, r"^(.*/)", 1).alias("directory"))
+    return F.struct(_c(page_url).alias("url"), url_parts(page_url).alias("p"))
+
+
+def _without_dots(path: Column, base_path: Column) -> Column:
+    """``path`` against the folder of ``base_path``; ``.`` and ``..`` steps taken,
+    empty steps in the middle of a relative path dropped."""
+    steps, base = F.split(path, "/", -1), F.split(base_path, "/", -1)
+    # a base that ends in a slash keeps its empty last step, which is dropped below
+    folder = F.when(F.element_at(base, -1) == "", base).otherwise(F.slice(base, F.lit(1), F.size(base) - 1))
+    every = F.concat(folder, steps)
+    last = F.size(every) - 1
+    kept = F.when(path.startswith("/"), steps).otherwise(F.filter(every, lambda x, i: (x != "") | (i == 0) | (i == last)))
+    none = F.array().cast("array<string>")
+    walked = F.aggregate(kept, none, lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                         .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    open_end = F.element_at(kept, -1).isin(".", "..")
+    joined = F.array_join(F.when(open_end, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
+    return F.when(joined == "", F.lit("/")).otherwise(joined)
+
+
+def _url_text(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
+    rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    opt = lambda mark, c: F.when(c != "", F.concat(F.lit(mark), c)).otherwise(F.lit(""))
+    return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
+                    F.when((authority != "") | ((scheme != "") & ~path.startswith("//")), F.concat(F.lit("//"), authority, rooted)).otherwise(path),
+                    opt("?", query), opt("#", fragment))
 
 
 def resolve_with_parts(href: ColumnOrName, parts: ColumnOrName) -> Column:
     """``resolve_link`` given precomputed ``page_url_parts``."""
-    h, q = _c(href), _c(parts)
-    rel = F.regexp_replace(h, r"^(\./)+", "")
-    return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
-            .when(h.startswith("//"), F.concat(q["scheme"], F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(q["origin"], h))
-            .when(h.startswith("?"), F.concat(q["no_query"], h))
-            .when(h.startswith("#"), F.concat(q["no_frag"], h))
-            .when(h == "", q["url"])
-            .otherwise(F.concat(q["directory"], rel)))
+    h, page = _c(href), _c(parts)["url"]
+
+    def join(pair: Column) -> Column:
+        u, base = pair["u"], pair["base"]
+        other = (u["scheme"] != "") & (u["scheme"] != base["scheme"])
+        own = _url_text(base["scheme"], u["authority"], u["path"], u["query"], u["fragment"])
+        same_page = _url_text(base["scheme"], base["authority"], base["path"],
+                              F.when(u["query"] == "", base["query"]).otherwise(u["query"]), u["fragment"])
+        moved = _url_text(base["scheme"], base["authority"], _without_dots(u["path"], base["path"]), u["query"], u["fragment"])
+        return (F.when(other | ~base["scheme"].isin(*RELATIVE_SCHEMES), h)
+                .when(u["authority"] != "", own).when(u["path"] == "", same_page).otherwise(moved))
+    # the lambda's variable holds both URLs' pieces, so they are computed once
+    pieces = F.array(F.struct(url_parts(h).alias("u"), _c(parts)["p"].alias("base")))
+    return F.when(page == "", h).when(h == "", page).otherwise(F.get(F.transform(pieces, join), F.lit(0)))
 
 
 def resolve_link(href: ColumnOrName, page_url: ColumnOrName) -> Column:
-    """Absolute URL of a link found on ``page_url``.
-
-    Absolute links stay; ``//host`` takes the page's scheme; ``/path`` takes
-    the page's origin; ``?q`` and ``#f`` replace query / fragment; anything
-    else is relative to the page's directory (leading ``./`` removed).
-    """
+    """Absolute URL of a link found on ``page_url`` (F9), as ``urljoin`` gives it:
+    ``.`` and ``..`` steps are taken, a query or fragment alone stays on the page,
+    links of another scheme stay as they are, leading blanks go.  A ``;parameter``
+    is a part of its path step."""
     return resolve_with_parts(href, page_url_parts(page_url))
 
 
 # ------------------------------------------------------------- HTML text
 
-# The character references decoded in tag text and attributes.
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-             ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+# The named character references decoded in tag text and attributes.
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+_NUMERIC = r"&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    out = _c(c)
-    for ent, ch in _ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Character references decoded once: named ones, and numeric ones up to
+    U+10FFFF.  A text without ``&`` is returned as it is."""
+    parts = F.split(_c(c), f"(?={_NUMERIC})|(?<=;)", -1)
+
+    def one(x: Column) -> Column:
+        number = F.regexp_extract(x, f"^{_NUMERIC}$", 1)
+        code = F.when(F.lower(F.substring(number, 1, 1)) == "x", F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("int")
+        # the code point as UTF-32 text
+        text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        named = x
+        for ent, ch in _ENTITIES:
+            named = F.replace(named, F.lit(ent), F.lit(ch))
+        return F.when((number != "") & (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), text).otherwise(named)
+    return F.when(~_c(c).contains("&"), _c(c)).otherwise(F.array_join(F.transform(parts, one), ""))
 
 
 def tag_text(c: ColumnOrName) -> Column:

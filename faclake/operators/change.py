@@ -16,6 +16,17 @@ from ..functions import parse_listing_ts, url_basename
 MANIFEST_DDL = "url string, link string, last_modified string, size_mb string, file_location string"
 
 
+def last_per_key(df: DataFrame, key: str, order: str = "last_modified") -> DataFrame:
+    """One row per key: that with the latest ``order`` time, then the largest row
+    as text, so the choice does not depend on the input's order.  Rows without
+    key stay.  One pre-aggregated shuffle."""
+    when = parse_listing_ts(order) if order in df.columns else F.lit(None).cast("timestamp")
+    rank = F.struct(when, F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    one = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), rank).alias("_r"))
+           .select("_r.*"))
+    return one.unionByName(df.where(F.col(key).isNull()))
+
+
 def manifest_diff(listing: DataFrame, manifest: DataFrame, key: str = "url") -> DataFrame:
     """Status of every listed file against the manifest.
 
@@ -23,7 +34,7 @@ def manifest_diff(listing: DataFrame, manifest: DataFrame, key: str = "url") ->
     newer; ``unchanged``: not newer; ``unknown``: the listed time is missing
     or does not parse.  ``to_fetch`` is true for new and updated files.
     """
-    m = manifest.select(F.col(key), F.col("last_modified").alias("_stored"))
+    m = last_per_key(manifest, key).select(F.col(key), F.col("last_modified").alias("_stored"))
     j = listing.join(m, key, "left")
     listed_ts = parse_listing_ts("last_modified")
     stored_ts = parse_listing_ts("_stored")
@@ -43,8 +54,10 @@ def manifest_upsert(manifest: DataFrame, updates: DataFrame, key: str = "url",
     ``merge``: fields present in ``updates`` overwrite (even with NULL),
     fields only in the manifest are kept.  ``replace``: an updated key's row
     is the update alone (manifest-only fields become NULL).  Keys not in
-    ``updates`` are unchanged.
+    ``updates`` are unchanged.  A key that repeats on either side counts once,
+    with its last row (``last_per_key``), so an upsert never multiplies rows.
     """
+    manifest, updates = last_per_key(manifest, key), last_per_key(updates, key)
     m_cols = [c for c in manifest.columns if c != key]
     u_cols = [c for c in updates.columns if c != key]
     m = manifest.select(key, *[F.col(c).alias(f"_m_{c}") for c in m_cols])

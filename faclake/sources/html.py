@@ -11,7 +11,7 @@ shuffle: a page is processed by whichever task holds it.
 * ``extract_schema_tables``: data-dictionary pages: ``<h1>`` title, file
   names from ``<h3>`` headings (first ``(NAME.csv)`` each, headings without
   one dropped), tables whose header row has "Element Name" or "Element",
-  names and tables paired by position (the longer list is cut), body cells
+  names and tables paired by position (unpaired ones are marked), body cells
   normalised (strip, lower-case, one trailing footnote digit removed).
 """
 
@@ -21,14 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (decode_entities, extract_csv_name, normalize_cell, page_url_parts,
-                         resolve_with_parts, size_to_mb, strip_text, tag_text)
+                         resolve_with_parts, size_quality, size_to_mb, strip_text, tag_text)
 
-HREF = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
-ANCHOR_TEXT = r'(?is)<a\b[^>]*?\bhref\s*=\s*"[^"]*"[^>]*>(.*?)</a>'
+# an attribute value: in double quotes, in single quotes or bare
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))"""
+HREF = rf"""(?is)<a\b[^>]*?(?<=[\s"'])href\s*=\s*{_VALUE}"""
+ANCHOR_TEXT = rf"""(?is)<a\b[^>]*?(?<=[\s"'])href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+)[^>]*>(.*?)</a>"""
 FIRST_TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
 TABLES = FIRST_TABLE
 ROWS = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-RIGHT_CELLS = r'(?is)<td\b[^>]*?\balign\s*=\s*"right"[^>]*>(.*?)</td>'
+RIGHT_CELLS = r"""(?is)<td\b[^>]*?\balign\s*=\s*["']?right["']?(?=[\s>/])[^>]*>(.*?)</td>"""
 CELLS = r"(?is)<td\b[^>]*>(.*?)</td>"
 HEAD_CELLS = r"(?is)<th\b[^>]*>(.*?)</th>"
 THEAD = r"(?is)<thead\b[^>]*>(.*?)</thead>"
@@ -46,6 +48,12 @@ def _all(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), 1)
 
 
+def _values(c: Column) -> Column:
+    """``href`` values in order, whichever way they are quoted."""
+    found = [F.regexp_extract_all(c, F.lit(HREF), i) for i in (1, 2, 3)]
+    return F.zip_with(F.zip_with(found[0], found[1], lambda a, b: F.concat(a, b)), found[2], lambda a, b: F.concat(a, b))
+
+
 def _one(c: Column, pattern: str) -> Column:
     return F.regexp_extract(c, pattern, 1)
 
@@ -59,7 +67,7 @@ def extract_links(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
     keep = [c for c in pages.columns if c != html]
     # the page URL's pieces are computed once per page, below the explode
     per_page = pages.select(*keep, page_url_parts(url).alias("_u"),
-                            _all(F.col(html), HREF).alias("_hrefs"))
+                            _values(F.col(html)).alias("_hrefs"))
     return (per_page.select(*keep, "_u", F.posexplode("_hrefs").alias("link_pos", "_raw"))
             .withColumn("href", decode_entities("_raw"))
             .withColumn("link", resolve_with_parts("href", "_u")).drop("_raw", "_u"))
@@ -76,14 +84,14 @@ def extract_listing(pages: DataFrame, html: str = "html", url: str = "url") -> D
     right = _all(row, RIGHT_CELLS)
     out = r.select(
         *keep, "_u", "row_pos",
-        decode_entities(_one(row, HREF)).alias("href"),
+        decode_entities(F.get(_values(row), F.lit(0))).alias("href"),
         _text(_one(row, ANCHOR_TEXT)).alias("name"),
         _text(F.get(right, 0)).alias("last_modified"),
         _text(F.get(right, 1)).alias("size"),
         F.regexp_like(row, F.lit(HREF)).alias("_has_link"))
     out = out.where(F.col("_has_link") & ~F.col("name").isin(*SKIP_LINK_TEXTS)).drop("_has_link")
     return (out.withColumn("link", resolve_with_parts("href", "_u")).drop("_u")
-            .withColumn("size_mb", size_to_mb("size"))
+            .withColumn("size_mb", size_to_mb("size")).withColumn("size_quality", size_quality("size"))
             .withColumn("is_dir", F.col("href").endswith("/")))
 
 
@@ -94,19 +102,25 @@ def _is_schema_table(t: Column) -> Column:
 
 
 def extract_schema_tables(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(page columns..., title, table_pos, table_name, row_pos, cells)."""
+    """(page columns..., title, table_pos, table_name, paired, row_pos, cells).
+
+    Names and tables are paired by position.  What has no partner stays, with
+    ``paired`` false: a name without table has one row with NULL row_pos and
+    cells, a table without name has NULL table_name."""
     keep = [c for c in pages.columns if c != html]
     h = F.col(html)
     names = F.filter(F.transform(_all(h, H3), lambda x: extract_csv_name(tag_text(x))),
                      lambda x: x.isNotNull())
     tables = F.filter(_all(h, TABLES), _is_schema_table)
-    n = F.least(F.size(names), F.size(tables))
-    pairs = F.slice(F.zip_with(names, tables, lambda a, b: F.struct(a.alias("table_name"),
-                                                                     b.alias("body"))), 1, n)
+    pairs = F.zip_with(names, tables, lambda a, b: F.struct(a.alias("table_name"), b.alias("body")))
     t = pages.select(*keep, _text(_one(h, H1)).alias("title"),
                      F.posexplode(pairs).alias("table_pos", "_p"))
     rows = _all(_one(F.col("_p.body"), TBODY), ROWS)
-    r = t.select(*keep, "title", "table_pos", F.col("_p.table_name").alias("table_name"),
-                 F.posexplode(rows).alias("row_pos", "_row"))
+    paired = F.col("_p.table_name").isNotNull() & F.col("_p.body").isNotNull()
+    # only a name without table keeps a row of its own
+    some = F.when(F.col("_p.body").isNull(), F.array(F.lit(None).cast("string"))).otherwise(rows)
+    r = t.select(*keep, "title", "table_pos", F.col("_p.table_name").alias("table_name"), paired.alias("paired"),
+                 F.posexplode(some).alias("row_pos", "_row"))
     cells = F.transform(_all(F.col("_row"), CELLS), lambda c: normalize_cell(tag_text(c)))
-    return r.select(*keep, "title", "table_pos", "table_name", "row_pos", cells.alias("cells"))
+    return r.select(*keep, "title", "table_pos", "table_name", "paired",
+                    F.when(F.col("_row").isNotNull(), F.col("row_pos")).alias("row_pos"), cells.alias("cells"))

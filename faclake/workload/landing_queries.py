@@ -21,22 +21,48 @@ from .catalog import register
 
 # -------------------------------------------------------------- links, URLs
 
-_ORIGIN = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1)"
-_DIR = r"regexp_extract(regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', ''), '^(.*/)', 1)"
-_LINK = (f"CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href "
-         f"WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1) || ':' || href "
-         f"WHEN starts_with(href, '/') THEN {_ORIGIN} || href "
-         f"ELSE {_DIR} || regexp_replace(href, '^(\\./)+', '') END")
+# Page URLs are scheme://host/path; the oracles cut them and the page text with
+# string functions, not with the engine's patterns.
+_HOST = "array_to_string(string_split(split_part(split_part(url, '#', 1), '?', 1), '/')[1:3], '/')"
+_STEPS = "string_split(split_part(split_part(url, '#', 1), '?', 1), '/')[4:]"
 
 
 @register("extract_links",
-          f"SELECT page_id, url, link_pos, href, {_LINK} AS link FROM ("
-          f"SELECT page_id, url, CAST(unnest(range(len(l))) AS INTEGER) AS link_pos, unnest(l) AS href FROM ("
-          f"SELECT page_id, url, regexp_extract_all(html, '{H.HREF}', 1) AS l FROM pages))")
+          f"SELECT page_id, url, link_pos, href, {_HOST} || href AS link FROM ("
+          "SELECT page_id, url, CAST(unnest(range(len(l))) AS INTEGER) AS link_pos, unnest(l) AS href FROM ("
+          "SELECT page_id, url, list_transform(string_split(html, '<a href=\"')[2:], lambda x: split_part(x, '\"', 1)) AS l FROM pages))")
 def _links(spark, sf_dir):
     return H.extract_links(A.read(spark, sf_dir, "pages"))
 
 
+# href and, in SQL, its target; dirs: the page's folder steps
+_HREFS = {
+    "x.html": "base || array_to_string(list_append(dirs, 'x.html'), '/')",
+    "./y": "base || array_to_string(list_append(dirs, 'y'), '/')",
+    "../c.zip": "base || array_to_string(list_append(dirs[1:len(dirs) - 1], 'c.zip'), '/')",
+    "d/../e/": "base || array_to_string(list_append(dirs, 'e/'), '/')",
+    "..": "base || CASE WHEN len(dirs) > 1 THEN array_to_string(dirs[1:len(dirs) - 1], '/') || '/' ELSE '' END",
+    "/r//s/./t": "base || 'r//s/t'",
+    "//o.example.org/p": "split_part(url, ':', 1) || '://o.example.org/p'",
+    "ftp://z/y/../w": "'ftp://z/y/../w'",
+    "?q=1": "split_part(split_part(url, '#', 1), '?', 1) || '?q=1'",
+    "#f": "split_part(url, '#', 1) || '#f'",
+    "": "url",
+    "  blank.html": "base || array_to_string(list_append(dirs, 'blank.html'), '/')",
+}
+_LIST = ", ".join(f"('{h}')" for h in _HREFS)
+_TARGET = " ".join(f"WHEN '{h}' THEN {t}" for h, t in _HREFS.items())
+
+
+@register("resolve_link",
+          f"SELECT page_id, href, CASE href {_TARGET} END AS link FROM (SELECT page_id, url, {_HOST} || '/' AS base, "
+          f"{_STEPS}[1:len({_STEPS}) - 1] AS dirs FROM pages), (VALUES {_LIST}) h(href)")
+def _resolve(spark, sf_dir):
+    hrefs = F.array(*[F.lit(h) for h in _HREFS])
+    pages = A.read(spark, sf_dir, "pages").select("page_id", "url", F.explode(hrefs).alias("href"))
+    return pages.select("page_id", "href", X.resolve_link("href", "url").alias("link"))
+
+
 _PATH = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
 
 
@@ -68,9 +94,11 @@ def listing_pages(spark, sf_dir):
         F.floor(F.col("o_orderkey") / LISTING_PAGE).alias("page_id"), "o_orderkey",
         F.expr(f"'ord_' || CAST(o_orderkey AS STRING) || '.zip'").alias("fname"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm").alias("ts"), F.expr(_SIZE).alias("size"))
-    row = F.concat(F.lit('<tr><td valign="top"><a href="'), F.col("fname"), F.lit('">'), F.col("fname"),
-                   F.lit('</a></td><td align="right">'), F.col("ts"),
-                   F.lit('  </td><td align="right">'), F.col("size"), F.lit("</td></tr>\n"))
+    # attribute values in double quotes, in single quotes and bare
+    q = F.element_at(F.array(F.lit('"'), F.lit("'"), F.lit("")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    row = F.concat(F.lit('<tr><td valign="top"><a class=f href='), q, F.col("fname"), q, F.lit(">"), F.col("fname"),
+                   F.lit("</a></td><td align="), q, F.lit("right"), q, F.lit(">"), F.col("ts"),
+                   F.lit("  </td><td align="), q, F.lit("right"), q, F.lit(">"), F.col("size"), F.lit("</td></tr>\n"))
     pages = o.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", row.alias("r")))).alias("rs"))
     url = F.concat(F.lit("https://data.example.org/files/g"), F.col("page_id").cast("string"), F.lit("/"))
     html = F.concat(
@@ -94,12 +122,16 @@ _SIZE_MB_SQL = ("CASE WHEN s = '-' THEN s WHEN regexp_matches(right(s, 1), '^[0-
                 f"WHEN upper(right(s, 1)) = 'G' THEN {_mb('left(s, length(s) - 1)', 1073741824)} END")
 
 
+_QUALITY_SQL = ("CASE WHEN s = '-' THEN 'none' WHEN regexp_matches(right(s, 1), '^[0-9]$') THEN 'bytes' "
+                "WHEN upper(right(s, 1)) IN ('K', 'M', 'G') THEN 'converted' ELSE 'unknown' END")
+
+
 @register("extract_listing",
           "SELECT page_id, 'https://data.example.org/files/g' || CAST(page_id AS VARCHAR) || '/' AS url, "
           "CAST(row_number() OVER (PARTITION BY page_id ORDER BY o_orderkey) + 1 AS INTEGER) AS row_pos, "
           "fname AS href, 'https://data.example.org/files/g' || CAST(page_id AS VARCHAR) || '/' || fname AS link, "
           "fname AS name, ts AS last_modified, s AS size, "
-          f"{_SIZE_MB_SQL} AS size_mb, false AS is_dir "
+          f"{_SIZE_MB_SQL} AS size_mb, {_QUALITY_SQL} AS size_quality, false AS is_dir "
           f"FROM (SELECT CAST(floor(o_orderkey / {LISTING_PAGE}) AS BIGINT) AS page_id, o_orderkey, "
           "'ord_' || CAST(o_orderkey AS VARCHAR) || '.zip' AS fname, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS ts, "
           f"{_SIZE} AS s FROM orders)")
@@ -178,22 +210,26 @@ _NORM = "regexp_replace(lower(trim({0})), '[0-9]$', '')"
 
 
 @register("extract_schema_tables",
-          "SELECT page_id, 'Data Dictionary ' || CAST(page_id AS VARCHAR) AS title, table_pos, table_name, row_pos, "
+          "SELECT page_id, 'Data Dictionary ' || CAST(page_id AS VARCHAR) AS title, table_pos, table_name, paired, row_pos, "
           "n_cells, cell_0, cell_1, cell_2 FROM ("
-          "SELECT page_id, 0 AS table_pos, 'PARTS_' || CAST(page_id AS VARCHAR) || '.csv' AS table_name, "
+          # the heading of notes has no table of its own
+          "SELECT page_id, 2 AS table_pos, 'NOTES_' || CAST(page_id AS VARCHAR) || '.csv' AS table_name, false AS paired, "
+          "CAST(NULL AS INTEGER) AS row_pos, CAST(NULL AS INTEGER) AS n_cells, NULL AS cell_0, NULL AS cell_1, NULL AS cell_2 "
+          f"FROM (SELECT DISTINCT CAST(floor(p_partkey / {DICT_PAGE}) AS BIGINT) AS page_id FROM part) UNION ALL "
+          "SELECT page_id, 0 AS table_pos, 'PARTS_' || CAST(page_id AS VARCHAR) || '.csv' AS table_name, true AS paired, "
           "CAST(row_number() OVER (PARTITION BY page_id ORDER BY p_partkey) - 1 AS INTEGER) AS row_pos, 3 AS n_cells, "
           f"{_NORM.format(_NAME_CELL)} AS cell_0, {_NORM.format(_TYPE_CELL)} AS cell_1, "
           f"{_NORM.format('CAST(p_size AS VARCHAR)')} AS cell_2 FROM (SELECT *, CAST(floor(p_partkey / {DICT_PAGE}) AS BIGINT) AS page_id FROM part) "
           "UNION ALL "
-          "SELECT page_id, 1, 'CODES_' || CAST(page_id AS VARCHAR) || '.csv', "
+          "SELECT page_id, 1, 'CODES_' || CAST(page_id AS VARCHAR) || '.csv', true, "
           "CAST(row_number() OVER (PARTITION BY page_id ORDER BY p_partkey) - 1 AS INTEGER), 2, "
           f"{_NORM.format(chr(39) + 'X_' + chr(39) + ' || CAST(p_partkey AS VARCHAR)')}, "
           f"{_NORM.format(chr(39) + 'Code & ' + chr(39) + ' || p_brand')}, NULL "
           f"FROM (SELECT *, CAST(floor(p_partkey / {DICT_PAGE}) AS BIGINT) AS page_id FROM part))")
 def _schema_tables(spark, sf_dir):
     t = H.extract_schema_tables(dictionary_pages(spark, sf_dir))
-    return t.select("page_id", "title", "table_pos", "table_name", "row_pos",
-                    F.size("cells").alias("n_cells"), F.get("cells", 0).alias("cell_0"),
+    return t.select("page_id", "title", "table_pos", "table_name", "paired", "row_pos",
+                    F.when(F.col("cells").isNotNull(), F.size("cells")).alias("n_cells"), F.get("cells", 0).alias("cell_0"),
                     F.get("cells", 1).alias("cell_1"), F.get("cells", 2).alias("cell_2"))
 
 
@@ -263,12 +299,17 @@ def _diff(spark, sf_dir):
 
 @register("manifest_upsert",
           "SELECT url, CASE WHEN u.url IS NOT NULL THEN u.link ELSE m.link END AS link, "
-          "CASE WHEN u.url IS NOT NULL THEN u.last_modified ELSE m.last_modified END AS last_modified, "
+          "CASE WHEN u.url IS NULL THEN m.last_modified WHEN u.last_modified = 'garbled' THEN '1990-01-01 00:00' "
+          "ELSE u.last_modified END AS last_modified, "
           "CASE WHEN u.url IS NOT NULL THEN u.size_mb ELSE m.size_mb END AS size_mb, m.file_location "
           f"FROM ({_MANIFEST_SQL}) m FULL OUTER JOIN ({_LISTING_SQL}) u USING (url)")
 def _upsert(spark, sf_dir):
     manifest, listing = _snapshots(spark, sf_dir)
-    return C.manifest_upsert(manifest, listing)
+    # every third key twice on either side, first with an older time: the last wins
+    older = lambda df: df.where(F.substring("url", -5, 1).isin("1", "4", "7")).withColumn(
+        "last_modified", F.lit("1980-01-01 00:00")).withColumn("size_mb", F.lit("0.01"))
+    listing = listing.withColumn("last_modified", F.when(F.col("last_modified") != "garbled", F.col("last_modified")).otherwise("1990-01-01 00:00"))
+    return C.manifest_upsert(older(manifest).unionByName(manifest), listing.unionByName(older(listing)))
 
 
 @register("tracker_status",
