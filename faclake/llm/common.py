@@ -39,6 +39,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Remove the files of a step that ``keep`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def only(df: DataFrame, **cols: str) -> DataFrame:
     """The named columns cast to the given types; extra columns are left out."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in cols.items()])

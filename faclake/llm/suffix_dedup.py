@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BACK, _BYTE, _STEP, _powers, keep, mix, ranges, slices, span_hashes, text_buffer
+from .common import _BACK, _BYTE, _STEP, _powers, drop, keep, mix, ranges, slices, span_hashes, text_buffer
 
 LENGTH = 100
 GRAM = 32
@@ -229,6 +229,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     every = texts.mapInArrow(cut, _SEGMENT)
     shared = done(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner").select("key"), "keys")
     found = done(every.join(shared, "key"), "found")
+    drop(shared)
     place = F.struct("doc", "at", "variant")
     strings = done(found.groupBy("key", "content", "windows").agg(F.min(place).alias("first"), F.max("inner").alias("inner"))
                    .select("key", "content", "windows", "first.doc", "first.at", "first.variant", "inner"), "strings")
@@ -278,6 +279,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     outer = (single.join(earliest, "window").where("first.doc <> doc OR first.at <> at")
              .select("key", "content", "windows", "nth", F.lit(1).alias("run")))
     later = done(inner.unionByName(outer), "later")
+    drop(pieces)
 
     # the earliest copy of a string loses its later windows, every other copy all of them
     same = ["key", "content", "windows"]
