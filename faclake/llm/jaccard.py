@@ -32,16 +32,16 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, keep, mix, only, slices, span_hashes, text_buffer, word_spans
+from .common import drop, gram_hashes, keep, mix, only, slices, span_hashes, text_buffer, word_spans
 
 K = 5
 PERCENT = 75
 CELL_BITS = 22                       # of the count sketch: 4M counters, whatever the input
 _SLICE = 1 << 15
-_BITS = 1024                         # of the bitmaps
+_LEAST_BITS, _MOST_BITS = 1 << 10, 1 << 17    # of the bitmaps, a power of two of about a set's size
 
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -172,12 +172,22 @@ def signatures(s: np.ndarray, levels: np.ndarray, small: int) -> np.ndarray:
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the counts of 1024 residues: two bitmaps differ in at most as
-    many bits as their sets differ in shingles."""
-    bits = (np.bincount((s & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1).astype(np.uint8)
+    """Parities of the counts of residues: two bitmaps differ in at most as many
+    bits as their sets differ in shingles.  A longer bitmap folds to a shorter one
+    by combining its halves."""
+    size = min(max(_LEAST_BITS, 1 << (len(s) - 1).bit_length()), _MOST_BITS)
+    bits = (np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 
 
+def _bits_apart(x: Column, y: Column) -> Column:
+    """Number of bits in which two bitmaps (arrays of longs) differ.  The sets'
+    sizes lie within a factor of two, so at most one fold makes them equal."""
+    n = F.least(F.size(x), F.size(y))
+    fold = lambda a: F.when(F.size(a) > n, F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(a)
+    return F.aggregate(F.zip_with(fold(x), fold(y), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda acc, c: acc + c)
+
+
 def _lister(levels, small: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -241,8 +251,10 @@ def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     lists = entries.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo <> hi")
     lists = keep(lists.select("h", "c"), "jaccard-lists")
     members = keep(entries.join(lists, "h"), "jaccard-members")
+    drop(lists)
     degree = members.groupBy("node").agg(F.sum("c").alias("degree"))
     ranked = keep(members.join(degree, "node").select("h", "node", "n", "degree"), "jaccard-ranked")
+    drop(members)
     centre = ranked.groupBy("h").agg(F.max(F.struct("degree", (-F.col("node")).alias("neg"), "n")).alias("top"))
     star = (ranked.join(centre, "h").select("node", "n", (-F.col("top.neg")).alias("c"), F.col("top.n").alias("cn"))
             .where(f"node <> c AND 100 * least(n, cn) >= {PERCENT} * greatest(n, cn)").select(F.col("c").alias("a"), F.col("node").alias("b")))
@@ -251,10 +263,19 @@ def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     few = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted       # 8 bytes an id
     listed = keep(texts.join(few, texts["doc_id"] == wanted["node"]).select("node", "text"), "jaccard-texts")
 
+    bits = nodes.dropDuplicates(["node"]).select("node", "n", "bits")
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The linked ones of the pairs (a, b): sizes and bitmaps rule most others
+        out, then the whole sets are compared."""
+        tested = pairs.distinct().join(bits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a") \
+            .join(bits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
+        # linked sets differ in at most (100 - PERCENT) / (100 + PERCENT) of their sizes' sum
+        close = tested.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").where(
+            _bits_apart(F.col("xa"), F.col("xb")) * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)).select("a", "b")
+        close = keep(close, "jaccard-close")
         left, right = listed.select(F.col("node").alias("a"), F.col("text").alias("text_a")), listed.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        with_texts = pairs.distinct().join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-        return keep(with_texts.mapInArrow(_verify, "a long, b long"), name)
+        return keep(close.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), name)
 
     same_id = sets.join(classes, ["k1", "k2", "n"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("all")) \
         .where("size(all) > 1").select("a", F.explode("all").alias("b")).where("a <> b")
@@ -270,13 +291,7 @@ def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
                     & F.expr(f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"))
              .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
-    bits = nodes.dropDuplicates(["node"]).select("node", "n", "bits")
-    tested = pairs.join(bits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a") \
-        .join(bits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
-    apart_by = sum((F.bit_count(F.get("xa", F.lit(i)).bitwiseXOR(F.get("xb", F.lit(i)))) for i in range(_BITS // 64)), F.lit(0))
-    # linked sets differ in at most (100 - PERCENT) / (100 + PERCENT) of their sizes' sum
-    close = tested.where(apart_by * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)).select("a", "b")
-    more = verified(close, "jaccard-more")
+    more = verified(pairs, "jaccard-more")
     if more.limit(1).count():
         found = components(edges.unionByName(more))
 
