@@ -9,7 +9,7 @@
 
 Every command prints its report as JSON lines on stdout (reports are small:
 one row per file, view or document).  The session is the one spark-submit
-provides; run locally it is built with the settings of ``faclake.session``.
+provides, with its master and memory.
 """
 
 from __future__ import annotations
@@ -22,11 +22,17 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    from .session import build_session
-    return build_session()
+    """The session of spark-submit.  Master, memory and shuffle partitions are the
+    submit arguments' affair; of our SQL settings only those are set that can be
+    set at run time and that nobody has set."""
+    from .session import SCALE_CONF, ship_package
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName("faclake").config("spark.ui.enabled", "false").getOrCreate()
+    given = dict(spark.sparkContext.getConf().getAll())
+    for key, value in SCALE_CONF.items():
+        if key not in given and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    ship_package(spark)
+    return spark
 
 
 def _print(df) -> None:
@@ -120,7 +126,11 @@ def main(argv: list[str] | None = None) -> int:
         from pyspark.sql import functions as F
         from .operators import schema as S
         reg = S.scan_schema_docs(spark, args.schemas).where(F.col("table_name") == args.table)
-        _print(S.describe_schema(reg))
+        found = S.describe_schema(reg)
+        if not found.limit(1).count():
+            print(json.dumps({"table": args.table, "status": "not found"}))
+            return 1
+        _print(found)
     return 0
 
 

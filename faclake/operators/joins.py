@@ -60,36 +60,36 @@ def bridge_dimension(bridge: DataFrame, bridge_key: str, bridge_cols, facility:
 
 
 def hot_keys(df: DataFrame, key: str, hot_fraction: float = 1 / 64) -> list:
-    """Keys holding at least ``hot_fraction`` of the rows of ``df``.
+    """Keys holding more than ``hot_fraction`` of the rows of ``df``, largest first.
 
-    The counts are pre-aggregated per key (map-side combine), then only the
-    keys over the threshold come to the driver: there can be at most
-    ``1/hot_fraction`` of them, so the list has a proven size bound.
+    One pass: counts are pre-aggregated per key (map-side combine) and the largest
+    of them come to the driver with the total.  Fewer than ``1 / hot_fraction``
+    keys can hold more than that share each, so that many counts are enough.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    if total == 0:
-        return []
-    threshold = max(1, int(total * hot_fraction))
-    bound = int(1 / hot_fraction) + 1
-    rows = counts.where(F.col("n") >= threshold).select(key).limit(bound).collect()
-    return [r[0] for r in rows]
+    most = int(1 / hot_fraction) + 1
+    # the total travels with the rows: grouping sets give it from the same counts
+    rows = (counts.rollup(key).agg(F.sum("n").alias("n"), F.grouping(key).alias("all"))
+            .orderBy(F.col("all").desc(), F.col("n").desc(), key).limit(most + 1).collect())
+    total = rows[0]["n"] or 0 if rows else 0
+    return [r[0] for r in rows[1:] if r["n"] > total * hot_fraction]
 
 
 def salted_join(big: DataFrame, big_key: str, dim: DataFrame, dim_key: str = KEY,
                 hot_fraction: float = 1 / 64, buckets: int = 32) -> DataFrame:
     """Inner equi-join that spreads hot keys of ``big`` over ``buckets`` tasks.
 
-    The salt of a fact row is a hash of the whole row, so it is the same on
-    every task retry (no random numbers); the dimension rows of hot keys are
-    replicated once per salt, every other row gets salt 0.
+    The salt of a fact row is its row number within its input partition, so equal
+    rows of a hot key spread as well; a retried task numbers the rows of its
+    partition as before if ``big`` comes from a scan (write a shuffled one first).  The dimension rows of
+    hot keys are replicated once per salt, every other row gets salt 0.
     """
     hot = hot_keys(big, big_key, hot_fraction)
     if not hot:
         return big.join(dim, big[big_key] == dim[dim_key])
     is_hot_big = F.col(big_key).isin(hot)
     b = big.withColumn("__salt_b", F.when(
-        is_hot_big, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
+        is_hot_big, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
         .otherwise(F.lit(0)))
     d = dim.withColumn("__salt_d", F.explode(F.when(
         F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1)))

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import re
+import threading
 import uuid
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,22 +29,115 @@ class Forbidden(PermissionError):
     pass
 
 
-# a ';' followed only by blanks and line comments up to the end
-_TRAILING_SEMI = re.compile(r";(?=(?:\s|;|--[^\n]*)*$)")
-
-
-def guard_select(sql: str | None) -> str:
-    """Accept read-only queries only.
-
-    The text must mention ``select`` (case-insensitive), as before; then it is
-    wrapped as a subquery, so anything that is not a single query (DROP,
-    INSERT, several statements) fails to parse instead of running.  A final
-    ``;`` is dropped; the line breaks keep a trailing ``--`` comment inside.
+def strip_final_semicolon(sql: str) -> str:
+    """``sql`` without a ``;`` that only blanks, comments and further ``;`` follow.
+    One pass: strings, quoted names and comments are stepped over."""
+    i, n, cut = 0, len(sql), None
+    while i < n:
+        c = sql[i]
+        if sql.startswith("--", i):
+            end = sql.find("\n", i)
+            i = n if end < 0 else end
+            continue
+        if sql.startswith("/*", i):
+            end = sql.find("*/", i + 2)
+            i = n if end < 0 else end + 2
+            continue
+        if c in "'\"`":
+            i, cut = _after_quoted(sql, i), None
+            continue
+        if c == ";":
+            cut = i if cut is None else cut
+        elif not c.isspace():
+            cut = None
+        i += 1
+    return sql if cut is None else sql[:cut]
+
+
+def _after_quoted(sql: str, start: int) -> int:
+    quote, i = sql[start], start + 1
+    while i < len(sql):
+        if sql[i] == "\\" and quote != "`":
+            i += 2
+            continue
+        if sql[i] == quote:
+            return i + 1
+        i += 1
+    return i
+
+
+# What a query may be made of besides the registered view.
+LEAVES = ("OneRowRelation", "UnresolvedInlineTable", "LocalRelation", "Range")
+TABLE_FUNCTIONS = ("range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack")
+REFUSED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _check_plan(spark: SparkSession, plan, views: set[str]) -> None:
+    """Walk the parsed, unresolved plan: nothing in it has been looked up or run."""
+    forname = spark._jvm.java.lang.Class.forName
+    holds_plan = forname("org.apache.spark.sql.catalyst.expressions.PlanExpression")
+    todo = [("plan", plan, views)]
+    while todo:
+        kind, node, known = todo.pop()
+        name = node.getClass().getSimpleName()
+        if kind == "expression":
+            if name == "UnresolvedFunction":
+                function = ".".join(_items(node.nameParts())).lower()
+                if function.split(".")[-1] in REFUSED_FUNCTIONS:
+                    raise Forbidden(f"function {function} is not allowed")
+            if "UnresolvedIdentifier" in name:
+                raise Forbidden("IDENTIFIER() is not allowed")
+            if holds_plan.isInstance(node):
+                todo.append(("plan", node.plan(), known))
+            todo += [("expression", e, known) for e in _items(node.children())]
+            continue
+        if name == "UnresolvedWith":
+            # a table expression may name those before it, and itself
+            own = set(known)
+            for pair in _items(node.cteRelations()):
+                own = own | {pair.productElement(0).lower()}
+                todo.append(("plan", pair.productElement(1), own))
+            known = own
+        if "UnresolvedIdentifier" in name or "Transformation" in name or "Command" in name:
+            raise Forbidden(f"{name} is not allowed")
+        if name == "UnresolvedRelation":
+            parts = _items(node.multipartIdentifier())
+            if len(parts) != 1 or parts[0].lower() not in known:
+                raise Forbidden(f"only the opened table can be read, not {'.'.join(parts)}")
+        elif name == "UnresolvedTableValuedFunction":
+            function = ".".join(_items(node.name())).lower()
+            if function not in TABLE_FUNCTIONS:
+                raise Forbidden(f"table function {function} is not allowed")
+        elif not node.children().size() and name != "UnresolvedWith" and name not in LEAVES:
+            raise Forbidden(f"{name} is not allowed")
+        todo += [("expression", e, known) for e in _items(node.expressions())]
+        todo += [("plan", p, known) for p in _items(node.children())]
+
+
+def guard_select(sql: str | None, spark: SparkSession | None = None, views=()) -> str:
+    """Accept one read-only query over the registered ``views`` only.
+
+    The text is wrapped as a subquery, so that anything but a single query fails
+    to parse (the line breaks keep a trailing ``--`` comment inside), and the
+    parsed plan is checked before anything in it is resolved: its leaves are the
+    given views, table expressions of the query itself, literals or harmless
+    table functions.  Paths, other tables, script transforms and calls into Java
+    raise ``Forbidden``.
     """
-    if not sql or "select" not in sql.lower():
+    if not sql or not sql.strip():
         raise Forbidden("only SELECT queries are allowed")
-    body = _TRAILING_SEMI.sub("", sql)
-    return f"SELECT * FROM (\n{body}\n)"
+    wrapped = f"SELECT * FROM (\n{strip_final_semicolon(sql)}\n)"
+    spark = spark or SparkSession.getActiveSession()
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(wrapped)
+    except ParseException as e:
+        raise Forbidden("only a single SELECT query is allowed") from e
+    _check_plan(spark, plan, {v.lower() for v in views})
+    return wrapped
 
 
 def open_table(session: SparkSession, lake: Lake, table: str, limit: int | None = None,
@@ -52,16 +145,45 @@ def open_table(session: SparkSession, lake: Lake, table: str, limit: int | None
     """The base table read in ``session``, limited first, and kept in
     memory when it is a hot table (the cache is shared by all sessions of the
     application, so every request after the first reads it from memory)."""
-    if not lake.exists(table):
-        raise TableNotFound(table)
-    df = session.read.format(lake.fmt).load(lake.path(table))
+    df = lake.reader(table, session)
     if limit:
         return df.limit(int(limit))
     if table in hot_tables:
-        return df.cache()
+        return _HOT.get(lake, table, df)
     return df
 
 
+class HotTables:
+    """Q4: hot tables kept in memory, one version each.  The version is asked on
+    every use; a new one releases the table held before."""
+
+    def __init__(self):
+        self._held: dict[tuple, tuple[str, DataFrame]] = {}
+        self._lock = threading.Lock()
+
+    def get(self, lake: Lake, table: str, df: DataFrame) -> DataFrame:
+        key, version = (lake.spark.sparkContext.applicationId, lake.path(table)), lake.version(table)
+        with self._lock:
+            held = self._held.get(key)
+            if held and held[0] == version:
+                return df                       # the same plan: it reads the rows in memory
+            if held:
+                held[1].unpersist()
+            self._held[key] = (version, df.cache())
+            return df
+
+    def release(self) -> None:
+        """Drop all tables held."""
+        with self._lock:
+            for _, df in self._held.values():
+                df.unpersist()
+            self._held.clear()
+
+
+_HOT = HotTables()
+release_hot_tables = _HOT.release
+
+
 def run_query(spark: SparkSession, lake: Lake, table: str, sql: str,
               limit: int | None = None, hot_tables=HOT_TABLES) -> DataFrame:
     """Q1: run a guarded SELECT over one table.
@@ -70,28 +192,15 @@ def run_query(spark: SparkSession, lake: Lake, table: str, sql: str,
     so concurrent requests never see each other's views.  Its name has ``-``
     replaced by ``_`` so every table can be addressed.
     """
-    wrapped = guard_select(sql)
+    alias = clean_identifier_py(table)
     session = spark.newSession()
-    open_table(session, lake, table, limit, hot_tables).createOrReplaceTempView(
-        clean_identifier_py(table))
+    wrapped = guard_select(sql, session, [alias])
+    open_table(session, lake, table, limit, hot_tables).createOrReplaceTempView(alias)
     return session.sql(wrapped)
 
 
 # ------------------------------------------------------------------ Q2
 
-def table_version(spark: SparkSession, path: str) -> str:
-    """Version stamp of a stored table: file count, bytes and newest file
-    time, from a file listing (contents are not read)."""
-    try:
-        r = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(path)
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
-                  F.max("modificationTime").alias("t")).first())
-    except AnalysisException:
-        return "absent"
-    return f"{r.n}:{r.b}:{r.t}"
-
-
 def result_key(table: str, limit: int | None, sql: str, version: str) -> str:
     """Q2: the reuse key covers table, limit, SQL text and table version, so a
     refresh or another table never answers with a stale result."""
@@ -131,8 +240,8 @@ def cached_query(spark: SparkSession, lake: Lake, store: ResultStore, log_path:
                  table: str, sql: str, limit: int | None = None, ip: str | None = None):
     """Q1+Q2+Q3: answer from the store when the same (table, limit, SQL,
     version) ran before, else run, save, log.  Returns (DataFrame, hit)."""
-    guard_select(sql)
-    key = result_key(table, limit, sql, table_version(spark, lake.path(table)))
+    guard_select(sql, spark, [clean_identifier_py(table)])
+    key = result_key(table, limit, sql, lake.version(table))
     hit = store.get(key)
     if hit is not None:
         return hit, True

@@ -44,6 +44,8 @@ def ingest_file(spark: SparkSession, lake: Lake, csv_path: str, mapping: Mapping
     name = os.path.basename(csv_path.rstrip("/"))
     table = file_stem_py(name)
     doc = resolve(name, mapping)
+    if not name.lower().endswith((".csv", ".csv.gz")):
+        return Q.RunRecord(name, table, "skipped", message="not a CSV file")
     if doc is None:
         # Reported, never deleted.
         return Q.RunRecord(name, table, "unmapped", message="no schema mapping")
@@ -51,46 +53,63 @@ def ingest_file(spark: SparkSession, lake: Lake, csv_path: str, mapping: Mapping
         schema = S.struct_for(registry, doc)
         drift = None
         if check_header:
-            drift = header_drift(spark, csv_path, schema).where("NOT same").count()
+            drift = header_drift(spark, csv_path, schema, **scan_opts).where("NOT same").count()
         changed = None
         if lake.exists(table):
             changed = S.schemas_differ(lake.read(table).schema, schema)
         malformed = None
-        if count_malformed:
-            df = scan_csv(spark, csv_path, schema, keep_corrupt=True, **scan_opts)
-            written, malformed = Q.observed_write_with_malformed(df, CORRUPT, lambda d: lake.write(d, table))
-        else:
-            df = scan_csv(spark, csv_path, schema, **scan_opts)
-            written = Q.observed_write(df, lambda d: lake.write(d, table))
+        with lake.replace(table) as new:
+            if count_malformed:
+                df = scan_csv(spark, csv_path, schema, keep_corrupt=True, **scan_opts)
+                written, malformed = Q.observed_write_with_malformed(df, CORRUPT, new.write)
+            else:
+                df = scan_csv(spark, csv_path, schema, **scan_opts)
+                written = Q.observed_write(df, new.write)
+            stored = new.read().count()
+            if not Q.row_parity(written, stored):
+                raise ValueError(f"row count mismatch: {written} read, {stored} stored")
         # the table's schema document, stored next to it
         (registry.where(F.col("schema_file") == F.lit(doc)).coalesce(1)
          .write.mode("overwrite").parquet(lake.schema_path(table)))
-        stored = lake.read(table).count()
-        status = "ingested" if Q.row_parity(written, stored) else "failed"
-        msg = None if status == "ingested" else "row count mismatch"
-        return Q.RunRecord(name, table, status, written, stored, changed, msg, malformed, drift)
+        return Q.RunRecord(name, table, "ingested", written, stored, changed, None, malformed, drift)
     except Exception as e:  # noqa: BLE001 -- a bad file must not stop the run
-        return Q.RunRecord(name, table, "failed", message=f"{type(e).__name__}: {e}"[:500])
+        return Q.RunRecord(name, table, "failed", message=f"{type(e).__name__}: {e}")
 
 
-def list_landing(spark: SparkSession, landing_dir: str, pattern: str = "*.{csv,csv.gz}") -> list[str]:
-    """File paths in the landing folder (plain or gzip CSV; a ``.gz`` file
-    is read by one task, so large ones are better expanded first).  Uses the
+def list_landing(spark: SparkSession, landing_dir: str) -> list[str]:
+    """Every file below the landing folder, whatever its name.  Uses the
     binaryFile source for the listing only -- the ``content`` column is never
     selected, so no file is read; the list of names (not data) comes to the
-    driver."""
-    rows = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    driver.  A ``.gz`` file is read by one task, so large ones are better
+    expanded first."""
+    rows = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .load(landing_dir).select("path").collect())
     return sorted(r.path for r in rows)
 
 
 def ingest_landing(spark: SparkSession, lake: Lake, landing_dir: str, mapping: Mapping[str, str],
                    registry: DataFrame, parallel: int = 4, **scan_opts) -> DataFrame:
-    """Ingest every CSV of a landing folder; returns the run report."""
+    """Ingest every CSV of a landing folder; returns the run report, a row for
+    each file.  Files of one stem would replace each other's table: none of them
+    is ingested, each is reported as a ``clash``.  Other files are ``skipped``."""
     paths = list_landing(spark, landing_dir)
+    tables: dict[str, list[str]] = {}
+    for p in paths:
+        if p.lower().endswith((".csv", ".csv.gz")):
+            tables.setdefault(file_stem_py(os.path.basename(p)), []).append(p)
+
+    def one(path: str) -> Q.RunRecord:
+        name = os.path.basename(path)
+        table = file_stem_py(name)
+        same = tables.get(table, [])
+        if path in same and len(same) > 1:
+            return Q.RunRecord(name, table, "clash", message=f"{len(same)} files for one table")
+        return ingest_file(spark, lake, path, mapping, registry, **scan_opts)
+
     registry = registry.cache()
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        records = list(pool.map(
-            lambda p: ingest_file(spark, lake, p, mapping, registry, **scan_opts), paths))
-    registry.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            records = list(pool.map(one, paths))
+    finally:
+        registry.unpersist()
     return Q.report(spark, records)

@@ -10,6 +10,7 @@ also cuts the lineage, so a lost executor never recomputes the facility join.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ..functions import clean_identifier_py
 from ..operators import crosswalk as X
 from ..operators import joins as J
 from ..operators import quality as Q
-from ..sources.tables import Lake
+from ..sources.tables import Files, Lake
 from .views import VIEWS, ViewSpec, build_view, derivable_from, facility_columns_used
 
 FACILITY = "ECHO_EXPORTER"
@@ -30,7 +31,8 @@ def rebuild_crosswalk(lake: Lake) -> int:
     """X2 + K3/K4: one scan of the facility table, idempotent overwrite.
     Returns the number of crosswalk rows written."""
     xw = X.build_crosswalk(lake.read(FACILITY))
-    return Q.observed_write(xw, lambda d: X.write_crosswalk(d, lake.path(CROSSWALK)))
+    with lake.replace(CROSSWALK) as new:
+        return Q.observed_write(xw, lambda d: new.write(d, ["PGM"]))
 
 
 def dimension_columns(specs=VIEWS) -> list[str]:
@@ -55,7 +57,8 @@ def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> Data
     spark = lake.spark
     table = dimension_table(lake)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-    (dim.write.mode("overwrite").format(lake.fmt).partitionBy("PGM")
+    # one task per bucket, so a program has at most one file in each
+    (dim.repartition(buckets, J.KEY).write.mode("overwrite").format(lake.fmt).partitionBy("PGM")
      .bucketBy(buckets, J.KEY).sortBy(J.KEY)
      .option("path", lake.path(DIMENSION)).saveAsTable(table))
     return spark.table(table)
@@ -67,29 +70,10 @@ def dimension_table(lake: Lake) -> str:
     return f"faclake_{hashlib.sha1(lake.root.encode()).hexdigest()[:10]}.facility_by_program"
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """On-disk size of a stored table or partition, from a file listing."""
-    from pyspark.sql import functions as F
-    try:
-        r = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).first())
-    except Exception:  # noqa: BLE001 -- absent partition
-        return 0
-    return int(r[0] or 0)
-
-
-def dimension_sizes(lake: Lake) -> dict[str, int]:
-    """On-disk bytes of each program partition of the stored dimension, from
-    one file listing (one row per program reaches the driver)."""
-    from pyspark.sql import functions as F
-    try:
-        rows = (lake.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                .option("pathGlobFilter", "*.parquet").load(lake.path(DIMENSION))
-                .select(F.regexp_extract("path", r"/PGM=([^/]+)/", 1).alias("pgm"), "length")
-                .groupBy("pgm").agg(F.sum("length").alias("bytes")).collect())
-    except Exception:  # noqa: BLE001 -- no dimension stored
-        return {}
-    return {r.pgm: int(r.bytes) for r in rows}
+def dimension_sizes(lake: Lake, specs=VIEWS) -> dict[str, int | None]:
+    """On-disk bytes of each program partition of the stored dimension; None where
+    it has no such partition."""
+    return {p: lake.bytes(DIMENSION, f"PGM={p}") for p in {s.program for s in specs if s.program}}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -104,8 +88,9 @@ def broadcast_limit(spark: SparkSession) -> int:
     return n if n > 0 else 32 << 20
 
 
-# parquet on disk -> rows in memory: a conservative expansion factor
-PARQUET_EXPANSION = 5
+# parquet on disk -> rows in memory: dictionary and zstd pages of text columns
+# hold up to some twenty times their size
+PARQUET_EXPANSION = 20
 
 
 def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
@@ -130,10 +115,9 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                       if not (t == CROSSWALK and shared_dim is not None)}
             small = False
             if shared_dim is not None and spec.shape == "crosswalk":
-                size = dim_bytes if dim_bytes is not None else \
-                    stored_bytes(lake.spark, f"{lake.path(DIMENSION)}/PGM={spec.program}")
                 limit = broadcast_max_bytes or broadcast_limit(lake.spark)
-                small = size * PARQUET_EXPANSION <= limit
+                # an unknown size is not a small one
+                small = dim_bytes is not None and dim_bytes * PARQUET_EXPANSION <= limit
             df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
         written = Q.observed_write(df, lambda d: lake.write(d, spec.name))
         status = "ok" if written > 0 else "empty"
@@ -141,7 +125,7 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                            None if written else "view has no rows")
     except Exception as e:  # noqa: BLE001 -- a failure skips this view only
         return Q.RunRecord(spec.name, lake.path(spec.name), "failed",
-                           message=f"{type(e).__name__}: {e}"[:500])
+                           message=f"{type(e).__name__}: {e}")
 
 
 def _use_pool(spark: SparkSession, pool: str) -> None:
@@ -164,8 +148,7 @@ def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[st
     _use_pool(spark, f"view-{name}")
     try:
         for t in tables:
-            session.read.format(lake.fmt).load(lake.path(t)).createOrReplaceTempView(
-                clean_identifier_py(t))
+            lake.reader(t, session).createOrReplaceTempView(clean_identifier_py(t))
         written = None
         for st in statements:
             if "CREATE OR REPLACE TEMP VIEW" in st.upper():
@@ -175,38 +158,24 @@ def run_sql_view(spark: SparkSession, lake: Lake, name: str, statements: list[st
         status = "ok" if written else "empty"
         return Q.RunRecord(name, lake.path(name), status, written, written)
     except Exception as e:  # noqa: BLE001
-        return Q.RunRecord(name, lake.path(name), "failed", message=f"{type(e).__name__}: {e}"[:500])
+        return Q.RunRecord(name, lake.path(name), "failed", message=f"{type(e).__name__}: {e}")
 
 
 STATE = "_REFRESH_STATE"
 
 
 def table_versions(lake: Lake) -> dict[str, str]:
-    """Version stamp (file count, bytes, newest modification time) of every
-    stored table, from one file listing of the lake; one row per table
-    reaches the driver.  Internal tables (names starting with ``_``, like the
-    shared dimension) are hidden from Spark's listings and not included; the
-    dimension's own signature is built from its inputs instead."""
-    import posixpath
-    import re
-    from pyspark.sql import functions as F
-    root = lake.path("__x__").rsplit("__x__", 1)[0].rstrip("/")
-    parent = re.escape(posixpath.basename(root))   # the folder holding the tables
-    try:
-        rows = (lake.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                .option("pathGlobFilter", "*.parquet").load(root)
-                .select(F.regexp_extract("path", rf"/{parent}/([^/]+)/", 1).alias("t"),
-                        "length", "modificationTime")
-                .groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
-                                  F.max("modificationTime").alias("m"))
-                .collect())
-    except Exception:  # noqa: BLE001 -- empty lake
-        return {}
-    return {r.t: f"{r.n}:{r.b}:{r.m}" for r in rows if r.t}
+    """Version stamp (``Lake.version``) of every stored table.  Internal tables
+    (names starting with ``_``) are left out."""
+    root = lake.path("x").rsplit("x", 1)[0].rstrip("/")
+    names = [n for n in Files(lake.spark, root).names() if not n.startswith(("_", "."))]
+    found = {t: lake.version(t) for t in sorted(names)}
+    return {t: v for t, v in found.items() if v != "absent"}
 
 
 def _signature(tables, versions) -> str:
-    return "|".join(f"{t}={versions.get(t, 'absent')}" for t in sorted(set(tables)))
+    """Of the tables' versions; a missing table never equals a missing one."""
+    return "|".join(f"{t}={versions.get(t) or f'absent-{uuid.uuid4().hex}'}" for t in sorted(set(tables)))
 
 
 def _read_state(lake: Lake) -> dict[str, str]:
@@ -307,15 +276,15 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
                     state[DIMENSION] = dim_sig
             except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
                 shared = None
-        sizes = dimension_sizes(lake) if shared is not None else {}
+        sizes = dimension_sizes(lake, first) if shared is not None and not dimension_buckets else {}
         futures.update({s.name: pool.submit(materialise_view, lake, s, shared, skew, broadcast_max_bytes,
-                                            None, sizes.get(s.program, 0) if sizes else None)
+                                            None, sizes.get(s.program))
                         for s in first if s.shape == "crosswalk"})
         done = {name: f.result() for name, f in futures.items()}
 
         def second(s):
             if done[derived[s.name].name].status != "ok":   # base failed or empty: join directly
-                return materialise_view(lake, s, shared, skew, broadcast_max_bytes)
+                return materialise_view(lake, s, shared, skew, broadcast_max_bytes, None, sizes.get(s.program))
             return materialise_view(lake, s, shared, skew, broadcast_max_bytes, base=derived[s.name])
         done.update({r.name: r for r in pool.map(second, [s for s in specs if s.name in derived])})
     records += [done[s.name] for s in specs]

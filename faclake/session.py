@@ -68,8 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the operator to a shared file system; we
-    read it from the session.  Only when it is unset (tests, local runs) do we
-    pick a fresh local folder and register it.
+    read it from the session.  Only a local master (tests, local runs) may leave
+    it unset: then we pick a fresh local folder and register it.  On a cluster
+    each executor would write to a folder of its own, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -79,6 +80,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="faclake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None:

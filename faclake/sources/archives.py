@@ -16,13 +16,16 @@ Kinds by name, in this order: ``.zip``; ``.tar.gz`` / ``.tgz``; ``.gz``
 from __future__ import annotations
 
 import posixpath
+import uuid
+import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REPORT_DDL = "archive string, kind string, member string, target string, bytes long, status string, message string"
 CHUNK = 8 * 1024 * 1024
+TASK_BYTES = 128 * 1024 * 1024
 
 
 def archive_kind(name: str) -> str | None:
@@ -56,18 +59,25 @@ def _safe(member: str) -> bool:
     return not (member.startswith("/") or norm.startswith("..") or "/../" in f"/{norm}/")
 
 
-def _copy(src, fs, target_path: str) -> int:
-    parent = posixpath.dirname(target_path)
+def _copy(src, fs, target_path: str, size: int | None = None) -> int:
+    """Stream ``src`` to a hidden file of this attempt, and move it into place when
+    it is complete: a corrupt archive, a retry or a speculative task never leaves
+    part of a file under its final name."""
+    parent, base = posixpath.split(target_path)
     if parent:
         fs.create_dir(parent, recursive=True)
-    n = 0
-    with fs.open_output_stream(target_path, compression=None) as out:
-        while True:
-            buf = src.read(CHUNK)
-            if not buf:
-                break
-            out.write(buf)
-            n += len(buf)
+    hidden, n = posixpath.join(parent, f".{base}.{uuid.uuid4().hex}"), 0
+    try:
+        with fs.open_output_stream(hidden, compression=None) as out:
+            while buf := src.read(CHUNK):
+                out.write(buf)
+                n += len(buf)
+        if size is not None and n != size:
+            raise ValueError(f"{n} bytes instead of {size}")
+    except BaseException:
+        fs.delete_file(hidden)
+        raise
+    fs.move(hidden, target_path)
     return n
 
 
@@ -107,7 +117,7 @@ def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tu
                         rows.append((archive_uri, kind, m, _join(dest_uri, m), None, "exists", None))
                         continue
                     with z.open(info) as member:
-                        n = _copy(member, dst_fs, t)
+                        n = _copy(member, dst_fs, t, info.file_size)
                     rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "extracted", None))
         elif kind == "tar":
             with src_fs.open_input_stream(src_path, compression=None) as f, tarfile.open(fileobj=f, mode="r|gz") as tar:
@@ -122,7 +132,7 @@ def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tu
                     if skip_existing and _exists(dst_fs, t):
                         rows.append((archive_uri, kind, m, _join(dest_uri, m), None, "exists", None))
                         continue
-                    n = _copy(tar.extractfile(info), dst_fs, t)
+                    n = _copy(tar.extractfile(info), dst_fs, t, info.size)
                     rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "extracted", None))
         else:
             m = name[: -len(".gz")]
@@ -132,8 +142,8 @@ def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tu
             with src_fs.open_input_stream(src_path, compression=None) as f, gzip.GzipFile(fileobj=f) as g:
                 n = _copy(g, dst_fs, t)
             rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "extracted", None))
-    except (zipfile.BadZipFile, tarfile.TarError, gzip.BadGzipFile, EOFError, OSError, ValueError) as e:
-        rows.append((archive_uri, kind, None, None, None, "corrupt", f"{type(e).__name__}: {e}"[:300]))
+    except (zipfile.BadZipFile, tarfile.TarError, gzip.BadGzipFile, EOFError, OSError, ValueError, zlib.error) as e:
+        rows.append((archive_uri, kind, None, None, None, "corrupt", f"{type(e).__name__}: {e}"))
     return rows
 
 
@@ -145,23 +155,24 @@ def list_archives(spark: SparkSession, src: str, pattern: str | None = None) ->
     return r.load(src).select("path", "length")
 
 
-UNITS_DDL = "archive string, member string"
+UNITS_DDL = "archive string, member string, target string, bytes long"
 
 
-def _units(archive_uri: str) -> list[tuple]:
+def _units(archive_uri: str, length: int) -> list[tuple]:
     """Work units of one archive: one per zip member (read from the central
     directory only); a whole tar.gz / gz stream, or an unreadable zip, is one
     unit (member NULL)."""
     import zipfile
-    if archive_kind(archive_uri) != "zip":
-        return [(archive_uri, None)]
+    kind, name = archive_kind(archive_uri), posixpath.basename(archive_uri)
+    if kind != "zip":
+        return [(archive_uri, None, name[:-3] if kind == "gz" else None, length)]
     fs, path = _fs_and_path(archive_uri)
     try:
         with fs.open_input_file(path) as f, zipfile.ZipFile(f) as z:
-            members = [i.filename for i in z.infolist() if not i.is_dir()]
+            members = [(i.filename, i.file_size) for i in z.infolist() if not i.is_dir()]
     except (zipfile.BadZipFile, OSError, ValueError, EOFError):
-        return [(archive_uri, None)]
-    return [(archive_uri, m) for m in members] or [(archive_uri, None)]
+        return [(archive_uri, None, None, length)]
+    return [(archive_uri, m, posixpath.normpath(m), n) for m, n in members] or [(archive_uri, None, None, length)]
 
 
 def _expand_member(archive_uri: str, member: str, dest_uri: str, skip_existing: bool) -> tuple:
@@ -176,9 +187,9 @@ def _expand_member(archive_uri: str, member: str, dest_uri: str, skip_existing:
         return (archive_uri, kind, member, _join(dest_uri, member), None, "exists", None)
     try:
         with src_fs.open_input_file(src_path) as f, zipfile.ZipFile(f) as z, z.open(member) as m:
-            n = _copy(m, dst_fs, t)
-    except (zipfile.BadZipFile, EOFError, OSError, ValueError) as e:
-        return (archive_uri, kind, member, None, None, "corrupt", f"{type(e).__name__}: {e}"[:300])
+            n = _copy(m, dst_fs, t, z.getinfo(member).file_size)
+    except (zipfile.BadZipFile, EOFError, OSError, ValueError, zlib.error) as e:
+        return (archive_uri, kind, member, None, None, "corrupt", f"{type(e).__name__}: {e}")
     return (archive_uri, kind, member, _join(dest_uri, member), n, "extracted", None)
 
 
@@ -187,36 +198,49 @@ def expand_archives(spark: SparkSession, src: str, dest: str, skip_existing: boo
     """Expand every archive under ``src`` into ``dest``; returns the report
     (one row per member, or one row per unsupported/corrupt archive).
 
-    Two stages: the archives are spread one per task and each lists its work
-    units (zip members from the central directory; a tar.gz / gz stream is one
-    unit because it can only be read front to back); the units are then
-    spread one per task and extracted.  A zip holding several large files is
-    therefore expanded by several tasks at once.
+    Two stages: each archive lists its work units (zip members from the central
+    directory; a tar.gz / gz stream is one unit because it can only be read front
+    to back); the units are then extracted, a task for about ``TASK_BYTES`` of
+    them.  A zip holding several large files is expanded by several tasks at
+    once, a million small members are not a million tasks.  Zip members and gz
+    files that would share a name are not extracted but reported as ``clash``
+    (names inside a tar.gz are only known while it is read).
     """
+    from ..session import scratch_path, ship_package
+    ship_package(spark)
     listing = list_archives(spark, src, pattern)
-    n = max(1, listing.count())
     cols = [c.split(" ")[0] for c in REPORT_DDL.split(", ")]
 
     def list_units(batches):
         for pdf in batches:
-            rows = [u for uri in pdf["path"] for u in _units(uri)]
-            yield pd.DataFrame(rows, columns=["archive", "member"])
-
-    units = (listing.repartitionByRange(n, "path").select("path")
-             .mapInPandas(list_units, UNITS_DDL)).cache()
-    m = max(1, units.count())
+            rows = [u for uri, n in zip(pdf["path"], pdf["length"]) for u in _units(uri, n)]
+            yield pd.DataFrame(rows, columns=["archive", "member", "target", "bytes"])
+
+    found = listing.agg(F.count(F.lit(1)).alias("n")).first().n
+    if not found:
+        return spark.createDataFrame([], REPORT_DDL)
+    path = scratch_path(spark, "archive-units")
+    (listing.repartitionByRange(max(1, min(found, 1000)), "path").mapInPandas(list_units, UNITS_DDL)
+     .withColumn("same", F.when(F.col("target").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy("target"))).otherwise(1))
+     .write.parquet(path))
+    units = spark.read.parquet(path)
+    total = units.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
+    tasks = max(1, min(total.n, max(64, int(total.b or 0) // TASK_BYTES + 1)))
 
     def extract(batches):
         for pdf in batches:
             out = []
-            for uri, member in zip(pdf["archive"], pdf["member"]):
-                if member is None or (isinstance(member, float) and pd.isna(member)):
+            for uri, member, same in zip(pdf["archive"], pdf["member"], pdf["same"]):
+                whole = member is None or (isinstance(member, float) and pd.isna(member))
+                if same > 1:
+                    out.append((uri, archive_kind(uri), None if whole else member, None, None, "clash", f"{same} members of one name"))
+                elif whole:
                     out.extend(_expand_one(uri, dest, skip_existing))
                 else:
                     out.append(_expand_member(uri, member, dest, skip_existing))
             yield pd.DataFrame(out, columns=cols)
 
-    return units.repartitionByRange(m, "archive", "member").mapInPandas(extract, REPORT_DDL)
+    return (units.select("archive", "member", "same").repartitionByRange(tasks, "archive", "member").mapInPandas(extract, REPORT_DDL))
 
 
 def pack_archives(spark: SparkSession, files: DataFrame, dest: str) -> DataFrame:

@@ -8,6 +8,9 @@ for plain files, so a large CSV is read by many tasks.
 
 from __future__ import annotations
 
+import csv
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -55,20 +58,42 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
             .when(F.lower(F.trim(b)).isin(*no), F.lit(False)) for b in bools})
 
 
-def header_drift(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header names of the first file next to the declared names, by position.
+def header_lines(spark: SparkSession, path: str, encoding: str | None = None) -> list[str]:
+    """The distinct first lines of all files at ``path`` (file, folder or glob);
+    of each file only its beginning is read, by the driver."""
+    from .tables import Files
+    files, lines = Files(spark, path), {}
+    for found in files.fs.globStatus(files.root) or []:
+        todo = [found]
+        while todo:
+            status = todo.pop()
+            name = status.getPath().getName()
+            if status.isDirectory():
+                todo += [x for x in files.fs.listStatus(status.getPath()) if not x.getPath().getName().startswith(("_", "."))]
+                continue
+            stream, data = files.fs.open(status.getPath()), b""
+            unzip = zlib.decompressobj(31) if name.lower().endswith(".gz") else None
+            try:
+                while b"\n" not in data and (part := bytes(stream.readNBytes(1 << 16))):
+                    data += unzip.decompress(part) if unzip else part
+            finally:
+                stream.close()
+            lines[data.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding or "utf-8", "replace").removeprefix("\ufeff")] = True
+    return list(lines)
+
+
+def header_drift(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+                 encoding: str | None = None, **_) -> DataFrame:
+    """Header names next to the declared names, by position, for every distinct
+    header among the files at ``path``; takes the scan's options.
 
     Columns: position, header_name, declared_name, same (case-insensitive).
-    Only the header line is parsed (``limit(1)`` on an untyped scan).
     """
-    raw = spark.read.option("header", False).option("inferSchema", False).csv(path).limit(1)
-    n = max(len(raw.columns), len(schema.fields))
-    pad = lambda k: [F.lit(None).cast("string")] * k
-    header = F.array(*[F.col(c) for c in raw.columns], *pad(n - len(raw.columns)))
-    declared = F.array(*[F.lit(f.name) for f in schema.fields], *pad(n - len(schema.fields)))
-    pairs = raw.select(header.alias("header_name"), declared.alias("declared_name"))
-    return (pairs.select(F.posexplode(F.arrays_zip("header_name", "declared_name"))
-                         .alias("position", "pair"))
-            .select("position", "pair.header_name", "pair.declared_name")
-            .withColumn("same", F.coalesce(
-                F.upper(F.trim("header_name")) == F.upper("declared_name"), F.lit(False))))
+    rows = []
+    for line in header_lines(spark, path, encoding):
+        header = next(csv.reader([line], delimiter=sep), [])
+        for i in range(max(len(header), len(schema.fields))):
+            name = header[i] if i < len(header) else None
+            declared = schema.fields[i].name if i < len(schema.fields) else None
+            rows.append((i, name, declared, name is not None and declared is not None and name.strip().upper() == declared.upper()))
+    return spark.createDataFrame(rows, "position int, header_name string, declared_name string, same boolean")

@@ -4,22 +4,96 @@ A lake is a root folder with one parquet (or delta, when the session has it)
 table per data file at ``<root>/files/<NAME>`` and its schema document at
 ``<root>/schemas/<NAME>``.  The layout is a template, so a folder of
 ``<name>.parquet`` files (the test data) is a lake too.
+
+A table is replaced as a whole: the new rows go to a folder of their own below
+the table's, and only when they are complete (and checked) does the small file
+``_current`` name that folder.  A failed write leaves the old rows readable; the
+version before the current one stays for readers that opened it.  A folder
+without that file is a plain table of parquet files.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import time
+import uuid
+from contextlib import contextmanager
+from dataclasses import dataclass
+from typing import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import clean_identifier_py
 
+POINTER, VERSION = "_current", "version-"
+
 
 class TableNotFound(LookupError):
     pass
 
 
+class Files:
+    """The few file operations of the driver, by Hadoop's file system of the path
+    (whatever scheme the session's reads and writes can reach)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
+        self.root = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.root, name) if name else self.root
+
+    def exists(self, name: str = "") -> bool:
+        return self.fs.exists(self._path(name))
+
+    def names(self) -> list[str]:
+        return [x.getPath().getName() for x in self.fs.listStatus(self.root)] if self.exists() else []
+
+    def is_file(self) -> bool:
+        return self.exists() and self.fs.getFileStatus(self.root).isFile()
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._path(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def replace(self, name: str, text: str) -> None:
+        """Write a small file under another name, then move it into place."""
+        fresh = self._path(f".{name}-{uuid.uuid4().hex}")
+        stream = self.fs.create(fresh, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        options = self.jvm.org.apache.hadoop.fs.Options.Rename
+        overwrite = self._gateway.new_array(options, 1)
+        overwrite[0] = options.OVERWRITE
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf())
+        context.rename(self.fs.makeQualified(fresh), self.fs.makeQualified(self._path(name)), overwrite)
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self._path(name), True)
+
+
+class Staged:
+    """A new version of a table: written, but not yet the table."""
+
+    def __init__(self, lake: "Lake", path: str):
+        self.lake, self.path = lake, path
+
+    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        w = df.write.format(self.lake.fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(self.path)
+
+    def read(self) -> DataFrame:
+        return self.lake.spark.read.format(self.lake.fmt).load(self.path)
+
+
 @dataclass
 class Lake:
     spark: SparkSession
@@ -27,7 +101,6 @@ class Lake:
     layout: str = "{root}/files/{name}"
     schema_layout: str = "{root}/schemas/{name}"
     fmt: str = "parquet"
-    _cached: dict = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return self.layout.format(root=self.root.rstrip("/"), name=name)
@@ -35,26 +108,69 @@ class Lake:
     def schema_path(self, name: str) -> str:
         return self.schema_layout.format(root=self.root.rstrip("/"), name=name)
 
+    def _files(self, name: str) -> Files:
+        return Files(self.spark, self.path(name))
+
+    def current(self, name: str) -> str | None:
+        """The version that is the table now; None for a plain table."""
+        files = self._files(name)
+        return files.read(POINTER).strip() if self.fmt == "parquet" and files.exists(POINTER) else None
+
+    def location(self, name: str) -> str:
+        """Where the table's committed rows are; ``TableNotFound`` if nowhere."""
+        version = self.current(name)
+        if version:
+            return f"{self.path(name)}/{version}"
+        files = self._files(name)
+        rows = [x for x in files.names() if x == "_delta_log" or not x.startswith((".", "_", VERSION))]
+        if not rows and not files.is_file():              # nothing was ever committed
+            raise TableNotFound(name)
+        return self.path(name)
+
     def exists(self, name: str) -> bool:
-        """Does the stored table exist?  A metadata lookup on the driver
-        (no data is read); Spark is asked only when the file system is not
-        reachable from the driver process."""
-        found = path_exists(self.path(name))
-        if found is not None:
-            return found
+        """Is there a committed table?  A metadata lookup on the driver (no data
+        is read); an empty folder, or one of a failed first write, is none."""
         try:
-            self.spark.read.format(self.fmt).load(self.path(name)).schema
+            self.location(name)
             return True
-        except AnalysisException:
+        except TableNotFound:
             return False
 
-    def read(self, name: str) -> DataFrame:
-        """S3: open a stored table; ``TableNotFound`` when it is absent."""
+    def version(self, name: str) -> str:
+        """A stamp that changes with every change of the stored rows: version, and
+        number, bytes and newest time of the files.  Errors other than a missing
+        table are raised."""
+        try:
+            files = Files(self.spark, self.location(name))
+        except TableNotFound:
+            return "absent"
+        n = size = newest = 0
+        listing = files.fs.listFiles(files.root, True)
+        while listing.hasNext():
+            f = listing.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                n, size, newest = n + 1, size + f.getLen(), max(newest, f.getModificationTime())
+        return f"{self.current(name) or 'plain'}:{n}:{size}:{newest}"
+
+    def bytes(self, name: str, partition: str = "") -> int | None:
+        """On-disk bytes of a table or one of its partitions; None if there is none."""
         try:
-            return self.spark.read.format(self.fmt).load(self.path(name))
+            files = Files(self.spark, f"{self.location(name)}/{partition}".rstrip("/"))
+        except TableNotFound:
+            return None
+        return int(files.fs.getContentSummary(files.root).getLength()) if files.exists() else None
+
+    def reader(self, name: str, session: SparkSession) -> DataFrame:
+        path = self.location(name)
+        try:
+            return session.read.format(self.fmt).load(path)
         except AnalysisException as e:
             raise TableNotFound(name) from e
 
+    def read(self, name: str) -> DataFrame:
+        """S3: open a stored table; ``TableNotFound`` when it is absent."""
+        return self.reader(name, self.spark)
+
     def read_limited(self, name: str, limit: int | None) -> DataFrame:
         """The base table, cut to ``limit`` rows *before* any query runs."""
         df = self.read(name)
@@ -63,42 +179,40 @@ class Lake:
     def load(self, name: str, session: SparkSession | None = None) -> str:
         """S3: register the table as a temp view named with ``-`` -> ``_``."""
         alias = clean_identifier_py(name)
-        df = self.read(name)
-        if session is not None and session is not self.spark:
-            df = session.read.format(self.fmt).load(self.path(name))
-        df.createOrReplaceTempView(alias)
+        self.reader(name, session or self.spark).createOrReplaceTempView(alias)
         return alias
 
+    @contextmanager
+    def replace(self, name: str) -> Iterator[Staged]:
+        """K1/K2/K6: a new version of a table.  It becomes the table when the block
+        ends; if the block raises, it is removed and the old rows stay."""
+        files, before = self._files(name), self.current(name)
+        version = f"{VERSION}{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        try:
+            yield Staged(self, f"{self.path(name)}/{version}")
+            files.replace(POINTER, version)
+        except BaseException:
+            files.delete(version)
+            raise
+        for old in files.names():            # all but this version and the one before it
+            if old not in (POINTER, version, before) and (before is not None or old.startswith(VERSION)):
+                files.delete(old)
+
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> None:
-        """K1/K2: replace (or append to) a stored table.  A parquet overwrite
-        also replaces the schema, so schema evolution needs no extra option;
-        on delta ``overwriteSchema`` is set."""
+        """K1/K2: replace (or append to) a stored table.  A replacement also
+        replaces the schema, so schema evolution needs no extra option; delta has
+        versions of its own, there ``overwriteSchema`` is set."""
+        if self.fmt == "parquet" and mode == "overwrite":
+            with self.replace(name) as new:
+                new.write(df, partition_by)
+            return
         w = df.write.format(self.fmt).mode(mode)
         if self.fmt == "delta":
             w = w.option("overwriteSchema", "true")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(self.path(name))
-
-
-def path_exists(uri: str) -> bool | None:
-    """True/False when the path's file system answers, None when it cannot be
-    reached from here (then the caller asks Spark)."""
-    try:
-        from pyarrow import fs as pafs
-        if uri.startswith("file:/") and not uri.startswith("file:///"):
-            uri = "file:///" + uri[len("file:/"):].lstrip("/")
-        if "://" not in uri:
-            import os
-            uri = "file://" + os.path.abspath(uri)
-        for hadoop_scheme in ("s3a://", "s3n://"):
-            if uri.startswith(hadoop_scheme):
-                uri = "s3://" + uri[len(hadoop_scheme):]
-        fs, path = pafs.FileSystem.from_uri(uri)
-        return fs.get_file_info(path).type != pafs.FileType.NotFound
-    except Exception:  # noqa: BLE001
-        return None
+        w.save(self.location(name) if self.fmt == "parquet" and self.exists(name) else self.path(name))
 
 
 def folder_lake(spark: SparkSession, sf_dir: str) -> Lake:

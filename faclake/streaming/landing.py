@@ -15,7 +15,11 @@ every row that did not change.
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ..sources.tables import Lake
@@ -26,7 +30,9 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, schema: StructType,
                      max_files_per_trigger: int | None = None) -> dict:
     """Append the rows of new CSV files in ``landing_dir`` to ``table``.
 
-    Returns the last progress report (rows read in this run, batches).
+    The table stays a plain one (the file sink's commit log names its files).
+    Returns the rows and batches of this run, counted as each batch ends: the
+    query itself keeps the progress of its last batches only.
     """
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("mode", "PERMISSIVE"))
@@ -35,12 +41,37 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, schema: StructType,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir)
-    query = (stream.writeStream.format("parquet")
-             .option("path", lake.path(table))
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-    return {"rows": rows, "batches": len(query.recentProgress)}
+    name = f"landing-{uuid.uuid4().hex}"
+    counted, ended = {"rows": 0, "batches": 0, "run": None}, threading.Event()
+
+    class Progress(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            if event.name == name:
+                counted["run"] = str(event.runId)
+
+        def onQueryProgress(self, event):
+            if event.progress.name == name:
+                counted["rows"] += event.progress.numInputRows
+                counted["batches"] += 1
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            if str(event.runId) == counted["run"]:
+                ended.set()
+
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        query = (stream.writeStream.format("parquet").queryName(name)
+                 .option("path", lake.path(table))
+                 .option("checkpointLocation", checkpoint)
+                 .outputMode("append")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
+        ended.wait(60)                         # events come in order: all progress is in by then
+    finally:
+        spark.streams.removeListener(listener)
+    return {"rows": counted["rows"], "batches": counted["batches"]}

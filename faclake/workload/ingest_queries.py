@@ -119,30 +119,98 @@ def _row_parity(spark, sf_dir):
 def _batch(spark, sf_dir):
     root = scratch_path(spark, "lake")
     land = f"{root}/landing"
-    for name, df in [("part.csv", A.read(spark, sf_dir, "part")),
-                     ("supplier.csv", A.read(spark, sf_dir, "supplier")),
-                     ("orders.csv", _orders_csv(spark, sf_dir)),
-                     ("nation.csv", A.read(spark, sf_dir, "nation")),
-                     ("customer.csv", A.read(spark, sf_dir, "customer"))]:
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{land}/{name}")
-    mapping = {"part.csv": "part_schema.json", "supplier.csv": "supplier_schema.json",
-               "orders.csv": "orders_schema.json", "customer.csv": "customer_missing.json"}
-    reg = registry_of(spark, {"part_schema.json": PART_COLUMNS, "supplier_schema.json": SUPPLIER_V1,
-                              "orders_schema.json": ORDERS_COLUMNS, "customer_missing.json": CUSTOMER_COLUMNS})
-    files = [f"{land}/{n}" for n in ("part.csv", "supplier.csv", "orders.csv", "nation.csv", "customer.csv")]
+    names = ("part", "supplier", "orders", "nation", "customer")
+    for name in names:                      # each a folder of part files
+        df = _orders_csv(spark, sf_dir) if name == "orders" else A.read(spark, sf_dir, name)
+        df.write.option("header", True).csv(f"{land}/{name}.csv")
     lake = Lake(spark, root)
-    records = [I.ingest_file(spark, lake, p, mapping, reg) for p in files]
+    records = [I.ingest_file(spark, lake, f"{land}/{n}.csv", LANDING_MAPPING, _registry(spark)) for n in names]
     from ..operators import quality as Q
     return Q.report(spark, records).select("name", "status", "source_rows")
 
 
+LANDING_MAPPING = {"part.csv": "part_schema.json", "supplier.csv": "supplier_schema.json",
+                   "orders.csv": "orders_schema.json", "customer.csv": "customer_missing.json"}
+
+
+def _registry(spark):
+    return registry_of(spark, {"part_schema.json": PART_COLUMNS, "supplier_schema.json": SUPPLIER_V1,
+                               "orders_schema.json": ORDERS_COLUMNS, "customer_missing.json": CUSTOMER_COLUMNS})
+
+
+def write_file(df, path: str, compression: str = "none") -> None:
+    """One CSV file of a small table (or, as here, of a landing folder's test input)
+    at exactly ``path``: Spark's single part file is moved there."""
+    from ..sources.tables import Files
+    work = f"{path}.parts"
+    df.coalesce(1).write.option("header", True).option("compression", compression).csv(work)
+    files = Files(df.sparkSession, work)
+    part = next(n for n in files.names() if n.startswith("part-"))
+    files.fs.rename(files._path(part), files.jvm.org.apache.hadoop.fs.Path(path))
+    files.fs.delete(files.root, True)
+
+
+@register("landing_run_report",
+          "SELECT 'NATION.CSV' AS name, 'unmapped' AS status, CAST(NULL AS BIGINT) AS source_rows, "
+          "CAST(NULL AS BIGINT) AS malformed_rows, CAST(NULL AS BIGINT) AS header_drift "
+          "UNION ALL SELECT 'orders.csv.gz', 'ingested', count(*), 0, 0 FROM orders "
+          "UNION ALL SELECT 'part.CSV', 'ingested', count(*), 0, 0 FROM part "
+          "UNION ALL SELECT 'supplier.csv', 'ingested', count(*), count(*) FILTER (s_suppkey % 10 = 0), 1 FROM supplier "
+          "UNION ALL SELECT 'customer.csv', 'clash', NULL, NULL, NULL "
+          "UNION ALL SELECT 'customer.2024.csv', 'clash', NULL, NULL, NULL "
+          "UNION ALL SELECT 'notes.txt', 'skipped', NULL, NULL, NULL")
+def _landing_report(spark, sf_dir):
+    """A landing folder with upper-case, unmapped, clashing, malformed, compressed
+    and foreign files in folders: every file has a row in the report."""
+    root = scratch_path(spark, "lake")
+    land = f"{root}/landing"
+    read = lambda t: A.read(spark, sf_dir, t)
+    write_file(read("part"), f"{land}/part.CSV")
+    write_file(read("nation"), f"{land}/deep/er/NATION.CSV")
+    write_file(_orders_csv(spark, sf_dir), f"{land}/orders.csv.gz", "gzip")
+    bad = F.when(F.col("s_suppkey") % 10 == 0, F.lit("many")).otherwise(F.col("s_nationkey").cast("string"))
+    write_file(read("supplier").withColumn("s_nationkey", bad).withColumnRenamed("s_nationkey", "nation_key"), f"{land}/supplier.csv")
+    write_file(read("customer"), f"{land}/customer.csv")
+    write_file(read("customer"), f"{land}/old/customer.2024.csv")
+    write_file(read("region"), f"{land}/notes.txt")
+    report = I.ingest_landing(spark, Lake(spark, root), land, LANDING_MAPPING, _registry(spark))
+    return report.select("name", "status", "source_rows", "malformed_rows", "header_drift")
+
+
+@register("refresh_keeps_old_on_failure", PART_SQL)
+def _keeps_old(spark, sf_dir):
+    """Good load, truncated load, and the old rows are still the table; the third,
+    good load replaces them."""
+    root = scratch_path(spark, "lake")
+    lake, reg, path = Lake(spark, root), _registry(spark), f"{root}/landing/part.csv.gz"
+    part = A.read(spark, sf_dir, "part")
+    write_file(part, path, "gzip")
+    first = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
+    before = lake.version("part")
+    from ..sources.tables import Files
+    files = Files(spark, f"{root}/landing")
+    data = files.fs.open(files._path("part.csv.gz")).readAllBytes()
+    files.delete("part.csv.gz")
+    out = files.fs.create(files._path("part.csv.gz"), True)
+    out.write(bytearray(bytes(data)[:len(data) // 2]))
+    out.close()
+    cut = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
+    assert (first.status, cut.status, lake.version("part")) == ("ingested", "failed", before), (first, cut)
+    assert lake.read("part").count() == first.stored_rows
+    files.delete("part.csv.gz")
+    write_file(part, path, "gzip")
+    again = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
+    assert again.status == "ingested" and lake.version("part") != before, again
+    return lake.read("part")
+
+
 def _fact_lake(spark, sf_dir, tables) -> Lake:
     """A lake holding the adapted test tables (facility, crosswalk, facts)."""
     root = scratch_path(spark, "lake")
     lake = Lake(spark, root)
     for t, df in A.view_tables(spark, sf_dir, tables).items():
         if t == "EXP_PGM":
-            X.write_crosswalk(df, lake.path(t))
+            lake.write(df, t, partition_by=["PGM"])
         else:
             lake.write(df, t)
     return lake
@@ -174,7 +242,7 @@ def _filtered_view(spark, sf_dir):
     # the filter prunes partitions at the scan.
     lake = _fact_lake(spark, sf_dir, ["EXP_PGM"])
     session = spark.newSession()
-    X.program_slice(session.read.parquet(lake.path("EXP_PGM")), "RCRA_IDS").createOrReplaceTempView("EXP_PGM_RCRA")
+    X.program_slice(lake.reader("EXP_PGM", session), "RCRA_IDS").createOrReplaceTempView("EXP_PGM_RCRA")
     return session.sql("SELECT PGM, REGISTRY_ID, PGM_ID FROM EXP_PGM_RCRA")
 
 

@@ -43,5 +43,29 @@ def test_zip_members_are_separate_units(tmp):
             z.writestr(f"part{i}.csv", "x\n1\n")
     with gzip.open(f"{tmp}/one.csv.gz", "wb") as g:
         g.write(b"x\n")
-    assert sorted(m for _, m in _units(f"file://{tmp}/m.zip")) == ["part0.csv", "part1.csv", "part2.csv"]
-    assert _units(f"file://{tmp}/one.csv.gz") == [(f"file://{tmp}/one.csv.gz", None)]
+    assert sorted(m for _, m, _, _ in _units(f"file://{tmp}/m.zip", 99)) == ["part0.csv", "part1.csv", "part2.csv"]
+    assert _units(f"file://{tmp}/one.csv.gz", 7) == [(f"file://{tmp}/one.csv.gz", None, "one.csv", 7)]
+
+
+def test_a_corrupt_archive_leaves_nothing(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    whole = gzip.compress(os.urandom(1 << 20))
+    with open(f"{tmp}/in/z.csv.gz", "wb") as f:
+        f.write(whole[:len(whole) // 2])
+    report = [r.status for r in expand_archives(spark, f"file://{tmp}/in", f"file://{tmp}/out").collect()]
+    assert report == ["corrupt"] and not [x for _, _, names in os.walk(f"{tmp}/out") for x in names]
+    with open(f"{tmp}/in/z.csv.gz", "wb") as f:
+        f.write(whole)
+    report = [r.status for r in expand_archives(spark, f"file://{tmp}/in", f"file://{tmp}/out", skip_existing=True).collect()]
+    assert report == ["extracted"] and os.path.getsize(f"{tmp}/out/z.csv") == 1 << 20
+
+
+def test_equal_names_of_two_archives_are_refused(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    for name in ("a", "b"):
+        with zipfile.ZipFile(f"{tmp}/in/{name}.zip", "w") as z:
+            z.writestr("same.csv", name)
+            z.writestr(f"{name}.csv", name)
+    report = sorted((r.member, r.status) for r in expand_archives(spark, f"file://{tmp}/in", f"file://{tmp}/out").collect())
+    assert report == [("a.csv", "extracted"), ("b.csv", "extracted"), ("same.csv", "clash"), ("same.csv", "clash")]
+    assert sorted(os.listdir(f"{tmp}/out")) == ["a.csv", "b.csv"]

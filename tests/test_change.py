@@ -32,3 +32,15 @@ def test_tracker_status(spark):
     archive = spark.createDataFrame([("a.zip",)], "file_name string")
     got = {r.remote_name: r.status for r in tracker_status(tracker, archive).collect()}
     assert got == {"a.zip": "present", "b.zip": "missing"}
+
+
+def test_repeated_keys_count_once(spark):
+    manifest = spark.createDataFrame([("u", "l", "2024-01-01 10:00", "1.00", "old"), ("u", "l", "2024-02-01 10:00", "2.00", "new"),
+                                      ("v", "l", "2024-01-01 10:00", "1.00", "v")], M)
+    updates = spark.createDataFrame([("u", "l", "2024-03-02 10:00", "4.00"), ("u", "l", "2024-03-01 10:00", "3.00"),
+                                     ("w", "l", "garbled", "5.00")], L)
+    once = manifest_upsert(manifest, updates)
+    want = [("u", "l", "2024-03-02 10:00", "4.00", "new"), ("v", "l", "2024-01-01 10:00", "1.00", "v"), ("w", "l", "garbled", "5.00", None)]
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, manifest_upsert(once, updates).collect()), key=str) == sorted(want, key=str)
+    assert [r.status for r in manifest_diff(updates.where("url = 'u'").limit(1), manifest).collect()] == ["updated"]

@@ -68,3 +68,43 @@ def test_cli_run_ingests_then_refreshes(spark, tmp, capsys):
     assert out["EXP_PGM"]["source_rows"] == 3
     assert out["RCRA_VIOLATIONS_MVIEW"]["status"] == "ok" and out["RCRA_VIOLATIONS_MVIEW"]["source_rows"] == 4
     assert out["AIR_COMPLIANCE_MVIEW"]["status"] == "failed"      # its fact was never landed
+
+
+def test_submitted_master_and_partitions_survive(tmp):
+    """The session of the submit arguments is used as it is."""
+    import subprocess
+    import sys
+    code = ("import faclake.__main__ as m; s = m._session(); "
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=77 --conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, timeout=120,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "GOT local[2] 77 UTC" in out.stdout, out.stderr[-2000:]
+
+
+def test_describe_reports_an_unknown_table(spark, tmp, capsys):
+    os.makedirs(f"{tmp}/schemas")
+    with open(f"{tmp}/schemas/A_schema.json", "w") as f:
+        json.dump({"schema": [{"COLUMN_NAME": "x", "ORIGINAL_DATA_TYPE": "char", "SPARK_DATA_TYPE": "StringType()", "PANDAS_DATA_TYPE": "str"}]}, f)
+    assert main(["describe", "--schemas", f"{tmp}/schemas/*.json", "--table", "NOPE"]) == 1
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"table": "NOPE", "status": "not found"}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+    from faclake.session import checkpoint_root
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())

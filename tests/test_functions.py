@@ -56,9 +56,23 @@ def test_resolve_link_matches_urljoin(spark):
     page = "https://data.example.org/files/dl/index.html?x=1#top"
     hrefs = ["a.zip", "sub/", "/root/b.zip", "https://other.example/c.zip", "//cdn.example/d.zip",
              "./e.zip", "?C=N;O=D", "#frag"]
-    df = spark.createDataFrame([(h, page) for h in hrefs], "h string, p string")
-    got = [r[0] for r in df.select(X.resolve_link("h", "p")).collect()]
-    assert got == [urljoin(page, h) for h in hrefs]
+    pages = [page, "http://h.org", "http://h.org/", "http://h.org/a/b/", "HTTP://H.org/a//b/../c", "ftp://f/a/b", "mailto:a@b", "//n/a/b"]
+    hrefs += ["x.html", "../c.zip", "d/../e", "..", "../..", "a//b", "/a//b", "/./a/../b", " y", "a\nb", "mailto:q", "x?", "x#", "?",
+              "a/.", "a/..", ".../x", "http:foo", "http://z/y/../w", "", "#", "é/ü?ß"]
+    cases = [(i, h, p) for i, (h, p) in enumerate((h, p) for h in hrefs for p in pages)]
+    df = spark.createDataFrame(cases, "i int, h string, p string")
+    got = [r[0] for r in df.orderBy("i").select(X.resolve_link("h", "p")).collect()]
+    assert got == [urljoin(p, h) for _, h, p in cases]
+
+
+def test_character_references(spark):
+    got = _col(spark, ["&#233; &#x1F600; &lt;b&gt; &amp;lt;", "&#0; &#xD800; &unknown; a;b", "plain", None], X.decode_entities)
+    assert got == ["é 😀 <b> &lt;", "&#0; &#xD800; &unknown; a;b", "plain", None]
+
+
+def test_size_quality(spark):
+    got = _col(spark, ["1.5K", "-", "12", "3Q", "abcM", None, ""], X.size_quality)
+    assert got == ["converted", "none", "bytes", "unknown", "unknown", "none", "none"]
 
 
 def test_listing_ts(spark):

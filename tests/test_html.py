@@ -45,10 +45,24 @@ def test_dictionary_positional_pairing(spark):
     pages = spark.createDataFrame([(7, DICTIONARY)], "page_id long, html string")
     rows = extract_schema_tables(pages).orderBy("table_pos", "row_pos").collect()
     assert {r.title for r in rows} == {"Case Data Dictionary"}
-    # names: FACILITIES, EXTRA, ENFORCEMENTS; schema tables: 2 -> pairs cut to 2, and
-    # the heading without a table shifts ENFORCEMENTS' table onto CASE_EXTRA.csv
-    assert [(r.table_pos, r.table_name, list(r.cells)) for r in rows] == [
-        (0, "CASE_FACILITIES.csv", ["activity_id", "number", "1"]),
-        (0, "CASE_FACILITIES.csv", ["registry_id", "varchar", "1"]),
-        (1, "CASE_EXTRA.csv", ["case_number", "char"]),
+    # names: FACILITIES, EXTRA, ENFORCEMENTS; schema tables: 2 -> the heading without
+    # a table shifts ENFORCEMENTS' table onto CASE_EXTRA.csv, and the last name has none
+    got = sorted((r.table_pos, r.table_name, r.paired, list(r.cells) if r.cells else None) for r in rows)
+    assert got == [
+        (0, "CASE_FACILITIES.csv", True, ["activity_id", "number", "1"]),
+        (0, "CASE_FACILITIES.csv", True, ["registry_id", "varchar", "1"]),
+        (1, "CASE_EXTRA.csv", True, ["case_number", "char"]),
+        (2, "CASE_ENFORCEMENTS.csv", False, None),
     ]
+
+
+def test_attributes_in_any_quoting(spark):
+    page = ("<table><tr><td><a class=x href='a.zip'>a.zip</a></td><td align='right'>2024-01-02 03:04</td><td align=right>3M</td></tr>"
+            "<tr><td><a href=b.zip title=\"t\">b.zip</a></td><td ALIGN=RIGHT>2024-01-02 03:04</td><td align=\"right\">7Q</td></tr>"
+            "<tr><td><a data-href='no' HREF=\"c&#46;zip\">c.zip</a></td><td align=right>x</td><td align=right> - </td></tr></table>")
+    pages = spark.createDataFrame([(1, "https://h.org/d/", page)], "page_id long, url string, html string")
+    rows = extract_listing(pages).orderBy("row_pos").collect()
+    assert [(r.href, r.link, r["size"], r.size_mb, r.size_quality) for r in rows] == [
+        ("a.zip", "https://h.org/d/a.zip", "3M", "3.00", "converted"), ("b.zip", "https://h.org/d/b.zip", "7Q", None, "unknown"),
+        ("c.zip", "https://h.org/d/c.zip", "-", "-", "none")]
+    assert [r.href for r in extract_links(pages).orderBy("link_pos").collect()] == ["a.zip", "b.zip", "c.zip"]

@@ -97,14 +97,22 @@ def test_view_plan_prunes_and_pushes(spark, lake, capsys):
 
 def test_broadcast_is_measured(spark, lake):
     R.refresh_views(spark, lake, VIEWS).collect()
-    size = R.stored_bytes(spark, f"{lake.path(R.DIMENSION)}/PGM=AIR_IDS")
+    size = lake.bytes(R.DIMENSION, "PGM=AIR_IDS")
     assert 0 < size < R.broadcast_limit(spark)
-    assert R.stored_bytes(spark, f"{lake.path(R.DIMENSION)}/PGM=NONE") == 0
-    # one listing sizes every program partition the same way
+    assert lake.bytes(R.DIMENSION, "PGM=NONE") is None and lake.bytes("NOPE") is None
     sizes = R.dimension_sizes(lake)
     assert sizes["AIR_IDS"] == size and set(sizes) == {"AIR_IDS", "NPDES_IDS", "RCRA_IDS", "SDWA_IDS"}
-    # table versions come from one listing of the lake, partitioned tables
-    # included; internal tables ("_" prefix) are hidden from listings
+    # an unmeasured dimension is not broadcast by hint
+    spec = next(s for s in VIEWS if s.program == "AIR_IDS")
+    seen = []
+    real, R.build_view = R.build_view, lambda *a, **k: (seen.append(k["broadcast_dim"]), real(*a, **k))[1]
+    try:
+        for known in (None, 10, 1 << 40):
+            R.materialise_view(lake, spec, lake.read(R.DIMENSION), dim_bytes=known)
+    finally:
+        R.build_view = real
+    assert seen == [False, True, False]
+    # table versions: partitioned tables included, internal tables ("_" prefix) not
     versions = R.table_versions(lake)
     assert {"EXP_PGM", "ECHO_EXPORTER", "AIR_COMPLIANCE_MVIEW"} <= set(versions)
     assert R.DIMENSION not in versions
@@ -201,3 +209,48 @@ def test_only_changed_views_are_refreshed(spark, tmp):
         "AIR_COMPLIANCE_MVIEW": "unchanged", "COMBINED_AIR_EMISSIONS_MVIEW": "unchanged",
         "TOXIC_RELEASES_MVIEW": "unchanged"}
     assert {r.ACTIVITY_LOCATION for r in lk.read("RCRA_VIOLATIONS_MVIEW").collect()} == {"X"}
+
+
+def test_a_lake_below_a_files_folder_sees_changes(spark, tmp):
+    lake = Lake(spark, f"{tmp}/files/lake")
+    for name in ("A", "B"):
+        lake.write(spark.range(3), name)
+    first = R.table_versions(lake)
+    assert set(first) == {"A", "B"}
+    lake.write(spark.range(4), "A")
+    second = R.table_versions(lake)
+    assert second["A"] != first["A"] and second["B"] == first["B"]
+    assert R._signature(["A", "X"], second) != R._signature(["A", "X"], second)
+
+
+def test_a_failed_replacement_keeps_the_table(spark, tmp):
+    import os
+
+    import pytest
+    from faclake.sources.tables import TableNotFound
+    lake = Lake(spark, tmp)
+    os.makedirs(lake.path("T"))
+    assert not lake.exists("T")                     # an empty folder is no table
+    with pytest.raises(ValueError):
+        with lake.replace("T") as new:
+            new.write(spark.range(9))
+            raise ValueError("check failed")
+    with pytest.raises(TableNotFound):
+        lake.read("T")
+    lake.write(spark.range(5), "T")
+    old = lake.read("T")
+    with pytest.raises(ValueError):
+        with lake.replace("T") as new:
+            new.write(spark.range(9))
+            raise ValueError("check failed")
+    assert lake.read("T").count() == 5
+    lake.write(spark.range(7), "T")
+    assert lake.read("T").count() == 7 and old.count() == 5     # an open reader keeps its version
+    lake.write(spark.range(8), "T")
+    assert len([x for x in os.listdir(lake.path("T")) if x.startswith("version-")]) == 2
+
+
+def test_hot_keys_in_one_pass(spark):
+    from faclake.operators.joins import hot_keys
+    df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 30 + [(None,)] * 40 + [(f"k{i}",) for i in range(20)], "k string")
+    assert hot_keys(df, "k", 1 / 4) == ["a", "b"] and hot_keys(df, "k", 0.9) == [] and hot_keys(df.limit(0), "k") == []
