@@ -197,23 +197,18 @@ def build_view(spec: ViewSpec, tables: Mapping[str, DataFrame], skew: str = "aqe
     return joined.select(*out)
 
 
-def sql_text(spec: ViewSpec) -> str:
-    """The spec as one Spark SQL statement in the comma-join form, over tables
-    registered under SQL-safe names (``-`` -> ``_``)."""
-    alias = {"f": "re", "e": "ee", "c": "cf"}
-    fact = spec.fact.replace("-", "_")
-    where = []
+def sql_text(spec: ViewSpec, table=lambda name: name.replace("-", "_")) -> str:
+    """The spec as one SQL statement; ``table`` gives each table's name there (by
+    default the SQL-safe one, ``-`` -> ``_``)."""
+    side = {"f": "fact", "e": "facility", "c": "bridge"}
+    facility = f"JOIN {table('ECHO_EXPORTER')} facility ON facility.REGISTRY_ID = "
     if spec.shape == "crosswalk":
-        froms = f"{fact} re, ECHO_EXPORTER ee, EXP_PGM ep"
-        where += [f"ep.PGM = '{spec.program}'", "ep.REGISTRY_ID = ee.REGISTRY_ID",
-                  f"ep.PGM_ID = re.{spec.fact_key}"]
+        joins = (f"JOIN {table('EXP_PGM')} link ON link.PGM_ID = fact.{spec.fact_key} AND link.PGM = '{spec.program}' "
+                 f"{facility}link.REGISTRY_ID")
     elif spec.shape == "bridge":
-        froms = f"{fact} re, ECHO_EXPORTER ee, {spec.bridge} cf"
-        where += ["cf.REGISTRY_ID = ee.REGISTRY_ID", f"re.{spec.fact_key} = cf.{spec.bridge_key}"]
+        joins = f"JOIN {table(spec.bridge)} bridge ON bridge.{spec.bridge_key} = fact.{spec.fact_key} {facility}bridge.REGISTRY_ID"
     else:
-        froms = f"{fact} re, ECHO_EXPORTER ee"
-        where.append("re.REGISTRY_ID = ee.REGISTRY_ID")
-    if spec.fact_filter:
-        where.append(f"re.{spec.fact_filter[0]} = '{spec.fact_filter[1]}'")
-    cols = ", ".join(f"{alias[s]}.{n}" for s, n in spec.output())
-    return f"SELECT {cols} FROM {froms} WHERE {' AND '.join(where)}"
+        joins = f"{facility}fact.REGISTRY_ID"
+    columns = ", ".join(f"{side[s]}.{n}" for s, n in spec.output())
+    only = f" WHERE fact.{spec.fact_filter[0]} = '{spec.fact_filter[1]}'" if spec.fact_filter else ""
+    return f"SELECT {columns} FROM {table(spec.fact)} fact {joins}{only}"

@@ -46,6 +46,21 @@ def keep_result(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@register("missing_table", "SELECT name, name IN ('orders', 'part') AS found FROM (VALUES ('orders'), ('no_such_table'), "
+          "('part'), ('schemas')) t(name)")
+def _missing(spark, sf_dir):
+    """Q5: a query over a table that is not stored is refused by name."""
+    lake, rows = folder_lake(spark, sf_dir), []
+    for name in ("orders", "no_such_table", "part", "schemas"):
+        try:
+            Q.run_query(spark, lake, name, f"SELECT 1 AS x FROM {name}").schema
+            rows.append((name, True))
+        except Q.TableNotFound as e:
+            assert str(e) == name
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "name string, found boolean")
+
+
 @register("limit_before_sql", "SELECT CAST(1000 AS BIGINT) AS n")
 def _limit(spark, sf_dir):
     # the limit applies to the base table, before the query counts it

@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import crosswalk as X
-from ..plans.views import VIEWS, ViewSpec, build_view
+from ..plans.views import VIEWS, ViewSpec, build_view, sql_text
 from . import adapters as A
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,27 +32,15 @@ def register(key: str, oracle: str | None = None):
 
 # ----------------------------------------------------------------- views
 
-_SQL_ALIAS = {"f": "re", "e": "ee", "c": "cf"}
-
-
 def view_oracle_sql(spec: ViewSpec) -> str:
-    """The view as a comma join with the adapters as CTEs (reference form)."""
-    ctes = [f"re AS ({A.fact_sql(spec.fact)})", f"ee AS ({A.facility_sql()})"]
-    where = []
+    """The view's SQL over the adapted test tables as CTEs."""
+    own = {spec.fact: A.fact_sql(spec.fact), "ECHO_EXPORTER": A.facility_sql()}
     if spec.shape == "crosswalk":
-        ctes.append(f"ep AS ({A.crosswalk_sql()})")
-        where += [f"ep.PGM = '{spec.program}'", "ep.REGISTRY_ID = ee.REGISTRY_ID",
-                  f"ep.PGM_ID = re.{spec.fact_key}"]
-    elif spec.shape == "bridge":
-        ctes.append(f"cf AS ({A.fact_sql(spec.bridge)})")
-        where += ["cf.REGISTRY_ID = ee.REGISTRY_ID", f"re.{spec.fact_key} = cf.{spec.bridge_key}"]
-    else:
-        where.append("re.REGISTRY_ID = ee.REGISTRY_ID")
-    if spec.fact_filter:
-        where.append(f"re.{spec.fact_filter[0]} = '{spec.fact_filter[1]}'")
-    cols = ", ".join(f"{_SQL_ALIAS[s]}.{n}" for s, n in spec.output())
-    froms = ", ".join(c.split(" ")[0] for c in ctes)
-    return f"WITH {', '.join(ctes)} SELECT {cols} FROM {froms} WHERE {' AND '.join(where)}"
+        own["EXP_PGM"] = A.crosswalk_sql()
+    if spec.shape == "bridge":
+        own[spec.bridge] = A.fact_sql(spec.bridge)
+    ctes = ", ".join(f'"{t}" AS ({q})' for t, q in own.items())
+    return f"WITH {ctes} {sql_text(spec, lambda t: chr(34) + t + chr(34))}"
 
 
 def view_query(spec: ViewSpec, skew: str = "aqe") -> QueryFn:

@@ -204,11 +204,13 @@ def _keeps_old(spark, sf_dir):
     return lake.read("part")
 
 
-def _fact_lake(spark, sf_dir, tables) -> Lake:
-    """A lake holding the adapted test tables (facility, crosswalk, facts)."""
+def _fact_lake(spark, sf_dir, tables, files: int | None = None) -> Lake:
+    """A lake holding the adapted test tables (facility, crosswalk, facts); with
+    ``files``, each table is dealt over that many, as an ingested one is."""
     root = scratch_path(spark, "lake")
     lake = Lake(spark, root)
     for t, df in A.view_tables(spark, sf_dir, tables).items():
+        df = df.repartition(files) if files else df
         if t == "EXP_PGM":
             lake.write(df, t, partition_by=["PGM"])
         else:

@@ -1,13 +1,12 @@
 """End-to-end view checks on invented rows against DuckDB running the
-reference-form comma joins over the same rows."""
+generated SQL over the same rows."""
 
 import duckdb
 import pytest
 
 from faclake.operators.joins import hot_keys
 from faclake.plans.contracts import BASE_TABLE_DDL, ddl_fields
-from faclake.plans.views import VIEWS, build_view
-from faclake.workload.catalog import _SQL_ALIAS
+from faclake.plans.views import VIEWS, build_view, sql_text
 
 FAC = [("R1", "Y"), ("R2", "Y"), ("R3", "Y"), (None, "Y")]
 
@@ -64,20 +63,7 @@ def _fixture():
 
 
 def _reference_sql(spec):
-    where = []
-    if spec.shape == "crosswalk":
-        froms = f'"{spec.fact}" re, ECHO_EXPORTER ee, EXP_PGM ep'
-        where += [f"ep.PGM = '{spec.program}'", "ep.REGISTRY_ID = ee.REGISTRY_ID", f"ep.PGM_ID = re.{spec.fact_key}"]
-    elif spec.shape == "bridge":
-        froms = f'"{spec.fact}" re, ECHO_EXPORTER ee, CASE_FACILITIES cf'
-        where += ["cf.REGISTRY_ID = ee.REGISTRY_ID", f"re.{spec.fact_key} = cf.{spec.bridge_key}"]
-    else:
-        froms = f'"{spec.fact}" re, ECHO_EXPORTER ee'
-        where.append("re.REGISTRY_ID = ee.REGISTRY_ID")
-    if spec.fact_filter:
-        where.append(f"re.{spec.fact_filter[0]} = '{spec.fact_filter[1]}'")
-    cols = ", ".join(f"{_SQL_ALIAS[s]}.{n}" for s, n in spec.output())
-    return f"SELECT {cols} FROM {froms} WHERE {' AND '.join(where)}"
+    return sql_text(spec, lambda t: f'"{t}"')
 
 
 @pytest.fixture(scope="module")
