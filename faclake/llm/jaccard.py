@@ -14,8 +14,9 @@ shingle).  Documents link when 100 * |x & y| >= ``PERCENT`` * |x | y|.
    (c = 1).  The boundary is the size at which the emitted rows cost least.
 4. In each list every set is compared with one centre (the set that shares most),
    and links are contracted to components.  Only pairs of a list that are still
-   in different components are then formed, tested by a bitmap that bounds the
-   symmetric difference, and compared.  No list is expanded into all its pairs.
+   in different components are then tested, block by block, by sizes and bitmaps
+   that bound the symmetric difference; what these leave over is compared.  No
+   list is expanded into rows of all its pairs.
 
 Comparisons are of whole shingle sets, so components are exact (up to 64-bit
 hash collisions inside a pair).
@@ -39,6 +40,7 @@ from .common import drop, gram_hashes, keep, mix, only, slices, span_hashes, tex
 
 K = 5
 PERCENT = 75
+SHORT, BLOCK = 8, 2048               # members of a list that are paired directly, or compared at a time
 CELL_BITS = 22                       # of the count sketch: 4M counters, whatever the input
 _SLICE = 1 << 15
 _LEAST_BITS, _MOST_BITS = 1 << 10, 1 << 17    # of the bitmaps, a power of two of about a set's size
@@ -188,6 +190,34 @@ def _bits_apart(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(fold(x), fold(y), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda acc, c: acc + c)
 
 
+def _candidates(table: pa.Table) -> pa.Table:
+    """Of a list, or of two blocks of it, the pairs in different components that
+    sizes and bitmaps leave over; each pair in the first of its common lists only,
+    so that no pair comes out twice."""
+    h, left, right = (table.column(c)[0].as_py() for c in ("h", "left", "right"))
+    side, node, n, component = (table.column(c).to_numpy() for c in ("i", "node", "n", "component"))
+    bits = [np.asarray(b.as_py(), np.int64).view(np.uint64) for b in table.column("bits")]
+    size = np.array([len(b) for b in bits])
+    out = []
+    for width in np.unique(size):                      # pairs whose shorter bitmap has this width
+        rows = np.flatnonzero((size == width) | (size == 2 * width))
+        maps = np.stack([bits[r] if size[r] == width else bits[r][:width] ^ bits[r][width:] for r in rows])
+        step = max(1, (1 << 22) // (len(rows) * int(width)))
+        for at in range(0, len(rows), step):
+            part = rows[at:at + step]
+            apart = np.bitwise_count(maps[at:at + step, None, :] ^ maps[None, :, :]).sum(axis=2, dtype=np.int64)
+            x, y = part[:, None], rows[None, :]
+            ok = (node[x] < node[y]) & (component[x] != component[y]) & (np.minimum(size[x], size[y]) == width)
+            ok &= 100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])
+            ok &= apart * (100 + PERCENT) <= (n[x] + n[y]) * (100 - PERCENT)
+            if left != right:
+                ok &= side[x] != side[y]
+            out += [(int(part[p]), int(rows[q])) for p, q in zip(*np.nonzero(ok))]
+    lists = table.column("lists")
+    first = [(a, b) for a, b in out if np.intersect1d(lists[a].values.to_numpy(), lists[b].values.to_numpy(), assume_unique=True)[0] == h]
+    return pa.table({"a": pa.array([node[a] for a, _ in first], pa.int64()), "b": pa.array([node[b] for _, b in first], pa.int64())})
+
+
 def _lister(levels, small: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -287,10 +317,22 @@ def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     split = keep(ranked.join(found, "node", "left").select("h", "node", "n", own.alias("component")), "jaccard-split")
     mixed = split.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")
     apart = keep(split.join(mixed, "h"), "jaccard-apart")
-    a, b = apart.alias("a"), apart.alias("b")
-    pairs = (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-                    & F.expr(f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"))
-             .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+    counts = apart.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
+    sized = keep(apart.join(counts, "h"), "jaccard-sized")
+    drop(apart)
+    # short lists: at most SHORT * (SHORT - 1) / 2 pairs each
+    x, y = sized.where(f"members <= {SHORT}").alias("x"), sized.where(f"members <= {SHORT}").alias("y")
+    short = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+                   ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    # longer ones in blocks of about BLOCK members, each pair of blocks a group
+    long = sized.where(f"members > {SHORT}").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    own_lists = long.groupBy("node").agg(F.sort_array(F.collect_set("h")).alias("lists"))
+    i, k = F.col("i"), F.col("k")
+    dealt = (long.join(own_lists, "node").join(bits.select("node", "bits"), "node")
+             .withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("h", F.least(i, k).alias("left"), F.greatest(i, k).alias("right"), "i", "node", "n", "component", "bits", "lists"))
+    pairs = short.unionByName(dealt.groupBy("h", "left", "right").applyInArrow(_candidates, "a long, b long"))
     more = verified(pairs, "jaccard-more")
     if more.limit(1).count():
         found = components(edges.unionByName(more))

@@ -58,6 +58,21 @@ def test_equals_brute_force(docs):
     assert rows_of(J.link(docs(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("short,block", [(2, 5), (8, 2048)])
+def test_near_copies_far_from_every_centre(docs, monkeypatch, short, block):
+    """Chains of copies that link with their neighbours, but not with one centre."""
+    monkeypatch.setattr(J, "SHORT", short)
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(3)
+    w = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    rows = []
+    for i in range(40):
+        w[(7 * i) % 120] = f"z{i}"
+        rows.append(((i * 17) % 40, " ".join(w)))
+    rows += [(100 + i, t) for i, t in enumerate(_near(5, 30, 90, 0.12))]
+    assert rows_of(J.link(docs(rows))) == brute(rows)
+
+
 def test_a_repeated_id_joins_its_texts(docs):
     a, b = _near(6, 1, 30, 0)[0], _near(7, 1, 30, 0)[0]
     got = rows_of(J.link(docs([(5, a), (9, a), (9, b), (4, b)])))
