@@ -366,9 +366,13 @@ def _settle(model, text, total, mass, base, margin) -> list[tuple[str, int, int]
 def fit(docs: DataFrame, sample_rows: int = 400, sample_bytes: int = 1 << 15) -> Tagger | None:
     """Train on at most ``sample_rows`` documents (by hash of the id) of at most
     ``sample_bytes`` bytes that hold a digit run, an @ or a +."""
+    key = [F.xxhash64("doc_id", F.lit("pii")).alias("k1"), F.xxhash64("text").alias("k2")]
     some = (only(docs, doc_id="long", text="string").where((F.octet_length("text") <= sample_bytes) & F.col("text").rlike("[0-9]@|@[a-z]|[0-9]{3}"))
-            .orderBy(F.xxhash64("doc_id", F.lit("pii")), "doc_id", F.xxhash64("text")).limit(sample_rows))
-    return train([r["text"] for r in some.select("text").collect()])
+            .select("text", *key))
+    # the keys are chosen first: at most sample_rows pairs of numbers, then their texts
+    chosen = some.select("k1", "k2").distinct().orderBy("k1", "k2").limit(sample_rows)
+    rows = some.join(F.broadcast(chosen), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).collect()
+    return train([r["text"] for r in sorted(rows, key=lambda r: (r["k1"], r["k2"]))])
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
