@@ -74,7 +74,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches by rows so that the texts of each hold about ``most`` bytes;
     a longer text is a slice of its own."""
     for batch in batches:
@@ -115,11 +115,11 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(base: np.uint64, n: int, key: str) -> np.ndarray:
     have = _POWERS.get(key)
     if have is None or len(have) < n:
-        size = max(n, 1 << 22)
+        size = max(n, 1 << 20)
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have)
-        if size <= 1 << 23:
+        if size <= 1 << 21:          # longer texts make their own
             _POWERS[key] = have
     return have[:n]
 
