@@ -126,10 +126,10 @@ def train(texts: Sequence[str], labels: Sequence[int], groups=IDENTITY_GROUPS, f
     if y.min() == y.max():
         p = (y.sum() + 1) / (len(y) + 2)
         return Model(*none, float(np.log(p / (1 - p))))
-    row, f = features(pa.array(texts, pa.large_string()))
-    every, f = np.unique(f, return_inverse=True)
-    pair = np.unique(row * len(every) + f)
-    row, f = pair // len(every), pair % len(every)
+    own = [np.unique(features(pa.array([t], pa.large_string()))[1]) for t in texts]    # text by text: little memory
+    row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    every, f = np.unique(np.concatenate(own), return_inverse=True)
+    del own
     ones, count = np.bincount(f, y[row], len(every)), np.bincount(f, minlength=len(every))
     p, n1, n0 = count / len(y), y.sum(), (1 - y).sum()
     z = np.abs(ones / n1 - (count - ones) / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
