@@ -2,9 +2,10 @@
 
 The base spans of email, ip, card and phone follow fixed patterns (leftmost,
 not overlapping, per kind).  A character tagger, a bidirectional LSTM whose
-emissions enter a linear-chain CRF, is trained in numpy on labelled spans: base
-spans of a bounded sample of documents, also in spellings that the patterns
-miss.  It adds spans of the same kinds; base spans always stay.
+emissions enter a linear-chain CRF, is trained in numpy on labelled spans: a
+bounded sample of each kind's base spans, however rare the kind is, also in
+spellings that the patterns miss.  It adds spans of the same kinds; base spans
+always stay.
 
 Whole texts are tagged.  Overlapping windows cover a text; the emissions of a
 character are averaged over its windows, weighted towards their middles, and one
@@ -251,22 +252,33 @@ def _distractor(rng) -> str:
             f"{d(4)}-{d(4)}", f"@{d(3)}", f"${d(2)}.{d(2)}")[rng.integers(8)]
 
 
-def train(texts: Sequence[str], window: int = 48, examples: int = 1200, steps: int = 160, batch: int = 48, seed: int = 11,
-          rate: float = 0.05) -> Tagger | None:
-    """Adam on windows around the labelled spans of ``texts`` (None without any);
-    half of them respelt, a third with numbers that are no personal data."""
+_WINDOW = 48
+
+
+def labelled(text: str, window: int = _WINDOW) -> list[tuple[str, str, str, str]]:
+    """(kind, text before, value, text after) of each base span."""
+    return [(k, text[max(0, a - window):a], text[a:b], text[b:b + window]) for k, a, b in base_spans(text)]
+
+
+def train(texts: Sequence[str], window: int = _WINDOW, **more) -> Tagger | None:
+    """``train_on`` the base spans of ``texts``."""
+    return train_on([s for t in texts for s in labelled(t, window)], window, **more)
+
+
+def train_on(spans: Sequence[tuple[str, str, str, str]], window: int = _WINDOW, examples: int = 1200, steps: int = 160, batch: int = 48,
+             seed: int = 11, rate: float = 0.05) -> Tagger | None:
+    """Adam on windows around labelled spans (None without any); half of them
+    respelt, a third with numbers that are no personal data."""
     rng = np.random.default_rng(seed)
-    spans = [(t, s) for t in texts for s in base_spans(t)]
     if not spans:
         return None
-    by_kind = {k: [x for x in spans if x[1][0] == k] for k in KINDS}
+    by_kind = {k: [x for x in spans if x[0] == k] for k in KINDS}
     kinds = [k for k in KINDS if by_kind[k]]
     codes, tags = np.empty((examples, window), np.int64), np.zeros((examples, window), np.int64)
     for n in range(examples):
         own = by_kind[kinds[n % len(kinds)]]
-        text, (kind, a, b) = own[rng.integers(len(own))]
-        value = text[a:b] if rng.random() < 0.4 else _respell(kind, text[a:b], rng)
-        left, right = text[max(0, a - window):a], text[b:b + window]
+        kind, left, value, right = own[rng.integers(len(own))]
+        value = value if rng.random() < 0.4 else _respell(kind, value, rng)
         if rng.random() < 0.34:                        # a number in place of the span
             value, kind = _distractor(rng), None
         whole, at = left + value + right, len(left)
@@ -363,16 +375,51 @@ def _settle(model, text, total, mass, base, margin) -> list[tuple[str, int, int]
 
 # --------------------------------------------------------------------- on Spark
 
+_SAMPLE = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("before", pa.string()), ("value", pa.string()), ("after", pa.string())])
+_SAMPLE_DDL = "kind string, key long, before string, value string, after string"
+
+
+def sample(docs: DataFrame, per_kind: int, most: int) -> list[tuple[str, str, str, str]]:
+    """Of each kind, the ``per_kind`` labelled spans with the smallest hashes, one
+    of each document and equal ones once; at most the first ``most`` characters of a value."""
+
+    def best(found: dict) -> dict:
+        return dict(sorted(found.items())[:per_kind])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, dict] = {k: {} for k in KINDS}
+        for batch in slices(batches, "text", 2 << 20):
+            data, off = text_buffer(batch.column(0))
+            hits = np.concatenate([[0], np.cumsum(_TRIGGER[data])])
+            for i in np.flatnonzero(hits[off[1:]] > hits[off[:-1]]).tolist():
+                own: dict[str, tuple] = {}
+                for kind, before, value, after in labelled(batch.column(0)[i].as_py()):
+                    piece = (kind, before, value[:most], after)
+                    key = int.from_bytes(hashlib.blake2b("\0".join(piece).encode(), digest_size=8).digest(), "big") >> 1
+                    own[kind] = min(own.get(kind, (key, piece)), (key, piece))
+                for kind, (key, piece) in own.items():
+                    found[kind][key] = piece
+                    if len(found[kind]) >= 2 * per_kind:
+                        found[kind] = best(found[kind])
+        rows = [(p[0], key, *p[1:]) for own in found.values() for key, p in best(own).items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SAMPLE)], schema=_SAMPLE)
+
+    def again(table: pa.Table) -> pa.Table:
+        rows = best({r["key"]: r for r in table.to_pylist()})
+        return pa.Table.from_pylist(list(rows.values()), schema=_SAMPLE)
+
+    # the tasks' spans meet in parts of the hashes first, so no task reads those of all
+    left = only(docs, text="string").mapInArrow(first, _SAMPLE_DDL)
+    left = left.groupBy("kind", F.expr("pmod(key, 64)")).applyInArrow(again, _SAMPLE_DDL)
+    rows = left.groupBy("kind").applyInArrow(again, _SAMPLE_DDL).collect()
+    return [(r["kind"], r["before"], r["value"], r["after"]) for r in sorted(rows, key=lambda r: (KINDS.index(r["kind"]), r["key"]))]
+
+
 def fit(docs: DataFrame, sample_rows: int = 400, sample_bytes: int = 1 << 15) -> Tagger | None:
-    """Train on at most ``sample_rows`` documents (by hash of the id) of at most
-    ``sample_bytes`` bytes that hold a digit run, an @ or a +."""
-    key = [F.xxhash64("doc_id", F.lit("pii")).alias("k1"), F.xxhash64("text").alias("k2")]
-    some = (only(docs, doc_id="long", text="string").where((F.octet_length("text") <= sample_bytes) & F.col("text").rlike("[0-9]@|@[a-z]|[0-9]{3}"))
-            .select("text", *key))
-    # the keys are chosen first: at most sample_rows pairs of numbers, then their texts
-    chosen = some.select("k1", "k2").distinct().orderBy("k1", "k2").limit(sample_rows)
-    rows = some.join(F.broadcast(chosen), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).collect()
-    return train([r["text"] for r in sorted(rows, key=lambda r: (r["k1"], r["k2"]))])
+    """Train on labelled spans of at most ``sample_rows`` documents, an equal number
+    for each kind, picked among all documents that hold a span of the kind."""
+    return train_on(sample(docs, max(1, sample_rows // len(KINDS)), sample_bytes))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

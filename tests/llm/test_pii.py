@@ -126,6 +126,26 @@ def test_fit_without_spans(docs):
     assert P.fit(docs([(1, "nothing"), (2, None)])) is None
 
 
+def test_fit_learns_every_kind_however_rare(docs):
+    rare = _texts(4, 7)                                # one span of each kind
+    rare[2] = "plain words " * 4000 + rare[2]          # the only ip stands in a long text
+    rows = [(i, f"in {1900 + i % 120} it cost {100 + i} coins, number {i}") for i in range(4000)]
+    model = P.fit(docs(rows + [(4000 + i, t) for i, t in enumerate(rare)]))
+    texts = _texts(80, 8)
+    found = P.added_spans(model, texts, [[] for _ in texts])
+    for n, kind in enumerate(("phone", "email", "ip", "card")):
+        own = [any(s[0] == kind for s in f) for f in found[n::4]]
+        assert sum(own) / len(own) > 0.5, kind
+
+
+def test_sample_is_bounded_and_even(docs):
+    rows = [(i, t) for i, t in enumerate(_texts(80, 9))] + [(100 + i, f"{i}: write to a{i}@b.cd or c{i}@d.ef") for i in range(300)]
+    rows += [(500 + i, "the same 10.0.0.1") for i in range(50)]
+    got = P.sample(docs(rows), 15, 1 << 15)
+    assert [sum(s[0] == k for s in got) for k in P.KINDS] == [15] * 4 and len(set(got)) == 60
+    assert sorted(got) == sorted(P.sample(docs(rows[::-1]).repartition(11), 15, 1 << 15))
+
+
 def test_redact():
     assert P.redact("ab 12 cd", [("card", 3, 5)]) == "ab [CARD] cd"
     assert P.redact("abcdef", [("phone", 1, 4), ("card", 3, 5)]) == "a[PHONE]f"
