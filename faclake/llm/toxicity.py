@@ -88,28 +88,59 @@ class Model:
 
 
 def counterfactuals(texts: Sequence[str], groups=IDENTITY_GROUPS, seed: int = 7) -> list[tuple[str, str]]:
-    """(sentence, changed sentence): each identity term swapped for another of its
-    group, or a term put at the end of a sentence that has none."""
+    """(sentence, changed sentence): each identity term of a sentence left out or
+    swapped for another of its group, at all its places there, or a term put at
+    the end of a sentence that has none."""
+    return list(_counterfactuals(texts, groups, seed))
+
+
+def _counterfactuals(texts: Sequence[str], groups=IDENTITY_GROUPS, seed: int = 7) -> Iterator[tuple[str, str]]:
     rng = np.random.default_rng(seed)
     group_of = {term: g for g in groups for term in g}
     any_term = re.compile(r"(?<!\w)(" + "|".join(map(re.escape, sorted(group_of, key=len, reverse=True))) + r")(?!\w)", re.I)
-    terms, out = sorted(group_of), []
+    terms = sorted(group_of)
     for text in texts:
-        bare = None
         for sentence in re.split(r"(?<=[.!?])\s+|\n", text):
             if not sentence:
                 continue
-            found = any_term.search(sentence)
-            if found:
-                others = [t for t in group_of[found[1].lower()] if t != found[1].lower()]
-                for other in others:
-                    out.append((sentence, sentence[:found.start()] + other + sentence[found.end():]))
-                out.append((sentence, sentence[:found.start()] + sentence[found.end():]))
-            elif bare is None:
-                bare = sentence
-        if bare is not None:
-            out.append((bare, f"{bare} {terms[rng.integers(len(terms))]}"))
-    return out
+            places: dict[str, list] = {}
+            for found in any_term.finditer(sentence):
+                places.setdefault(found[1].lower(), []).append(found.span())
+            for term, spans in places.items():
+                kept = [sentence[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(sentence)])]
+                for other in [*(t for t in group_of[term] if t != term), ""]:
+                    yield sentence, other.join(kept)
+            if not places:
+                yield sentence, f"{sentence} {terms[rng.integers(len(terms))]}"
+
+
+def _blocks(pairs: Iterator[tuple[str, str]], most: int = 1 << 19) -> Iterator[list[tuple[str, str]]]:
+    """Pairs in lists of about ``most`` characters."""
+    block, size = [], 0
+    for pair in pairs:
+        block.append(pair)
+        size += len(pair[0]) + len(pair[1])
+        if size >= most:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _changes(pairs: Iterator[tuple[str, str]], known: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(number of pairs, pair, index in ``known``, -1 or 1): the features that a
+    change takes away or brings; pairs are made and matched in blocks."""
+    n, rows, ats, vals = 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for block in _blocks(pairs):
+        sides = [matches(*features(pa.array([c[i] for c in block], pa.large_string())), known) for i in (0, 1)]
+        ids = [r * len(known) + a for r, a in sides]
+        for own, other, val in ((ids[0], ids[1], -1.0), (ids[1], ids[0], 1.0)):
+            only_here = np.setdiff1d(own, other, assume_unique=True)   # what both have cancels out
+            rows.append(only_here // max(1, len(known)) + n)
+            ats.append(only_here % max(1, len(known)))
+            vals.append(np.full(len(only_here), val))
+        n += len(block)
+    return n, np.concatenate(rows), np.concatenate(ats), np.concatenate(vals)
 
 
 def train(texts: Sequence[str], labels: Sequence[int], groups=IDENTITY_GROUPS, fairness: float = 5.0,
@@ -136,12 +167,7 @@ def train(texts: Sequence[str], labels: Sequence[int], groups=IDENTITY_GROUPS, f
     z[count < (min_docs if len(y) >= 200 else 1)] = 0
     terms = np.unique(features(pa.array([t for g in groups for t in g], pa.large_string()))[1])
     known = np.union1d(every[np.argsort(-z, kind="stable")[:keep]], terms[np.isin(terms, every)])
-    changed = counterfactuals(texts, groups)
-    if changed:
-        sides = [matches(*features(pa.array([c[i] for c in changed], pa.large_string())), known) for i in (0, 1)]
-        (r0, a0), (r1, a1) = sides
-        d_row, d_at = np.concatenate([r0, r1]), np.concatenate([a0, a1])
-        d_val = np.concatenate([-np.ones(len(r0)), np.ones(len(r1))])
+    changed, d_row, d_at, d_val = _changes(_counterfactuals(texts, groups), known)
     row, at = matches(row, every[f], known)
     n, m = len(y), len(known)
     share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n
@@ -151,16 +177,16 @@ def train(texts: Sequence[str], labels: Sequence[int], groups=IDENTITY_GROUPS, f
         g = share * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
         out = np.bincount(at, g[row], m)
         if changed:
-            d = np.bincount(d_row, d_val * w[d_at], len(changed))
-            out += 2 * fairness / len(changed) * np.bincount(d_at, d_val * d[d_row], m)
+            d = np.bincount(d_row, d_val * w[d_at], changed)
+            out += 2 * fairness / changed * np.bincount(d_at, d_val * d[d_row], m)
         return out, g.sum()
 
     # a step for each coordinate: its own curvature bound (rows share few features)
     width = np.bincount(row, minlength=n)
     bound = np.bincount(at, (share * width)[row], m) / 4 + 1e-9
     if changed:
-        spread = np.bincount(d_row, np.abs(d_val), len(changed))
-        bound += 2 * fairness / len(changed) * np.bincount(d_at, spread[d_row], m)
+        spread = np.bincount(d_row, np.abs(d_val), changed)
+        bound += 2 * fairness / changed * np.bincount(d_at, spread[d_row], m)
     rate, b_rate = 1 / bound, 1 / (share * (width + 1)).sum() * 4
     w = last = np.zeros(m)
     b = b_last = 0.0

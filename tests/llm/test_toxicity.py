@@ -58,6 +58,24 @@ def test_counterfactual_pairs():
     assert any(a == "It rained." and b != a for a, b in pairs)
 
 
+def test_counterfactuals_of_every_term_and_sentence():
+    groups = (("muslims", "jews"), ("black", "white"), ("women", "men"))
+    pairs = X.counterfactuals(["Muslims and black women came. It rained. It snowed."], groups=groups)
+    first = "Muslims and black women came."
+    changed = {b for a, b in pairs if a == first}
+    assert changed == {"jews and black women came.", " and black women came.", "Muslims and white women came.",
+                       "Muslims and  women came.", "Muslims and black men came.", "Muslims and black  came."}
+    assert [sum(a == s for a, _ in pairs) for s in (first, "It rained.", "It snowed.")] == [6, 1, 1]
+    assert {b for _, b in X.counterfactuals(["Women like women"], groups=groups)} == {"men like men", " like "}
+
+
+def test_a_term_that_stands_second_is_regularised():
+    texts, labels = _biased()
+    second = [t.replace("immigrants", "women and immigrants") for t in texts]
+    weight = lambda m: float(m.weights[np.isin(m.known, X.features(pa.array(["immigrants"]))[1])].sum())
+    assert abs(weight(X.train(second, labels))) < 0.1 * abs(weight(X.train(second, labels, fairness=0.0)))
+
+
 def test_odd_rows_and_labels(spark, docs):
     rows = corpus(6) + [(5, "again"), (None, "no id"), (5, "again")]
     labels = spark.createDataFrame([(i, i % 2, 1) for i in range(0, 60, 2)] + [(1, None, 1), (None, 1, 1), (3, 1, 0), (3, 0, 0), (999, 1, 1)],
