@@ -26,7 +26,7 @@ import uuid
 from dataclasses import dataclass
 from typing import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition,
                                     IsNotNull, WriterCommitMessage)
@@ -288,14 +288,15 @@ def page_records(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Archive ``pages`` in the shared scratch folder and read the archives back:
     page_id, payload_bytes, payload_digest, record_type, refers_to.  Length and
     digest of a response come from the payload read, those of a revisit from its
-    headers."""
+    headers, for which the payloads of all records are stepped over."""
     path = scratch(spark, "warc")
     archive_pages(pages, path)
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
-    read = read_warc(spark, path)
-    revisit = F.col("record_type") == "revisit"
-    return read.select(
-        page(F.col("record_id")).alias("page_id"),
-        F.when(revisit, F.col("payload_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.when(revisit, F.col("payload_digest")).otherwise(F.sha1("payload")).alias("payload_digest"),
-        "record_type", page(F.col("refers_to")).alias("refers_to"))
+
+    def records(kind: str, length: Column, digest: Column) -> DataFrame:
+        return read_warc(spark, path, payload=kind == "response").where(F.col("record_type") == kind).select(
+            page(F.col("record_id")).alias("page_id"), length.alias("payload_bytes"), digest.alias("payload_digest"),
+            "record_type", page(F.col("refers_to")).alias("refers_to"))
+
+    return (records("response", F.octet_length("payload").cast("long"), F.sha1("payload"))
+            .unionByName(records("revisit", F.col("payload_bytes"), F.col("payload_digest"))))

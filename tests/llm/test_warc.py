@@ -33,6 +33,13 @@ def test_round_trip(spark):
     assert rows_of(W.page_records(spark, _frame(spark, PAGES))) == brute(PAGES)
 
 
+def test_query_reads_through_pushed_filters(spark):
+    got = W.page_records(spark, _frame(spark, PAGES))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RelationV2") == 2 and "Filter" not in plan      # the source has taken both filters
+    assert {r["record_type"] for r in got.collect()} == {"response", "revisit"}
+
+
 def test_payloads_filters_and_headers(spark, tmp):
     W.archive_pages(_frame(spark, PAGES), f"{tmp}/w", file_bytes=4000)
     read = W.read_warc(spark, f"{tmp}/w")
