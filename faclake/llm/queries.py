@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import decontaminate as decon
-from . import jaccard, packing, pii, sharding, suffix_dedup, token_counts, topk, toxicity, warc
+from . import (jaccard, manifest, oracles, packing, pii, resample, sharding, suffix_dedup, token_counts, token_files, topk, toxicity,
+               warc)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -133,3 +134,24 @@ def op1_suffix_dedup(spark, sf_dir):
 def op6_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.detect(docs, pii.fit(docs))
+
+
+@register
+def op11_manifest(spark, sf_dir):
+    return manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered_text())
+
+
+ORACLE["op11_manifest"] = oracles.manifest_sql()
+
+
+@register
+def op12_resample(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_resample"] = oracles.resample_sql()
+
+
+@register
+def op13_token_files(spark, sf_dir):
+    return token_files.token_rows(table(spark, sf_dir, "documents"))
