@@ -140,7 +140,7 @@ class FrameReader:
         self.null = np.frombuffer(raw, np.uint8, docs, 8).astype(bool)
         self.doc_ids = np.frombuffer(raw, "<i8", docs, 8 + docs)
         self.ends = np.cumsum(np.frombuffer(raw, "<u8", docs, 8 + 9 * docs).astype(np.int64))
-        if (self.ends[-1] if docs else 0) != self.first[-1]:
+        if table[-1, 1] or (self.ends[-1] if docs else 0) != self.first[-1]:
             raise FormatError("index and frames disagree")
 
     def _unpacked(self, frame: int, skip: int = 0) -> bytes:
@@ -150,8 +150,8 @@ class FrameReader:
             raw = zstandard.ZstdDecompressor().decompress(packed)
         except zstandard.ZstdError as e:
             raise FormatError(f"frame {frame}: {e}") from e
-        if checksum(raw) != self.table[frame, 2]:
-            raise FormatError(f"frame {frame}: wrong checksum")
+        if checksum(raw) != self.table[frame, 2] or (not skip and len(raw) != self.table[frame, 1]):
+            raise FormatError(f"frame {frame}: wrong checksum or size")
         return raw
 
     def documents(self, wanted: np.ndarray | None = None) -> Iterator[tuple[int | None, int, int, Iterator[bytes]]]:
