@@ -192,53 +192,93 @@ def url_parts(c: ColumnOrName) -> Column:
         F.regexp_extract(rest, r"(?s)^[^#]*#(.*)", 1).alias("fragment"))
 
 
+def _walk(start: Column, steps: Column, relative: Column) -> Column:
+    """Path steps taken one after the other from ``start``: struct (out, open), where
+    ``open`` says that the path ends in a folder.  ``.`` stays, ``..`` goes up, an
+    empty step of a relative path stays too."""
+    def step(acc: Column, x: Column) -> Column:
+        out = acc["out"]
+        return (F.when(x == "..", F.struct(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))).alias("out"), F.lit(True).alias("open")))
+                .when((x == ".") | ((x == "") & relative), F.struct(out.alias("out"), F.lit(True).alias("open")))
+                .otherwise(F.struct(F.concat(out, F.array(x)).alias("out"), F.lit(False).alias("open"))))
+    return F.aggregate(steps, F.struct(start.alias("out"), F.lit(False).alias("open")), step)
+
+
 def page_url_parts(page_url: ColumnOrName) -> Column:
-    """The pieces of a page URL that link resolution needs, as one struct:
-    compute it once per page, before exploding the page's links."""
-    return F.struct(_c(page_url).alias("url"), url_parts(page_url).alias("p"))
-
-
-def _without_dots(path: Column, base_path: Column) -> Column:
-    """``path`` against the folder of ``base_path``; ``.`` and ``..`` steps taken,
-    empty steps in the middle of a relative path dropped."""
-    steps, base = F.split(path, "/", -1), F.split(base_path, "/", -1)
-    # a base that ends in a slash keeps its empty last step, which is dropped below
-    folder = F.when(F.element_at(base, -1) == "", base).otherwise(F.slice(base, F.lit(1), F.size(base) - 1))
-    every = F.concat(folder, steps)
-    last = F.size(every) - 1
-    kept = F.when(path.startswith("/"), steps).otherwise(F.filter(every, lambda x, i: (x != "") | (i == 0) | (i == last)))
-    none = F.array().cast("array<string>")
-    walked = F.aggregate(kept, none, lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-                         .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
-    open_end = F.element_at(kept, -1).isin(".", "..")
-    joined = F.array_join(F.when(open_end, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    """What link resolution needs of a page's URL, as one struct: compute it once per
+    page, before exploding the page's links.  Besides the URL's pieces: ``origin`` (up
+    to the path), ``folder`` (the page's folder as path steps, dots taken), ``prefix``
+    (origin and folder as text), and ``joins``, whether links resolve against it."""
+    p = F.struct(url_parts(page_url).alias("p"), _c(page_url).alias("url"))
+
+    def pieces(x: Column) -> Column:
+        u = x["p"]
+        joins = u["scheme"].isin(*RELATIVE_SCHEMES) & (x["url"] != "")
+        steps = F.split(u["path"], "/", -1)
+        # the first step stays as it is: empty below a root
+        first = F.slice(steps, 1, F.when(F.size(steps) > 1, F.lit(1)).otherwise(F.lit(0)))
+        # a last step that names a document is no part of the folder
+        folder = _walk(first, F.slice(steps, F.lit(2), F.greatest(F.size(steps) - 2, F.lit(0))), F.lit(True))["out"]
+        folder = F.when(u["path"] == "", F.array(F.lit(""))).otherwise(folder)
+        origin = F.concat(F.when(u["scheme"] != "", F.concat(u["scheme"], F.lit(":"))).otherwise(F.lit("")),
+                          F.when((u["authority"] != "") | (u["scheme"] != ""), F.concat(F.lit("//"), u["authority"])).otherwise(F.lit("")))
+        # with an authority and a folder below the root, a plain link only needs to be appended
+        plain = joins & (u["authority"] != "") & (F.size(folder) > 0) & (F.get(folder, F.lit(0)) == "")
+        prefix = F.when(plain, F.concat(origin, F.array_join(folder, "/"), F.lit("/")))
+        return F.struct(x["url"].alias("url"), u.alias("p"), joins.alias("joins"), F.when(plain, origin).alias("origin"),
+                        folder.alias("folder"), prefix.alias("prefix"))
+    return F.get(F.transform(F.array(p), pieces), F.lit(0))
+
+
+# Links that need no walk: steps without dots, blanks or marks, and a query or fragment
+# that is not empty.
+_STEP = r"(?!\.{1,2}(?:[/?#]|$))[^\x00-\x20/:?#]+"
+_MARKS = r"(?:\?[^#\x00-\x20]+)?(?:#[^\x00-\x20]+)?$"
+PLAIN_LINK = rf"^{_STEP}(?:/{_STEP})*/?{_MARKS}"
+ROOTED_LINK = rf"^/(?:{_STEP}(?:/{_STEP})*/?)?{_MARKS}"
+ABSOLUTE_LINK = rf"^[a-z][a-z0-9+.\-]*://[^/?#\x00-\x20]+(?:/[^?#\x00-\x20]*)?{_MARKS}"
 
 
 def _url_text(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
     rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
     opt = lambda mark, c: F.when(c != "", F.concat(F.lit(mark), c)).otherwise(F.lit(""))
     return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-                    F.when((authority != "") | ((scheme != "") & ~path.startswith("//")), F.concat(F.lit("//"), authority, rooted)).otherwise(path),
+                    F.when(authority != "", F.concat(F.lit("//"), authority, rooted))
+                    # an empty authority is written where the path could be taken for one
+                    .when(path.startswith("//") | ((scheme != "") & ((path == "") | path.startswith("/"))), F.concat(F.lit("//"), path))
+                    .otherwise(path),
                     opt("?", query), opt("#", fragment))
 
 
 def resolve_with_parts(href: ColumnOrName, parts: ColumnOrName) -> Column:
     """``resolve_link`` given precomputed ``page_url_parts``."""
-    h, page = _c(href), _c(parts)["url"]
+    h, page = _c(href), parts if isinstance(parts, Column) else _c(parts)
 
     def join(pair: Column) -> Column:
-        u, base = pair["u"], pair["base"]
+        u, base = pair["u"], page["p"]
         other = (u["scheme"] != "") & (u["scheme"] != base["scheme"])
         own = _url_text(base["scheme"], u["authority"], u["path"], u["query"], u["fragment"])
         same_page = _url_text(base["scheme"], base["authority"], base["path"],
                               F.when(u["query"] == "", base["query"]).otherwise(u["query"]), u["fragment"])
-        moved = _url_text(base["scheme"], base["authority"], _without_dots(u["path"], base["path"]), u["query"], u["fragment"])
-        return (F.when(other | ~base["scheme"].isin(*RELATIVE_SCHEMES), h)
-                .when(u["authority"] != "", own).when(u["path"] == "", same_page).otherwise(moved))
-    # the lambda's variable holds both URLs' pieces, so they are computed once
-    pieces = F.array(F.struct(url_parts(h).alias("u"), _c(parts)["p"].alias("base")))
-    return F.when(page == "", h).when(h == "", page).otherwise(F.get(F.transform(pieces, join), F.lit(0)))
+        moved = _url_text(base["scheme"], base["authority"], pair["path"], u["query"], u["fragment"])
+        return (F.when(other, h).when(u["authority"] != "", own).when(u["path"] == "", same_page).otherwise(moved))
+
+    def walked(u: Column) -> Column:
+        relative = ~u["path"].startswith("/")
+        start = F.when(relative, page["folder"]).otherwise(F.array().cast("array<string>"))
+        return F.struct(u.alias("u"), _walk(start, F.split(u["path"], "/", -1), relative).alias("w"))
+
+    def with_path(x: Column) -> Column:
+        w = x["w"]
+        path = F.array_join(F.when(w["open"], F.concat(w["out"], F.array(F.lit("")))).otherwise(w["out"]), "/")
+        return F.struct(x["u"].alias("u"), F.when(path == "", F.lit("/")).otherwise(path).alias("path"))
+    # each lambda's variable holds what the next step uses, so nothing is computed twice
+    slow = F.transform(F.transform(F.transform(F.array(url_parts(h)), walked), with_path), join)
+    return (F.when(page["url"] == "", h).when(h == "", page["url"])
+            .when(~page["joins"] | h.rlike(ABSOLUTE_LINK), h)
+            .when(page["prefix"].isNotNull() & h.rlike(PLAIN_LINK), F.concat(page["prefix"], h))
+            .when(page["origin"].isNotNull() & h.rlike(ROOTED_LINK), F.concat(page["origin"], h))
+            .otherwise(F.get(slow, F.lit(0))))
 
 
 def resolve_link(href: ColumnOrName, page_url: ColumnOrName) -> Column:
@@ -246,7 +286,9 @@ def resolve_link(href: ColumnOrName, page_url: ColumnOrName) -> Column:
     ``.`` and ``..`` steps are taken, a query or fragment alone stays on the page,
     links of another scheme stay as they are, leading blanks go.  A ``;parameter``
     is a part of its path step."""
-    return resolve_with_parts(href, page_url_parts(page_url))
+    # the lambda's variable holds the page's pieces, so they are computed once
+    resolved = F.transform(F.array(page_url_parts(page_url)), lambda page: resolve_with_parts(href, page))
+    return F.get(resolved, F.lit(0))
 
 
 # ------------------------------------------------------------- HTML text

@@ -8,23 +8,24 @@ outer join.  Both are single shuffles on the key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_listing_ts, url_basename
+from ..sources.parts import PART, PartTable, hash_part
 
 MANIFEST_DDL = "url string, link string, last_modified string, size_mb string, file_location string"
 
 
 def last_per_key(df: DataFrame, key: str, order: str = "last_modified") -> DataFrame:
-    """One row per key: that with the latest ``order`` time, then the largest row
-    as text, so the choice does not depend on the input's order.  Rows without
-    key stay.  One pre-aggregated shuffle."""
+    """One row per key: that with the latest ``order`` time, then the largest row by
+    its columns in order, so the choice does not depend on the input's order.  Rows
+    without key stay.  One pre-aggregated shuffle."""
     when = parse_listing_ts(order) if order in df.columns else F.lit(None).cast("timestamp")
-    rank = F.struct(when, F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    one = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), rank).alias("_r"))
-           .select("_r.*"))
-    return one.unionByName(df.where(F.col(key).isNull()))
+    rest = F.struct(when.alias("when__"), *[F.col(c) for c in df.columns if c != key])
+    one = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(rest).alias("_r"))
+    own = [F.col(key) if c == key else F.col(f"_r.`{c}`").alias(c) for c in df.columns]
+    return one.select(*own).unionByName(df.where(F.col(key).isNull()))
 
 
 def manifest_diff(listing: DataFrame, manifest: DataFrame, key: str = "url") -> DataFrame:
@@ -76,6 +77,34 @@ def manifest_upsert(manifest: DataFrame, updates: DataFrame, key: str = "url",
     return j.select(key, *out)
 
 
+class ManifestTable:
+    """A stored manifest whose rows are kept in hash buckets of the key.  An upsert
+    reads and rewrites only the buckets its keys fall into; the files of the others
+    stay.  Two upserts that overlap: the second to publish gets ``ConcurrentReplace``
+    and can be repeated."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "url", buckets: int = 64):
+        self.table, self.key, self.buckets = PartTable(spark, path), key, buckets
+
+    def read(self) -> DataFrame | None:
+        return self.table.read()
+
+    def upsert(self, updates: DataFrame, mode: str = "merge") -> list[str]:
+        """K9 on the stored rows (``manifest_upsert``); returns the buckets rewritten.
+        ``updates`` are evaluated twice: once for their buckets, at most ``buckets``
+        numbers."""
+        with self.table.change() as change:
+            buckets = change.extra.setdefault("buckets", self.buckets)      # fixed by the first upsert
+            part = hash_part(self.key, buckets)
+            touched = sorted(r[0] for r in updates.select(part).distinct().collect())
+            old = change.read(touched)
+            merged = last_per_key(updates, self.key) if old is None else manifest_upsert(old, updates, self.key, mode)
+            if touched:
+                # rows of a bucket meet in one task, so a bucket is one file
+                change.put(merged.withColumn(PART, part).repartition(len(touched), PART), touched)
+        return [str(t) for t in touched]
+
+
 def tracker_status(tracker: DataFrame, archive: DataFrame, link_col: str = "download_link",
                    name_col: str = "file_name") -> DataFrame:
     """H3: a tracked dataset is ``present`` when the base name of its download

@@ -75,22 +75,39 @@ def hot_keys(df: DataFrame, key: str, hot_fraction: float = 1 / 64) -> list:
     return [r[0] for r in rows[1:] if r["n"] > total * hot_fraction]
 
 
+# Plan nodes below which a task's rows, and their order, are those of a stored file.
+_IN_PLACE = ("Project", "Filter", "LogicalRelation", "SubqueryAlias", "View", "LocalRelation", "Range", "DataSourceV2ScanRelation")
+
+
+def reads_in_place(df: DataFrame) -> bool:
+    """Is ``df`` a scan with filters and projections only?  A repeated task then sees
+    the same rows in the same order, which after a shuffle it need not."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in _IN_PLACE:
+            return False
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def salted_join(big: DataFrame, big_key: str, dim: DataFrame, dim_key: str = KEY,
                 hot_fraction: float = 1 / 64, buckets: int = 32) -> DataFrame:
     """Inner equi-join that spreads hot keys of ``big`` over ``buckets`` tasks.
 
     The salt of a fact row is its row number within its input partition, so equal
-    rows of a hot key spread as well; a retried task numbers the rows of its
-    partition as before if ``big`` comes from a scan (write a shuffled one first).  The dimension rows of
+    rows of a hot key spread as well.  That holds on a repeated task only if ``big`` is
+    read in place; the salt of other frames is a hash of the whole row, which is the
+    same wherever the row is (their equal rows stay together).  The dimension rows of
     hot keys are replicated once per salt, every other row gets salt 0.
     """
     hot = hot_keys(big, big_key, hot_fraction)
     if not hot:
         return big.join(dim, big[big_key] == dim[dim_key])
     is_hot_big = F.col(big_key).isin(hot)
-    b = big.withColumn("__salt_b", F.when(
-        is_hot_big, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
-        .otherwise(F.lit(0)))
+    place = F.monotonically_increasing_id() if reads_in_place(big) else F.xxhash64(*big.columns)
+    b = big.withColumn("__salt_b", F.when(is_hot_big, F.pmod(place, F.lit(buckets))).otherwise(F.lit(0)))
     d = dim.withColumn("__salt_d", F.explode(F.when(
         F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1)))
         .otherwise(F.array(F.lit(0)))))

@@ -10,15 +10,20 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import threading
 import uuid
+from collections import OrderedDict
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean_identifier_py
-from ..sources.tables import Lake, TableNotFound  # noqa: F401  (re-exported)
+from ..sources.footers import memory_bytes
+from ..sources.parts import PART, PartTable
+from ..sources.tables import ConcurrentReplace, Files, Lake, TableNotFound, first_rows  # noqa: F401  (re-exported)
 
 HOT_TABLES = ("ECHO_EXPORTER",)
 LOG_DDL = ("id string, ip_address string, timestamp timestamp, table_name string, "
@@ -147,37 +152,69 @@ def open_table(session: SparkSession, lake: Lake, table: str, limit: int | None
     application, so every request after the first reads it from memory)."""
     df = lake.reader(table, session)
     if limit:
-        return df.limit(int(limit))
+        return first_rows(df, int(limit))
     if table in hot_tables:
         return _HOT.get(lake, table, df)
     return df
 
 
 class HotTables:
-    """Q4: hot tables kept in memory, one version each.  The version is asked on
-    every use; a new one releases the table held before."""
+    """Q4: hot tables kept in memory, one version each, up to ``max_bytes`` together.
 
-    def __init__(self):
-        self._held: dict[tuple, tuple[str, DataFrame]] = {}
+    A table's size is that of its rows in memory, measured from its files' footers.
+    One that is over the bound alone is not kept: its queries scan it.  Otherwise
+    the tables used longest ago make room.  The version is asked on every use; a new
+    one releases the table held before."""
+
+    def __init__(self, max_bytes: int | None = None):
+        self.max_bytes = max_bytes
+        self._held: OrderedDict[tuple, tuple[str, DataFrame, int]] = OrderedDict()     # last used last
+        self._sizes: dict[tuple, tuple[str, int | None]] = {}
         self._lock = threading.Lock()
 
+    def bound(self, spark: SparkSession) -> int:
+        """``max_bytes``, by default the session's ``faclake.hotTables.maxBytes``, else a
+        quarter of one executor's heap: it holds on any number of executors."""
+        if self.max_bytes is not None:
+            return self.max_bytes
+        own = spark.conf.get("faclake.hotTables.maxBytes", None)
+        return int(own) if own else int(spark._jvm.java.lang.Runtime.getRuntime().maxMemory()) // 4
+
     def get(self, lake: Lake, table: str, df: DataFrame) -> DataFrame:
         key, version = (lake.spark.sparkContext.applicationId, lake.path(table)), lake.version(table)
         with self._lock:
             held = self._held.get(key)
             if held and held[0] == version:
+                self._held.move_to_end(key)
                 return df                       # the same plan: it reads the rows in memory
+            known = self._sizes.get(key)
+        size = known[1] if known and known[0] == version else memory_bytes(df)
+        with self._lock:
+            self._sizes[key] = (version, size)
+            held = self._held.pop(key, None)
             if held:
                 held[1].unpersist()
-            self._held[key] = (version, df.cache())
+            bound = self.bound(lake.spark)
+            if size is None or size > bound:
+                return df
+            while sum(n for _, _, n in self._held.values()) + size > bound:
+                _, (_, oldest, _) = self._held.popitem(last=False)
+                oldest.unpersist()
+            self._held[key] = (version, df.cache(), size)
             return df
 
+    def held(self) -> list[str]:
+        """Paths of the tables in memory, the one used longest ago first."""
+        with self._lock:
+            return [path for _, path in self._held]
+
     def release(self) -> None:
         """Drop all tables held."""
         with self._lock:
-            for _, df in self._held.values():
+            for _, df, _ in self._held.values():
                 df.unpersist()
             self._held.clear()
+            self._sizes.clear()
 
 
 _HOT = HotTables()
@@ -209,31 +246,116 @@ def result_key(table: str, limit: int | None, sql: str, version: str) -> str:
 
 
 class ResultStore:
-    """Saved query results (parquet) under a shared folder, keyed by hash."""
+    """Saved query results (parquet) under a shared folder, keyed by hash.  A result
+    can be read when it is finished: it is published like a table (``Lake.replace``),
+    so a failed or running computation is no hit.  Equal requests of one driver wait
+    for the one that computes; of several drivers, the first to publish is kept."""
+
+    _locks: dict[str, threading.Lock] = {}
+    _guard = threading.Lock()
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.lake = Lake(spark, self.root, layout="{root}/{name}")
 
     def path(self, key: str) -> str:
-        return f"{self.root}/{key}"
+        return self.lake.path(key)
 
     def get(self, key: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(key))
-        except AnalysisException:
-            return None
+        return self.lake.read(key) if self.lake.current(key) else None
 
     def put(self, key: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(key))
-        return self.spark.read.parquet(self.path(key))
+        try:
+            with self.lake.replace(key) as new:
+                new.write(df)
+        except ConcurrentReplace:            # another driver's result of the same request
+            pass
+        return self.lake.read(key)
+
+    @contextmanager
+    def computing(self, key: str):
+        """One thread of this driver at a time for a key."""
+        with self._guard:
+            lock = self._locks.setdefault(self.path(key), threading.Lock())
+        with lock:
+            yield
+        with self._guard:
+            if not lock.locked():
+                self._locks.pop(self.path(key), None)
+
+
+class QueryLog:
+    """Q3: the query log.  An append puts one small file into ``inbox``; it takes no
+    Spark job and waits for nobody.  ``compact`` moves the inbox into a file a day:
+    its commit names the day files and the inbox files that they cover, so at every
+    moment a row is read from exactly one place.  Covered files are removed by the
+    next compaction, when readers that listed them have ended.  The folder therefore
+    holds at most the days, and the inbox files of two compactions.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 200):
+        self.spark, self.path, self.compact_every = spark, path.rstrip("/"), compact_every
+        self.days = PartTable(spark, f"{self.path}/days")
+        self.inbox = Files(spark, f"{self.path}/inbox")
+
+    def append(self, row: dict) -> None:
+        at = row["timestamp"]
+        line = json.dumps({**row, "timestamp": at.isoformat(timespec="microseconds")})
+        name = f"{at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex}.json"
+        self.inbox.put(f".{name}", line)                   # listed only when it is whole
+        self.inbox.rename(f".{name}", name)
+        if self.compact_every and len(self._waiting(self.days.state())) >= self.compact_every:
+            try:
+                self.compact()
+            except ConcurrentReplace:                      # another request is at it
+                pass
+
+    def _waiting(self, state: dict, listed: list[str] | None = None) -> list[str]:
+        covered = set(state.get("extra", {}).get("covered", []))
+        listed = self.inbox.names() if listed is None else listed
+        return sorted(n for n in listed if n.endswith(".json") and not n.startswith(".") and n not in covered)
+
+    def _rows(self, names: list[str]) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], LOG_DDL)
+        return self.spark.read.schema(LOG_DDL).json([f"{self.path}/inbox/{n}" for n in names])
+
+    def read(self) -> DataFrame:
+        """All rows.  The inbox is listed before the commit is read: a compaction in
+        between makes its files covered, not missing."""
+        listed = self.inbox.names()
+        state = self.days.state()
+        old, new = self.days.rows(state), self._rows(self._waiting(state, listed))
+        return new if old is None else old.unionByName(new)
+
+    def compact(self) -> int:
+        """Move the inbox into the day files; returns the number of requests moved."""
+        with self.days.change() as change:
+            covered = change.extra.get("covered", [])
+            waiting = self._waiting(change.base[1])
+            new = self._rows(waiting).withColumn(PART, F.date_format("timestamp", "yyyy-MM-dd"))
+            days = sorted({f"{n[:4]}-{n[4:6]}-{n[6:8]}" for n in waiting})
+            if days:
+                old = change.read(days)
+                if old is not None:
+                    new = old.withColumn(PART, F.date_format("timestamp", "yyyy-MM-dd")).unionByName(new)
+                change.put(new.repartition(len(days), PART), days)
+            change.extra["covered"] = waiting
+        for name in covered:
+            self.inbox.delete(name)
+        return len(waiting)
 
 
 def log_query(spark: SparkSession, log_path: str, table: str, sql: str, path: str | None,
-              ip: str | None = None, key: str | None = None) -> None:
-    """Q3: append one row to the query log table."""
-    row = (str(uuid.uuid4()), ip, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           table, sql, path, key)
-    spark.createDataFrame([row], LOG_DDL).write.mode("append").parquet(log_path)
+              ip: str | None = None, key: str | None = None, compact_every: int = 200) -> None:
+    """Q3: append one request to the query log."""
+    QueryLog(spark, log_path, compact_every).append({
+        "id": str(uuid.uuid4()), "ip_address": ip, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+        "table_name": table, "query": sql, "path": path, "result_key": key})
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return QueryLog(spark, log_path).read()
 
 
 def cached_query(spark: SparkSession, lake: Lake, store: ResultStore, log_path: str,
@@ -242,10 +364,11 @@ def cached_query(spark: SparkSession, lake: Lake, store: ResultStore, log_path:
     version) ran before, else run, save, log.  Returns (DataFrame, hit)."""
     guard_select(sql, spark, [clean_identifier_py(table)])
     key = result_key(table, limit, sql, lake.version(table))
-    hit = store.get(key)
-    if hit is not None:
-        return hit, True
-    out = store.put(key, run_query(spark, lake, table, sql, limit))
+    with store.computing(key):
+        hit = store.get(key)
+        if hit is not None:
+            return hit, True
+        out = store.put(key, run_query(spark, lake, table, sql, limit))
     log_query(spark, log_path, table, sql, store.path(key), ip, key)
     return out, False
 

@@ -99,13 +99,30 @@ def struct_from_columns(columns: list[tuple[str, str]]) -> StructType:
     return StructType(fields)
 
 
+def structs_for(registry: DataFrame, schema_files) -> dict[str, StructType]:
+    """The StructTypes of the given documents, by one read of the registry (only their
+    columns reach the driver); documents that it does not hold are left out."""
+    rows = (registry.where(F.col("schema_file").isin([*schema_files])) if schema_files else registry.limit(0)).select(
+        "schema_file", "position", "COLUMN_NAME", "SPARK_DATA_TYPE").collect()
+    columns: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: r.position):
+        columns.setdefault(r.schema_file, []).append((r.COLUMN_NAME, r.SPARK_DATA_TYPE))
+    out = {}
+    for doc, own in columns.items():
+        try:
+            out[doc] = struct_from_columns(own)
+        except KeyError:                 # a type that documents do not have: this one is left out too
+            continue
+    return out
+
+
 def struct_for(registry: DataFrame, schema_file: str) -> StructType:
     """The StructType of one document (its columns only reach the driver)."""
     rows = (registry.where(F.col("schema_file") == F.lit(schema_file))
-            .select("position", "COLUMN_NAME", "SPARK_DATA_TYPE").orderBy("position").collect())
+            .select("position", "COLUMN_NAME", "SPARK_DATA_TYPE").collect())
     if not rows:
         raise KeyError(schema_file)
-    return struct_from_columns([(r.COLUMN_NAME, r.SPARK_DATA_TYPE) for r in rows])
+    return struct_from_columns([(r.COLUMN_NAME, r.SPARK_DATA_TYPE) for r in sorted(rows, key=lambda r: r.position)])
 
 
 def spark_sql_type(type_col) -> F.Column:

@@ -14,11 +14,13 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import clean_identifier_py
 from ..operators import crosswalk as X
 from ..operators import joins as J
 from ..operators import quality as Q
+from ..sources.footers import memory_by_column
 from ..sources.tables import Files, Lake
 from .views import VIEWS, ViewSpec, build_view, derivable_from, facility_columns_used
 
@@ -39,7 +41,7 @@ def dimension_columns(specs=VIEWS) -> list[str]:
     return facility_columns_used([s for s in specs if s.shape == "crosswalk"])
 
 
-def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> DataFrame:
+def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None, skip_empty_ids: bool = False) -> DataFrame:
     """The crosswalk joined to the facility projection, stored once,
     partitioned by program.
 
@@ -48,32 +50,69 @@ def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None) -> Data
     to broadcast then shuffles only its fact (to the same bucket count), the
     dimension side of every such join needs neither exchange nor sort.  Use
     at least ``spark.sql.shuffle.partitions`` buckets.
+
+    Either way it is replaced like any table: a failed write leaves the dimension
+    before it readable.  ``skip_empty_ids`` leaves out the crosswalk's empty ids,
+    which otherwise match every fact row whose id is empty.
     """
     cols = dimension_columns(specs)
-    dim = J.program_dimension(lake.read(CROSSWALK), lake.read(FACILITY), None, cols)
+    crosswalk = lake.read(CROSSWALK)
+    if skip_empty_ids:
+        crosswalk = crosswalk.where("PGM_ID <> ''")
+    dim = J.program_dimension(crosswalk, lake.read(FACILITY), None, cols)
     if not buckets:
         lake.write(dim, DIMENSION, partition_by=["PGM"])
         return lake.read(DIMENSION)
-    spark = lake.spark
-    table = dimension_table(lake)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-    # one task per bucket, so a program has at most one file in each
-    (dim.repartition(buckets, J.KEY).write.mode("overwrite").format(lake.fmt).partitionBy("PGM")
-     .bucketBy(buckets, J.KEY).sortBy(J.KEY)
-     .option("path", lake.path(DIMENSION)).saveAsTable(table))
+    spark, before = lake.spark, lake.current(DIMENSION)
+    with lake.replace(DIMENSION) as new:
+        table = dimension_table(lake, new.path.rsplit("/", 1)[1])
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+        try:
+            # one task per bucket, so a program has at most one file in each
+            (dim.repartition(buckets, J.KEY).write.format(lake.fmt).partitionBy("PGM")
+             .bucketBy(buckets, J.KEY).sortBy(J.KEY).option("path", new.path).saveAsTable(table))
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            raise
+    # catalog entries of versions that are gone; their files are the lake's business
+    kept = {table, dimension_table(lake, before) if before else None}
+    for row in spark.sql(f"SHOW TABLES IN {table.split('.')[0]}").collect():
+        if f"{table.split('.')[0]}.{row.tableName}" not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {table.split('.')[0]}.{row.tableName}")
     return spark.table(table)
 
 
-def dimension_table(lake: Lake) -> str:
-    """Catalog name of a lake's bucketed dimension (one per lake root)."""
+def dimension_table(lake: Lake, version: str | None = None) -> str:
+    """Catalog name of a version (default: the current) of a lake's bucketed dimension."""
     import hashlib
-    return f"faclake_{hashlib.sha1(lake.root.encode()).hexdigest()[:10]}.facility_by_program"
+    version = version or lake.current(DIMENSION) or "none"
+    return f"faclake_{hashlib.sha1(lake.root.encode()).hexdigest()[:10]}.facility_by_program_{version.replace('-', '_')}"
+
+
+def dimension_sizes(lake: Lake) -> dict[str, dict[str, int]]:
+    """Bytes in memory of each column of each program's partition of the stored
+    dimension, from its files' footers (at most programs x columns numbers)."""
+    return memory_by_column(lake.read(DIMENSION), "PGM")
+
+
+def view_dimension_bytes(spec: ViewSpec, sizes: dict[str, dict[str, int]]) -> int | None:
+    """Bytes in memory of what a crosswalk view reads of the dimension; None if the
+    dimension has no such partition (its size is then unknown)."""
+    own = sizes.get(spec.program)
+    if own is None:
+        return None
+    return sum(own.get(c, 0) for c in [J.KEY, *(J.side_name("e", c) for c in facility_columns_used([spec]))])
 
 
-def dimension_sizes(lake: Lake, specs=VIEWS) -> dict[str, int | None]:
-    """On-disk bytes of each program partition of the stored dimension; None where
-    it has no such partition."""
-    return {p: lake.bytes(DIMENSION, f"PGM={p}") for p in {s.program for s in specs if s.program}}
+def dimension_signatures(lake: Lake) -> dict[str, str]:
+    """Content of each program's partition of the stored dimension, as counts and
+    order-free sums of row hashes: equal rows give equal signatures."""
+    dim = lake.read(DIMENSION)
+    row = F.xxhash64(*sorted(c for c in dim.columns if c != "PGM"))
+    again = F.xxhash64(F.lit("again"), *sorted(c for c in dim.columns if c != "PGM"))
+    sums = dim.groupBy("PGM").agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("a"),
+                                  F.sum(again.cast("decimal(38,0)")).alias("b")).collect()      # a row a program
+    return {r.PGM: f"{r.n}:{r.a}:{r.b}" for r in sums}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -88,26 +127,20 @@ def broadcast_limit(spark: SparkSession) -> int:
     return n if n > 0 else 32 << 20
 
 
-# parquet on disk -> rows in memory: dictionary and zstd pages of text columns
-# hold up to some twenty times their size
-PARQUET_EXPANSION = 20
-
-
 def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
                      skew: str = "aqe", broadcast_max_bytes: int | None = None,
                      base: ViewSpec | None = None, dim_bytes: int | None = None) -> Q.RunRecord:
     """One view: build, replace the stored table, check it is not empty.
 
-    With the shared dimension, the view's program partition is measured: only
-    when its size (times the parquet expansion factor) is under the broadcast
-    limit is it broadcast; otherwise the join stays a shuffle join whose
+    With the shared dimension, what the view reads of its program's partition is
+    measured (``dim_bytes``, as rows in memory): only when that is under the
+    broadcast limit is it broadcast; otherwise the join stays a shuffle join whose
     skewed partitions AQE splits.
     """
     _use_pool(lake.spark, f"view-{spec.name}")
     try:
         if base is not None:
             # a filter of an already stored view (pushed down to its scan)
-            from pyspark.sql import functions as F
             col, val = spec.fact_filter
             df = lake.read(base.name).where(F.col(col) == F.lit(val))
         else:
@@ -117,7 +150,7 @@ def materialise_view(lake: Lake, spec: ViewSpec, shared_dim: DataFrame | None,
             if shared_dim is not None and spec.shape == "crosswalk":
                 limit = broadcast_max_bytes or broadcast_limit(lake.spark)
                 # an unknown size is not a small one
-                small = dim_bytes is not None and dim_bytes * PARQUET_EXPANSION <= limit
+                small = dim_bytes is not None and dim_bytes <= limit
             df = build_view(spec, tables, skew=skew, shared_dim=shared_dim, broadcast_dim=small)
         written = Q.observed_write(df, lambda d: lake.write(d, spec.name))
         status = "ok" if written > 0 else "empty"
@@ -211,7 +244,7 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
                   skew: str = "aqe", share_dimension: bool = True,
                   rebuild: bool = True, broadcast_max_bytes: int | None = None,
                   reuse_views: bool = True, dimension_buckets: int | None = None,
-                  only_changed: bool = False) -> DataFrame:
+                  only_changed: bool = False, skip_empty_ids: bool = False) -> DataFrame:
     """M1: crosswalk (optional), shared dimension, then all views; the views
     are independent and are submitted concurrently.  Returns the report.
 
@@ -225,9 +258,12 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
     ``write_dimension``).
 
     With ``only_changed``, the crosswalk, the dimension and each view are
-    rebuilt only when one of their input tables changed since the last
-    refresh (versions from one file listing of the lake, kept in a small
-    state table); the others are reported ``unchanged``.
+    rebuilt only when their inputs changed since the last refresh (kept in a small
+    state table); the others are reported ``unchanged``.  Inputs are the versions of
+    the tables, from one file listing of the lake; for a view over the shared
+    dimension, the content of its program's partition instead of the facility and
+    crosswalk tables, so a change in one program's facilities rebuilds that program's
+    views only.  ``skip_empty_ids``: see ``write_dimension``.
     """
     records: list[Q.RunRecord] = []
     state = _read_state(lake) if only_changed else {}
@@ -244,11 +280,35 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
                 versions = table_versions(lake)
     specs = list(specs)
     all_specs = list(specs)
+    with_dimension = share_dimension and any(s.shape == "crosswalk" for s in specs)
+
+    def dimension() -> DataFrame | None:
+        """The shared dimension, rewritten if its inputs changed."""
+        sig = (_signature([CROSSWALK, FACILITY], versions) + "|cols=" + ",".join(dimension_columns(all_specs))
+               + ("|no empty ids" if skip_empty_ids else ""))
+        try:
+            if only_changed and state.get(DIMENSION) == sig and lake.exists(DIMENSION) and not dimension_buckets:
+                return lake.read(DIMENSION)
+            out = write_dimension(lake, all_specs, dimension_buckets, skip_empty_ids)
+            state[DIMENSION] = sig
+            return out
+        except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
+            return None
+
+    shared, programs = None, {}
+    if only_changed and with_dimension:
+        shared = dimension()                 # before the views: its content says which of them changed
+        programs = dimension_signatures(lake) if shared is not None else {}
+
+    def signature(s: ViewSpec) -> str:
+        if s.shape == "crosswalk" and shared is not None:
+            own = [t for t in s.tables if t not in (CROSSWALK, FACILITY)]
+            return f"{_signature(own, versions)}|{s.program}={programs.get(s.program, 'none')}|{dimension_columns([s])}"
+        return _signature(s.tables, versions)
+
     unchanged = []
     if only_changed:
-        for s in specs:
-            if state.get(s.name) == _signature(s.tables, versions) and lake.exists(s.name):
-                unchanged.append(s)
+        unchanged = [s for s in specs if state.get(s.name) == signature(s) and lake.exists(s.name)]
         records += [Q.RunRecord(s.name, lake.path(s.name), "unchanged") for s in unchanged]
         specs = [s for s in specs if s not in unchanged]
     derived = {}
@@ -263,35 +323,24 @@ def refresh_views(spark: SparkSession, lake: Lake, specs=VIEWS, parallel: int =
         # the dimension is being written
         futures = {s.name: pool.submit(materialise_view, lake, s, None, skew, broadcast_max_bytes)
                    for s in first if s.shape != "crosswalk"}
-        shared = None
-        if share_dimension and any(s.shape == "crosswalk" for s in first):
-            dim_sig = (_signature([CROSSWALK, FACILITY], versions)
-                       + "|cols=" + ",".join(dimension_columns(all_specs)))
-            try:
-                if only_changed and state.get(DIMENSION) == dim_sig and lake.exists(DIMENSION) \
-                        and not dimension_buckets:
-                    shared = lake.read(DIMENSION)
-                else:
-                    shared = write_dimension(lake, all_specs, dimension_buckets)
-                    state[DIMENSION] = dim_sig
-            except Exception:  # noqa: BLE001 -- each view then joins on its own and reports
-                shared = None
-        sizes = dimension_sizes(lake, first) if shared is not None and not dimension_buckets else {}
+        crosswalk_views = [s for s in first if s.shape == "crosswalk"]
+        if share_dimension and crosswalk_views and shared is None and not only_changed:
+            shared = dimension()
+        sizes = dimension_sizes(lake) if shared is not None and crosswalk_views and not dimension_buckets else {}
         futures.update({s.name: pool.submit(materialise_view, lake, s, shared, skew, broadcast_max_bytes,
-                                            None, sizes.get(s.program))
-                        for s in first if s.shape == "crosswalk"})
+                                            None, view_dimension_bytes(s, sizes)) for s in crosswalk_views})
         done = {name: f.result() for name, f in futures.items()}
 
         def second(s):
             if done[derived[s.name].name].status != "ok":   # base failed or empty: join directly
-                return materialise_view(lake, s, shared, skew, broadcast_max_bytes, None, sizes.get(s.program))
+                return materialise_view(lake, s, shared, skew, broadcast_max_bytes, None, view_dimension_bytes(s, sizes))
             return materialise_view(lake, s, shared, skew, broadcast_max_bytes, base=derived[s.name])
         done.update({r.name: r for r in pool.map(second, [s for s in specs if s.name in derived])})
     records += [done[s.name] for s in specs]
     if only_changed:
         for s in specs:
             if done[s.name].status in ("ok", "empty"):
-                state[s.name] = _signature(s.tables, versions)
+                state[s.name] = signature(s)
             else:
                 state.pop(s.name, None)
         _write_state(lake, state)

@@ -15,17 +15,19 @@ Kinds by name, in this order: ``.zip``; ``.tar.gz`` / ``.tgz``; ``.gz``
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 import uuid
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_DDL = "archive string, kind string, member string, target string, bytes long, status string, message string"
 CHUNK = 8 * 1024 * 1024
 TASK_BYTES = 128 * 1024 * 1024
+STAGING = "_staging-"          # folder of the members whose names are not judged yet
 
 
 def archive_kind(name: str) -> str | None:
@@ -40,10 +42,10 @@ def archive_kind(name: str) -> str | None:
 
 
 def _fs_and_path(uri: str):
-    """pyarrow file system for a Hadoop-style URI (``file:/x`` -> ``file:///x``)."""
+    """pyarrow file system and path of a Hadoop path (``file:/x y``, ``s3a://b/x``)."""
     from pyarrow import fs as pafs
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file:///" + uri[len("file:/"):].lstrip("/")
+    if uri.startswith("file:/"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:/"):].lstrip("/")
     for hadoop_scheme in ("s3a://", "s3n://"):      # Hadoop connector names
         if uri.startswith(hadoop_scheme):
             uri = "s3://" + uri[len(hadoop_scheme):]
@@ -86,7 +88,7 @@ def _exists(fs, path: str) -> bool:
     return fs.get_file_info(path).type != pafs.FileType.NotFound
 
 
-def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tuple]:
+def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool, staging: str) -> list[tuple]:
     import gzip
     import tarfile
     import zipfile
@@ -120,6 +122,7 @@ def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tu
                         n = _copy(member, dst_fs, t, info.file_size)
                     rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "extracted", None))
         elif kind == "tar":
+            staged = posixpath.join(dst_root, staging, hashlib.sha256(archive_uri.encode()).hexdigest()[:32])
             with src_fs.open_input_stream(src_path, compression=None) as f, tarfile.open(fileobj=f, mode="r|gz") as tar:
                 for info in tar:
                     if not info.isfile():
@@ -128,12 +131,11 @@ def _expand_one(archive_uri: str, dest_uri: str, skip_existing: bool) -> list[tu
                     if not _safe(m):
                         rows.append((archive_uri, kind, m, None, None, "refused", "unsafe path"))
                         continue
-                    t = target_of(m)
-                    if skip_existing and _exists(dst_fs, t):
+                    if skip_existing and _exists(dst_fs, target_of(m)):
                         rows.append((archive_uri, kind, m, _join(dest_uri, m), None, "exists", None))
                         continue
-                    n = _copy(tar.extractfile(info), dst_fs, t, info.size)
-                    rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "extracted", None))
+                    n = _copy(tar.extractfile(info), dst_fs, posixpath.join(staged, posixpath.normpath(m)), info.size)
+                    rows.append((archive_uri, kind, m, _join(dest_uri, m), n, "staged", None))
         else:
             m = name[: -len(".gz")]
             t = target_of(m)
@@ -202,9 +204,11 @@ def expand_archives(spark: SparkSession, src: str, dest: str, skip_existing: boo
     directory; a tar.gz / gz stream is one unit because it can only be read front
     to back); the units are then extracted, a task for about ``TASK_BYTES`` of
     them.  A zip holding several large files is expanded by several tasks at
-    once, a million small members are not a million tasks.  Zip members and gz
-    files that would share a name are not extracted but reported as ``clash``
-    (names inside a tar.gz are only known while it is read).
+    once, a million small members are not a million tasks.  Members that would share
+    a name are not extracted but reported as ``clash``, whatever their archives: the
+    names inside a tar.gz are only known while it is read, so its members are
+    written below a staging folder of their archive, and moved to their names when
+    the names of all archives are known.
     """
     from ..session import scratch_path, ship_package
     ship_package(spark)
@@ -221,74 +225,75 @@ def expand_archives(spark: SparkSession, src: str, dest: str, skip_existing: boo
         return spark.createDataFrame([], REPORT_DDL)
     path = scratch_path(spark, "archive-units")
     (listing.repartitionByRange(max(1, min(found, 1000)), "path").mapInPandas(list_units, UNITS_DDL)
-     .withColumn("same", F.when(F.col("target").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy("target"))).otherwise(1))
      .write.parquet(path))
     units = spark.read.parquet(path)
     total = units.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
     tasks = max(1, min(total.n, max(64, int(total.b or 0) // TASK_BYTES + 1)))
 
-    def extract(batches):
+    staging = f"{STAGING}{uuid.uuid4().hex}"
+
+    def stage(batches):
+        for pdf in batches:
+            yield pd.DataFrame([r for uri in pdf["archive"] for r in _expand_one(uri, dest, skip_existing, staging)], columns=cols)
+
+    # streams first, so that all targets are known; what they hold is not yet in place
+    is_tar = F.lower("archive").rlike(r"\.(tar\.gz|tgz)$")
+    tar_path = scratch_path(spark, "archive-streams")
+    (units.where(is_tar).select("archive").repartitionByRange(tasks, "archive").mapInPandas(stage, REPORT_DDL)
+     .write.parquet(tar_path))
+    streams = spark.read.schema(REPORT_DDL).parquet(tar_path)
+    kept = ["archive", "kind", "member", "target", "bytes", "status", "message"]
+    todo = units.where(~is_tar).select("archive", F.lit(None).cast("string").alias("kind"), "member", "target", "bytes",
+                                       F.lit("unit").alias("status"), F.lit(None).cast("string").alias("message"))
+    staged = streams.where("status = 'staged'").select(*kept)
+    name = F.when(F.col("status") == "unit", F.col("target")).otherwise(F.col("member"))
+    judged = todo.unionByName(staged).withColumn("name", _normal(name))
+    same = judged.where("name IS NOT NULL").groupBy("name").agg(F.count(F.lit(1)).alias("same")).where("same > 1")
+    judged = judged.join(same, "name", "left").select(*kept, F.coalesce("same", F.lit(1)).alias("same"))
+
+    def finish(batches):
         for pdf in batches:
             out = []
-            for uri, member, same in zip(pdf["archive"], pdf["member"], pdf["same"]):
-                whole = member is None or (isinstance(member, float) and pd.isna(member))
-                if same > 1:
-                    out.append((uri, archive_kind(uri), None if whole else member, None, None, "clash", f"{same} members of one name"))
+            for row in pdf.astype(object).where(pdf.notna(), None).itertuples(index=False):
+                uri, whole = row.archive, row.member is None
+                if row.status == "staged":
+                    out.append(_publish(tuple(row)[:7], dest, staging, int(row.same)))
+                elif row.same > 1:
+                    out.append((uri, archive_kind(uri), row.member, None, None, "clash", f"{row.same} members of one name"))
                 elif whole:
-                    out.extend(_expand_one(uri, dest, skip_existing))
+                    out.extend(_expand_one(uri, dest, skip_existing, staging))
                 else:
-                    out.append(_expand_member(uri, member, dest, skip_existing))
+                    out.append(_expand_member(uri, row.member, dest, skip_existing))
             yield pd.DataFrame(out, columns=cols)
 
-    return (units.select("archive", "member", "same").repartitionByRange(tasks, "archive", "member").mapInPandas(extract, REPORT_DDL))
-
-
-def pack_archives(spark: SparkSession, files: DataFrame, dest: str) -> DataFrame:
-    """Pack plain files (``path`` column) into archives -- zip, tar.gz or gz
-    chosen by a hash of the path -- one archive per file, streamed by the task
-    that holds it.  Used to build test inputs from Spark-written CSV parts."""
-
-    def run(batches):
-        import gzip
-        import tarfile
-        import zipfile
-        dfs, droot = _fs_and_path(dest)
-        dfs.create_dir(droot, recursive=True)
-        for pdf in batches:
-            rows = []
-            for uri, kind_no in zip(pdf["path"], pdf["kind_no"]):
-                fs, p = _fs_and_path(uri)
-                base = posixpath.basename(p)
-                kind = ("zip", "tar", "gz")[int(kind_no)]
-                with fs.open_input_stream(p, compression=None) as f:
-                    if kind == "zip":
-                        target = posixpath.join(droot, f"{base}.zip")
-                        with dfs.open_output_stream(target, compression=None) as out, \
-                                zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, \
-                                z.open(f"csv/{base}.csv", "w", force_zip64=True) as zf:
-                            _stream(f, zf)
-                    elif kind == "tar":
-                        target = posixpath.join(droot, f"{base}.tar.gz")
-                        info = tarfile.TarInfo(f"tar/{base}.csv")
-                        info.size = fs.get_file_info(p).size
-                        with dfs.open_output_stream(target, compression=None) as out, \
-                                tarfile.open(fileobj=out, mode="w|gz") as t:
-                            t.addfile(info, f)
-                    else:
-                        target = posixpath.join(droot, f"{base}.csv.gz")
-                        with dfs.open_output_stream(target, compression=None) as out, \
-                                gzip.GzipFile(fileobj=out, mode="wb") as g:
-                            _stream(f, g)
-                rows.append((uri, target, kind))
-            yield pd.DataFrame(rows, columns=["source", "archive", "kind"])
-
-    chosen = files.withColumn("kind_no", F.pmod(F.xxhash64("path"), F.lit(3)))
-    return chosen.mapInPandas(run, "source string, archive string, kind string")
-
-
-def _stream(src, dst) -> None:
-    while True:
-        buf = src.read(CHUNK)
-        if not buf:
-            break
-        dst.write(buf)
+    done = judged.repartitionByRange(tasks, "archive", "member").mapInPandas(finish, REPORT_DDL)
+    report = scratch_path(spark, "archive-report")
+    done.unionByName(streams.where("status <> 'staged'").select(*cols)).write.parquet(report)
+    fs, root = _fs_and_path(dest)
+    if _exists(fs, posixpath.join(root, staging)):
+        fs.delete_dir(posixpath.join(root, staging))
+    return spark.read.schema(REPORT_DDL).parquet(report)
+
+
+def _normal(c):
+    """A member's name as a path: no ``./`` and no doubled slashes."""
+    return F.regexp_replace(F.regexp_replace(c, r"/(?:\./|/)+", "/"), r"^(?:\./)+", "")
+
+
+def _publish(row: tuple, dest: str, staging: str, same: int) -> tuple:
+    """Move a staged member to its name, or remove it if the name is claimed by more
+    than one archive.  Repeating this changes nothing."""
+    uri, kind, member, target, n, _, message = row
+    fs, root = _fs_and_path(dest)
+    held = posixpath.join(root, staging, hashlib.sha256(uri.encode()).hexdigest()[:32], posixpath.normpath(member))
+    if same > 1:
+        if _exists(fs, held):
+            fs.delete_file(held)
+        return (uri, kind, member, None, None, "clash", f"{same} members of one name")
+    place = posixpath.join(root, member)
+    if _exists(fs, held):
+        fs.create_dir(posixpath.dirname(place), recursive=True)
+        fs.move(held, place)
+    elif not _exists(fs, place):
+        return (uri, kind, member, None, None, "corrupt", "the staged member is gone")
+    return (uri, kind, member, target, int(n), "extracted", message)

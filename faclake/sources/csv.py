@@ -8,10 +8,13 @@ for plain files, so a large CSV is read by many tasks.
 
 from __future__ import annotations
 
+import codecs
 import csv
+import io
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -58,42 +61,83 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType,
             .when(F.lower(F.trim(b)).isin(*no), F.lit(False)) for b in bools})
 
 
-def header_lines(spark: SparkSession, path: str, encoding: str | None = None) -> list[str]:
-    """The distinct first lines of all files at ``path`` (file, folder or glob);
-    of each file only its beginning is read, by the driver."""
-    from .tables import Files
-    files, lines = Files(spark, path), {}
-    for found in files.fs.globStatus(files.root) or []:
-        todo = [found]
-        while todo:
-            status = todo.pop()
-            name = status.getPath().getName()
-            if status.isDirectory():
-                todo += [x for x in files.fs.listStatus(status.getPath()) if not x.getPath().getName().startswith(("_", "."))]
-                continue
-            stream, data = files.fs.open(status.getPath()), b""
-            unzip = zlib.decompressobj(31) if name.lower().endswith(".gz") else None
-            try:
-                while b"\n" not in data and (part := bytes(stream.readNBytes(1 << 16))):
-                    data += unzip.decompress(part) if unzip else part
-            finally:
-                stream.close()
-            lines[data.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding or "utf-8", "replace").removeprefix("\ufeff")] = True
-    return list(lines)
-
-
-def header_drift(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
-                 encoding: str | None = None, **_) -> DataFrame:
+HEADER_DDL = "path string, names array<string>, problem string"
+_HEAD_STEP = 1 << 16
+
+
+def first_record(read, encoding: str | None = None, sep: str = ",", most: int = 1 << 20) -> list[str]:
+    """The fields of the first CSV record of a byte stream (``read(n)`` gives up to n
+    bytes).  Line breaks inside quotes belong to the record; only as much is read as
+    the record needs, at most ``most`` bytes."""
+    decoder = codecs.getincrementaldecoder(encoding or "utf-8")("replace")
+    text, used = "", 0
+    while True:
+        data = read(_HEAD_STEP)
+        used += len(data)
+        text = (text + decoder.decode(data, not data)).removeprefix("\ufeff")
+        quotes = 0
+        for i, c in enumerate(text):
+            quotes += c == '"'
+            if quotes % 2 == 0 and (c == "\n" or (c == "\r" and (i + 1 < len(text) or not data))):
+                return next(csv.reader(io.StringIO(text[:i], newline=""), delimiter=sep), [])
+        if not data:
+            if quotes % 2:
+                raise ValueError("the header's quotes are not closed")
+            return next(csv.reader(io.StringIO(text, newline=""), delimiter=sep), [])
+        if used >= most:
+            raise ValueError(f"the header has no end within {most} bytes")
+
+
+def headers(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str | None = None,
+            recursive: bool = False, at_once: int = 32, most: int = 1 << 20) -> DataFrame:
+    """(path, names, problem) of every CSV file at ``path`` (files, folders, globs).
+
+    The listing is Spark's (no content is read); tasks of about ``at_once`` files then
+    read the head of each, gzip included, and stop at the end of its first record.
+    A file whose header cannot be read has a ``problem`` and no names."""
+    from ..session import ship_package
+    ship_package(spark)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+              .load(path).select("path"))
+    n = len(listed.inputFiles())
+
+    def read(batches):
+        import gzip
+
+        from .archives import _fs_and_path
+        for pdf in batches:
+            out = []
+            for uri in pdf["path"]:
+                try:
+                    fs, name = _fs_and_path(uri)
+                    with fs.open_input_stream(name, compression=None) as raw:
+                        stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else raw
+                        out.append((uri, first_record(stream.read, encoding, sep, most), None))
+                except (OSError, EOFError, ValueError, zlib.error, csv.Error) as e:
+                    out.append((uri, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["path", "names", "problem"])
+
+    return listed.repartition(max(1, -(-n // at_once))).mapInPandas(read, HEADER_DDL)
+
+
+def differing(names: Column, declared: Column) -> Column:
+    """Number of positions where a header and the declared names differ (any case,
+    blanks around a name do not count)."""
+    same = F.zip_with(names, declared, lambda a, b: F.upper(F.trim(a)).eqNullSafe(F.upper(b)))
+    return F.size(F.filter(same, lambda x: ~x))
+
+
+def header_drift(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",",
+                 encoding: str | None = None, recursive: bool = False, **_) -> DataFrame:
     """Header names next to the declared names, by position, for every distinct
     header among the files at ``path``; takes the scan's options.
 
     Columns: position, header_name, declared_name, same (case-insensitive).
     """
-    rows = []
-    for line in header_lines(spark, path, encoding):
-        header = next(csv.reader([line], delimiter=sep), [])
-        for i in range(max(len(header), len(schema.fields))):
-            name = header[i] if i < len(header) else None
-            declared = schema.fields[i].name if i < len(schema.fields) else None
-            rows.append((i, name, declared, name is not None and declared is not None and name.strip().upper() == declared.upper()))
-    return spark.createDataFrame(rows, "position int, header_name string, declared_name string, same boolean")
+    distinct = headers(spark, path, sep, encoding, recursive).where("names IS NOT NULL").select("names").distinct()
+    declared = F.array(*[F.lit(f.name) for f in schema.fields]) if schema.fields else F.array().cast("array<string>")
+    pairs = F.zip_with("names", declared, lambda a, b: F.struct(a.alias("header_name"), b.alias("declared_name")))
+    return (distinct.select(F.posexplode(pairs).alias("position", "p"))
+            .select("position", "p.header_name", "p.declared_name",
+                    (F.col("p.header_name").isNotNull() & F.col("p.declared_name").isNotNull()
+                     & F.upper(F.trim("p.header_name")).eqNullSafe(F.upper("p.declared_name"))).alias("same")))

@@ -24,9 +24,9 @@ from ..functions import (decode_entities, extract_csv_name, normalize_cell, page
                          resolve_with_parts, size_quality, size_to_mb, strip_text, tag_text)
 
 # an attribute value: in double quotes, in single quotes or bare
-_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))"""
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'=<>`]+)"""
 HREF = rf"""(?is)<a\b[^>]*?(?<=[\s"'])href\s*=\s*{_VALUE}"""
-ANCHOR_TEXT = rf"""(?is)<a\b[^>]*?(?<=[\s"'])href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+)[^>]*>(.*?)</a>"""
+ANCHOR = rf"""{HREF}[^>]*>(?:.*?</a>)?"""
 FIRST_TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
 TABLES = FIRST_TABLE
 ROWS = r"(?is)<tr\b[^>]*>(.*?)</tr>"
@@ -48,14 +48,17 @@ def _all(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), 1)
 
 
+def _unquoted(c: Column) -> Column:
+    return F.when(c.startswith('"') | c.startswith("'"), F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+
+
 def _values(c: Column) -> Column:
     """``href`` values in order, whichever way they are quoted."""
-    found = [F.regexp_extract_all(c, F.lit(HREF), i) for i in (1, 2, 3)]
-    return F.zip_with(F.zip_with(found[0], found[1], lambda a, b: F.concat(a, b)), found[2], lambda a, b: F.concat(a, b))
+    return F.transform(_all(c, HREF), _unquoted)
 
 
-def _one(c: Column, pattern: str) -> Column:
-    return F.regexp_extract(c, pattern, 1)
+def _one(c: Column, pattern: str, group: int = 1) -> Column:
+    return F.regexp_extract(c, pattern, group)
 
 
 def _text(c: Column) -> Column:
@@ -77,19 +80,18 @@ def extract_listing(pages: DataFrame, html: str = "html", url: str = "url") -> D
     """S8 (listing rows): page columns, row_pos, href, link, name,
     last_modified, size, size_mb, is_dir."""
     keep = [c for c in pages.columns if c != html]
-    per_page = pages.select(*keep, page_url_parts(url).alias("_u"),
-                            _all(_one(F.col(html), FIRST_TABLE), ROWS).alias("_rows"))
-    r = per_page.select(*keep, "_u", F.posexplode("_rows").alias("row_pos", "_row"))
-    row = F.col("_row")
-    right = _all(row, RIGHT_CELLS)
+    # of each row, its first link with its text, and its right-aligned cells
+    pieces = F.transform(_all(_one(F.col(html), FIRST_TABLE), ROWS),
+                         lambda row: F.struct(_one(row, ANCHOR, 0).alias("a"), _all(row, RIGHT_CELLS).alias("right")))
+    per_page = pages.select(*keep, page_url_parts(url).alias("_u"), pieces.alias("_rows"))
+    r = per_page.select(*keep, "_u", F.posexplode("_rows").alias("row_pos", "_row")).where("_row.a <> ''")
     out = r.select(
         *keep, "_u", "row_pos",
-        decode_entities(F.get(_values(row), F.lit(0))).alias("href"),
-        _text(_one(row, ANCHOR_TEXT)).alias("name"),
-        _text(F.get(right, 0)).alias("last_modified"),
-        _text(F.get(right, 1)).alias("size"),
-        F.regexp_like(row, F.lit(HREF)).alias("_has_link"))
-    out = out.where(F.col("_has_link") & ~F.col("name").isin(*SKIP_LINK_TEXTS)).drop("_has_link")
+        decode_entities(_unquoted(_one(F.col("_row.a"), HREF))).alias("href"),
+        _text(F.col("_row.a")).alias("name"),
+        _text(F.get("_row.right", 0)).alias("last_modified"),
+        _text(F.get("_row.right", 1)).alias("size"))
+    out = out.where(~F.col("name").isin(*SKIP_LINK_TEXTS))
     return (out.withColumn("link", resolve_with_parts("href", "_u")).drop("_u")
             .withColumn("size_mb", size_to_mb("size")).withColumn("size_quality", size_quality("size"))
             .withColumn("is_dir", F.col("href").endswith("/")))

@@ -46,26 +46,34 @@ def keep_result(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@register("missing_table", "SELECT name, name IN ('orders', 'part') AS found FROM (VALUES ('orders'), ('no_such_table'), "
-          "('part'), ('schemas')) t(name)")
+@register("missing_table", "SELECT * FROM (VALUES ('no_such_table', CAST(NULL AS BIGINT)), ('schemas', NULL)) t(name, n) "
+          "UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'part', count(*) FROM part "
+          "UNION ALL SELECT 'events', count(*) FROM events")
 def _missing(spark, sf_dir):
-    """Q5: a query over a table that is not stored is refused by name."""
-    lake, rows = folder_lake(spark, sf_dir), []
-    for name in ("orders", "no_such_table", "part", "schemas"):
+    """Q5: a stored table is counted through the guarded access path; a name that is
+    not stored is refused by name and counts as missing."""
+    lake, out = folder_lake(spark, sf_dir), None
+    for name in ("orders", "no_such_table", "part", "schemas", "events"):
         try:
-            Q.run_query(spark, lake, name, f"SELECT 1 AS x FROM {name}").schema
-            rows.append((name, True))
+            found = Q.run_query(spark, lake, name, f"SELECT count(*) AS n FROM {name}").select(F.lit(name).alias("name"), "n")
         except Q.TableNotFound as e:
             assert str(e) == name
-            rows.append((name, False))
-    return spark.createDataFrame(rows, "name string, found boolean")
+            found = spark.range(1).select(F.lit(name).alias("name"), F.lit(None).cast("long").alias("n"))
+        # frames of different sessions meet as rows written apart
+        out = keep_result(found) if out is None else out.unionByName(keep_result(found))
+    return out
 
 
-@register("limit_before_sql", "SELECT CAST(1000 AS BIGINT) AS n")
+@register("limit_before_sql", "SELECT CAST(1000 AS BIGINT) AS n UNION ALL SELECT count(*) // 2 FROM orders "
+          "UNION ALL SELECT count(*) FROM orders")
 def _limit(spark, sf_dir):
-    # the limit applies to the base table, before the query counts it
-    return Q.run_query(spark, folder_lake(spark, sf_dir), "orders",
-                       "SELECT count(*) AS n FROM orders", limit=1000)
+    """The limit applies to the base table, before the query counts it: below, at
+    half and beyond the table's rows."""
+    lake = folder_lake(spark, sf_dir)
+    rows = lake.read("orders").count()
+    counted = [keep_result(Q.run_query(spark, lake, "orders", "SELECT count(DISTINCT o_orderkey) AS n FROM orders", limit=n))
+               for n in (1000, rows // 2, rows * 2)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @register("hot_table_cache", HOT)
@@ -96,7 +104,7 @@ def _query_log(spark, sf_dir):
     lake = folder_lake(spark, sf_dir)
     store = Q.ResultStore(spark, f"{root}/store")
     Q.cached_query(spark, lake, store, f"{root}/log", "orders", PROJECTION_FILTER, ip="10.0.0.1")
-    log = spark.read.parquet(f"{root}/log")
+    log = Q.read_log(spark, f"{root}/log")
     key = log.select("result_key").first()[0]
     counts = store.get(key).agg(F.count(F.lit(1)).alias("result_rows")).withColumn("result_key", F.lit(key))
     return log.join(counts, "result_key").select("table_name", "query", "result_rows")

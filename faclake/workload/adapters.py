@@ -19,6 +19,7 @@ unused ones, so only the referenced parquet columns are read).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.contracts import BASE_TABLE_DDL, ddl_fields
 
@@ -159,8 +160,6 @@ def wide_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
     at most 32 orders whatever the customer's size, so no group grows with
     the data.  Exploding the lists gives the crosswalk adapter back.
     """
-    from pyspark.sql import functions as F
-
     o = read(spark, sf_dir, "orders").select(
         F.col("o_custkey"), F.col("o_orderkey"), F.col("o_orderstatus"),
         F.floor(F.col("o_orderkey") / 32).alias("blk"))
@@ -183,6 +182,45 @@ def wide_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "AIR_IDS", "NPDES_IDS", "RCRA_IDS", "SDWA_IDS")
 
 
+# Rows of the id-list facility: one for a customer and block of order keys, so the
+# registry id is unique and a list has as many ids as the customer's orders there.
+_BLOCK = 1 << 18
+_LIST_RULES = {
+    "REGISTRY_ID": "CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS STRING) || '-' || CAST(blk AS STRING) END",
+    "FLAG": "CASE WHEN o_custkey % 11 = 0 THEN NULL WHEN o_custkey % 13 = 0 THEN 'N' ELSE 'Y' END",
+    # some lists are empty texts, some have doubled blanks
+    "IDS": "CASE WHEN o_custkey % 7 = 0 THEN '' ELSE {joined} END",
+    "GAP": "CASE WHEN o_custkey % 5 = 0 THEN '  ' ELSE ' ' END",
+}
+_LIST_PROGRAMS = (("AIR_FLAG", "AIR_IDS", "o_orderstatus = 'F'"), ("NPDES_FLAG", "NPDES_IDS", "o_orderstatus = 'O'"),
+                  ("RCRA_FLAG", "RCRA_IDS", "o_orderstatus = 'P'"), ("SDWIS_FLAG", "SDWA_IDS", "o_orderkey % 4 = 0"))
+
+
+def id_list_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facility rows as the crosswalk meets them: unique registry ids (some missing),
+    lists of several ids, doubled blanks, empty and missing lists, missing flags."""
+    orders = read(spark, sf_dir, "orders").selectExpr("o_custkey", "o_orderkey", "o_orderstatus", f"o_orderkey div {_BLOCK} AS blk")
+    lists = orders.groupBy("o_custkey", "blk").agg(*[
+        F.expr(f"sort_array(collect_list(CASE WHEN {cond} THEN CAST(o_orderkey AS STRING) END))").alias(name)
+        for _, name, cond in _LIST_PROGRAMS])
+    out = [f"{_LIST_RULES['REGISTRY_ID']} AS REGISTRY_ID"]
+    for flag, name, _ in _LIST_PROGRAMS:
+        joined = _LIST_RULES["IDS"].format(joined=f"array_join({name}, {_LIST_RULES['GAP']})")
+        out += [f"{_LIST_RULES['FLAG']} AS {flag}", f"CASE WHEN size({name}) > 0 THEN {joined} END AS {name}"]
+    return lists.selectExpr(*out)
+
+
+def id_list_crosswalk_sql() -> str:
+    """The crosswalk of ``id_list_facility``, straight from the orders."""
+    parts = []
+    for _, name, cond in _LIST_PROGRAMS:
+        joined = _LIST_RULES["IDS"].format(joined=f"replace(array_to_string(list_sort(list(CAST(o_orderkey AS VARCHAR))), ' '), ' ', {_LIST_RULES['GAP']})")
+        parts.append(f"SELECT '{name}' AS PGM, {_LIST_RULES['REGISTRY_ID']} AS REGISTRY_ID, {_LIST_RULES['FLAG']} AS flag, {joined} AS ids "
+                     f"FROM (SELECT *, o_orderkey // {_BLOCK} AS blk FROM orders WHERE {cond}) GROUP BY o_custkey, blk")
+    return ("SELECT PGM, REGISTRY_ID, unnest(string_split(ids, ' ')) AS PGM_ID FROM (" + " UNION ALL ".join(parts)
+            + ") WHERE flag = 'Y' AND REGISTRY_ID IS NOT NULL")
+
+
 # ----------------------------------------------------------------- SQL side
 
 def facility_sql() -> str:

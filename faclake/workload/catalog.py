@@ -77,6 +77,13 @@ def _crosswalk_build(spark, sf_dir):
     return X.build_crosswalk(A.wide_facility(spark, sf_dir))
 
 
+@register("crosswalk_id_lists", A.id_list_crosswalk_sql())
+def _id_lists(spark, sf_dir):
+    """X1/X2 over lists of several ids with doubled blanks, empty lists, missing lists,
+    flags and registry ids; registry ids are unique."""
+    return X.build_crosswalk(A.id_list_facility(spark, sf_dir))
+
+
 @register("flag_filter", f"SELECT REGISTRY_ID, AIR_IDS FROM ({A.wide_facility_sql()}) WHERE AIR_IDS IS NOT NULL")
 def _flag_filter(spark, sf_dir):
     return X.flag_filter(A.wide_facility(spark, sf_dir), "AIR_FLAG", "AIR_IDS")

@@ -45,13 +45,36 @@ def registry_of(spark: SparkSession, docs: dict[str, list[tuple[str, str]]]) ->
                                  "PANDAS_DATA_TYPE string, last_modified string")
 
 
-def write_csv(df: DataFrame, folder: str, name: str) -> str:
+def write_csv(df: DataFrame, folder: str, name: str, compression: str = "none") -> str:
     """Land a table as one CSV folder ``<folder>/<name>`` (a header per part)."""
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
     return path
 
 
+def cut_in_half(spark: SparkSession, folder: str) -> None:
+    """Damage a landed folder: its first part keeps only the first half of its bytes.
+    A task copies them in pieces of a bounded size."""
+    from ..sources.archives import CHUNK, _fs_and_path
+
+    def run(batches):
+        for pdf in batches:
+            for uri in pdf["path"]:
+                fs, path = _fs_and_path(uri)
+                left = fs.get_file_info(path).size // 2
+                with fs.open_input_stream(path, compression=None) as source, fs.open_output_stream(f"{path}.cut", compression=None) as out:
+                    while left > 0:
+                        data = source.read(min(left, CHUNK))
+                        out.write(data)
+                        left -= len(data)
+                fs.move(f"{path}.cut", path)
+            yield pdf
+
+    parts = spark.read.format("binaryFile").load(folder).select("path")
+    first = parts.agg(F.min("path")).first()[0]
+    spark.createDataFrame([(first,)], "path string").mapInPandas(run, "path string").collect()      # one row
+
+
 def _orders_csv(spark, sf_dir):
     return A.read(spark, sf_dir, "orders").withColumn(
         "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -138,18 +161,6 @@ def _registry(spark):
                                "orders_schema.json": ORDERS_COLUMNS, "customer_missing.json": CUSTOMER_COLUMNS})
 
 
-def write_file(df, path: str, compression: str = "none") -> None:
-    """One CSV file of a small table (or, as here, of a landing folder's test input)
-    at exactly ``path``: Spark's single part file is moved there."""
-    from ..sources.tables import Files
-    work = f"{path}.parts"
-    df.coalesce(1).write.option("header", True).option("compression", compression).csv(work)
-    files = Files(df.sparkSession, work)
-    part = next(n for n in files.names() if n.startswith("part-"))
-    files.fs.rename(files._path(part), files.jvm.org.apache.hadoop.fs.Path(path))
-    files.fs.delete(files.root, True)
-
-
 @register("landing_run_report",
           "SELECT 'NATION.CSV' AS name, 'unmapped' AS status, CAST(NULL AS BIGINT) AS source_rows, "
           "CAST(NULL AS BIGINT) AS malformed_rows, CAST(NULL AS BIGINT) AS header_drift "
@@ -161,18 +172,19 @@ def write_file(df, path: str, compression: str = "none") -> None:
           "UNION ALL SELECT 'notes.txt', 'skipped', NULL, NULL, NULL")
 def _landing_report(spark, sf_dir):
     """A landing folder with upper-case, unmapped, clashing, malformed, compressed
-    and foreign files in folders: every file has a row in the report."""
+    and foreign files, each landed as a folder of parts: every one has a row in the
+    report."""
     root = scratch_path(spark, "lake")
     land = f"{root}/landing"
     read = lambda t: A.read(spark, sf_dir, t)
-    write_file(read("part"), f"{land}/part.CSV")
-    write_file(read("nation"), f"{land}/deep/er/NATION.CSV")
-    write_file(_orders_csv(spark, sf_dir), f"{land}/orders.csv.gz", "gzip")
+    write_csv(read("part"), land, "part.CSV")
+    write_csv(read("nation"), f"{land}/deep/er", "NATION.CSV")
+    write_csv(_orders_csv(spark, sf_dir), land, "orders.csv.gz", "gzip")
     bad = F.when(F.col("s_suppkey") % 10 == 0, F.lit("many")).otherwise(F.col("s_nationkey").cast("string"))
-    write_file(read("supplier").withColumn("s_nationkey", bad).withColumnRenamed("s_nationkey", "nation_key"), f"{land}/supplier.csv")
-    write_file(read("customer"), f"{land}/customer.csv")
-    write_file(read("customer"), f"{land}/old/customer.2024.csv")
-    write_file(read("region"), f"{land}/notes.txt")
+    write_csv(read("supplier").withColumn("s_nationkey", bad).withColumnRenamed("s_nationkey", "nation_key"), land, "supplier.csv")
+    write_csv(read("customer"), land, "customer.csv")
+    write_csv(read("customer"), f"{land}/old", "customer.2024.csv")
+    read("region").select(F.to_json(F.struct("*"))).write.text(f"{land}/notes.txt")
     report = I.ingest_landing(spark, Lake(spark, root), land, LANDING_MAPPING, _registry(spark))
     return report.select("name", "status", "source_rows", "malformed_rows", "header_drift")
 
@@ -184,21 +196,14 @@ def _keeps_old(spark, sf_dir):
     root = scratch_path(spark, "lake")
     lake, reg, path = Lake(spark, root), _registry(spark), f"{root}/landing/part.csv.gz"
     part = A.read(spark, sf_dir, "part")
-    write_file(part, path, "gzip")
+    write_csv(part, f"{root}/landing", "part.csv.gz", "gzip")
     first = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
     before = lake.version("part")
-    from ..sources.tables import Files
-    files = Files(spark, f"{root}/landing")
-    data = files.fs.open(files._path("part.csv.gz")).readAllBytes()
-    files.delete("part.csv.gz")
-    out = files.fs.create(files._path("part.csv.gz"), True)
-    out.write(bytearray(bytes(data)[:len(data) // 2]))
-    out.close()
+    cut_in_half(spark, path)
     cut = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
     assert (first.status, cut.status, lake.version("part")) == ("ingested", "failed", before), (first, cut)
     assert lake.read("part").count() == first.stored_rows
-    files.delete("part.csv.gz")
-    write_file(part, path, "gzip")
+    write_csv(part, f"{root}/landing", "part.csv.gz", "gzip")
     again = I.ingest_file(spark, lake, path, LANDING_MAPPING, reg)
     assert again.status == "ingested" and lake.version("part") != before, again
     return lake.read("part")
@@ -282,12 +287,14 @@ _ORDERS_CSV_SQL = ("SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, o_o
 
 @register("expand_archives", _ORDERS_CSV_SQL)
 def _expand(spark, sf_dir):
-    from ..sources.archives import expand_archives, pack_archives
+    from ..sources.archives import expand_archives
+    from .archive_inputs import pack_archives
     root = scratch_path(spark, "archives")
     _orders_csv(spark, sf_dir).repartition(6).write.option("header", True).csv(f"{root}/stage")
     parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
              .load(f"{root}/stage").select("path"))
-    pack_archives(spark, parts, f"{root}/archives").collect()   # one row per archive
+    packed = pack_archives(parts, f"{root}/archives").collect()   # one row per archive
+    assert {r.kind for r in packed} == {"zip", "tar", "gz"}, packed
     report = expand_archives(spark, f"{root}/archives", f"{root}/landing").collect()
     assert report and all(r.status == "extracted" for r in report), report
     return scan_csv(spark, f"{root}/landing", S.struct_from_columns(ORDERS_COLUMNS), recursive=True)
@@ -321,8 +328,10 @@ def _sql_views(spark, sf_dir):
     for spec in _SQL_SPECS:
         stmts = [sql_text(spec)]
         if spec.program == "RCRA_IDS":
-            stmts = ["CREATE OR REPLACE TEMP VIEW EXP_PGM_RCRA AS SELECT * FROM EXP_PGM WHERE PGM = 'RCRA_IDS'",
-                     sql_text(spec).replace("EXP_PGM ep", "EXP_PGM_RCRA ep")]
+            # the view's statement reads the temp view in place of the crosswalk
+            own = sql_text(spec, lambda t: "EXP_PGM_RCRA" if t == "EXP_PGM" else t.replace("-", "_"))
+            assert "EXP_PGM_RCRA link" in own and own != stmts[0]
+            stmts = ["CREATE OR REPLACE TEMP VIEW EXP_PGM_RCRA AS SELECT * FROM EXP_PGM WHERE PGM = 'RCRA_IDS'", own]
         defs[spec.name] = {"statements": stmts, "tables": spec.tables}
     return R.refresh_sql_views(spark, lake, defs).select("name", "status", "source_rows")
 

@@ -69,3 +69,48 @@ def test_equal_names_of_two_archives_are_refused(spark, tmp):
     report = sorted((r.member, r.status) for r in expand_archives(spark, f"file://{tmp}/in", f"file://{tmp}/out").collect())
     assert report == [("a.csv", "extracted"), ("b.csv", "extracted"), ("same.csv", "clash"), ("same.csv", "clash")]
     assert sorted(os.listdir(f"{tmp}/out")) == ["a.csv", "b.csv"]
+
+
+def _tar(path, members):
+    with tarfile.open(path, "w:gz") as t:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+
+
+def test_equal_names_in_streams_are_refused(spark, tmp):
+    """Names inside a tar.gz are known late: still no member overwrites another."""
+    os.makedirs(f"{tmp}/in d")
+    _tar(f"{tmp}/in d/a.tar.gz", [("same.csv", b"a"), ("only/a.csv", b"a"), ("zipped.csv", b"t")])
+    _tar(f"{tmp}/in d/b.tgz", [("./same.csv", b"b"), ("twice.csv", b"1"), ("twice.csv", b"2"), ("../out.csv", b"x")])
+    with zipfile.ZipFile(f"{tmp}/in d/c.zip", "w") as z:
+        z.writestr("zipped.csv", "z")
+        z.writestr("c.csv", "c")
+    with gzip.open(f"{tmp}/in d/same.csv.gz", "wb") as g:
+        g.write(b"g")
+    _tar(f"{tmp}/whole", [("half.csv", os.urandom(100_000))])
+    with open(f"{tmp}/in d/half.tar.gz", "wb") as f:
+        f.write(open(f"{tmp}/whole", "rb").read()[:50_000])
+    report = expand_archives(spark, f"file://{tmp}/in d", f"file://{tmp}/out").collect()
+    got = sorted((os.path.basename(r.archive), r.member or "", r.status) for r in report if "half" not in r.archive)
+    assert got == [("a.tar.gz", "only/a.csv", "extracted"), ("a.tar.gz", "same.csv", "clash"), ("a.tar.gz", "zipped.csv", "clash"),
+                   ("b.tgz", "../out.csv", "refused"), ("b.tgz", "./same.csv", "clash"), ("b.tgz", "twice.csv", "clash"),
+                   ("b.tgz", "twice.csv", "clash"), ("c.zip", "c.csv", "extracted"), ("c.zip", "zipped.csv", "clash"),
+                   ("same.csv.gz", "", "clash")]
+    assert "corrupt" in {r.status for r in report if "half" in r.archive}
+    assert sorted(os.listdir(f"{tmp}/out")) == ["c.csv", "only"] and open(f"{tmp}/out/only/a.csv").read() == "a"
+
+
+def test_staged_members_are_published_once(tmp):
+    from faclake.sources import archives as R
+    import hashlib
+    held = f"{tmp}/out/st/{hashlib.sha256(b'file:/x.tar.gz').hexdigest()[:32]}"
+    os.makedirs(held)
+    open(f"{held}/m.csv", "w").write("1")
+    row = ("file:/x.tar.gz", "tar", "m.csv", "t", 1, "staged", None)
+    for _ in range(2):                                        # a repeated task finds the member in place
+        assert R._publish(row, f"file://{tmp}/out", "st", 1)[5] == "extracted"
+    assert open(f"{tmp}/out/m.csv").read() == "1"
+    os.remove(f"{tmp}/out/m.csv")
+    assert R._publish(row, f"file://{tmp}/out", "st", 1)[5] == "corrupt"

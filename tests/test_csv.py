@@ -51,3 +51,55 @@ def test_boolean_token_map(spark, tmp):
     got = [(x.F, x.A) for x in scan_csv(spark, p, schema,
                                          boolean_tokens=(("y", "1", "true", "t"), ("n", "0", "false", "f"))).collect()]
     assert got == [(True, "a"), (False, "b"), (True, "c"), (True, "d"), (None, "e")]
+
+
+def _head(data, **kw):
+    import io
+
+    from faclake.sources.csv import first_record
+    return first_record(io.BytesIO(data).read, **kw)
+
+
+def test_first_records():
+    assert _head(b"A,B\nx,y\n") == ["A", "B"] and _head(b"A,B\r\nx") == ["A", "B"] and _head(b"A,B\rx,y\r") == ["A", "B"]
+    assert _head(b"") == [] and _head(b"A") == ["A"] and _head("﻿A,É\nx".encode()) == ["A", "É"]
+    assert _head(b'"two\nlines","a ""q"", b"\nx,y\n') == ["two\nlines", 'a "q", b']
+    for code in ("utf-16", "utf-16-le", "utf-16-be", "utf-32", "latin-1"):
+        assert _head('A,"B\né"\nx,y\n'.encode(code), encoding=code) == ["A", "B\né"]
+    assert _head(b"A;B\n", sep=";") == ["A", "B"]
+    long = ",".join(f"COLUMN_{i}" for i in range(20_000))
+    assert len(_head(long.encode() + b"\n" + b"x" * 10_000_000)) == 20_000
+    import pytest
+    with pytest.raises(ValueError, match="no end"):
+        _head(b"x" * 3_000_000)
+    with pytest.raises(ValueError, match="not closed"):
+        _head(b'"open\nfor ever')
+
+
+def test_headers_are_read_in_tasks(spark, tmp):
+    import gzip
+    import os
+
+    from faclake.sources.csv import headers
+    os.makedirs(f"{tmp}/t.csv/deep")
+    for i in range(40):
+        _write(tmp, f"t.csv/p{i}.csv", "A,B,C\n1,2,3\n")
+    _write(tmp, "t.csv/q.csv", '"A","B","c "\n1,2,3\n')
+    with gzip.open(f"{tmp}/t.csv/z z.csv.gz", "wt") as f:
+        f.write("A,X\n1,2\n")
+    with open(f"{tmp}/t.csv/cut.csv.gz", "wb") as f:
+        f.write(gzip.compress(os.urandom(1000))[:30])
+    found = headers(spark, f"{tmp}/t.csv", at_once=8)
+    assert found.rdd.getNumPartitions() == 6
+    rows = {os.path.basename(r.path): r for r in found.collect()}
+    assert len(rows) == 43 and rows["p7.csv"].names == ["A", "B", "C"] and rows["z z.csv.gz"].names == ["A", "X"]
+    assert rows["cut.csv.gz"].names is None and "Error" in rows["cut.csv.gz"].problem
+    drift = {(x.position, x.header_name, x.declared_name, x.same) for x in header_drift(spark, f"{tmp}/t.csv", SCHEMA).collect()}
+    assert {d for d in drift if not d[3]} == {(1, "X", "B", False), (2, None, "C", False)}
+
+
+def test_utf16_files_are_checked_and_read(spark, tmp):
+    with open(f"{tmp}/u.csv", "wb") as f:
+        f.write("A,B,C\né,1,2.5\n".encode("utf-16"))
+    drift = header_drift(spark, f"{tmp}/u.csv", SCHEMA, encoding="UTF-16").collect()
+    assert len(drift) == 3 and all(d.same for d in drift)

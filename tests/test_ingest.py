@@ -77,3 +77,34 @@ def test_ingest_reads_gzip_csv(spark, tmp):
     r = ingest_landing(spark, lake, land, {"G.csv": "G_schema.json"}, reg).collect()[0]
     assert (r.name, r.status, r.source_rows) == ("G.csv.gz", "ingested", 3)
     assert sorted(tuple(x) for x in lake.read("G").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_landing_run_reads_headers_in_one_job_and_stores_all_documents(spark, tmp):
+    land, docs = f"{tmp}/landing", f"{tmp}/schemas"
+    os.makedirs(land)
+    os.makedirs(docs)
+    for name in ("AA", "BB", "CC"):
+        _doc(f"{docs}/{name}_schema.json", [("a", "StringType()"), ("b", "IntegerType()")])
+        with open(f"{land}/{name}.csv", "w") as f:
+            f.write({"AA": "A,B\nx,1\n", "BB": "B,A,EXTRA\nx,1\n", "CC": '"A\nA",B\n'}[name])
+    _doc(f"{docs}/DD_schema.json", [("a", "NoSuchType()")])
+    with open(f"{land}/DD.csv", "w") as f:
+        f.write("A\n1\n")
+    with open(f"{land}/EE.csv", "wb") as f:
+        f.write(b'"never closed')
+    _doc(f"{docs}/EE_schema.json", [("a", "StringType()")])
+    reg = S.scan_schema_docs(spark, f"{docs}/*.json")
+    lake = Lake(spark, f"{tmp}/lake")
+    mapping = {f"{n}.csv": f"{n}_schema.json" for n in ("AA", "BB", "CC", "DD", "EE")}
+    rep = {r.name: r for r in ingest_landing(spark, lake, land, mapping, reg).collect()}
+    assert {n: (r.status, r.header_drift) for n, r in rep.items() if n < "DD"} == {
+        "AA.csv": ("ingested", 0), "BB.csv": ("ingested", 3), "CC.csv": ("ingested", 1)}
+    assert rep["DD.csv"].status == "failed" and rep["EE.csv"].status == "failed" and "header" in rep["EE.csv"].message
+    for name in ("AA", "BB"):
+        doc = spark.read.parquet(lake.schema_path(name))
+        assert doc.count() == 2 and {r.schema_file for r in doc.collect()} == {f"{name}_schema.json"}
+    # another run replaces the documents of its tables only
+    _doc(f"{docs}/AA_schema.json", [("a", "StringType()")])
+    os.remove(f"{land}/BB.csv")
+    ingest_landing(spark, lake, land, mapping, S.scan_schema_docs(spark, f"{docs}/*.json")).collect()
+    assert spark.read.parquet(lake.schema_path("AA")).count() == 1 and spark.read.parquet(lake.schema_path("BB")).count() == 2

@@ -67,7 +67,7 @@ def test_result_cache_keys_on_version(spark, lake, tmp):
     lake.write(spark.createDataFrame([(1, "x")], "id long, name string"), "ICIS-AIR_X")
     c, hit_c = Q.cached_query(spark, lake, store, f"{tmp}/log", "ICIS-AIR_X", sql)
     assert not hit_c and c.first().n == 1
-    log = spark.read.parquet(f"{tmp}/log")
+    log = Q.read_log(spark, f"{tmp}/log")
     assert log.count() == 2 and {r.table_name for r in log.collect()} == {"ICIS-AIR_X"}
 
 
