@@ -8,7 +8,8 @@ the subtree whose weight changed.  A new shard opens a subtree of its own at
 region level: rows move only into it.
 
 Null doc_ids draw as one key.  Null texts have no bytes (size 16, crc 0).
-Repeated rows are placed alike; each row gets its own slot.  An empty table
+Repeated rows are placed alike; each row gets its own slot.  Very long texts are
+only measured.  An empty table
 gives no rows.  Extra columns are ignored.
 """
 
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only
+from .common import keep, only
 
 _LEVELS = ("region", "rack", "shard")
 
@@ -45,15 +46,20 @@ class Tree:
         return Tree(self.regions + ((((max(self.shards) + 1, weight),),),))
 
 
-def even_tree(shards: int, racks: int = 2, per_rack: int = 5) -> Tree:
-    """Whole regions of ``racks`` x ``per_rack`` shards; each shard beyond the
-    last whole region is a region of its own, so that growing the count by one
-    never changes another subtree's weight."""
+def even_tree(shards: int, base: int | None = None, racks: int = 2, per_rack: int = 5) -> Tree:
+    """The tree of a store that began with ``base`` shards (default: that many) and
+    grew one by one since: the first are dealt to whole regions of ``racks`` x
+    ``per_rack`` shards, with a region of its own for each beyond the last whole one;
+    every shard that came later is a region of its own, so ``even_tree(n + 1, base)``
+    is ``even_tree(n, base).grown()`` for every n from ``base`` on, and growing never
+    changes another subtree's weight."""
+    base = shards if base is None else base
+    if not 1 <= base <= shards:
+        raise ValueError("a store begins with one shard at least, and only grows")
     size = racks * per_rack
-    whole = shards // size
+    whole = base // size
     regions = [tuple(tuple((r * size + k * per_rack + i, 1.0) for i in range(per_rack)) for k in range(racks))
                for r in range(whole)]
-    # shards that came one by one before the next whole region keep their place
     regions += [(((s, 1.0),),) for s in range(whole * size, shards)]
     return Tree(tuple(regions))
 
@@ -92,25 +98,22 @@ def _place(df: DataFrame, key: str, tree: Tree, out: str) -> DataFrame:
     return df.withColumn(out, F.element_at(flat, F.element_at(ints(start), F.col("k__") + 1) + leaf + 1)).drop("r__", "k__")
 
 
-def shard_documents(docs: DataFrame, tree: Tree, buckets: int | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, tree: Tree) -> DataFrame:
     """Place every document; see the module's docstring.
 
-    Slots: rows are numbered within (shard, hash bucket) and each bucket starts
-    where the buckets before it end, so no task sees a whole shard.
+    Slots: the placed rows, without texts, are written with the number of the scan
+    partition they come from; rows are numbered within (shard, partition), and each
+    partition's rows start where those of the partitions before it end.  So no task
+    sees more of a shard than one partition has of it, whichever id or text is hot.
     """
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = only(docs, doc_id="long", text="string")
-    bucket = F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(buckets)).cast("int")
     rows = base.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16).alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), bucket.alias("bucket"))
-    rows = _place(_place(rows, "doc_id", tree, "shard"), "doc_id", tree.grown(), "grown_shard")
-    # the counts read doc_id only; at most shards x buckets rows
-    counts = (_place(base.select("doc_id", bucket.alias("bucket")), "doc_id", tree, "shard")
-              .groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")))
-    before = counts.select("shard", "bucket", (F.sum("n").over(
-        Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
-    number = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size"))
-    return (rows.withColumn("number", number).join(before, ["shard", "bucket"])
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), F.spark_partition_id().alias("part"))
+    rows = keep(_place(_place(rows, "doc_id", tree, "shard"), "doc_id", tree.grown(), "grown_shard"), "shards")
+    counts = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))     # at most shards x partitions rows
+    before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
+    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size"))
+    return (rows.withColumn("number", number).join(before, ["shard", "part"])
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("before") + F.col("number") - 1).cast("long").alias("slot"), "grown_shard"))

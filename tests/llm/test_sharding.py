@@ -20,7 +20,7 @@ def test_law_slots_and_sizes(docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in got), key=repr) == sorted(
         ((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in rows), key=repr)
-    again = S.shard_documents(docs(rows[::-1]).repartition(5), S.even_tree(40), buckets=3).collect()
+    again = S.shard_documents(docs(rows[::-1]).repartition(5), S.even_tree(40)).collect()
     place = lambda x: sorted(((r["doc_id"], r["text_crc32"], r["shard"], r["grown_shard"]) for r in x), key=repr)
     assert place(again) == place(got)
 
@@ -82,3 +82,31 @@ def test_trees():
 def test_empty_table(docs):
     assert S.shard_documents(docs([]), S.even_tree(3)).collect() == []
     assert rows_of(S.shard_documents(docs([(1, None)]), S.even_tree(1)).select("size", "text_crc32", "shard", "slot")) == [(16, 0, 0, 0)]
+
+
+def test_growing_by_one_is_the_next_tree():
+    for base in range(1, 61):
+        for n in range(base, 62):
+            assert S.even_tree(n, base).grown() == S.even_tree(n + 1, base)
+        assert S.even_tree(base).shards == list(range(base))
+    with pytest.raises(ValueError):
+        S.even_tree(5, base=6)
+
+
+def test_growing_past_ten_moves_rows_into_the_new_shard_only(spark):
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id")
+    for n in (9, 19, 39, 49):
+        both = S._place(S._place(ids, "doc_id", S.even_tree(n), "a"), "doc_id", S.even_tree(n + 1, base=n), "b").where("a <> b").collect()
+        assert both and {r["b"] for r in both} == {n}
+
+
+def test_a_hot_id_is_numbered_in_parts(spark, docs, capsys):
+    rows = [(7, "same")] * 600 + [(None, None)] * 600 + [(i, "x") for i in range(100)]
+    got = S.shard_documents(docs(rows).repartition(6), S.even_tree(40))
+    by_shard = collections.defaultdict(list)
+    for r in got.collect():
+        by_shard[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values()) and max(map(len, by_shard.values())) >= 600
+    got.explain()
+    assert "hashpartitioning(shard" in capsys.readouterr().out and "Python" not in capsys.readouterr().out
+    assert S.shard_documents(docs([]), S.even_tree(3)).count() == 0
