@@ -10,14 +10,16 @@ segment (a string of at most ``most_windows + LENGTH - 1`` bytes), and equal
 windows always have equal keys.  Keys of one segment only hold no repeat.  Equal
 segments are one string, kept with its earliest place; every later copy goes
 whole.  The strings of keys with several of them, or with a repeat inside one, are
-dealt to collections of bounded size, and each collection's Burrows-Wheeler transform and longest common
-prefixes are built column by column: a round inserts one symbol of every string,
+dealt to collections of bounded size.  A collection's strings are cut once more, by the
+smallest ``LONG_GRAM``-byte hash of each window: parts that share no such hash with
+another share no window, and go.  Of the rest the Burrows-Wheeler transform and longest
+common prefixes are built column by column: a round inserts one symbol of every string,
 counted from its end, reading the transform and the prefixes of the round before
 from files and writing the next ones.  Neighbours with a common prefix of LENGTH
 are equal windows; all but the earliest of them go.
 
 A key with more than ``most_strings`` distinct segments is split further: its
-windows are keyed by the hash of all their bytes and reduced to the earliest
+windows are keyed by a 128-bit digest of all their bytes and reduced to the earliest
 place each, so no collection grows with a common phrase.
 
 Segments and strings are told apart by 64-bit hashes beside their key and length.
@@ -42,6 +44,7 @@ from .common import _BACK, _BYTE, _STEP, _powers, drop, keep, mix, ranges, slice
 
 LENGTH = 100
 GRAM = 32
+LONG_GRAM = 64
 _LAST = (1 << 63) - 1                # stands for a null doc_id
 _NONE = 0xFF                         # no symbol yet; not a byte of UTF-8
 
@@ -178,6 +181,8 @@ class ColumnBwt:
 def later_windows(strings: list[bytes], doc: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(string, offset) of the windows that are not the earliest of their class,
     in order; string i lies at byte at[i] of document doc[i]."""
+    if not strings:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     size = np.array([len(s) for s in strings], np.int64)
     start = np.cumsum(size) - size
     string, offset, group = ColumnBwt(np.frombuffer(b"".join(strings), np.uint8), start, size, length).windows()
@@ -191,6 +196,17 @@ def later_windows(strings: list[bytes], doc: np.ndarray, at: np.ndarray, length:
     return string[later], offset[later]
 
 
+def shared_parts(strings: list[bytes], length: int, gram: int, most: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(string, first window, bytes) of the parts of the strings, cut by their windows'
+    smallest long gram, that may hold a window equal to another one."""
+    data, off = b"".join(strings), np.cumsum([0, *map(len, strings)])
+    row, start, size, key, _, inner = segments(np.frombuffer(data, np.uint8), off, length, gram, most)
+    _, group, count = np.unique(key, return_inverse=True, return_counts=True)
+    keep = np.flatnonzero((count[group] > 1) | inner) if len(key) else np.zeros(0, np.int64)
+    row, start, size = row[keep], start[keep], size[keep]
+    return row, start - off[row], [data[a:a + n + length - 1] for a, n in zip(start.tolist(), size.tolist())]
+
+
 def _runs(string: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, first window, windows) of the runs of consecutive windows."""
     if not len(string):
@@ -202,19 +218,24 @@ def _runs(string: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_SEGMENT = "doc long, variant int, at long, windows int, key long, content long, inner boolean"
+_SEGMENT = "doc long, variant long, at long, windows int, key long, content long, inner boolean"
+
+
+def _variant(text: str):
+    return F.xxhash64(text)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_windows: int = 128, most_strings: int = 30_000,
-                   collection_bytes: int = 1 << 18, spans: bool = False) -> DataFrame:
+                   collection_bytes: int = 1 << 19, long_gram: int = LONG_GRAM, spans: bool = False) -> DataFrame:
     """One row per document (SCHEMA); with ``spans`` also the removed byte spans
     and the text that is left."""
     if not 0 < gram <= length <= 250:
         raise ValueError("lengths up to 250 bytes")
     done = lambda df, name: keep(df, f"suffix-{name}")
-    # rows that repeat a doc_id are told apart by 24 bits of a hash of the text
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
-        .select("doc", F.xxhash64("text").bitwiseAND(0xFFFFFF).cast("int").alias("variant"), "text")
+    # rows that repeat a doc_id are told apart by a hash of the text
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.col("doc_id").isNull().alias("unnamed"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
+        .select("doc", _variant("text").alias("variant"), "text", "unnamed")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -242,7 +263,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The strings' bytes; of those of large keys, each window by itself."""
         names = ["doc", "at", "key", "content", "windows", "nth", "window", "string"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         for batch in slices(batches, "text", 1 << 20):
             out = []
             for doc, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -252,22 +273,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
                     if not s["large"]:
                         out.append((doc, a, s["key"], s["content"], n, None, None, data[a:a + n + length - 1]))
                         continue
-                    piece = np.frombuffer(data, np.uint8)[a:a + n + length - 1]
-                    hashes = span_hashes(piece, np.arange(n), np.arange(n) + length).view(np.int64)
-                    out += [(doc, a + i, s["key"], s["content"], n, i, h, None) for i, h in enumerate(hashes.tolist())]
+                    out += [(doc, a + i, s["key"], s["content"], n, i, hashlib.blake2b(data[a + i:a + i + length], digest_size=16).digest(), None)
+                            for i in range(n)]
             for a in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a:a + 20_000]), kinds)], names=names)
 
     pieces = done(texts.join(listed, ["doc", "variant"]).select("doc", "text", "own").mapInArrow(
-        fetch, "doc long, at long, key long, content long, windows int, nth int, window long, string binary"), "pieces")
+        fetch, "doc long, at long, key long, content long, windows int, nth int, window binary, string binary"), "pieces")
     total = pieces.agg(F.sum(F.octet_length("string"))).first()[0] or 0
     collections = max(1, -(-total // collection_bytes))
 
     def build(table: pa.Table) -> pa.Table:
         doc, at = table.column("doc").to_numpy(), table.column("at").to_numpy()
-        string, offset = later_windows([s.as_py() for s in table.column("string")], doc, at, length)
-        string, offset, count = _runs(string, offset)
-        rows = pa.array(string)
+        row, first, parts = shared_parts([s.as_py() for s in table.column("string")], length, min(long_gram, length), most_windows)
+        part, offset = later_windows(parts, doc[row], at[row] + first, length)
+        part, offset, count = _runs(part, offset)
+        offset, rows = first[part] + offset, pa.array(row[part])
         return pa.table({"key": table.column("key").take(rows), "content": table.column("content").take(rows),
                          "windows": table.column("windows").take(rows), "nth": pa.array(offset.astype(np.int32)),
                          "run": pa.array(count.astype(np.int32))})
@@ -295,7 +316,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             out = []
-            for doc, text, own in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, text, own, unnamed in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 data, merged = text.encode(), []
                 for a, b in sorted((r["at"], r["end"] + length - 1) for r in own or ()):
                     if merged and a <= merged[-1][1]:
@@ -303,12 +324,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
                     else:
                         merged.append([a, b])
                 left = b"".join(data[a:b] for a, b in zip([0] + [m[1] for m in merged], [m[0] for m in merged] + [len(data)]))
-                out.append((None if doc == _LAST else doc, len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest(),
+                out.append((None if unnamed else doc, len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest(),
                             [{"start": a, "end": b} for a, b in merged] if spans else None, left if spans else None))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
             take = 7 if spans else 5
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"][:take]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in list(zip(zip(*out), kinds))[:take]], names=names)
 
-    return texts.join(runs, ["doc", "variant"], "left").select("doc", "text", "runs").mapInArrow(
+    return texts.join(runs, ["doc", "variant"], "left").select("doc", "text", "runs", "unnamed").mapInArrow(
         clean, SCHEMA + (", spans array<struct<start: long, end: long>>, kept binary" if spans else ""))

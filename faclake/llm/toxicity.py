@@ -216,7 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_byte
     for label in (1, 0):
         ids = own.where((F.col("toxic") == 1) if label else (F.col("toxic") != 1)).orderBy(*order).limit(sample_rows // 2)
         some = texts.join(F.broadcast(ids), "doc_id")          # at most sample_rows / 2 ids
-        rows += some.dropDuplicates(["doc_id"]).orderBy(*order).limit(sample_rows // 2).select("text", F.lit(label)).collect()
+        some = some.groupBy("doc_id").agg(F.min("text").alias("text"))      # of a repeated doc_id, always the same text
+        rows += some.orderBy(*order).limit(sample_rows // 2).select("text", F.lit(label)).collect()
     return train([r[0] for r in rows], [r[1] for r in rows], **options)
 
 
