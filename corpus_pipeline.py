@@ -3,6 +3,11 @@
 Each stage takes ``(spark, docs, sf_dir)`` and judges all documents that the
 stage before kept; its result is written as Parquet and read again.  All but
 the last return the columns of ``documents``.
+
+For every stage: an empty table gives an empty table; extra columns are left out,
+whatever their names; missing columns of ``documents`` are null; null and empty
+texts, null doc_ids and repeated rows are rows like others (what a stage decides on
+them is in its docstring); very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import functions as F
 from faclake.llm import decontaminate as decon
 from faclake.llm import jaccard, packing, pii
 from faclake.llm import toxicity as tox
-from faclake.llm.common import keep
+from faclake.llm.common import drop, keep
 from faclake.llm.queries import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,7 +32,8 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts toxic go."""
+    """Documents that the classifier predicts toxic go.  A text without words has the
+    model's bias as its score; equal texts have equal scores."""
     docs = _documents(docs)
     scored = tox.score(docs, tox.fit(docs, table(spark, sf_dir, "labels")), carry=_CARRY)
     return scored.where("predicted = 0").select(*COLUMNS)
@@ -47,13 +53,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the contamination rule marks go."""
+    """Documents that the contamination rule marks go; those without words stay."""
     judged = decon.decontaminate(_documents(docs), table(spark, sf_dir, "benchmark"), carry=_CARRY)
     return judged.where("NOT contaminated").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data become their kind in brackets; n_chars follows."""
+    """Spans of personal data become their kind in brackets; n_chars follows.  Null
+    texts stay null, and texts without spans stay as they are."""
     docs = _documents(docs)
     found = pii.detect(docs, pii.fit(docs), carry="lang string, source string, n_chars long", redacted=True)
     text = F.col("redacted")
@@ -62,7 +69,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents left, in sequences."""
+    """The pieces of all documents left, in sequences.  A null or empty text is its
+    closing id."""
     return packing.pack(_documents(docs))
 
 
@@ -74,8 +82,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result is written and read again, and what
+    the stage before wrote is removed when no stage reads it any more."""
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if written is not None:
+            drop(written)
+        written = docs
     return docs

@@ -77,6 +77,18 @@ TABLE_FUNCTIONS = ("range", "explode", "explode_outer", "posexplode", "posexplod
 REFUSED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
 
 
+_BUILTIN: set[str] = set()
+
+
+def builtin_functions(spark: SparkSession) -> set[str]:
+    """Names of the functions that come with Spark: those that a session, a catalogue
+    or a qualified name adds are not among them."""
+    if not _BUILTIN:
+        found = spark._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.functionSet()
+        _BUILTIN.update(found.mkString("\n").lower().split("\n"))
+    return _BUILTIN
+
+
 def _items(seq) -> list:
     return [seq.apply(i) for i in range(seq.size())]
 
@@ -92,7 +104,7 @@ def _check_plan(spark: SparkSession, plan, views: set[str]) -> None:
         if kind == "expression":
             if name == "UnresolvedFunction":
                 function = ".".join(_items(node.nameParts())).lower()
-                if function.split(".")[-1] in REFUSED_FUNCTIONS:
+                if function in REFUSED_FUNCTIONS or function not in builtin_functions(spark):
                     raise Forbidden(f"function {function} is not allowed")
             if "UnresolvedIdentifier" in name:
                 raise Forbidden("IDENTIFIER() is not allowed")
@@ -130,8 +142,8 @@ def guard_select(sql: str | None, spark: SparkSession | None = None, views=()) -
     to parse (the line breaks keep a trailing ``--`` comment inside), and the
     parsed plan is checked before anything in it is resolved: its leaves are the
     given views, table expressions of the query itself, literals or harmless
-    table functions.  Paths, other tables, script transforms and calls into Java
-    raise ``Forbidden``.
+    table functions, and its functions are Spark's own.  Paths, other tables, script
+    transforms, functions of catalogues and calls into Java raise ``Forbidden``.
     """
     if not sql or not sql.strip():
         raise Forbidden("only SELECT queries are allowed")

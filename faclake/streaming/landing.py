@@ -27,12 +27,13 @@ from ..sources.tables import Lake
 
 def ingest_new_files(spark: SparkSession, landing_dir: str, schema: StructType, lake: Lake,
                      table: str, checkpoint: str, rfc_quotes: bool = False,
-                     max_files_per_trigger: int | None = None) -> dict:
+                     max_files_per_trigger: int | None = None, wait_s: float = 300.0) -> dict:
     """Append the rows of new CSV files in ``landing_dir`` to ``table``.
 
     The table stays a plain one (the file sink's commit log names its files).
     Returns the rows and batches of this run, counted as each batch ends: the
-    query itself keeps the progress of its last batches only.
+    query itself keeps the progress of its last batches only.  Raises
+    ``TimeoutError`` if the count is not complete ``wait_s`` after the query's end.
     """
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("mode", "PERMISSIVE"))
@@ -71,7 +72,9 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, schema: StructType,
                  .trigger(availableNow=True)
                  .start())
         query.awaitTermination()
-        ended.wait(60)                         # events come in order: all progress is in by then
+        # events come in order: all progress is in once the end is reported
+        if not ended.wait(wait_s):
+            raise TimeoutError(f"the rows of {table} are appended, but their count was not reported within {wait_s} s")
     finally:
         spark.streams.removeListener(listener)
     return {"rows": counted["rows"], "batches": counted["batches"]}

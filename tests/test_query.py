@@ -14,13 +14,18 @@ def lake(spark, tmp):
 ALLOWED = ["select * from t", "SELECT 1;", "from t select id", "values 1", "select * from range(3)",
            "WITH a AS (SELECT id FROM t), b AS (SELECT * FROM a) SELECT * FROM b ORDER BY id LIMIT 1; -- c",
            "select ';' as x, \"--\" as y from T ;; /* z */ ", "select id in (select id from t) from t",
-           "select (select max(id) from t) m, exists(select 1 from t) e"]
+           "select (select max(id) from t) m, exists(select 1 from t) e",
+           "select count(*), sum(DISTINCT id), coalesce(max(id), 0), if(min(id) > 1, 'a', 'b'), upper(cast(avg(id) as string)) from t",
+           "select id, row_number() over (order by id) r, id in (1, 2), id between 1 and 2, substring('abc', 2), trim(both ' ' from ' x '), "
+           "extract(year from date'2024-01-01'), case when id like 'a%' then 1 end, transform(array(id), x -> x + 1), current_date() from t",
+           "select id div 2, id % 2, -id, id || 'x', to_json(struct(id)), percentile(id, 0.5) over () from t"]
 REFUSED = ["", None, "DROP TABLE t", "drop table t -- select", "select 1; drop table t", "insert into t values (1)",
            "select transform(id) using 'cat' from t", "select * from text.`/etc/hostname`", "select * from other",
            "select reflect('java.lang.System', 'getProperty', 'user.home')", "select try_reflect('a', 'b')",
            "select java_method('java.lang.System', 'currentTimeMillis')", "select * from identifier('other')",
            "select * from t where exists (select 1 from parquet.`/x`)", "select * from python_worker_logs()",
-           "with a as (select * from json.`/x`) select * from a", "select 1) x; select (1"]
+           "with a as (select * from json.`/x`) select * from a", "select 1) x; select (1", "select my_function(id) from t",
+           "select spark_catalog.default.f(id) from t", "select default.upper(id) from t", "select aggregate(array(1), 0, (a, b) -> mine(a)) from t"]
 
 
 @pytest.mark.parametrize("sql", ALLOWED)
