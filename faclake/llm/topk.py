@@ -5,9 +5,10 @@ by a hash of their id; each shard (of at most ``shard_rows`` rows) builds a
 KD-tree: median splits along the widest side down to small leaves, each node
 with the tight bounding box of its points and its smallest id.  Queries come in
 blocks.  A task takes one block through the shards one after another: nodes are
-visited best first by the largest inner product their box allows, and the k-th
-best score found so far is carried from shard to shard and prunes every node
-whose bound is below it, or equal to it with no id that would win the tie.
+visited best first by the largest inner product their box allows, once for all
+queries of the block that the node may still serve, with one matrix product a leaf.
+Each query's k-th best score found so far is carried from shard to shard and prunes
+every node whose bound is below it, or equal to it with no id that would win the tie.
 
 Scores are exact: float64 products while every partial sum stays below 2**53,
 Python integers beyond.  Vectors that are null, or hold null or non-finite
@@ -90,51 +91,74 @@ class KDTree:
 
 
 class Best:
-    """The k best (score, id) of one query; the worst is on top of the heap."""
-
-    def __init__(self, query_id: int, k: int):
-        self.query_id, self.k, self.heap = query_id, k, []
-
-    def may_win(self, bound, smallest_id) -> bool:
-        if len(self.heap) < self.k:
-            return True
-        score, neg_id = self.heap[0]
-        return bound > score or (bound == score and smallest_id < -neg_id)
-
-    def offer(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        ok = ids != self.query_id
-        if len(self.heap) == self.k:
-            ok &= scores >= self.heap[0][0]
-        ids, scores = ids[ok], scores[ok]
-        if len(ids) > self.k:                                  # only the k best of a leaf can enter
-            order = np.lexsort((ids, -scores))[:self.k]
-            ids, scores = ids[order], scores[order]
-        for i, s in zip(ids.tolist(), scores.tolist()):
-            if len(self.heap) < self.k:
-                heapq.heappush(self.heap, (s, -i))
-            elif (s, -i) > self.heap[0]:
-                heapq.heapreplace(self.heap, (s, -i))
-
-
-def search(tree: KDTree, queries: np.ndarray, best: list[Best]) -> None:
-    """Best-first traversal of one shard for every query of a block."""
-    bound = tree.bounds(queries)
-    inner = tree.children[:, 0] >= 0
-    for q, own in enumerate(best):
-        todo = [(-bound[q, 0], 0)]
-        while todo:
-            neg, node = heapq.heappop(todo)
-            if not own.may_win(-neg, tree.first[node]):
-                if len(own.heap) == own.k and -neg < own.heap[0][0]:
-                    break                                      # the rest is bounded lower still
-                continue
-            if inner[node]:
-                for child in tree.children[node]:
-                    if own.may_win(bound[q, child], tree.first[child]):
-                        heapq.heappush(todo, (-bound[q, child], int(child)))
-                continue
-            a, b = tree.spans[node]
-            own.offer(tree.ids[a:b], tree.points[a:b] @ queries[q])
+    """The k best (score, id) of every query of a block, best first, and candidates
+    that are not sorted in yet.  Missing ones score -inf."""
+
+    def __init__(self, query_ids: np.ndarray, k: int):
+        self.query_ids, self.k = query_ids.astype(np.int64), k
+        self.scores = np.full((len(query_ids), k), -np.inf)
+        self.ids = np.full((len(query_ids), k), np.iinfo(np.int64).max)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def may_win(self, rows: np.ndarray, bound: np.ndarray, smallest_id) -> np.ndarray:
+        """Could something of at most ``bound`` and at least ``smallest_id`` enter?"""
+        kth = self.scores[rows, -1]
+        return ((bound > kth) | ((bound == kth) & (smallest_id < self.ids[rows, -1]))).astype(bool)
+
+    def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """``scores[i, j]``: of candidate i for query ``rows[j]``."""
+        ok = self.may_win(rows[None, :], scores, ids[:, None]) & (ids[:, None] != self.query_ids[rows][None, :])
+        at, col = np.nonzero(ok)
+        if len(at):
+            self.waiting.append((rows[col], scores[at, col], ids[at]))
+            if sum(len(w[0]) for w in self.waiting) > 8192:
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        row, score, vec = (np.concatenate(x) for x in zip(*self.waiting))
+        self.waiting = []
+        some = np.unique(row)
+        row = np.concatenate([np.repeat(some, self.k), row])
+        score = np.concatenate([self.scores[some].ravel(), score])
+        vec = np.concatenate([self.ids[some].ravel(), vec])
+        order = np.lexsort((vec, -score, row))
+        row, score, vec = row[order], score[order], vec[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = nth < self.k
+        self.scores = self.scores.astype(score.dtype, copy=False)
+        self.scores[row[keep], nth[keep]], self.ids[row[keep], nth[keep]] = score[keep], vec[keep]
+
+    def rows(self) -> list[tuple]:
+        self.settle()
+        return [(int(q), r + 1, int(i), int(s)) for q, ids, scores in zip(self.query_ids, self.ids, self.scores)
+                for r, (i, s) in enumerate(zip(ids, scores)) if s != -np.inf]
+
+
+def search(tree: KDTree, queries: np.ndarray, best: Best) -> int:
+    """Best-first traversal of one shard by all queries of a block together: a node is
+    visited once, for those queries whose k-th score its box can still beat.  Returns
+    the number of (query, leaf) pairs scored."""
+    bound, inner, scored = tree.bounds(queries), tree.children[:, 0] >= 0, 0
+    every = np.arange(len(queries))
+    todo = [(-bound[:, 0].max(), 0, every)]
+    while todo:
+        _, node, rows = heapq.heappop(todo)
+        rows = rows[best.may_win(rows, bound[rows, node], tree.first[node])]
+        if not len(rows):
+            continue
+        if inner[node]:
+            for child in tree.children[node]:
+                live = rows[best.may_win(rows, bound[rows, child], tree.first[child])]
+                if len(live):
+                    heapq.heappush(todo, (-bound[live, child].max(), int(child), live))
+            continue
+        a, b = tree.spans[node]
+        scored += len(rows)
+        best.offer(rows, tree.ids[a:b], tree.points[a:b] @ queries[rows].T)
+    best.settle()
+    return scored
 
 
 def _integers(column: pa.Array, scale: int) -> list[np.ndarray | None]:
@@ -164,7 +188,7 @@ def _exact(tree: KDTree, queries: np.ndarray) -> np.ndarray:
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, shard_rows: int = 20_000,
-          block: int = 128, leaf: int = 64) -> DataFrame:
+          block: int = 512, leaf: int = 64) -> DataFrame:
     """Queries: rows whose id is divisible by ``every``; see the docstring above.
 
     Shards and blocks are packed into one binary row each and written to the
@@ -199,25 +223,24 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, sha
                   lambda ids, points: pickle.dumps((ids, narrow(points)), pickle.HIGHEST_PROTOCOL))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, best, queries = None, [], None
+        now, best, queries = None, None, None
 
         def results() -> pa.RecordBatch:
-            rows = [(b.query_id, r + 1, -i, int(s)) for b in best for r, (s, i) in enumerate(sorted(b.heap, reverse=True))]
-            cols = list(zip(*rows)) or [(), (), (), ()]
+            cols = list(zip(*best.rows())) or [(), (), (), ()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["query_id", "rank", "vec_id", "score"])
 
         for batch in batches:
             for r in batch.to_pylist():
                 if now != (r["block"], r["size"]):
-                    if best:
+                    if best is not None:
                         yield results()
                     now = (r["block"], r["size"])
                     ids, queries = pickle.loads(r["block_blob"])
-                    best = [Best(int(i), k) for i in ids]
+                    best = Best(ids, k)
                 tree = KDTree.from_bytes(r["shard_blob"])
                 search(tree, _exact(tree, queries), best)
-        if best:
+        if best is not None:
             yield results()
 
     # a stated query set in blocks against all shards: each pair of blobs meets once

@@ -42,3 +42,22 @@ def test_few_rows(spark):
     assert T.top_k(_frame(spark, [])).collect() == []
     assert T.top_k(_frame(spark, [(20, [1.0])])).collect() == []
     assert [tuple(r) for r in T.top_k(_frame(spark, [(20, [1.0]), (21, [0.5])])).collect()] == [(20, 1, 21, 2048)]
+
+
+def test_boxes_prune_what_cannot_win():
+    """In few dimensions the bounds leave most leaves out, and lose nothing."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    points = np.floor(rng.normal(0, 300, (4000, 2)))
+    ids = rng.permutation(4000)
+    tree = T.KDTree(ids, points, leaf=16)
+    queries = points[:50]
+    best = T.Best(ids[:50], 5)
+    scored = T.search(tree, queries, best)
+    leaves = int((tree.children[:, 0] < 0).sum())
+    assert scored < 0.25 * 50 * leaves
+    want = []
+    for q, v in zip(ids[:50].tolist(), queries):
+        s = sorted((-int(x), i) for i, x in zip(ids.tolist(), points @ v) if i != q)[:5]
+        want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s)]
+    assert sorted(best.rows()) == sorted(want)
