@@ -76,7 +76,7 @@ def write_dimension(lake: Lake, specs=VIEWS, buckets: int | None = None, skip_em
             raise
     # catalog entries of versions that are gone; their files are the lake's business
     kept = {table, dimension_table(lake, before) if before else None}
-    for row in spark.sql(f"SHOW TABLES IN {table.split('.')[0]}").collect():
+    for row in spark.sql(f"SHOW TABLES IN {table.split('.')[0]}").where("NOT isTemporary").collect():
         if f"{table.split('.')[0]}.{row.tableName}" not in kept:
             spark.sql(f"DROP TABLE IF EXISTS {table.split('.')[0]}.{row.tableName}")
     return spark.table(table)

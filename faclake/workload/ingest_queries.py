@@ -209,6 +209,42 @@ def _keeps_old(spark, sf_dir):
     return lake.read("part")
 
 
+@register("concurrent_replace", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def _concurrent(spark, sf_dir):
+    """K1/K2/K6: two writers of one table overlap; the one that publishes second is
+    refused, and the first one's rows are the table."""
+    from ..sources.tables import ConcurrentReplace
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    orders = A.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    lake.write(orders, "orders")
+    try:
+        with lake.replace("orders") as slow:
+            slow.write(orders.where("o_orderstatus = 'O'"))
+            lake.write(orders.where("o_orderstatus = 'F'"), "orders")
+    except ConcurrentReplace:
+        return lake.read("orders")
+    raise AssertionError("the second writer was not refused")
+
+
+@register("refresh_one_program",
+          "SELECT name, status FROM (VALUES ('EXP_PGM', 'ok'), ('AIR_COMPLIANCE_MVIEW', 'unchanged'), "
+          "('RCRA_VIOLATIONS_MVIEW', 'ok'), ('SDWA_VIOLATIONS_MVIEW', 'unchanged')) t(name, status)")
+def _one_program(spark, sf_dir):
+    """M1, only changed: facilities lose their hazardous-waste ids; of the crosswalk
+    views, only that program's is rebuilt."""
+    names = ("AIR_COMPLIANCE_MVIEW", "RCRA_VIOLATIONS_MVIEW", "SDWA_VIOLATIONS_MVIEW")
+    specs = [s for s in VIEWS if s.name in names]
+    lake = _fact_lake(spark, sf_dir, sorted({t for s in specs for t in s.tables} - {"ECHO_EXPORTER", "EXP_PGM"}))
+    lists = A.wide_facility(spark, sf_dir).groupBy("REGISTRY_ID").agg(*[
+        F.max(c).alias(c) for c in ("AIR_FLAG", "NPDES_FLAG", "SDWIS_FLAG", "RCRA_FLAG", "AIR_IDS", "NPDES_IDS", "RCRA_IDS", "SDWA_IDS")])
+    facility = A.facility(spark, sf_dir).join(lists, "REGISTRY_ID")
+    lake.write(facility, "ECHO_EXPORTER")
+    R.refresh_views(spark, lake, specs, only_changed=True)
+    lake.write(facility.withColumn("RCRA_IDS", F.when(F.col("REGISTRY_ID").cast("long") % 2 == 0, F.col("RCRA_IDS"))), "ECHO_EXPORTER")
+    report = R.refresh_views(spark, lake, specs, only_changed=True)
+    return report.select("name", "status")
+
+
 def _fact_lake(spark, sf_dir, tables, files: int | None = None) -> Lake:
     """A lake holding the adapted test tables (facility, crosswalk, facts); with
     ``files``, each table is dealt over that many, as an ingested one is."""

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..operators import change as C
+from ..session import scratch_path
 from ..sources import html as H
 from . import adapters as A
-from .catalog import register
+from .catalog import ORACLE, register
 
 # -------------------------------------------------------------- links, URLs
 
@@ -304,12 +305,33 @@ def _diff(spark, sf_dir):
           "CASE WHEN u.url IS NOT NULL THEN u.size_mb ELSE m.size_mb END AS size_mb, m.file_location "
           f"FROM ({_MANIFEST_SQL}) m FULL OUTER JOIN ({_LISTING_SQL}) u USING (url)")
 def _upsert(spark, sf_dir):
+    return C.manifest_upsert(*_with_older(spark, sf_dir))
+
+
+def _with_older(spark, sf_dir):
+    """Manifest and listing, every third key twice on either side, first with an older
+    time: the last wins."""
     manifest, listing = _snapshots(spark, sf_dir)
-    # every third key twice on either side, first with an older time: the last wins
     older = lambda df: df.where(F.substring("url", -5, 1).isin("1", "4", "7")).withColumn(
         "last_modified", F.lit("1980-01-01 00:00")).withColumn("size_mb", F.lit("0.01"))
     listing = listing.withColumn("last_modified", F.when(F.col("last_modified") != "garbled", F.col("last_modified")).otherwise("1990-01-01 00:00"))
-    return C.manifest_upsert(older(manifest).unionByName(manifest), listing.unionByName(older(listing)))
+    return older(manifest).unionByName(manifest), listing.unionByName(older(listing))
+
+
+@register("manifest_bucket_upsert", ORACLE["manifest_upsert"])
+def _bucket_upsert(spark, sf_dir):
+    """K9/H2 on a stored manifest: the listing's upsert, then one of a single key, which
+    rewrites that key's bucket only."""
+    manifest, listing = _with_older(spark, sf_dir)
+    table = C.ManifestTable(spark, scratch_path(spark, "manifest"), buckets=32)
+    table.upsert(manifest)
+    table.upsert(listing)
+    before = table.table.state()["parts"]
+    one = C.last_per_key(listing, "url").orderBy("url").limit(1)
+    touched = table.upsert(one)
+    after = table.table.state()["parts"]
+    assert len(touched) == 1 and {p for p in after if after[p] != before[p]} == set(touched), (touched, before, after)
+    return table.read()
 
 
 @register("tracker_status",
