@@ -17,7 +17,9 @@ never shuffled.  Words are compared by 64-bit hashes.
 Null or wordless texts have no words (0, 0, 0, hash of the empty string, not
 contaminated); null or wordless items have no window; an item without item_id
 marks words but is not listed.  Repeated documents each give a row, a repeated
-item_id counts once per document.  An empty benchmark hits nothing.
+item_id counts once per document.  An empty benchmark hits nothing, an empty table of
+documents gives no rows.  Texts are taken in slices of about 1 MB, a longer one by
+itself and whole.  Extra columns are left out unless carried.
 """
 
 from __future__ import annotations

@@ -24,6 +24,8 @@ hash collisions inside a pair).
 Null, empty or wordless texts have empty sets and link with nothing.  Rows that
 repeat a doc_id with other texts are one document: their classes share a
 component.  Rows without doc_id get no component.  An empty table gives no rows.
+Texts are taken in slices, a very long one by itself and whole: its set is one row.
+Extra columns are ignored.
 """
 
 from __future__ import annotations

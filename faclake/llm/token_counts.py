@@ -12,7 +12,8 @@ the index in that order.  Every section gets a row, also with no token.
 
 Null and empty texts have one empty section (lines) or the sections given, with
 no tokens; null spans are empty.  Repeated rows each give their rows; an empty
-table gives none.
+table gives none.  Texts are taken in slices of about 1 MB, a longer one by itself and
+whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import tokens
-from .common import ranges
+from .common import ranges, slices
 
 SCHEMA = "doc_id long, section int, start long, end long, n_tokens long, n_crossing long, doc_tokens long"
 
@@ -87,14 +88,12 @@ def token_counts(docs: DataFrame, sections: str | None = None, vocabulary: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"]
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                spans = part.column(2).to_pylist() if sections else [None] * part.num_rows
-                found = [of(t or "", s) for t, s in zip(part.column(1).to_pylist(), spans)]
-                sizes = [len(f[0]) for f in found]
-                rows = pa.array(np.repeat(np.arange(len(found)), sizes))
-                cols = [pa.array(np.concatenate([f[i] for f in found]), pa.int32() if not i else pa.int64()) for i in range(6)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()).take(rows), *cols], names=["doc_id", *names])
+        for part in slices(batches, "text"):
+            spans = part.column(2).to_pylist() if sections else [None] * part.num_rows
+            found = [of(t or "", s) for t, s in zip(part.column(1).to_pylist(), spans)]
+            sizes = [len(f[0]) for f in found]
+            rows = pa.array(np.repeat(np.arange(len(found)), sizes))
+            cols = [pa.array(np.concatenate([f[i] for f in found]), pa.int32() if not i else pa.int64()) for i in range(6)]
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()).take(rows), *cols], names=["doc_id", *names])
 
     return docs.select(*columns).mapInArrow(run, SCHEMA)

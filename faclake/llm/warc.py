@@ -259,8 +259,11 @@ def archive_pages(pages: DataFrame, path: str, least: int = 1000, file_bytes: in
     largest page_id is the response and holds the payload; the others are
     revisits of it.  Null page_ids come below all others; rows that repeat the
     largest page_id are responses as well; null html is an empty payload.  The
-    copies are found by (SHA-256, length), pre-aggregated per task, so a group
-    of copies is never in one task; payloads are not shuffled by their group.
+    copies are found by (SHA-256, length), pre-aggregated per task.  If the groups are
+    too many to be broadcast, rows are joined with them by that key, payloads
+    included; AQE splits the partition of a large group, and that of the short pages,
+    which have no key.  An empty table writes no records; extra columns are ignored;
+    a very long page is one record.
     """
     register(pages.sparkSession)
     rows = only(pages, page_id="long", url="string", html="string").select(
