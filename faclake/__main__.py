@@ -6,6 +6,8 @@
     python -m faclake describe --schemas 'DIR/*.json' --table T
     python -m faclake run      --lake L --landing DIR --schemas 'DIR/*.json' --mapping map.json
                                [--views-json views.json] [--only-changed]   (ingest, then refresh)
+    python -m faclake vacuum   --lake L --table T [--hours H]
+    python -m faclake compact-log --log DIR
 
 Every command prints its report as JSON lines on stdout (reports are small:
 one row per file, view or document).  The session is the one spark-submit
@@ -60,6 +62,14 @@ def main(argv: list[str] | None = None) -> int:
                    help="bucket the shared dimension by join key (co-located joins)")
     r.add_argument("--only-changed", action="store_true",
                    help="rebuild only what reads a table that changed since the last refresh")
+    r.add_argument("--skip-empty-ids", action="store_true",
+                   help="leave the crosswalk's empty ids out of the shared dimension")
+    v = sub.add_parser("vacuum", help="remove versions of a table that dead writers left")
+    v.add_argument("--lake", required=True)
+    v.add_argument("--table", required=True)
+    v.add_argument("--hours", type=float, default=24.0, help="older than any write takes")
+    c = sub.add_parser("compact-log", help="move the query log's requests into a file a day")
+    c.add_argument("--log", required=True)
     q = sub.add_parser("query", help="guarded SQL over one table, exported as JSON lines")
     q.add_argument("--lake", required=True)
     q.add_argument("--table", required=True)
@@ -100,7 +110,13 @@ def main(argv: list[str] | None = None) -> int:
             _print(R.refresh_views(spark, lake, parallel=args.parallel, rebuild=not args.no_crosswalk,
                                    broadcast_max_bytes=args.broadcast_max_bytes,
                                    only_changed=args.only_changed,
-                                   dimension_buckets=args.dimension_buckets))
+                                   dimension_buckets=args.dimension_buckets,
+                                   skip_empty_ids=args.skip_empty_ids))
+    elif args.cmd == "vacuum":
+        print(json.dumps({"table": args.table, "removed": Lake(spark, args.lake).vacuum(args.table, args.hours)}))
+    elif args.cmd == "compact-log":
+        from .operators.query import QueryLog
+        print(json.dumps({"log": args.log, "requests": QueryLog(spark, args.log).compact()}))
     elif args.cmd == "query":
         from .operators import query as Qy
         df = Qy.run_query(spark, Lake(spark, args.lake), args.table, args.sql, args.limit)

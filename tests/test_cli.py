@@ -42,6 +42,13 @@ def test_cli_ingest_refresh_query_describe(spark, tmp, capsys):
           "--out", f"{tmp}/q"])
     capsys.readouterr()
     assert sorted(r.value for r in spark.read.text(f"{tmp}/q").collect()) == ['{"PGM_ID":"A1"}', '{"PGM_ID":"A2"}']
+    spark.range(3).write.parquet(f"{lake}/files/FAC_NAMES/version-00000099-dead")
+    main(["vacuum", "--lake", lake, "--table", "FAC_NAMES", "--hours", "0"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["removed"] == ["version-00000099-dead"]
+    from faclake.operators.query import log_query, read_log
+    log_query(spark, f"{tmp}/log", "FAC_NAMES", "SELECT 1", None)
+    main(["compact-log", "--log", f"{tmp}/log"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["requests"] == 1 and read_log(spark, f"{tmp}/log").count() == 1
     main(["describe", "--schemas", f"{docs}/*.json", "--table", "ECHO_EXPORTER"])
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert out[0]["n_columns"] == 4 and "air_ids" in out[0]["document"]
