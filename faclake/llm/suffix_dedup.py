@@ -10,11 +10,9 @@ segment (a string of at most ``most_windows + LENGTH - 1`` bytes), and equal
 windows always have equal keys.  Keys of one segment only hold no repeat.  Equal
 segments are one string, kept with its earliest place; every later copy goes
 whole.  The strings of keys with several of them, or with a repeat inside one, are
-dealt to collections of bounded size.  A collection's strings are cut once more, by the
-smallest ``LONG_GRAM``-byte hash of each window: parts that share no such hash with
-another share no window, and go.  Of the rest the Burrows-Wheeler transform and longest
-common prefixes are built column by column: a round inserts one symbol of every string,
-counted from its end, reading the transform and the prefixes of the round before
+dealt to collections of bounded size, and each collection's Burrows-Wheeler transform and
+longest common prefixes are built column by column: a round inserts one symbol of every
+string, counted from its end, reading the transform and the prefixes of the round before
 from files and writing the next ones.  Neighbours with a common prefix of LENGTH
 are equal windows; all but the earliest of them go.
 
@@ -44,7 +42,6 @@ from .common import _BACK, _BYTE, _STEP, _powers, drop, keep, mix, ranges, slice
 
 LENGTH = 100
 GRAM = 32
-LONG_GRAM = 64
 _LAST = (1 << 63) - 1                # stands for a null doc_id
 _NONE = 0xFF                         # no symbol yet; not a byte of UTF-8
 
@@ -196,17 +193,6 @@ def later_windows(strings: list[bytes], doc: np.ndarray, at: np.ndarray, length:
     return string[later], offset[later]
 
 
-def shared_parts(strings: list[bytes], length: int, gram: int, most: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(string, first window, bytes) of the parts of the strings, cut by their windows'
-    smallest long gram, that may hold a window equal to another one."""
-    data, off = b"".join(strings), np.cumsum([0, *map(len, strings)])
-    row, start, size, key, _, inner = segments(np.frombuffer(data, np.uint8), off, length, gram, most)
-    _, group, count = np.unique(key, return_inverse=True, return_counts=True)
-    keep = np.flatnonzero((count[group] > 1) | inner) if len(key) else np.zeros(0, np.int64)
-    row, start, size = row[keep], start[keep], size[keep]
-    return row, start - off[row], [data[a:a + n + length - 1] for a, n in zip(start.tolist(), size.tolist())]
-
-
 def _runs(string: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, first window, windows) of the runs of consecutive windows."""
     if not len(string):
@@ -226,7 +212,7 @@ def _variant(text: str):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_windows: int = 128, most_strings: int = 30_000,
-                   collection_bytes: int = 1 << 19, long_gram: int = LONG_GRAM, spans: bool = False) -> DataFrame:
+                   collection_bytes: int = 1 << 18, spans: bool = False) -> DataFrame:
     """One row per document (SCHEMA); with ``spans`` also the removed byte spans
     and the text that is left."""
     if not 0 < gram <= length <= 250:
@@ -285,10 +271,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
 
     def build(table: pa.Table) -> pa.Table:
         doc, at = table.column("doc").to_numpy(), table.column("at").to_numpy()
-        row, first, parts = shared_parts([s.as_py() for s in table.column("string")], length, min(long_gram, length), most_windows)
-        part, offset = later_windows(parts, doc[row], at[row] + first, length)
-        part, offset, count = _runs(part, offset)
-        offset, rows = first[part] + offset, pa.array(row[part])
+        string, offset = later_windows([s.as_py() for s in table.column("string")], doc, at, length)
+        string, offset, count = _runs(string, offset)
+        rows = pa.array(string)
         return pa.table({"key": table.column("key").take(rows), "content": table.column("content").take(rows),
                          "windows": table.column("windows").take(rows), "nth": pa.array(offset.astype(np.int32)),
                          "run": pa.array(count.astype(np.int32))})

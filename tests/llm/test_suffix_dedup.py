@@ -59,20 +59,6 @@ def test_rows_without_id_are_told_apart(docs):
     assert rows_of(S.remove_repeats(docs(rows))) == brute(rows, 100)
 
 
-def test_parts_that_share_no_long_gram_go():
-    rng = random.Random(1)
-    text = lambda n: bytes(rng.choice(b"abcdefghij ") for _ in range(n))
-    shared, close = text(150), text(60)                  # a window, and less than one
-    strings = [text(40) + shared + text(30), shared, text(50) + close + text(50), text(20) + close + text(70), text(200)]
-    row, first, parts = S.shared_parts(strings, 100, 64, 128)
-    assert set(row.tolist()) == {0, 1} and all(strings[r][f:f + len(p)] == p for r, f, p in zip(row, first, parts))
-    doc, at = np.arange(5), np.zeros(5, np.int64)
-    part, offset = S.later_windows(parts, doc[row], at[row] + first, 100)
-    got = {(int(row[p]), int(first[p] + o)) for p, o in zip(part, offset)}
-    assert got == {(1, i) for i in range(51)} == {(s, o) for s, o in zip(*(x.tolist() for x in S.later_windows(strings, doc, at, 100)))}
-    assert S.shared_parts([], 100, 64, 128)[2] == [] and len(S.later_windows([], doc, at, 100)[0]) == 0
-
-
 def test_empty_table(docs):
     assert S.remove_repeats(docs([])).collect() == []
 
