@@ -57,7 +57,7 @@ sections.append(("Directory-listing extraction (S8): per-row regex/array express
                  plan(H.extract_listing(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")))))
 NOTES = {
  "Crosswalk build": "Scan -> Generate(inline) -> Filter -> Generate(explode): one pass, no Exchange. Only REGISTRY_ID, the four flags and the four id lists are read (ReadSchema); `isnotnull(REGISTRY_ID)` is pushed to the scan. At 100 TB this is a map-only job whose cost is one read of nine columns of the facility table.",
- "Crosswalk view from the shared dimension, measured small -> broadcast": "The dimension partition `PGM=AIR_IDS` was measured on disk and found under the broadcast limit, so it is broadcast; the fact is streamed, never shuffled. PartitionFilters shows that only one program's dimension files are read; the fact's ReadSchema holds only the view's columns.",
+ "Crosswalk view from the shared dimension, measured small -> broadcast": "The dimension partition `PGM=AIR_IDS` was measured from its footers and found under the broadcast limit, so it is broadcast; the fact is streamed, never shuffled. PartitionFilters shows that only one program's dimension files are read; the fact's ReadSchema holds only the view's columns.",
  "Same view when the dimension is over the limit": "With broadcasting off (as for a dimension over the limit), the plan is one sort-merge join: the fact is exchanged once, on its join key, and the dimension once. AQE's skew-join split applies to this join at run time.",
  "Large fact": "A bloom filter is aggregated over the dimension's join keys (bloom_filter_agg, a scalar subquery of bounded size) and applied to the fact scan (might_contain) before the exchange, so fact rows without a facility never reach the shuffle. Spark applies it by default when the fact scan exceeds 10 GB.",
  "Same view with explicit hot-key salting": "The hot key was found by a pre-aggregated count (bounded list). Fact rows of hot keys get `pmod(xxhash64(row), 32)` as salt; only the hot keys' dimension rows are replicated (Generate explode of a sequence); the join is on (key, salt), so the hot key is spread over 32 tasks.",
