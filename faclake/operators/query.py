@@ -186,11 +186,16 @@ class HotTables:
 
     def bound(self, spark: SparkSession) -> int:
         """``max_bytes``, by default the session's ``faclake.hotTables.maxBytes``, else a
-        quarter of one executor's heap: it holds on any number of executors."""
+        quarter of one executor's heap: that holds on any number of executors."""
         if self.max_bytes is not None:
             return self.max_bytes
         own = spark.conf.get("faclake.hotTables.maxBytes", None)
-        return int(own) if own else int(spark._jvm.java.lang.Runtime.getRuntime().maxMemory()) // 4
+        if own:
+            return int(own)
+        heap = spark.sparkContext.getConf().get("spark.executor.memory", "")
+        if heap and not spark.sparkContext.master.startswith("local["):
+            return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(heap)) // 4
+        return int(spark._jvm.java.lang.Runtime.getRuntime().maxMemory()) // 4
 
     def get(self, lake: Lake, table: str, df: DataFrame) -> DataFrame:
         key, version = (lake.spark.sparkContext.applicationId, lake.path(table)), lake.version(table)

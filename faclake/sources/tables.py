@@ -367,6 +367,16 @@ def stored_files(df: DataFrame) -> list[str]:
     return sorted(files)
 
 
+def _is_stored(df: DataFrame) -> bool:
+    """Is the frame a stored table as it is, without filters or joins?"""
+    if not hasattr(df, "_jdf"):
+        return False
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() == "SubqueryAlias":
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
 def first_rows(df: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of a stored parquet table, in the order of its files' names.
 
@@ -375,6 +385,8 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
     none are not opened, and each task keeps its own share by the rows' numbers in
     their file.  So no task sees the others' rows, and the rows are the same on every
     read.  Other frames take Spark's ``limit``."""
+    if not _is_stored(df):
+        return df.limit(n)
     files = stored_files(df)
     try:
         df.select("_metadata.row_index")

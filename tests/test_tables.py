@@ -127,6 +127,7 @@ def test_first_rows(spark, tmp, capsys):
     assert first_rows(lake.read("T"), 10).count() == 10
     held.unpersist()
     assert first_rows(spark.range(9).where("id > 2"), 4).count() == 4                # not a stored table
+    assert first_rows(df.where("id % 100 = 0"), 5).count() == 5                      # nor is a filtered one
 
 
 # ---- parts: manifest in buckets
@@ -263,6 +264,10 @@ def test_footers_by_partition_and_column(spark, tmp):
 
 def test_hot_tables_keep_to_their_bound(spark, tmp):
     lake, hot = Lake(spark, tmp), Q.HotTables()
+    assert hot.bound(spark) > 1 << 20
+    spark.conf.set("faclake.hotTables.maxBytes", "77")
+    assert hot.bound(spark) == 77
+    spark.conf.unset("faclake.hotTables.maxBytes")
     for name, n in (("A", 1000), ("B", 1000), ("BIG", 100_000)):
         lake.write(spark.range(n), name)
     one = footers.memory_bytes(lake.read("A"))
