@@ -4,6 +4,7 @@ generated SQL over the same rows."""
 import duckdb
 import pytest
 
+from faclake.operators import joins
 from faclake.operators.joins import hot_keys
 from faclake.plans.contracts import BASE_TABLE_DDL, ddl_fields
 from faclake.plans.views import VIEWS, build_view, sql_text
@@ -108,3 +109,21 @@ def test_fan_out_and_null_keys(fixture):
 def test_hot_keys_bounded(spark):
     df = spark.createDataFrame([("hot",)] * 50 + [(f"k{i}",) for i in range(50)], "k string")
     assert hot_keys(df, "k", hot_fraction=0.25) == ["hot"]
+
+
+def test_linked_rows_keep_every_match_and_drop_most_others(spark):
+    keys = spark.range(0, 40000, 2).selectExpr("CAST(id AS STRING) AS k__").union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    fact = spark.range(40000).selectExpr("CAST(id AS STRING) AS k", "id").union(spark.sql("SELECT CAST(NULL AS STRING), -1L"))
+    kept = [r.id for r in joins.linked_rows(fact, "k", keys).select("id").collect()]
+    assert {*range(0, 40000, 2)} <= {*kept} and len(kept) == len({*kept}) < 20100
+    assert joins.linked_rows(fact, "id", keys) is fact          # other types hash differently
+    assert joins.linked_rows(fact, "k", keys.limit(0)).isEmpty()
+
+
+def test_crosswalk_view_shuffles_linked_facts_only(spark):
+    """The fact side of a crosswalk view meets the program's ids before its exchange."""
+    tables = {n: spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols))
+              for n, (cols, rows) in _fixture().items()}
+    spec = next(s for s in VIEWS if s.name == "DMR_FY2020_MVIEW")
+    plan = build_view(spec, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
