@@ -66,15 +66,8 @@ def _registry_build(spark, sf_dir):
 @register("schema_registry_scan", REGISTRY_SQL)
 def _registry_scan(spark, sf_dir):
     # documents named as the survey's are: one file each, read by their file names
-    from ..sources.tables import Files
     root = scratch_path(spark, "schema-docs")
-    S.write_schema_docs(registry(spark, sf_dir), f"{root}/parts")
-    files = Files(spark, f"{root}/parts")
-    for folder in [n for n in files.names() if n.startswith("doc=")]:      # one small file a document
-        one = Files(spark, f"{root}/parts/{folder}")
-        part = next(n for n in one.names() if n.startswith("part-"))
-        Files(spark, f"{root}/docs").fs.mkdirs(Files(spark, f"{root}/docs").root)
-        one.fs.rename(one._path(part), files.jvm.org.apache.hadoop.fs.Path(f"{root}/docs/{folder.removeprefix('doc=')}"))
+    S.write_schema_docs(registry(spark, sf_dir), f"{root}/docs")
     return S.scan_schema_docs(spark, f"{root}/docs/*_schema.json").select(*S.REGISTRY_COLUMNS)
 
 
