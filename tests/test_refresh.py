@@ -312,3 +312,32 @@ def test_empty_ids_can_be_left_out(spark, tmp):
     assert kept.where("k__ = ''").count() > 0
     few = R.write_dimension(lk, skip_empty_ids=True).where("PGM = 'AIR_IDS'")
     assert sorted(r.k__ for r in few.collect()) == ["A", "B", "C", "D"]
+
+
+def test_stored_files_are_compressed_in_any_session(spark, tmp):
+    import pyarrow.parquet as pq
+    from pathlib import Path
+    session = spark.newSession()
+    session.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    lk = Lake(session, tmp)
+    lk.write(session.range(100), "T")
+    lk.write(session.range(100), "T", mode="append")
+    files = [*Path(lk.location("T")).glob("*.parquet")]
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_sql_view_drops_unlinked_facts_before_their_shuffle(spark, tmp, monkeypatch):
+    """The view's own session filters the fact by its program's ids; the caller's keeps its settings."""
+    lk, plans = Lake(spark, tmp), []
+    for name, (cols, rows) in _fixture().items():
+        if name in ("ECHO_EXPORTER", "EXP_PGM", "ICIS-AIR_FCES_PCES"):
+            lk.write(spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols)), name)
+    before = {k: spark.conf.get(k, None) for k in R.SQL_VIEW_CONF}
+    monkeypatch.setitem(R.SQL_VIEW_CONF, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    monkeypatch.setitem(R.SQL_VIEW_CONF, "spark.sql.autoBroadcastJoinThreshold", "-1")
+    write = Lake.write
+    monkeypatch.setattr(Lake, "write", lambda self, df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(self, df, *a, **k)))
+    spec = VIEWS_BY_NAME["AIR_COMPLIANCE_MVIEW"]
+    rec = R.run_sql_view(spark, lk, spec.name, [sql_text(spec)], spec.tables)
+    assert rec.status == "ok" and "might_contain" in plans[-1], rec
+    assert {k: spark.conf.get(k, None) for k in before} == before
