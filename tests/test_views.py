@@ -127,3 +127,13 @@ def test_crosswalk_view_shuffles_linked_facts_only(spark):
     spec = next(s for s in VIEWS if s.name == "DMR_FY2020_MVIEW")
     plan = build_view(spec, tables)._jdf.queryExecution().optimizedPlan().toString()
     assert "bitmap_construct_agg" in plan
+
+
+def test_view_of_the_shared_dimension_shuffles_linked_facts_only(spark):
+    tables = {n: spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols))
+              for n, (cols, rows) in _fixture().items()}
+    spec = next(s for s in VIEWS if s.name == "RCRA_VIOLATIONS_MVIEW")
+    dim = joins.program_dimension(tables["EXP_PGM"], tables["ECHO_EXPORTER"], None, spec.side_columns("e"))
+    view = build_view(spec, tables, shared_dim=dim)
+    assert "bitmap_construct_agg" in view._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, view.collect())) == sorted(map(str, build_view(spec, tables, shared_dim=dim, broadcast_dim=True).collect()))
