@@ -341,3 +341,24 @@ def test_sql_view_drops_unlinked_facts_before_their_shuffle(spark, tmp, monkeypa
     rec = R.run_sql_view(spark, lk, spec.name, [sql_text(spec)], spec.tables)
     assert rec.status == "ok" and "might_contain" in plans[-1], rec
     assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, lake):
+    import time
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+    before, limit = shuffles(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        R.refresh_views(spark, lake, VIEWS[:3], broadcast_max_bytes=1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for _ in range(50):                              # files are removed after the statement, in the background
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(R.FREE_SHUFFLES, None) is None
