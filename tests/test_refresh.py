@@ -362,3 +362,18 @@ def test_a_refresh_leaves_no_shuffle_files(spark, lake):
             break
         time.sleep(0.1)
     assert not left and spark.conf.get(R.FREE_SHUFFLES, None) is None
+
+
+def test_the_changed_facility_is_made_from_the_stored_one(spark, monkeypatch):
+    from faclake.workload import catalog
+
+    from .conftest import SF_SMALL
+    plans, write = [], Lake.write
+
+    def kept(self, df, name, *args, **options):
+        if name == "ECHO_EXPORTER":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(self, df, name, *args, **options)
+    monkeypatch.setattr(Lake, "write", kept)
+    catalog.QUERIES["refresh_one_program"](spark, SF_SMALL)
+    assert ["Aggregate" in p for p in plans] == [True, False]
