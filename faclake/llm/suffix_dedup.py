@@ -35,6 +35,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +157,7 @@ class ColumnBwt:
 
     @staticmethod
     def _sorted_rows(symbols: np.ndarray) -> np.ndarray:
-        order = np.argsort(symbols, kind="stable")
+        order = pc.array_sort_indices(pa.array(symbols)).to_numpy().view(np.int64)     # stable; bytes are sorted by counting
         return order[:len(symbols) - int(np.count_nonzero(symbols == _NONE))]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

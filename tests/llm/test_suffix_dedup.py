@@ -85,3 +85,10 @@ def test_bwt_sorts_suffixes():
         classes.setdefault(g, set()).add(strings[s][o:o + 6])
     assert all(len(c) == 1 for c in classes.values())
     assert len({next(iter(c)) for c in classes.values()}) == len(classes)
+
+
+def test_rows_are_ordered_by_symbol_then_row():
+    symbols = np.random.default_rng(3).integers(0, 256, 20_000).astype(np.uint8)
+    for column in (symbols, symbols[:0], symbols[:1], np.full(9, S._NONE, np.uint8)):
+        want = [r for r in np.argsort(column, kind="stable").tolist() if column[r] != S._NONE]
+        assert S.ColumnBwt._sorted_rows(column).tolist() == want
