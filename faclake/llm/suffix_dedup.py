@@ -64,12 +64,11 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, off: np.ndarray, length: int, gram: int, most: int) -> tuple[np.ndarray, ...]:
-    """(text, first byte in the buffer, windows, key, content hash, inner) of each
-    segment.  ``inner``: it may hold equal windows, because a window that is not its
+    """(text, first byte in the buffer, windows, key, inner) of each segment.  ``inner``: it may hold equal windows, because a window that is not its
     last begins with the key's gram, which the next one then holds once more."""
     n = len(data) - length + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
     grams = _gram_hashes(data, gram)
     key = _window_min(grams, length - gram + 1)
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
@@ -84,76 +83,87 @@ def segments(data: np.ndarray, off: np.ndarray, length: int, gram: int, most: in
     start, size = start[which] + nth * most, np.minimum(size[which] - nth * most, most)
     begins = np.concatenate([[0], np.cumsum(grams[:n] == key)])
     inner = begins[start + size - 1] > begins[start]
-    return row[start], start, size, key[start], span_hashes(data, start, start + size + length - 1), inner
+    return row[start], start, size, key[start], inner
 
 
 class ColumnBwt:
     """Transform and common prefixes (up to ``cap``) of a collection, built by
     inserting one symbol per string each round.  Rows are the suffixes in order;
-    the first m are the strings' ends.  Between rounds both columns lie in files
-    that are read and written from front to back."""
+    the first m are the strings' ends.  Between rounds both columns (prefix << 8 |
+    symbol) lie in a file that is read and written from front to back.
+
+    Strings join late enough to begin in the same last round, so rows of short ones
+    are not carried along.  The rows that have a symbol are kept by (symbol, row):
+    row m + i is the image of the i-th.  A round looks its new rows up there and
+    merges them; nothing but the new rows is sorted."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, cap: int):
         self.size, self.cap, self.m = size, cap, len(start)
-        with tempfile.TemporaryFile() as symbols, tempfile.TemporaryFile() as prefixes:   # of this task only
-            self.files = symbols, prefixes
-            self._write(np.full(self.m, _NONE, np.uint8), np.zeros(self.m, np.uint8))
-            place, self.owner = np.arange(self.m), np.empty(int(size.sum()) + self.m, np.int32)
-            for depth in range(1, int(size.max(initial=0)) + 1):
-                self._round(place, np.flatnonzero(size >= depth), data, start + size - depth)
-            self.symbols, self.prefixes = self._read()
-        del self.files, self.owner
-
-    def _write(self, *columns: np.ndarray) -> None:
-        for file, column in zip(self.files, columns):
-            file.seek(0)
-            file.write(column)
-            file.flush()
-
-    def _read(self) -> list[np.ndarray]:
-        out = []
-        for file in self.files:
-            column = np.empty(file.tell(), np.uint8)
-            file.seek(0)
-            file.readinto(column)
-            out.append(column)
-        return out
+        rows = self.m + int(size.sum())
+        kind, self.shift = (np.uint32, 24) if rows < 1 << 24 else (np.uint64, 32)      # symbol << shift | row
+        self.order, self.spare, self.moved = (np.empty(rows, kind) for _ in range(3))
+        self.at, self.known = np.empty(rows, np.intp), 0
+        with tempfile.TemporaryFile() as self.file:          # of this task only
+            self._write(np.full(self.m, _NONE, np.uint16))
+            place = np.arange(self.m)
+            for left in range(int(size.max(initial=0)), 0, -1):
+                self._round(place, np.flatnonzero(size >= left), data, start + (left - 1))
+            columns = self._read()
+            self.symbols, self.prefixes = columns.astype(np.uint8), (columns >> 8).astype(np.uint8)
+        del self.file, self.order, self.spare, self.moved, self.at
+
+    def _write(self, columns: np.ndarray) -> None:
+        self.file.seek(0)
+        self.file.write(columns)
+        self.file.flush()
+
+    def _read(self) -> np.ndarray:
+        columns = np.empty(self.file.tell() // 2, np.uint16)
+        self.file.seek(0)
+        self.file.readinto(columns)
+        return columns
 
     def _round(self, place, active, data, at) -> None:
-        symbols, prefixes = self._read()
-        rows = place[active]
-        symbols[rows] = data[at[active]]
-        self.owner[rows] = active
-        mark = np.zeros(len(symbols), bool)
-        mark[rows] = True
-        order = self._sorted_rows(symbols)                  # rows by (symbol, row): where their images lie
-        new = mark[order]
-        fresh = np.flatnonzero(new)
+        m, kind, columns = self.m, self.order.dtype.type, self._read()
+        only_row = kind((1 << self.shift) - 1)
+        rows, symbols = place[active], data[at[active]]
+        columns[rows] ^= symbols ^ np.uint8(_NONE)
+        wanted = symbols.astype(kind) << kind(self.shift) | rows.astype(kind)
+        by = np.argsort(wanted)
+        wanted = wanted[by]
+        gap = np.searchsorted(self.order[:self.known], wanted)      # images before each new one
+        fresh = gap + np.arange(len(gap))
+        old = np.ones(len(columns) + len(fresh), bool)
+        old[m + fresh] = False
+        order = self.spare[:self.known + len(fresh)]
+        order[old[m:]], order[fresh] = self.order[:self.known], wanted
         # common prefixes of the new suffixes and of those right after them
-        touched = new.copy()
-        touched[1:] |= new[:-1]
-        near = np.flatnonzero(touched)
-        row = order[near]
-        before = order[near - 1]                            # of the first: overruled below
-        same = symbols[before] == symbols[row]
-        same[:1] &= near[:1] > 0
-        value = np.zeros(len(near), np.uint8)
-        if same.any():
-            low, high = before[same] + 1, row[same] + 1
+        after = fresh + 1
+        if after[-1] == len(order):
+            after = after[:-1]
+        near = np.concatenate([fresh, after[old[m + after]]])
+        row, before = order[near], order[near - 1]          # of the first: overruled below
+        same = np.flatnonzero((row >> kind(self.shift) == before >> kind(self.shift)) & (near > 0))
+        value = np.zeros(len(near), np.uint16)
+        if len(same):
+            low = (before[same] & only_row).astype(np.int64) + 1
             back = np.argsort(-low)                         # descending, so only the ranges are read
-            pairs = np.stack([low[back], high[back]], 1).ravel()
-            least = np.minimum.reduceat(np.append(prefixes, np.uint8(0)), pairs)[::2]
-            found = np.empty(len(low), np.uint8)
-            found[back] = np.minimum(least, self.cap - 1) + 1
-            value[same] = found
-        # merge the new rows into the columns
-        old = np.ones(self.m + len(order), bool)
-        np.logical_not(new, out=old[self.m:])
-        new_symbols, new_prefixes = np.full(len(old), _NONE, np.uint8), np.zeros(len(old), np.uint8)
-        new_symbols[old], new_prefixes[old] = symbols, prefixes
-        new_prefixes[self.m + near] = value
-        place[self.owner[order[fresh]]] = self.m + fresh
-        self._write(new_symbols, new_prefixes)
+            same = same[back]
+            pairs = np.stack([low[back], (row[same] & only_row).astype(np.int64) + 1], 1).ravel()
+            least = np.minimum.reduceat(np.append(columns, np.uint16(0)), pairs)[::2] >> 8
+            value[same] = np.minimum(least, self.cap - 1) + 1
+        # merge the new rows into the columns; the rows behind them move on
+        merged = np.empty(len(old), np.uint16)
+        merged[old] = columns
+        merged[m + fresh] = _NONE
+        near += m
+        merged[near] = merged[near] & 0xFF | value << 8
+        moved = np.repeat(np.arange(len(gap) + 1, dtype=kind), np.diff(gap + m, prepend=0, append=len(columns)))
+        was = np.bitwise_and(order, only_row, out=self.at[:len(order)], casting="unsafe")
+        order += np.take(moved, was, out=self.moved[:len(order)], mode="clip")
+        self.order, self.spare, self.known = self.spare, self.order, len(order)
+        place[active[by]] = m + fresh
+        self._write(merged)
 
     @staticmethod
     def _sorted_rows(symbols: np.ndarray) -> np.ndarray:
@@ -204,7 +214,29 @@ def _runs(string: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return string[lead], offset[lead], np.diff(np.append(lead, len(string)))
 
 
+# Bits of the filter of shared keys: 16 for a key, 32 MB of memory at most.
+FILTER_BITS = 1 << 28
+
+
+def _key_filter(keys: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
+    """Bitmap of the keys' lowest bits; a key whose bit is not set is none of them."""
+    bits = min(most, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+    bit = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(bit).alias("nth")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in maps.toLocalIterator():
+        part = np.frombuffer(r["map"], np.uint8)
+        out[(r["nth"] - 1) * 4096:][:len(part)] = part
+    return out
+
+
+def _may_hold(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bit = key & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_SLICE = 1 << 18                      # bytes of text at a time: their 64-bit columns stay in the cache
 _SEGMENT = "doc long, variant long, at long, windows int, key long, content long, inner boolean"
 
 
@@ -224,19 +256,30 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .select("doc", _variant("text").alias("variant"), "text", "unnamed")
 
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", _SLICE):
+            *_, key, inner = segments(*text_buffer(batch.column(2)), length, gram, most_windows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(inner)], names=["key", "inner"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE):
             data, off = text_buffer(batch.column(2))
-            row, start, size, key, content, inner = segments(data, off, length, gram, most_windows)
-            row_at = pa.array(row)
+            found = segments(data, off, length, gram, most_windows)
+            likely = np.flatnonzero(_may_hold(bitmap.value, found[3]))
+            if not len(likely):
+                continue
+            row, start, size, key, inner = (column[likely] for column in found)
+            content, row_at = span_hashes(data, start, start + size + length - 1), pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row_at), batch.column(1).take(row_at), pa.array(start - off[row]), pa.array(size.astype(np.int32)),
                  pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(inner)],
                 names=["doc", "variant", "at", "windows", "key", "content", "inner"])
 
-    every = texts.mapInArrow(cut, _SEGMENT)
+    every = texts.mapInArrow(keys, "key long, inner boolean")
     shared = done(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).where("n > 1 OR inner").select("key"), "keys")
-    found = done(every.join(shared, "key"), "found")
+    # segments of other keys are left out before they are shuffled; the join drops the few that pass the filter
+    bitmap = docs.sparkSession.sparkContext.broadcast(_key_filter(shared))
+    found = done(texts.mapInArrow(cut, _SEGMENT).join(shared, "key"), "found")
     drop(shared)
     place = F.struct("doc", "at", "variant")
     strings = done(found.groupBy("key", "content", "windows").agg(F.min(place).alias("first"), F.max("inner").alias("inner"))

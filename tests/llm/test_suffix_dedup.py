@@ -92,3 +92,29 @@ def test_rows_are_ordered_by_symbol_then_row():
     for column in (symbols, symbols[:0], symbols[:1], np.full(9, S._NONE, np.uint8)):
         want = [r for r in np.argsort(column, kind="stable").tolist() if column[r] != S._NONE]
         assert S.ColumnBwt._sorted_rows(column).tolist() == want
+
+
+@pytest.mark.parametrize("lengths", [[9, 1, 30, 4, 4, 17], [5] * 12])
+def test_rounds_sort_no_column_and_carry_no_finished_string(monkeypatch, lengths):
+    rng = random.Random(11)
+    strings = [bytes(rng.choice(b"ab\xf4") for _ in range(n)) for n in lengths]
+    size = np.array(lengths)
+    sorts, widths, write = [], [], S.ColumnBwt._write
+    monkeypatch.setattr(S.ColumnBwt, "_sorted_rows", staticmethod(lambda symbols: sorts.append(len(symbols))))
+    monkeypatch.setattr(S.ColumnBwt, "_write", lambda self, *columns: (widths.append(len(columns[0])), write(self, *columns))[1])
+    S.ColumnBwt(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size, size, 6)
+    assert not sorts
+    # after each round: the ends, and every string's symbols up to the round, counted from its first
+    assert widths == [len(size) + int(np.maximum(size - left, 0).sum()) for left in range(max(lengths), -1, -1)]
+
+
+def test_filter_of_shared_keys_keeps_them_and_drops_most_others(docs):
+    spark = docs([]).sparkSession
+    keys = np.random.default_rng(4).integers(0, 1 << 63, 30_000).astype(np.uint64)
+    table = S._key_filter(spark.createDataFrame([(int(k),) for k in keys[:3000]], "key long"))
+    assert S._may_hold(table, keys[:3000]).all() and S._may_hold(table, keys[3000:]).mean() < 0.07
+    assert not S._may_hold(S._key_filter(spark.createDataFrame([], "key long")), keys).any()
+    signed = np.array([-1, -(1 << 63), 5], np.int64)
+    assert S._may_hold(S._key_filter(spark.createDataFrame([(int(k),) for k in signed], "key long")), signed.view(np.uint64)).all()
+    small = S._key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), 1 << 15)
+    assert len(small) == 4096 and S._may_hold(small, keys).all()
