@@ -137,3 +137,28 @@ def test_view_of_the_shared_dimension_shuffles_linked_facts_only(spark):
     view = build_view(spec, tables, shared_dim=dim)
     assert "bitmap_construct_agg" in view._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(str, view.collect())) == sorted(map(str, build_view(spec, tables, shared_dim=dim, broadcast_dim=True).collect()))
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    import itertools
+    parts = [None, "", "a", "\x1d", "\x1e", "\x1f", "\x1d1", "\x1d3", "\x1e\x1f", "Zürich \U0001f3ed", "\x1d\x1d2\x1f"]
+    rows = [(i, a, f"k{i}", b, 0.5 * i, c) for i, (a, b, c) in enumerate(itertools.product(parts, parts, parts[::2]))]
+    df = spark.createDataFrame(rows, "n long, a string, key string, b string, x double, c string")
+    packed, texts = joins.packed_texts(df, "key", "all__")
+    assert packed.columns == ["n", "key", "x", "all__", "all___sizes"] and list(texts) == ["a", "b", "c"]
+    back = packed.select(*[texts.get(c, joins.F.col(c)).alias(c) for c in df.columns])
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("key", ["mview_case_enforcements", "mview_dmr_fy2022", "mview_air_inspections"])
+def test_views_shuffle_each_side_with_its_texts_together(spark, key):
+    """The big exchanges carry the key, numbers and the texts' bytes together, not every text by itself."""
+    tables = {n: spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols)) for n, (cols, rows) in _fixture().items()}
+    spec = next(s for s in VIEWS if s.key == key)
+    view = build_view(spec, tables)
+    join = view._jdf.queryExecution().optimizedPlan()
+    while join.getClass().getSimpleName() != "Join":
+        join = join.children().apply(0)
+    for side, join_key in ((join.left(), spec.fact_key), (join.right(), joins.KEY)):
+        fields = [side.schema().fields()[i] for i in range(side.schema().length())]
+        assert len([f for f in fields if f.dataType().simpleString() == "string" and f.name() != join_key]) == 0, key
