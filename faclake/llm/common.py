@@ -21,6 +21,22 @@ _BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 _BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+# Of a task's texts: what a Python worker is handed at once, and what is hashed at once
+# (which takes some 40 bytes of scratch arrays for each byte).
+BATCH_BYTES, HASH_BYTES = 2 << 20, 1 << 18
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; its session hands rows to Python in Arrow batches of at most
+    BATCH_BYTES (or what it has, if less; one longer row is a batch).  Spark's own 10,000
+    rows of whole texts stand in the executor's native memory and in the worker's, which
+    keep that room.  The setting stays, because ``docs`` is read after this returns."""
+    spark, name = docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return docs
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir`` of the session."""
     from ..session import checkpoint_root
@@ -115,7 +131,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(base: np.uint64, n: int, key: str) -> np.ndarray:
     have = _POWERS.get(key)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = max(1 << (n - 1).bit_length(), HASH_BYTES)
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have)

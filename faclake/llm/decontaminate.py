@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, keep, only, per_row, slices, span_hashes, text_buffer, word_spans
+from .common import HASH_BYTES, gram_hashes, in_small_batches, keep, only, per_row, slices, span_hashes, text_buffer, word_spans
 
 SPAN = 13
 K = 7
@@ -181,7 +181,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
         raise ValueError("k must be below span")
     blocks = item_blocks(benchmark, block_bytes, span, k)
     extra = [c.strip().split(" ")[0] for c in carry.split(",") if c.strip()]
-    frame = docs.select("doc_id", "text", *[c for c in extra if c != "text"])
+    frame = in_small_batches(docs).select("doc_id", "text", *[c for c in extra if c != "text"])
     schema = SCHEMA + (f", {carry}" if carry else "")
     if (blocks.agg(F.sum(F.octet_length("data"))).first()[0] or 0) > broadcast_bytes:
         return _through_blocks(frame, blocks, span, k, extra, schema)
@@ -189,7 +189,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = [pickle.loads(data) for data in held.value]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             words, first = words_of(batch.column(1))
             n, row = batch.num_rows, per_row(first, len(words))
             marks = np.zeros(len(words) + 1, np.int64)
@@ -223,7 +223,7 @@ def _through_blocks(frame: DataFrame, blocks: DataFrame, span: int, k: int, extr
     lengths = [r[0] for r in wanted.select("words").distinct().collect()]           # at most ``span`` numbers
 
     def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             words, first = words_of(batch.column(1))
             row = per_row(first, len(words))
             for n in lengths:
@@ -274,7 +274,7 @@ def _through_blocks(frame: DataFrame, blocks: DataFrame, span: int, k: int, extr
                                           F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             words, first = words_of(batch.column(1))
             marks = np.zeros(len(words) + 1, np.int64)
             column = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023

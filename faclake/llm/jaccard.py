@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, gram_hashes, keep, mix, only, slices, span_hashes, text_buffer, word_spans
+from .common import HASH_BYTES, drop, gram_hashes, in_small_batches, keep, mix, only, slices, span_hashes, text_buffer, word_spans
 
 K = 5
 PERCENT = 75
@@ -83,7 +83,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     counts = np.zeros(1 << CELL_BITS, np.uint32)
     names = ["doc_id", "n", "k1", "k2", "part", "slice", "counts"]
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", HASH_BYTES):
         sets = shingle_sets(batch.column(1))
         every = np.concatenate(sets)
         np.add.at(counts, (every >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
@@ -222,7 +222,7 @@ def _candidates(table: pa.Table) -> pa.Table:
 
 def _lister(levels, small: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             sets = shingle_sets(batch.column(1))
             ids = batch.column(0).cast(pa.int64()).to_pylist()
             out = [(i, len(s), int(s.sum(dtype=np.uint64).astype(np.int64)), signatures(s, levels.value, small).view(np.int64), _bitmap(s))
@@ -236,9 +236,10 @@ def _lister(levels, small: int):
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text_b", 1 << 20):
-        cache: dict = {}
+    cache: dict = {}
+    for batch in slices(batches, "text_b", HASH_BYTES):
         a, b = (batch.column(i).to_pylist() for i in (0, 1))
+        cache = {k: v for k, v in cache.items() if k == a[0]}    # rows of one centre follow each other
         right = shingle_sets(batch.column(3))
         ok = []
         for i, node in enumerate(a):
@@ -269,7 +270,7 @@ def components(edges: DataFrame) -> DataFrame:
 def link(docs: DataFrame, broadcast_ids: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     spark = docs.sparkSession
-    texts = only(docs, doc_id="long", text="string")
+    texts = only(in_small_batches(docs), doc_id="long", text="string")
     scanned = keep(texts.mapInArrow(_scan, _SETS), "jaccard-sets")
     sets = scanned.where("part IS NULL").select("doc_id", "n", "k1", "k2")
     levels = spark.sparkContext.broadcast(_levels(scanned.where("part IS NOT NULL")))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import keep, only
+from .common import in_small_batches, keep, only
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, part long, ids binary")
@@ -148,7 +148,7 @@ def pack(docs: DataFrame, size: int = 1024, windows: int = 64, min_cut: int = 16
             return pa.Table.from_batches(packer.rows(part, finish=True), schema=_ARROW)
         return run
 
-    rounds = [keep(only(docs, doc_id="long", text="string").mapInArrow(first, SCHEMA), "pack")]
+    rounds = [keep(only(in_small_batches(docs), doc_id="long", text="string").mapInArrow(first, SCHEMA), "pack")]
     parts = rounds[0].agg(F.max("part")).first()[0]
     level = 0
     while parts is not None:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, slices, text_buffer
+from .common import in_small_batches, only, slices, text_buffer
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -113,11 +113,10 @@ def _lstm(x: np.ndarray, w: np.ndarray, keep: list | None = None) -> np.ndarray:
     """x: steps, batch, inputs; w: (inputs + hidden + 1, 4 hidden)."""
     steps, batch, n_in = x.shape
     n = w.shape[1] // 4
-    given = x @ w[:n_in] + w[-1]
     h, c, out = np.zeros((batch, n), x.dtype), np.zeros((batch, n), x.dtype), np.empty((steps, batch, n), x.dtype)
-    inner = w[n_in:-1]
+    outer, inner = w[:n_in], w[n_in:-1]
     for t in range(steps):
-        z = given[t] + h @ inner
+        z = x[t] @ outer + w[-1] + h @ inner           # step by step: for all at once it is the largest array here
         gates = _sigmoid(z[:, :3 * n])
         i, f, o, g = gates[:, :n], gates[:, n:2 * n], gates[:, 2 * n:], np.tanh(z[:, 3 * n:])
         before, c = (h, c), f * c + i * g
@@ -388,7 +387,7 @@ def sample(docs: DataFrame, per_kind: int, most: int) -> list[tuple[str, str, st
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, dict] = {k: {} for k in KINDS}
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 19):
             data, off = text_buffer(batch.column(0))
             hits = np.concatenate([[0], np.cumsum(_TRIGGER[data])])
             for i in np.flatnonzero(hits[off[1:]] > hits[off[:-1]]).tolist():
@@ -410,7 +409,7 @@ def sample(docs: DataFrame, per_kind: int, most: int) -> list[tuple[str, str, st
         return pa.Table.from_pylist(list(rows.values()), schema=_SAMPLE)
 
     # the tasks' spans meet in parts of the hashes first, so no task reads those of all
-    left = only(docs, text="string").mapInArrow(first, _SAMPLE_DDL)
+    left = only(in_small_batches(docs), text="string").mapInArrow(first, _SAMPLE_DDL)
     left = left.groupBy("kind", F.expr("pmod(key, 64)")).applyInArrow(again, _SAMPLE_DDL)
     rows = left.groupBy("kind").applyInArrow(again, _SAMPLE_DDL).collect()
     return [(r["kind"], r["before"], r["value"], r["after"]) for r in sorted(rows, key=lambda r: (KINDS.index(r["kind"]), r["key"]))]
@@ -444,7 +443,7 @@ def detect(docs: DataFrame, model: Tagger | None, carry: str = "", redacted: boo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         join = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 19):
             data, off = text_buffer(batch.column(1))
             hits = np.concatenate([[0], np.cumsum(_TRIGGER[data])])
             rows = np.flatnonzero(hits[off[1:]] > hits[off[:-1]])
@@ -471,4 +470,4 @@ def detect(docs: DataFrame, model: Tagger | None, carry: str = "", redacted: boo
             yield pa.RecordBatch.from_arrays(columns, names=names + extra)
 
     schema = SCHEMA + (", redacted string" if redacted else "") + (f", {carry}" if carry else "")
-    return docs.select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, schema)
+    return in_small_batches(docs).select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, per_row, slices, span_hashes, text_buffer, word_spans
+from .common import HASH_BYTES, in_small_batches, only, per_row, slices, span_hashes, text_buffer, word_spans
 
 # Swapped within a group; a parameter of fit().
 IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
@@ -230,11 +230,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, carry: str = ""
     shared = docs.sparkSession.sparkContext.broadcast(model)   # at most train's ``keep`` weights and the terms'
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASH_BYTES):
             p = shared.value.score(batch.column(1))
             columns = [batch.column(0).cast(pa.int64()), pa.array(p, pa.float64()), pa.array(p >= threshold).cast(pa.int32())]
             columns += [batch.column(batch.schema.get_field_index(c)) for c in extra]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted", *extra])
 
-    out = docs.select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, SCHEMA + (f", {carry}" if carry else ""))
+    out = in_small_batches(docs).select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, SCHEMA + (f", {carry}" if carry else ""))
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", *extra)
