@@ -162,3 +162,20 @@ def test_views_shuffle_each_side_with_its_texts_together(spark, key):
     for side, join_key in ((join.left(), spec.fact_key), (join.right(), joins.KEY)):
         fields = [side.schema().fields()[i] for i in range(side.schema().length())]
         assert len([f for f in fields if f.dataType().simpleString() == "string" and f.name() != join_key]) == 0, key
+
+
+def test_a_session_without_broadcasts_gets_no_bitmaps(spark):
+    tables = {n: spark.createDataFrame(rows, ", ".join(f"`{c}` {t}" for c, t in cols))
+              for n, (cols, rows) in _fixture().items()}
+    spec = next(s for s in VIEWS if s.name == "DMR_FY2022_MVIEW")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    filtered, limit = build_view(spec, tables), spark.conf.get(name)
+    assert "bitmap_construct_agg" in filtered._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set(name, "-1")
+    try:
+        whole = build_view(spec, tables)
+        assert "bitmap_construct_agg" not in whole._jdf.queryExecution().optimizedPlan().toString()
+        assert "BroadcastExchange" not in whole._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, whole.collect())) == sorted(map(str, filtered.collect()))
+    finally:
+        spark.conf.set(name, limit)
