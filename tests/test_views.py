@@ -179,3 +179,12 @@ def test_a_session_without_broadcasts_gets_no_bitmaps(spark):
         assert sorted(map(str, whole.collect())) == sorted(map(str, filtered.collect()))
     finally:
         spark.conf.set(name, limit)
+
+
+def test_linked_rows_stay_selective_as_keys_grow(spark, monkeypatch):
+    """A key to ten bits, as 26 million ids have: one bit a key would keep 9.5 % of the other rows."""
+    monkeypatch.setattr(joins, "FILTER_BITS", 1 << 18)
+    n = joins.FILTER_BITS // 10
+    keys, fact = spark.range(n).selectExpr("CAST(id AS STRING) AS k__"), spark.range(3 * n).selectExpr("CAST(id AS STRING) AS k", "id")
+    kept = {r.id for r in joins.linked_rows(fact, "k", keys).select("id").collect()}
+    assert {*range(n)} <= kept and len(kept) < n + 0.03 * 2 * n
