@@ -377,3 +377,30 @@ def test_the_changed_facility_is_made_from_the_stored_one(spark, monkeypatch):
     monkeypatch.setattr(Lake, "write", kept)
     catalog.QUERIES["refresh_one_program"](spark, SF_SMALL)
     assert ["Aggregate" in p for p in plans] == [True, False]
+
+
+def test_one_program_refresh_keeps_every_link(spark, monkeypatch):
+    """Each facility's list holds all its ids, not those of one block of orders: the first
+    refresh stores the whole crosswalk and whole views, the second loses the changed links only."""
+    from faclake.workload import adapters as A
+    from faclake.workload import catalog
+
+    from .conftest import SF_SMALL
+    seen, refresh = [], R.refresh_views
+
+    def kept(spark, lake, specs, **options):
+        report = refresh(spark, lake, specs, **options)
+        seen.append(({tuple(r) for r in lake.read("EXP_PGM").select("PGM", "REGISTRY_ID", "PGM_ID").collect()},
+                     {s.name: lake.read(s.name).count() for s in specs}, lake.read("ECHO_EXPORTER").count()))
+        return report
+    monkeypatch.setattr(R, "refresh_views", kept)
+    catalog.QUERIES["refresh_one_program"](spark, SF_SMALL)
+    links = {tuple(r) for r in A.crosswalk(spark, SF_SMALL).select("PGM", "REGISTRY_ID", "PGM_ID").collect()}
+    left = {x for x in links if x[0] != "RCRA_IDS" or int(x[1]) % 2 == 0}
+    assert left < links and [s[0] for s in seen] == [links, left]
+    assert {s[2] for s in seen} == {A.facility(spark, SF_SMALL).count()}
+    for name in seen[0][1]:
+        spec = VIEWS_BY_NAME[name]
+        whole = build_view(spec, A.view_tables(spark, SF_SMALL, spec.tables)).count()
+        assert seen[0][1][name] == whole > 0
+        assert (seen[1][1][name] < whole) == (name == "RCRA_VIOLATIONS_MVIEW")
