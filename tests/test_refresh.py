@@ -404,3 +404,36 @@ def test_one_program_refresh_keeps_every_link(spark, monkeypatch):
         whole = build_view(spec, A.view_tables(spark, SF_SMALL, spec.tables)).count()
         assert seen[0][1][name] == whole > 0
         assert (seen[1][1][name] < whole) == (name == "RCRA_VIOLATIONS_MVIEW")
+
+
+@pytest.mark.parametrize("sql", [False])
+def test_large_views_run_one_at_a_time(spark, lake, monkeypatch, sql):
+    """Views that together read more than the room has do not lie on disk together, in a
+    refresh of either kind; small ones run side by side.  Every view is made and reported in order."""
+    import threading
+    import time
+    lock, now, most = threading.Lock(), set(), []
+    real = getattr(R, name := "run_sql_view" if sql else "materialise_view")
+
+    def run(*args, **options):
+        with lock:
+            now.add(threading.get_ident())
+            most.append(len(now))
+        try:
+            time.sleep(0.3)
+            return real(*args, **options)
+        finally:
+            with lock:
+                now.discard(threading.get_ident())
+    monkeypatch.setattr(R, name, run)
+    specs = [v for v in VIEWS if v.shape != "crosswalk" and not v.fact_filter] + [v for v in VIEWS if v.program == "AIR_IDS"][:1]
+    defs = {f"SQL_{v.name}": {"statements": [sql_text(v)], "tables": v.tables} for v in specs}
+    refresh = (lambda: R.refresh_sql_views(spark, lake, defs)) if sql else (lambda: R.refresh_views(spark, lake, specs))
+    room, at_once = R.Room, []
+    for limit in (1, 1 << 30):
+        monkeypatch.setattr(R, "Room", lambda lk, n=limit: room(lk, n))
+        most.clear()
+        report = [(r.name, r.status) for r in refresh().collect() if r.name != "EXP_PGM"]
+        assert report == [(n, "ok") for n in (defs if sql else [s.name for s in specs])]
+        at_once.append(max(most))
+    assert at_once[0] == 1 < at_once[1]

@@ -227,6 +227,35 @@ def test_appends_beside_a_compaction(spark, tmp):
 
 # ---- sizes
 
+def test_columns_of_many_texts_are_stored_as_differences(spark, tmp):
+    """Columns of few values keep their dictionary, others take no more than their texts'
+    differences; values of every type come back, and footers still tell the rows' size."""
+    import pyarrow.parquet as pq
+    from pathlib import Path
+    n = 40_000
+    rows = spark.range(n, numPartitions=1).selectExpr(
+        "concat('CODE-', id % 9) AS few", "IF(id % 5 = 0, NULL, concat('Facility ', id * 7919 % 9973)) AS many",
+        "concat('https://example.org/facility/', lpad(id, 12, '0')) AS link", "CAST(id * 7919 AS decimal(30, 4)) AS wide",
+        "CAST(id * 7 AS decimal(9, 2)) AS narrow", "id * 8 + 3 AS long", "CAST(id % 100 AS byte) AS byte", "CAST(id AS float) / 7 AS float",
+        "id / 7 AS double", "id % 3 = 0 AS flag", "timestamp_seconds(id * 977) AS at", "date_add(date'2024-01-01', CAST(id % 9000 AS int)) AS day",
+        "CAST(concat('x', id) AS binary) AS bytes", "array(concat('a', id), NULL) AS list", "named_struct('k', concat('b', id)) AS part", "map(concat('m', id), id) AS pairs")
+    lk = Lake(spark, tmp)
+    lk.write(rows, "NEW")
+    rows.write.option("compression", "zstd").parquet(f"{tmp}/files/OLD")
+    file = next(Path(lk.location("NEW")).glob("*.parquet"))
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    chunks = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+    assert "RLE_DICTIONARY" in chunks["few"].encodings and "DELTA_BYTE_ARRAY" not in chunks["few"].encodings
+    assert "DELTA_BYTE_ARRAY" in chunks["many"].encodings and "DELTA_BYTE_ARRAY" in chunks["link"].encodings
+    assert lk.bytes("NEW") < 0.8 * lk.bytes("OLD")
+    whole = lambda t: sorted(map(repr, lk.read(t).collect()))
+    assert whole("NEW") == whole("OLD") == sorted(map(repr, rows.collect()))
+    texts = ["few", "many", "link"]
+    found = footers.memory_by_column(lk.read("NEW"), None, texts)[""]
+    exact = {r["column"]: r["memory"] for r in footers.scanned(lk.read("NEW"), texts, None).collect()}
+    assert all(exact[c] <= found[c] <= 2 * exact[c] for c in texts), (found, exact)
+
+
 def test_footers_see_through_dictionaries(spark, tmp):
     """Long texts that repeat are tiny on disk and large in memory; plain numbers are
     the other way round.  A constant factor of the files' size is wrong for both."""
